@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.documents import results
+from rollbook.operators.ranking import best_per_key
 
 # Fixed value: fetch attempts made for one request before it is given up.
 MAX_ATTEMPTS = 5
@@ -21,21 +22,10 @@ def valid_attempts(responses: DataFrame) -> DataFrame:
     return responses.filter(F.col("status") == 200).select("*", F.explode(first).alias("user"))
 
 
-def first_valid_attempt(
-    attempts: DataFrame, *payload: str, max_attempts: int = MAX_ATTEMPTS
-) -> DataFrame:
-    """One row per request: `payload` of its earliest valid attempt within the allowed number.
-
-    `min_by` reduces each request before the shuffle, so a request with any number
-    of attempts sends one row per task.
-    """
-    earliest = F.min_by(F.struct("attempt", *payload), "attempt").alias("earliest")
-    return (
-        attempts.filter(F.col("attempt") <= max_attempts)
-        .groupBy("request_id")
-        .agg(earliest)
-        .select("request_id", "earliest.*")
-    )
+def first_valid_attempt(attempts: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+    """The earliest valid attempt of every request, among the allowed number."""
+    allowed = attempts.filter(F.col("attempt") <= max_attempts)
+    return best_per_key(allowed, "request_id", F.col("attempt"))
 
 
 def exhausted_requests(responses: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:

@@ -5,24 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.schema import ACCEPTED, POSITION, USER_COLUMNS
+from rollbook.operators.ranking import best_per_key
+from rollbook.operators.screening import rejected, storable
+from rollbook.schema import POSITION, USER_COLUMNS
 
 
 def latest_versions(log: DataFrame) -> DataFrame:
-    """One row per id of the accepted log rows, the one at the highest position, position included.
+    """One row per id of the storable log rows, the one at the highest position, position included.
 
     Writing a message again adds an equal row at an equal position, so replays do
-    not change the result. `max_by` reduces before the shuffle: an id that holds a
-    large share of the log sends one row per task.
+    not change the result.
     """
-    columns = (*USER_COLUMNS[1:], *POSITION)
-    newest = F.max_by(F.struct(*columns), F.struct(*POSITION)).alias("newest")
-    return (
-        log.filter(F.col("outcome") == ACCEPTED)
-        .groupBy("id")
-        .agg(newest)
-        .select("id", "newest.*")
-    )
+    rows = storable(log).select(*USER_COLUMNS, *POSITION)
+    return best_per_key(rows, "id", *[F.col(name).desc() for name in POSITION])
 
 
 def current_users(log: DataFrame) -> DataFrame:
@@ -32,11 +27,4 @@ def current_users(log: DataFrame) -> DataFrame:
 
 def rejected_messages(log: DataFrame) -> DataFrame:
     """The messages set aside, once each however often they were replayed."""
-    columns = ("reason", "value")
-    kept = F.first(F.struct(*columns)).alias("kept")
-    return (
-        log.filter(F.col("outcome") != ACCEPTED)
-        .groupBy(*POSITION)
-        .agg(kept)
-        .select(*POSITION, "kept.*")
-    )
+    return rejected(log).select("id", *POSITION, "reason", "value").dropDuplicates(list(POSITION))

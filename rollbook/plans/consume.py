@@ -8,27 +8,32 @@ from pyspark.sql.streaming import StreamingQuery
 from rollbook.operators.latest import current_users
 from rollbook.schema import DATABASE, TABLE
 from rollbook.sinks.tables import ensure_table, replace_users
-from rollbook.sinks.user_log import batch_writer, read_log
-from rollbook.streaming.ingest import INTERVAL, start_ingest
+from rollbook.sinks.user_log import read_log
+from rollbook.streaming.ingest import INTERVAL, BatchWriter, start_ingest
 
 
 def consume(
     messages: DataFrame,
-    log_path: str,
-    run: str,
+    write_batch: BatchWriter,
     checkpoint: str,
+    table_folder: str,
     interval: str | None = INTERVAL,
     drain: bool = False,
     database: str = DATABASE,
     table: str = TABLE,
 ) -> StreamingQuery:
-    """Create the table if needed, then start the stream. Any failure to do either is raised."""
-    ensure_table(messages.sparkSession, database, table)
-    return start_ingest(messages, batch_writer(log_path, run), checkpoint, interval, drain)
+    """Create the table if needed, then start the stream. A failure of either is raised."""
+    ensure_table(messages.sparkSession, table_folder, database, table)
+    return start_ingest(messages, write_batch, checkpoint, interval, drain)
 
 
 def refresh(
-    spark: SparkSession, log_path: str, database: str = DATABASE, table: str = TABLE
+    spark: SparkSession,
+    log_path: str,
+    table_folder: str,
+    database: str = DATABASE,
+    table: str = TABLE,
 ) -> None:
-    """Write the current row of every id in the log to the table."""
-    replace_users(current_users(read_log(spark, log_path)), ensure_table(spark, database, table))
+    """Bring the table up to date: the current row of every id in the log."""
+    name = ensure_table(spark, table_folder, database, table)
+    replace_users(current_users(read_log(spark, log_path)), name, table_folder)

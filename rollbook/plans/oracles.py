@@ -90,7 +90,7 @@ _LANDED = f"""
         QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY attempt) = 1
     ),
     flat AS (
-        SELECT request_id, {_REASON} AS reason, CAST(u AS VARCHAR) AS document, {_RECORD_OF_USER}
+        SELECT request_id, attempt, {_REASON} AS reason, CAST(u AS VARCHAR) AS document, {_RECORD_OF_USER}
         FROM firsts
     ),
     exhausted AS (
@@ -99,6 +99,10 @@ _LANDED = f"""
     )
 """
 
+_IF_ACCEPTED = ", ".join(
+    f"CASE WHEN outcome = 'accepted' THEN {name} END AS {name}" for name in USER_COLUMNS
+)
+
 _RECORD_OF_EVENT = ", ".join(f"{text} AS {name}" for name, text in RECORD.items())
 _FIELDS = ", ".join(f"'{name}': {name}" for name in USER_COLUMNS)
 _IS_UUID = (
@@ -171,15 +175,19 @@ ORACLES: dict[str, str] = {
         WITH {_LANDED}, tried AS (
             SELECT request_id, max(attempt) AS attempts FROM judged
             WHERE attempt <= {MAX_ATTEMPTS} GROUP BY request_id
+        ),
+        known AS (
+            SELECT tried.request_id, coalesce(flat.attempt, tried.attempts) AS attempts,
+                   CASE WHEN flat.request_id IS NULL AND attempts < {MAX_ATTEMPTS} THEN 'pending'
+                        WHEN flat.request_id IS NULL THEN 'exhausted'
+                        WHEN reason IS NOT NULL THEN 'rejected' ELSE 'accepted' END AS outcome,
+                   reason, document, {_COLUMNS}
+            FROM tried LEFT JOIN flat ON flat.request_id = tried.request_id
         )
-        SELECT tried.request_id, tried.attempts,
-               CASE WHEN flat.request_id IS NULL AND attempts < {MAX_ATTEMPTS} THEN 'pending'
-                    WHEN flat.request_id IS NULL THEN 'exhausted'
-                    WHEN reason IS NOT NULL THEN 'rejected' ELSE 'accepted' END AS outcome,
-               reason, CASE WHEN reason IS NOT NULL THEN document END AS document,
-               CASE WHEN flat.request_id IS NOT NULL AND reason IS NULL THEN id END AS id,
-               {_COLUMNS.removeprefix('id, ')}
-        FROM tried LEFT JOIN flat ON flat.request_id = tried.request_id
+        SELECT request_id, attempts, outcome, reason,
+               CASE WHEN outcome = 'rejected' THEN document END AS document,
+               {_IF_ACCEPTED}
+        FROM known
     """,
     "deterministic_id": f"""
         SELECT event_id, {_keyed('user_id')} AS user_key, {_keyed('event_id')} AS event_key
@@ -221,5 +229,7 @@ ORACLES: dict[str, str] = {
     "stream_rejects": f"{_REJECTS} AND topic = '{TOPIC}'",
     "keyed_upsert": _NEWEST,
     "replay_idempotent": _NEWEST,
+    "scheduled_runs": f"WITH {_LANDED} SELECT {_COLUMNS} FROM flat WHERE reason IS NULL",
+    "compacted_log": _NEWEST,
     "end_to_end": f"WITH {_LANDED} SELECT {_COLUMNS} FROM flat WHERE reason IS NULL",
 }

@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 from rollbook.functions.identifiers import keyed_id, random_id
 from rollbook.operators.attempts import MAX_ATTEMPTS, judged_attempts
 from rollbook.operators.flatten import reject_reason, user_record
+from rollbook.operators.ranking import best_per_key
 from rollbook.operators.wire import encode_messages
-from rollbook.schema import ACCEPTED, REJECTED, TOPIC, USER_COLUMNS
+from rollbook.schema import TOPIC, USER_COLUMNS
 
 # Fixed value: records published by one run.
 QUOTA = 20
 
+ACCEPTED = "accepted"
+REJECTED = "rejected"
 EXHAUSTED = "exhausted"
 PENDING = "pending"
 
@@ -37,41 +40,41 @@ def resolve_requests(
 ) -> DataFrame:
     """One row per request with its `outcome`; accepted ones carry the flat record.
 
-    Bodies are parsed and flattened before the only shuffle, which then moves flat
-    records instead of whole responses. A request is accepted or rejected by its
-    first valid attempt, exhausted when all allowed attempts failed, and pending
-    while it has attempts left.
+    A request is accepted or rejected by its first valid attempt, exhausted when all
+    allowed attempts failed, and pending while it has attempts left; `attempts` is
+    the number that were needed to know. Bodies are parsed once, and flattened
+    before the only shuffle, which then moves flat records instead of responses.
     """
-    user = F.col("user")
-    fields = USER_COLUMNS[1:]
+    user, attempt, valid = F.col("user"), F.col("attempt"), F.col("valid")
     reason = reject_reason(user)
     flat = judged_attempts(responses, max_attempts).select(
         "request_id",
         "attempt",
-        F.when(F.col("valid"), F.col("attempt")).alias("valid_attempt"),
-        reason.alias("reason"),
-        F.when(reason.isNotNull(), F.to_json(user)).alias("document"),
+        "valid",
+        F.when(valid, reason).alias("reason"),
+        F.when(valid & reason.isNotNull(), F.to_json(user)).alias("document"),
         *user_record(user),
     )
-    first = F.min_by(F.struct("reason", "document", *fields), "valid_attempt")
-    resolved = flat.groupBy("request_id").agg(
-        first.alias("first"), F.max("attempt").alias("attempts")
+    # Valid attempts first, in order; without one, the last failure.
+    decisive = best_per_key(
+        flat, "request_id", valid.desc(), F.when(valid, attempt), attempt.desc()
     )
     outcome = (
-        F.when(F.col("first").isNull() & (F.col("attempts") < max_attempts), F.lit(PENDING))
-        .when(F.col("first").isNull(), F.lit(EXHAUSTED))
-        .when(F.col("first.reason").isNotNull(), F.lit(REJECTED))
-        .otherwise(F.lit(ACCEPTED))
+        F.when(valid & F.col("reason").isNull(), F.lit(ACCEPTED))
+        .when(valid, F.lit(REJECTED))
+        .when(attempt >= max_attempts, F.lit(EXHAUSTED))
+        .otherwise(F.lit(PENDING))
     )
+    accepted = F.col("outcome") == ACCEPTED
     record_id = keyed_id(F.col("request_id")) if keyed else random_id()
-    return resolved.select(
+    return decisive.withColumn("outcome", outcome).select(
         "request_id",
-        "attempts",
-        outcome.alias("outcome"),
-        "first.reason",
-        "first.document",
-        F.when(outcome == ACCEPTED, record_id).alias("id"),
-        *[F.col(f"first.{name}") for name in fields],
+        attempt.alias("attempts"),
+        "outcome",
+        "reason",
+        "document",
+        F.when(accepted, record_id).alias("id"),
+        *[F.when(accepted, F.col(name)).alias(name) for name in USER_COLUMNS[1:]],
     )
 
 
@@ -90,24 +93,18 @@ def produce(
 ) -> ProduceReport:
     """Resolve `responses` into `staging`, publish the accepted records, and report the counts.
 
-    Staging is written once, one directory per outcome: the rejects and the
-    exhausted requests are tables there, and random ids are settled before the
-    first message is sent, so a repeated task sends the same ones.
+    Staging is written once and holds every outcome, rejects and exhausted requests
+    included. It also settles random ids before the first message is sent, so a
+    repeated task sends the same ones.
     """
     spark = responses.sparkSession
     resolved = Observation("resolved")
     outcomes = [ACCEPTED, REJECTED, EXHAUSTED, PENDING]
     counts = [F.count_if(F.col("outcome") == name).alias(name) for name in outcomes]
     table = resolve_requests(responses, keyed=keyed)
-    schema = table.schema
-    (
-        table.observe(resolved, *counts)
-        .write.mode("overwrite")
-        .partitionBy("outcome")
-        .parquet(staging)
-    )
+    table.observe(resolved, *counts).write.mode("overwrite").parquet(staging)
 
-    staged = spark.read.schema(schema).parquet(staging)
+    staged = spark.read.schema(table.schema).parquet(staging)
     users = staged.filter(F.col("outcome") == ACCEPTED)
     if quota is not None:
         users = take_quota(users, quota)
@@ -115,3 +112,32 @@ def produce(
     messages = encode_messages(users, topic).observe(sent, F.count(F.lit(1)).alias("published"))
     publish(messages)
     return ProduceReport(**resolved.get, **sent.get)
+
+
+def drain_responses(
+    responses: DataFrame,
+    publish: Callable[[DataFrame], None],
+    staging: str,
+    checkpoint: str,
+    quota: int | None = QUOTA,
+    topic: str = TOPIC,
+    keyed: bool = False,
+) -> None:
+    """A scheduled run: `produce` over the responses landed since the last run, then end.
+
+    `responses` is a stream of the landing zone and `checkpoint` remembers what was
+    taken, so a run reads new files only and days without a run are not made up for.
+    Attempts of one request must land in one run; a request split over two runs is
+    resolved by each with what it sees.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        produce(batch, publish, f"{staging}/batch_id={batch_id}", quota, topic, keyed)
+
+    query = (
+        responses.writeStream.option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(run)
+        .start()
+    )
+    query.awaitTermination()

@@ -16,21 +16,28 @@ from rollbook.operators.attempts import (
 )
 from rollbook.operators.flatten import flatten_rejects, flatten_users
 from rollbook.operators.latest import current_users, rejected_messages
-from rollbook.operators.screening import screen_messages
+from rollbook.operators.screening import rejected, screen_messages, storable
 from rollbook.operators.wire import decode_messages, encode_messages, message_text
+from rollbook.plans.consume import refresh
 from rollbook.plans.fixtures import (
     event_records,
     landed_responses,
     message_files,
     message_log,
 )
-from rollbook.plans.produce import produce, resolve_requests, take_quota
-from rollbook.schema import ACCEPTED, REJECTED, TOPIC, USER_COLUMNS
+from rollbook.plans.produce import (
+    ACCEPTED,
+    drain_responses,
+    produce,
+    resolve_requests,
+    take_quota,
+)
+from rollbook.schema import TOPIC, USER_COLUMNS
 from rollbook.session import shared_folder
 from rollbook.sinks.messages import publish_files
-from rollbook.sinks.tables import ensure_table, replace_users
-from rollbook.sinks.user_log import batch_writer, read_log
+from rollbook.sinks.user_log import batch_writer, compact_log, read_log
 from rollbook.sources.messages import read_message_files
+from rollbook.sources.responses import read_responses
 from rollbook.streaming.ingest import drain_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,7 +57,7 @@ def first_result(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _first_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_valid_attempt(valid_attempts(landed_responses(spark, sf_dir)), "user")
+    return first_valid_attempt(valid_attempts(landed_responses(spark, sf_dir)))
 
 
 def first_attempt(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,8 +133,7 @@ def uuid_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def undecodable_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    screened = screen_messages(message_log(spark, sf_dir))
-    return screened.filter(F.col("outcome") == REJECTED).select(
+    return rejected(screen_messages(message_log(spark, sf_dir))).select(
         "partition", "offset", "reason", F.col("value").cast("string").alias("value")
     )
 
@@ -150,7 +156,7 @@ def _ingest(
 
 
 def _records(log: DataFrame) -> DataFrame:
-    return log.filter(F.col("outcome") == ACCEPTED).select(*USER_COLUMNS)
+    return storable(log).select(*USER_COLUMNS)
 
 
 def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,15 +205,44 @@ def replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_users(read_log(spark, log))
 
 
+def compacted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs compacted into a new log, to which a third run then adds the same messages."""
+    source = message_files(spark, sf_dir)
+    log, target = shared_folder(spark, "log"), shared_folder(spark, "compacted")
+    for run in ("first", "second"):
+        _ingest(spark, source, log, run)
+    compact_log(spark, log, target)
+    _ingest(spark, source, target, "third")
+    return current_users(read_log(spark, target))
+
+
 def stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table is created twice, filled with current users, and read by name."""
-    place = shared_folder(spark, "table")
-    name = f"stored_users_{place.rsplit('-', 1)[1]}"
+    """The table is created twice, brought up to date from the log twice, and read by name."""
+    log, folder = shared_folder(spark, "log"), shared_folder(spark, "table")
+    database, name = "rollbook_check", f"users_{folder.rsplit('-', 1)[1]}"
+    _ingest(spark, message_files(spark, sf_dir), log, "first")
     for _ in range(2):
-        table = ensure_table(spark, "rollbook_check", name, place)
-    users = screen_messages(message_log(spark, sf_dir).filter(F.col("topic") == TOPIC))
-    replace_users(current_users(users), table)
-    return spark.table(table)
+        refresh(spark, log, folder, database, name)
+    return spark.table(f"{database}.{name}")
+
+
+def scheduled_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops of responses, each followed by a run that takes only what is new."""
+    landing, published = shared_folder(spark, "landing"), shared_folder(spark, "published")
+    staging, checkpoint = shared_folder(spark, "staging"), shared_folder(spark, "checkpoint")
+    responses = landed_responses(spark, sf_dir)
+    for drop in range(2):
+        landed = responses.filter(F.col("request_id") % 2 == drop)
+        landed.write.mode("append").parquet(landing)
+        drain_responses(
+            read_responses(spark, landing, streaming=True),
+            lambda messages: publish_files(messages, published),
+            f"{staging}/{drop}",
+            checkpoint,
+            quota=None,
+            keyed=True,
+        )
+    return decode_messages(read_message_files(spark, published, streaming=False))
 
 
 def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,5 +283,7 @@ QUERIES: dict[str, Query] = {
     "stream_rejects": stream_rejects,
     "keyed_upsert": keyed_upsert,
     "replay_idempotent": replay_idempotent,
+    "compacted_log": compacted_log,
+    "scheduled_runs": scheduled_runs,
     "end_to_end": end_to_end,
 }

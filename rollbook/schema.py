@@ -52,11 +52,10 @@ MESSAGE_SCHEMA = T.StructType(
 # Position of a message: among several writes of one id the highest position wins.
 POSITION = ("timestamp", "partition", "offset")
 
-ACCEPTED = "accepted"
-REJECTED = "rejected"
-
-# The ingest log: the record, its position, and for rejects the reason and the raw bytes.
-# `run`, `batch_id` and `outcome` are directory partitions.
+# The ingest log: the record, its position, and for a message that cannot be stored the
+# reason and the raw bytes. `run` and `batch_id` are directory partitions. `reason` is not:
+# that would double the number of files, and null counts already let a reader of rejects
+# skip the row groups without one.
 LOG_SCHEMA = T.StructType(
     [
         *USER_SCHEMA.fields,
@@ -65,6 +64,5 @@ LOG_SCHEMA = T.StructType(
         T.StructField("value", T.BinaryType()),
         T.StructField("run", T.StringType()),
         T.StructField("batch_id", T.LongType()),
-        T.StructField("outcome", T.StringType()),
     ]
 )

@@ -6,7 +6,8 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
-from rollbook.schema import ACCEPTED, DATABASE, TABLE, USER_COLUMNS
+from rollbook.operators.screening import rejected, storable
+from rollbook.schema import DATABASE, TABLE, USER_COLUMNS
 
 # Fixed value: the data source name of the store's connector.
 STORE_FORMAT = "org.apache.spark.sql.cassandra"
@@ -21,7 +22,7 @@ def store_writer(
     options: Mapping[str, str] | None = None,
     format: str = STORE_FORMAT,
 ) -> Callable[[DataFrame, int], None]:
-    """A `foreachBatch` function: accepted records to the store, rejects to `reject_writer`.
+    """A `foreachBatch` function: storable records to the store, rejects to `reject_writer`.
 
     The store keeps one row per key, so a replayed batch overwrites itself there.
     The batch is cached because it feeds two writes.
@@ -31,9 +32,9 @@ def store_writer(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            users = batch.filter(batch.outcome == ACCEPTED).select(*USER_COLUMNS)
+            users = storable(batch).select(*USER_COLUMNS)
             users.write.format(format).options(**target).mode("append").save()
-            reject_writer(batch.filter(batch.outcome != ACCEPTED), batch_id)
+            reject_writer(rejected(batch), batch_id)
         finally:
             batch.unpersist()
 

@@ -2,34 +2,38 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from rollbook.schema import DATABASE, TABLE, USER_COLUMNS
 
 
-def table_name(database: str = DATABASE, table: str = TABLE) -> str:
-    return f"`{database}`.`{table}`"
-
-
 def ensure_table(
-    spark: SparkSession,
-    database: str = DATABASE,
-    table: str = TABLE,
-    location: str | None = None,
+    spark: SparkSession, folder: str, database: str = DATABASE, table: str = TABLE
 ) -> str:
     """Create the namespace and the eleven-column table unless they exist; return its name.
 
     Parquet tables take no primary key. One row per id is kept by what is written
     here, which is always the output of `current_users`.
     """
-    name = table_name(database, table)
+    name = f"`{database}`.`{table}`"
     columns = ", ".join(f"`{column}` STRING" for column in USER_COLUMNS)
-    place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{place}")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet LOCATION '{folder}/empty'"
+    )
     return name
 
 
-def replace_users(users: DataFrame, name: str) -> None:
-    """Make `users` the content of the table."""
-    users.select(*USER_COLUMNS).write.insertInto(name, overwrite=True)
+def replace_users(users: DataFrame, name: str, folder: str) -> None:
+    """Make `users` the content of the table.
+
+    The new content gets a folder of its own and the table is then pointed at it,
+    so readers see the old rows or the new ones, and a failed job changes nothing.
+    """
+    version = f"{folder}/{uuid.uuid4().hex}"
+    users.select(*USER_COLUMNS).write.parquet(version)
+    spark = users.sparkSession
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+    spark.catalog.refreshTable(name)

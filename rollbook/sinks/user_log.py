@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rollbook.operators.latest import latest_versions, rejected_messages
 from rollbook.schema import LOG_SCHEMA
 
 
@@ -19,12 +20,24 @@ def batch_writer(path: str, run: str) -> Callable[[DataFrame, int], None]:
     """The `foreachBatch` function that writes screened messages to the log at `path`."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        target = f"{path}/run={run}/batch_id={batch_id}"
-        batch.write.mode("overwrite").partitionBy("outcome").parquet(target)
+        batch.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
 
     return write
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """The whole log. Filters on `outcome`, `run` and `batch_id` select directories."""
+    """The whole log. Filters on `run` and `batch_id` select directories."""
     return spark.read.schema(LOG_SCHEMA).option("basePath", path).parquet(path)
+
+
+def compact_log(spark: SparkSession, path: str, target: str) -> None:
+    """Write the log at `path` again under `target`: one accepted row per id, each reject once.
+
+    Positions are kept, so rows that a restarted stream adds under `target` compete
+    with the compacted ones as before, and a batch that is both compacted and
+    replayed there changes nothing. Files come out ordered by id, which lets a
+    lookup by id skip most row groups.
+    """
+    log = read_log(spark, path)
+    for batch_id, rows in enumerate((latest_versions(log), rejected_messages(log))):
+        rows.write.mode("overwrite").parquet(f"{target}/run=compacted/batch_id={batch_id}")
