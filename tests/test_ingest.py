@@ -1,0 +1,362 @@
+"""The streaming job: batches, resume, replay, rejects, and hot keys."""
+
+import json
+import time
+import uuid
+from pathlib import Path
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from rollbook.operators.latest import current_users, latest_versions, rejected_messages
+from rollbook.operators.screening import storable
+from rollbook.plans.consume import consume, refresh
+from rollbook.schema import MESSAGE_SCHEMA, TOPIC, USER_COLUMNS
+from rollbook.sinks.connector import STORE_FORMAT, store_options, store_writer
+from rollbook.sinks.user_log import batch_writer, compact_log, read_log
+from rollbook.sources.messages import kafka_options, read_kafka, read_message_files
+from rollbook.streaming.ingest import drain_messages, start_ingest
+
+IDS = [str(uuid.UUID(int=n)) for n in range(40)]
+
+
+def write_messages(spark, path, positions, topic=TOPIC, partition=0, second=0):
+    """One file with a message per offset in `positions`; every 10th cannot be stored."""
+    rows = []
+    for n in positions:
+        record = dict.fromkeys(USER_COLUMNS) | {"id": IDS[n % 40], "full_name": f"v{n}"}
+        text = "not json" if n % 10 == 9 else json.dumps(record)
+        rows.append((None, bytearray(text.encode()), topic, partition, n, None, 0))
+    frame = spark.createDataFrame(rows, MESSAGE_SCHEMA).withColumn(
+        "timestamp", F.timestamp_seconds(F.lit(1_700_000_000 + second))
+    )
+    frame.coalesce(1).write.mode("append").parquet(path)
+
+
+class Job:
+    def __init__(self, spark, folder):
+        self.spark = spark
+        self.source, self.log = f"{folder}/messages", f"{folder}/log"
+        self.folder = folder
+
+    def drain(self, run="first", max_files=None):
+        messages = read_message_files(self.spark, self.source, TOPIC, max_files)
+        writer = batch_writer(self.log, run)
+        return drain_messages(messages, writer, f"{self.folder}/checkpoint-{run}")
+
+    def batches(self, run="first"):
+        return sorted(
+            int(p.name.split("=")[1]) for p in Path(f"{self.log}/run={run}").glob("batch_id=*")
+        )
+
+    def read(self):
+        return read_log(self.spark, self.log)
+
+    def current(self):
+        return {row.id: row.full_name for row in current_users(self.read()).collect()}
+
+
+@pytest.fixture
+def job(spark, tmp_path):
+    return Job(spark, str(tmp_path))
+
+
+def newest(positions):
+    return {IDS[n % 40]: f"v{n}" for n in sorted(positions) if n % 10 != 9}
+
+
+def test_everything_available_is_ingested(spark, job):
+    write_messages(spark, job.source, range(100))
+    write_messages(spark, job.source, range(100), topic="another")
+    assert job.drain() == 100
+    assert storable(job.read()).count() == 90
+    assert rejected_messages(job.read()).count() == 10
+    assert job.current() == newest(range(100))
+
+
+def test_rate_limit_sets_the_number_of_batches(spark, job):
+    for start in range(0, 90, 30):
+        write_messages(spark, job.source, range(start, start + 30))
+    job.drain(max_files=1)
+    assert job.batches() == [0, 1, 2]
+    sizes = job.read().groupBy("batch_id").count().collect()
+    assert {row.batch_id: row["count"] for row in sizes} == {0: 30, 1: 30, 2: 30}
+    assert job.current() == newest(range(90))
+
+
+def test_resume_reads_only_what_is_new(spark, job):
+    write_messages(spark, job.source, range(50))
+    assert job.drain() == 50
+    assert job.drain() == 0
+    write_messages(spark, job.source, range(50, 80))
+    assert job.drain() == 30
+    assert job.read().count() == 80
+    assert job.current() == newest(range(80))
+
+
+def test_batch_with_lost_commit_is_written_over(spark, job):
+    for start in range(0, 90, 30):
+        write_messages(spark, job.source, range(start, start + 30))
+    job.drain(max_files=1)
+    before = job.current()
+    commits = Path(job.folder, "checkpoint-first", "commits")
+    for name in ("2", ".2.crc"):
+        (commits / name).unlink()
+    assert job.drain(max_files=1) == 30
+    assert job.batches() == [0, 1, 2]
+    assert job.read().count() == 90
+    assert job.current() == before == newest(range(90))
+
+
+def test_failed_batch_is_retried_whole(spark, job):
+    """A writer that dies after writing leaves a batch that the next start replaces."""
+    write_messages(spark, job.source, range(40))
+    good = batch_writer(job.log, "first")
+
+    def dies(batch, batch_id):
+        good(batch, batch_id)
+        raise RuntimeError("executor lost")
+
+    messages = read_message_files(spark, job.source)
+    with pytest.raises(Exception, match="executor lost"):
+        drain_messages(messages, dies, f"{job.folder}/checkpoint-first")
+    assert job.drain() == 40
+    assert job.read().count() == 40
+    assert job.current() == newest(range(40))
+
+
+def test_second_run_on_a_fresh_checkpoint_changes_nothing(spark, job):
+    write_messages(spark, job.source, range(70))
+    job.drain("first")
+    before = job.current()
+    job.drain("second")
+    assert job.read().count() == 140
+    assert job.current() == before
+    assert rejected_messages(job.read()).count() == 7
+
+
+def test_winner_is_by_time_then_partition_then_offset(spark, job):
+    write_messages(spark, job.source, [40], partition=5, second=0)
+    write_messages(spark, job.source, [0], partition=0, second=1)
+    write_messages(spark, job.source, [1], partition=1, second=0)
+    write_messages(spark, job.source, [41], partition=0, second=0)
+    write_messages(spark, job.source, [2], partition=0, second=0)
+    write_messages(spark, job.source, [42], partition=0, second=0)
+    job.drain()
+    assert job.current() == {IDS[0]: "v0", IDS[1]: "v1", IDS[2]: "v42"}
+
+
+def test_null_fields_of_the_newest_message_are_stored_as_null(spark, job):
+    write_messages(spark, job.source, range(3))
+    job.drain()
+    assert {row.email for row in current_users(job.read()).collect()} == {None}
+
+
+def test_compaction(spark, job):
+    write_messages(spark, job.source, range(100))
+    job.drain("first")
+    job.drain("second")
+    before, rejects = job.current(), rejected_messages(job.read()).count()
+    compacted = Job(spark, job.folder)
+    compacted.log = f"{job.folder}/compacted"
+    compact_log(spark, job.log, compacted.log)
+    assert compacted.read().count() == len(before) + rejects
+    assert compacted.current() == before
+    # A stream that goes on into the new log: old messages lose, new ones win.
+    compacted.drain("third")
+    assert compacted.current() == before
+    write_messages(spark, job.source, range(100, 130))
+    compacted.drain("third")
+    assert compacted.current() == newest(range(130))
+    assert rejected_messages(compacted.read()).count() == rejects + 3
+
+
+def test_continuous_job_runs_until_stopped(spark, job):
+    write_messages(spark, job.source, range(20))
+    for interval in ("1 second", None):
+        run = f"every-{interval}".replace(" ", "-")
+        query = start_ingest(
+            read_message_files(spark, job.source),
+            batch_writer(job.log, run),
+            f"{job.folder}/checkpoint-{run}",
+            interval,
+        )
+        try:
+            query.processAllAvailable()
+            assert query.isActive
+            assert query.awaitTermination(0.2) is False
+        finally:
+            query.stop()
+        assert not query.isActive
+        assert job.batches(run) == [0]
+
+
+def test_trigger_interval_is_kept(spark, job):
+    """Batches start on the interval, not as soon as there is data."""
+    write_messages(spark, job.source, range(10))
+    query = start_ingest(
+        read_message_files(spark, job.source, max_files_per_trigger=1),
+        batch_writer(job.log, "slow"),
+        f"{job.folder}/checkpoint-slow",
+        "1 hour",
+    )
+    try:
+        # The first batch starts at once; the file that comes later waits for the interval.
+        deadline = time.monotonic() + 60
+        while not job.batches("slow") and time.monotonic() < deadline:
+            time.sleep(0.1)
+        write_messages(spark, job.source, range(10, 20))
+        time.sleep(2)
+        assert job.batches("slow") == [0]
+    finally:
+        query.stop()
+
+
+# --- plans and scale -----------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def filled(spark, tmp_path_factory):
+    job = Job(spark, str(tmp_path_factory.mktemp("filled")))
+    write_messages(spark, job.source, range(100))
+    job.drain()
+    return job
+
+
+def test_topic_filter_reaches_the_scan(spark, filled, plan):
+    messages = read_message_files(spark, filled.source, streaming=False)
+    assert f"EqualTo(topic,{TOPIC})" in plan(messages)
+
+
+def test_current_rows_shuffle_once_after_a_local_reduction(filled, plan):
+    text = plan(current_users(filled.read()))
+    assert text.count("Exchange") == 1
+    assert "row_number(), 1, Partial" in text[text.index("Exchange") :]
+    assert "value" not in text[text.index("ReadSchema") :].split(">")[0]
+
+
+def test_lookup_by_id_reaches_the_scan(filled, plan):
+    text = plan(current_users(filled.read()).filter(F.col("id") == IDS[3]))
+    assert f"EqualTo(id,{IDS[3]})" in text
+
+
+def test_batches_and_runs_are_pruned_by_directory(filled, plan):
+    text = plan(filled.read().filter((F.col("run") == "first") & (F.col("batch_id") > 2)))
+    scan = text[text.index("PartitionFilters") :]
+    assert "run" in scan[: scan.index("PushedFilters")]
+    assert "batch_id" in scan[: scan.index("PushedFilters")]
+
+
+def test_rejects_skip_row_groups_without_one(filled, plan):
+    assert "IsNotNull(reason)" in plan(rejected_messages(filled.read()))
+
+
+def test_one_id_with_a_third_of_all_rows(spark):
+    """Each task sends one row of the hot id, however many there are."""
+    rows = spark.range(30_000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("id"),
+        *[F.col("id").cast("string").alias(name) for name in USER_COLUMNS[1:]],
+        F.timestamp_seconds(F.col("id") % 1000).alias("timestamp"),
+        (F.col("id") % 7).cast("int").alias("partition"),
+        F.col("id").alias("offset"),
+        F.lit(None).cast("string").alias("reason"),
+    )
+    latest = latest_versions(rows)
+    assert latest.count() == 20_001
+    best = max(
+        ((n % 1000, n % 7, n) for n in range(0, 30_000, 3)),
+    )
+    assert latest.filter(F.col("id") == "hot").first().offset == best[2]
+
+
+# --- other sources and sinks -----------------------------------------------------------------
+
+
+def test_kafka_options():
+    assert kafka_options("broker:1") == {
+        "kafka.bootstrap.servers": "broker:1",
+        "subscribe": "users_created",
+        "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "2000",
+    }
+    options = kafka_options("broker:1", "other", 5000, 64)
+    assert options["subscribe"] == "other"
+    assert options["maxOffsetsPerTrigger"] == "5000"
+    assert options["minPartitions"] == "64"
+    assert "maxOffsetsPerTrigger" not in kafka_options("broker:1", max_per_trigger=None)
+
+
+def test_missing_source_stops_the_job(spark):
+    with pytest.raises(AnalysisException):
+        read_kafka(spark, kafka_options("broker:1"))
+
+
+def test_store_receives_storable_records_only(spark, job):
+    """Parquet stands in for the store: format and options are passed through."""
+    write_messages(spark, job.source, range(30))
+    table = f"{job.folder}/store"
+    writer = store_writer(batch_writer(job.log, "first"), {"path": table}, "parquet")
+    drain_messages(
+        read_message_files(spark, job.source), writer, f"{job.folder}/checkpoint-first"
+    )
+    stored = spark.read.parquet(table)
+    assert tuple(stored.columns) == USER_COLUMNS
+    assert stored.count() == 27
+    assert rejected_messages(job.read()).count() == 3
+    assert storable(job.read()).count() == 0
+
+
+def test_store_target():
+    assert STORE_FORMAT == "org.apache.spark.sql.cassandra"
+    assert store_options() == {"keyspace": "spark_stream", "table": "created_users"}
+
+
+def test_missing_store_stops_the_job_and_loses_nothing(spark, job):
+    write_messages(spark, job.source, range(10))
+    messages = read_message_files(spark, job.source)
+    with pytest.raises(Exception, match="DATA_SOURCE_NOT_FOUND|cassandra"):
+        drain_messages(
+            messages,
+            store_writer(batch_writer(job.log, "first")),
+            f"{job.folder}/checkpoint-first",
+        )
+    assert job.drain() == 10
+    assert job.current() == newest(range(10))
+
+
+# --- the whole job -----------------------------------------------------------------------------
+
+
+def test_consume_creates_the_table_before_the_stream_and_refresh_fills_it(spark, job):
+    write_messages(spark, job.source, range(60))
+    folder = f"{job.folder}/table"
+    query = consume(
+        read_message_files(spark, job.source),
+        batch_writer(job.log, "first"),
+        f"{job.folder}/checkpoint",
+        folder,
+        drain=True,
+        database="consumed",
+        table="users",
+    )
+    assert tuple(spark.table("consumed.users").columns) == USER_COLUMNS
+    query.awaitTermination()
+    assert spark.table("consumed.users").count() == 0
+    refresh(spark, job.log, folder, "consumed", "users")
+    rows = spark.table("consumed.users").collect()
+    assert {row.id: row.full_name for row in rows} == newest(range(60))
+
+
+def test_table_that_cannot_be_made_stops_the_job(spark, job):
+    write_messages(spark, job.source, range(5))
+    active = len(spark.streams.active)
+    with pytest.raises(Exception):
+        consume(
+            read_message_files(spark, job.source),
+            batch_writer(job.log, "first"),
+            f"{job.folder}/checkpoint",
+            "nosuchscheme://folder",
+        )
+    assert len(spark.streams.active) == active
+    assert not Path(job.log).exists()
