@@ -1,7 +1,7 @@
 """Reading raw user documents.
 
-VARIANT is used rather than a declared struct because the flattening rules tell a
-missing key from a JSON null, and a struct does not.
+Leaves stay VARIANT because the flattening rules tell a missing key from a JSON
+null and a number from its text, which plain struct fields do not.
 """
 
 from __future__ import annotations
@@ -21,36 +21,23 @@ def results(body: Column) -> Column:
     return F.from_json(wrapped, schema, {"allowSingleQuotes": "false"})["document"]["results"]
 
 
-def _node(user: Column, path: str) -> Column:
-    return F.try_variant_get(user, f"$.{path}", "variant")
+def plain(leaf: Column) -> Column:
+    """The text of a leaf: empty when it is missing, NULL for a JSON null."""
+    return F.coalesce(leaf.cast("string"), F.when(leaf.isNull(), F.lit("")))
 
 
-def is_object(value: Column) -> Column:
-    return F.startswith(F.schema_of_variant(value), F.lit("OBJECT"))
-
-
-def is_container(user: Column, path: str) -> Column:
-    """Whether fields can be read from `path`: it is absent, which reads as empty, or an object."""
-    return F.coalesce(is_object(_node(user, path)), F.lit(True))
-
-
-def plain(user: Column, path: str) -> Column:
-    """The value at `path` as text: empty when missing, NULL for a JSON null."""
-    missing = F.when(_node(user, path).isNull(), F.lit(""))
-    return F.coalesce(F.try_variant_get(user, f"$.{path}", "string"), missing)
-
-
-def printed(user: Column, path: str) -> Column:
-    """The value at `path` as it prints inside a sentence.
+def printed(leaf: Column) -> Column:
+    """The text of a leaf as it prints inside a sentence.
 
     Unlike `plain`, a JSON null prints as `None`, booleans are capitalised, and a
     whole number written with a decimal point keeps one digit after it.
     """
-    text = F.try_variant_get(user, f"$.{path}", "string")
-    kind = F.schema_of_variant(_node(user, path))
-    absent = F.when(_node(user, path).isNull(), F.lit("")).otherwise(F.lit("None"))
+    text = leaf.cast("string")
+    kind = F.schema_of_variant(leaf)
     return (
-        F.when(text.isNull(), absent)
+        F.when(kind.isin("STRING", "BIGINT"), text)
+        .when(leaf.isNull(), F.lit(""))
+        .when(kind == "VOID", F.lit("None"))
         .when(kind == "BOOLEAN", F.initcap(text))
         # Integers read as BIGINT up to 18 digits, so a shorter DECIMAL had a decimal point.
         .when(kind.rlike(r"^DECIMAL\((\d|1[0-8]),0\)$"), F.concat(text, F.lit(".0")))

@@ -5,67 +5,96 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.functions.documents import is_container, is_object, plain, printed
+from rollbook.functions.documents import plain, printed
+from rollbook.operators.once import with_once
 from rollbook.schema import USER_COLUMNS
 
-# The objects a document may leave out but must not replace by anything else.
+# The parts of a raw user that the record is made of.
+DOCUMENT = """
+    struct<
+        name: struct<first: variant, last: variant>,
+        gender: variant,
+        location: struct<
+            street: struct<number: variant, name: variant>,
+            city: variant,
+            state: variant,
+            country: variant,
+            postcode: variant>,
+        email: variant,
+        login: struct<username: variant>,
+        dob: struct<date: variant>,
+        registered: struct<date: variant>,
+        phone: variant,
+        picture: struct<medium: variant>>
+"""
+# Its objects: each may be left out, which reads as empty, but must not be anything else.
 CONTAINERS = ("location", "location.street", "name", "login", "dob", "registered", "picture")
 
 
-def user_record(user: Column) -> list[Column]:
-    """The columns of the flat record except its id."""
-    space, comma = F.lit(" "), F.lit(", ")
+def _reason(user: Column, document: Column) -> Column:
+    """Why a document cannot be flattened, NULL when it can."""
+    reason = F.when(document.isNull(), F.lit("document is not an object"))
+    for path in CONTAINERS:
+        container = document
+        for name in path.split("."):
+            container = container[name]
+        present = F.try_variant_get(user, f"$.{path}", "variant").isNotNull()
+        reason = reason.when(container.isNull() & present, F.lit(f"{path} is not an object"))
+    return reason
 
-    def text(path: str) -> Column:
-        return printed(user, path)
 
-    street = F.concat(text("location.street.number"), space, text("location.street.name"))
-    columns = {
-        "full_name": F.concat(text("name.first"), space, text("name.last")),
-        "gender": plain(user, "gender"),
+def _record(document: Column) -> dict[str, Column]:
+    """The columns of the flat record except its id."""
+    space, comma = F.lit(" "), F.lit(", ")
+    name, location = document["name"], document["location"]
+    street = location["street"]
+    return {
+        "full_name": F.concat(printed(name["first"]), space, printed(name["last"])),
+        "gender": plain(document["gender"]),
         "address": F.concat(
-            street,
+            printed(street["number"]),
+            space,
+            printed(street["name"]),
             comma,
-            text("location.city"),
+            printed(location["city"]),
             comma,
-            text("location.state"),
+            printed(location["state"]),
             comma,
-            text("location.country"),
+            printed(location["country"]),
         ),
-        "postcode": text("location.postcode"),
-        "email": plain(user, "email"),
-        "user_name": plain(user, "login.username"),
-        "dob": plain(user, "dob.date"),
-        "registered_date": plain(user, "registered.date"),
-        "phone": plain(user, "phone"),
-        "image": plain(user, "picture.medium"),
+        "postcode": printed(location["postcode"]),
+        "email": plain(document["email"]),
+        "user_name": plain(document["login"]["username"]),
+        "dob": plain(document["dob"]["date"]),
+        "registered_date": plain(document["registered"]["date"]),
+        "phone": plain(document["phone"]),
+        "image": plain(document["picture"]["medium"]),
     }
-    return [columns[name].alias(name) for name in USER_COLUMNS if name != "id"]
 
 
-def reject_reason(user: Column) -> Column:
-    """Why a document cannot be flattened, NULL when it can."""
-    reason = F.when(
-        ~F.coalesce(is_object(user), F.lit(False)), F.lit("document is not an object")
-    )
-    for path in CONTAINERS:
-        reason = reason.when(~is_container(user, path), F.lit(f"{path} is not an object"))
-    return reason
+def flatten(documents: DataFrame) -> DataFrame:
+    """`documents` with the record of each `user`, or the `reason` why it has none."""
+    parts = with_once(documents, "_document", F.try_variant_get("user", "$", DOCUMENT))
+    columns = _record(F.col("_document"))
+    return parts.withColumns(
+        {"reason": _reason(F.col("user"), F.col("_document"))}
+        | {name: columns[name] for name in USER_COLUMNS if name != "id"}
+    ).drop("_document")
 
 
 def flatten_users(documents: DataFrame, record_id: Column, *keep: str) -> DataFrame:
     """Flat records of the documents in `user` that can be flattened, after the `keep` columns."""
-    user = F.col("user")
-    return documents.filter(reject_reason(user).isNull()).select(
-        *keep, record_id.alias("id"), *user_record(user)
+    return (
+        flatten(documents)
+        .filter(F.col("reason").isNull())
+        .select(*keep, record_id.alias("id"), *USER_COLUMNS[1:])
     )
 
 
 def flatten_rejects(documents: DataFrame, *keep: str) -> DataFrame:
     """The documents that cannot be flattened, each with its reason and its JSON text."""
-    user = F.col("user")
     return (
-        documents.withColumn("reason", reject_reason(user))
+        flatten(documents)
         .filter(F.col("reason").isNotNull())
-        .select(*keep, "reason", F.to_json(user).alias("document"))
+        .select(*keep, "reason", F.to_json("user").alias("document"))
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rollbook.functions.identifiers import keyed_id, random_id
 from rollbook.operators.attempts import MAX_ATTEMPTS, judged_attempts
-from rollbook.operators.flatten import reject_reason, user_record
+from rollbook.operators.flatten import flatten
 from rollbook.operators.ranking import best_per_key
 from rollbook.operators.wire import encode_messages
 from rollbook.schema import TOPIC, USER_COLUMNS
@@ -45,15 +45,14 @@ def resolve_requests(
     the number that were needed to know. Bodies are parsed once, and flattened
     before the only shuffle, which then moves flat records instead of responses.
     """
-    user, attempt, valid = F.col("user"), F.col("attempt"), F.col("valid")
-    reason = reject_reason(user)
-    flat = judged_attempts(responses, max_attempts).select(
+    attempt, valid = F.col("attempt"), F.col("valid")
+    flat = flatten(judged_attempts(responses, max_attempts)).select(
         "request_id",
         "attempt",
         "valid",
-        F.when(valid, reason).alias("reason"),
-        F.when(valid & reason.isNotNull(), F.to_json(user)).alias("document"),
-        *user_record(user),
+        F.when(valid, F.col("reason")).alias("reason"),
+        F.when(valid & F.col("reason").isNotNull(), F.to_json("user")).alias("document"),
+        *USER_COLUMNS[1:],
     )
     # Valid attempts first, in order; without one, the last failure.
     decisive = best_per_key(
