@@ -93,7 +93,13 @@ def _consume(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.store:
         write = store_writer(write)
     query = consume(
-        messages, write, args.checkpoint, args.table_folder, args.interval or None, args.drain
+        messages,
+        write,
+        args.checkpoint,
+        args.log,
+        args.table_folder,
+        args.interval or None,
+        args.drain,
     )
     query.awaitTermination()
 

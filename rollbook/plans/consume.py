@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rollbook.operators.latest import current_users
 from rollbook.schema import DATABASE, TABLE
-from rollbook.sinks.tables import ensure_table, replace_users
+from rollbook.sinks.tables import ensure_live_view, ensure_table, replace_users
 from rollbook.sinks.user_log import read_log
 from rollbook.streaming.ingest import INTERVAL, BatchWriter, start_ingest
 
@@ -16,14 +16,20 @@ def consume(
     messages: DataFrame,
     write_batch: BatchWriter,
     checkpoint: str,
+    log_path: str,
     table_folder: str,
     interval: str | None = INTERVAL,
     drain: bool = False,
     database: str = DATABASE,
     table: str = TABLE,
 ) -> StreamingQuery:
-    """Create the table if needed, then start the stream. A failure of either is raised."""
-    ensure_table(messages.sparkSession, table_folder, database, table)
+    """Create the table and its live view if needed, then start the stream.
+
+    A failure of any of them is raised.
+    """
+    spark = messages.sparkSession
+    ensure_table(spark, table_folder, database, table)
+    ensure_live_view(spark, log_path, database, f"{table}_live")
     return start_ingest(messages, write_batch, checkpoint, interval, drain)
 
 

@@ -230,6 +230,7 @@ ORACLES: dict[str, str] = {
     "keyed_upsert": _NEWEST,
     "replay_idempotent": _NEWEST,
     "scheduled_runs": f"WITH {_LANDED} SELECT {_COLUMNS} FROM flat WHERE reason IS NULL",
+    "live_view": _NEWEST,
     "compacted_log": _NEWEST,
     "end_to_end": f"WITH {_LANDED} SELECT {_COLUMNS} FROM flat WHERE reason IS NULL",
 }

@@ -35,6 +35,7 @@ from rollbook.plans.produce import (
 from rollbook.schema import TOPIC, USER_COLUMNS
 from rollbook.session import shared_folder
 from rollbook.sinks.messages import publish_files
+from rollbook.sinks.tables import ensure_live_view
 from rollbook.sinks.user_log import batch_writer, compact_log, read_log
 from rollbook.sources.messages import read_message_files
 from rollbook.sources.responses import read_responses
@@ -226,6 +227,14 @@ def stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.{name}")
 
 
+def live_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view is made before the first batch and read after the last."""
+    log = shared_folder(spark, "log")
+    view = ensure_live_view(spark, log, "rollbook_check", f"live_{log.rsplit('-', 1)[1]}")
+    _ingest(spark, message_files(spark, sf_dir), log, "first")
+    return spark.table(view)
+
+
 def scheduled_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two drops of responses, each followed by a run that takes only what is new."""
     landing, published = shared_folder(spark, "landing"), shared_folder(spark, "published")
@@ -283,6 +292,7 @@ QUERIES: dict[str, Query] = {
     "stream_rejects": stream_rejects,
     "keyed_upsert": keyed_upsert,
     "replay_idempotent": replay_idempotent,
+    "live_view": live_view,
     "compacted_log": compacted_log,
     "scheduled_runs": scheduled_runs,
     "end_to_end": end_to_end,

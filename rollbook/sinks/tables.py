@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollbook.schema import DATABASE, TABLE, USER_COLUMNS
+from rollbook.schema import DATABASE, POSITION, TABLE, USER_COLUMNS
+from rollbook.sinks.user_log import ensure_log
 
 
 def ensure_table(
@@ -26,6 +27,30 @@ def ensure_table(
     return name
 
 
+def ensure_live_view(
+    spark: SparkSession, log_path: str, database: str = DATABASE, view: str = f"{TABLE}_live"
+) -> str:
+    """Create the namespace and a view of the log's current users unless they exist.
+
+    The table holds what the last refresh wrote. The view works out the same rows
+    from the log whenever it is read, so it shows a batch as soon as it is written.
+    """
+    name = f"`{database}`.`{view}`"
+    ensure_log(spark, log_path)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    newest_first = ", ".join(f"`{column}` DESC" for column in POSITION)
+    spark.sql(
+        f"""
+        CREATE VIEW IF NOT EXISTS {name} AS
+        SELECT {", ".join(USER_COLUMNS)} FROM (
+            SELECT *, row_number() OVER (PARTITION BY id ORDER BY {newest_first}) AS _rank
+            FROM parquet.`{log_path}` WHERE reason IS NULL
+        ) WHERE _rank = 1
+        """
+    )
+    return name
+
+
 def replace_users(users: DataFrame, name: str, folder: str) -> None:
     """Make `users` the content of the table.
 

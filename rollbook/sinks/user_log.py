@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from rollbook.operators.latest import latest_versions, rejected_messages
 from rollbook.schema import LOG_SCHEMA
@@ -30,6 +31,13 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).option("basePath", path).parquet(path)
 
 
+def ensure_log(spark: SparkSession, path: str) -> None:
+    """Make the log readable before its first batch: one empty file with its columns."""
+    columns = [field for field in LOG_SCHEMA.fields if field.name not in ("run", "batch_id")]
+    empty = spark.createDataFrame([], T.StructType(columns)).coalesce(1)
+    empty.write.mode("ignore").parquet(f"{path}/run=none/batch_id=0")
+
+
 def compact_log(spark: SparkSession, path: str, target: str) -> None:
     """Write the log at `path` again under `target`: one accepted row per id, each reject once.
 

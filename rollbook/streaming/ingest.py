@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rollbook.operators.screening import screen_messages
@@ -27,10 +28,13 @@ def start_ingest(
     `drain` takes what is there, within the source's rate limit, and ends. Otherwise
     the job runs until stopped, every `interval`, or without a pause when that is None.
     Progress is kept in `checkpoint`; starting again with the same one resumes there.
-    Each batch is scan, decode and write in one stage, without a shuffle.
+    Each batch is scan, decode and write in one stage, without a shuffle. Its progress
+    carries the observed counts of `messages` and of `rejects` among them.
     """
+    counts = [F.count(F.lit(1)).alias("messages"), F.count("reason").alias("rejects")]
     writer = (
         screen_messages(messages)
+        .observe("ingest", *counts)
         .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write_batch)
@@ -42,8 +46,10 @@ def start_ingest(
     return writer.start()
 
 
-def drain_messages(messages: DataFrame, write_batch: BatchWriter, checkpoint: str) -> int:
-    """Ingest everything available, wait for the end, and return the number of messages read."""
+def drain_messages(
+    messages: DataFrame, write_batch: BatchWriter, checkpoint: str
+) -> StreamingQuery:
+    """Ingest everything available and return the ended query, with the progress of its batches."""
     query = start_ingest(messages, write_batch, checkpoint, drain=True)
     query.awaitTermination()
-    return sum(progress.numInputRows for progress in query.recentProgress)
+    return query

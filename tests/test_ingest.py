@@ -14,6 +14,7 @@ from rollbook.operators.screening import storable
 from rollbook.plans.consume import consume, refresh
 from rollbook.schema import MESSAGE_SCHEMA, TOPIC, USER_COLUMNS
 from rollbook.sinks.connector import STORE_FORMAT, store_options, store_writer
+from rollbook.sinks.tables import ensure_live_view
 from rollbook.sinks.user_log import batch_writer, compact_log, read_log
 from rollbook.sources.messages import kafka_options, read_kafka, read_message_files
 from rollbook.streaming.ingest import drain_messages, start_ingest
@@ -43,7 +44,8 @@ class Job:
     def drain(self, run="first", max_files=None):
         messages = read_message_files(self.spark, self.source, TOPIC, max_files)
         writer = batch_writer(self.log, run)
-        return drain_messages(messages, writer, f"{self.folder}/checkpoint-{run}")
+        query = drain_messages(messages, writer, f"{self.folder}/checkpoint-{run}")
+        return sum(progress.numInputRows for progress in query.recentProgress)
 
     def batches(self, run="first"):
         return sorted(
@@ -213,6 +215,34 @@ def test_trigger_interval_is_kept(spark, job):
         query.stop()
 
 
+def test_live_view_follows_the_log(spark, job):
+    view = ensure_live_view(spark, job.log, "live", "users")
+    assert tuple(spark.table(view).columns) == USER_COLUMNS
+    assert spark.table(view).count() == 0
+    for start in (0, 40):
+        write_messages(spark, job.source, range(start, start + 40))
+        job.drain()
+        assert ensure_live_view(spark, job.log, "live", "users") == view
+        found = {row.id: row.full_name for row in spark.table(view).collect()}
+        assert found == newest(range(start + 40)) == job.current()
+
+
+def test_lookup_in_the_live_view_reaches_the_scan(spark, job, plan):
+    view = ensure_live_view(spark, job.log, "live", "looked_up")
+    text = plan(spark.table(view).filter(F.col("id") == IDS[3]))
+    assert f"EqualTo(id,{IDS[3]})" in text
+    assert "row_number(), 1, Partial" in text
+
+
+def test_progress_counts_messages_and_rejects(spark, job):
+    write_messages(spark, job.source, range(50))
+    messages = read_message_files(spark, job.source)
+    query = drain_messages(messages, batch_writer(job.log, "first"), f"{job.folder}/checkpoint")
+    metrics = query.lastProgress.observedMetrics["ingest"]
+    assert (metrics.messages, metrics.rejects) == (50, 5)
+    assert query.lastProgress.numInputRows == 50
+
+
 # --- plans and scale -----------------------------------------------------------------------
 
 
@@ -335,6 +365,7 @@ def test_consume_creates_the_table_before_the_stream_and_refresh_fills_it(spark,
         read_message_files(spark, job.source),
         batch_writer(job.log, "first"),
         f"{job.folder}/checkpoint",
+        job.log,
         folder,
         drain=True,
         database="consumed",
@@ -343,6 +374,8 @@ def test_consume_creates_the_table_before_the_stream_and_refresh_fills_it(spark,
     assert tuple(spark.table("consumed.users").columns) == USER_COLUMNS
     query.awaitTermination()
     assert spark.table("consumed.users").count() == 0
+    live = spark.table("consumed.users_live").collect()
+    assert {row.id: row.full_name for row in live} == newest(range(60))
     refresh(spark, job.log, folder, "consumed", "users")
     rows = spark.table("consumed.users").collect()
     assert {row.id: row.full_name for row in rows} == newest(range(60))
@@ -356,6 +389,7 @@ def test_table_that_cannot_be_made_stops_the_job(spark, job):
             read_message_files(spark, job.source),
             batch_writer(job.log, "first"),
             f"{job.folder}/checkpoint",
+            job.log,
             "nosuchscheme://folder",
         )
     assert len(spark.streams.active) == active

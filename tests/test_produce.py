@@ -76,6 +76,18 @@ def test_fewer_records_than_the_quota(spark, tmp_path):
     assert len(published(spark, out)) == 1
 
 
+@pytest.mark.parametrize("quota", [20, None, 0])
+@pytest.mark.parametrize("kinds", [{}, {1: "broken"}, {1: "empty"}])
+def test_nothing_to_publish(spark, tmp_path, kinds, quota):
+    out = str(tmp_path / "out")
+    report = produce(
+        responses(spark, kinds), lambda m: publish_files(m, out), str(tmp_path / "s"), quota
+    )
+    assert (report.accepted, report.published) == (0, 0)
+    assert report.rejected + report.exhausted == len(kinds)
+    assert published(spark, out) == []
+
+
 def test_no_quota_publishes_everything_to_the_named_topic(spark, tmp_path):
     out = str(tmp_path / "out")
     report = produce(
