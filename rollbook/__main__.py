@@ -8,12 +8,13 @@ from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollbook.plans.consume import consume, refresh
+from rollbook.plans.consume import consume
 from rollbook.plans.produce import QUOTA, drain_responses, produce
 from rollbook.schema import TOPIC
 from rollbook.session import STORE_PACING, SessionOptions, build_session
 from rollbook.sinks.connector import store_writer
 from rollbook.sinks.messages import kafka_sink_options, publish_files, publish_kafka
+from rollbook.sinks.tables import UserTable, merge_log
 from rollbook.sinks.user_log import batch_writer, compact_log
 from rollbook.sources.messages import (
     MAX_PER_TRIGGER,
@@ -52,15 +53,16 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--run", required=True, help="name of this run; one per checkpoint")
     job.add_argument("--checkpoint", required=True)
     job.add_argument("--table-folder", required=True)
+    job.add_argument("--buckets", type=int, default=UserTable.buckets, help="of a new table")
     job.add_argument("--interval", default=INTERVAL, help="empty: no pause between batches")
     job.add_argument("--drain", action="store_true", help="take what is there and end")
     job.add_argument("--store", metavar="HOST", help="write accepted records to the store too")
 
-    job = jobs.add_parser("refresh", help="log to the table of current users")
+    job = jobs.add_parser("merge", help="log into the base of the table")
     job.add_argument("--log", required=True)
     job.add_argument("--table-folder", required=True)
 
-    job = jobs.add_parser("compact", help="log to a smaller log")
+    job = jobs.add_parser("compact", help="log to a smaller log, where there is no catalog")
     job.add_argument("--log", required=True)
     job.add_argument("--target", required=True)
     return parser
@@ -92,15 +94,8 @@ def _consume(spark: SparkSession, args: argparse.Namespace) -> None:
     write = batch_writer(args.log, args.run)
     if args.store:
         write = store_writer(write)
-    query = consume(
-        messages,
-        write,
-        args.checkpoint,
-        args.log,
-        args.table_folder,
-        args.interval or None,
-        args.drain,
-    )
+    table = UserTable(args.table_folder, args.log, buckets=args.buckets)
+    query = consume(messages, write, args.checkpoint, table, args.interval or None, args.drain)
     query.awaitTermination()
 
 
@@ -117,8 +112,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         _produce(spark, args)
     elif args.job == "consume":
         _consume(spark, args)
-    elif args.job == "refresh":
-        refresh(spark, args.log, args.table_folder)
+    elif args.job == "merge":
+        merge_log(spark, UserTable(args.table_folder, args.log))
     else:
         compact_log(spark, args.log, args.target)
 

@@ -1,14 +1,11 @@
-"""The consuming half: message source to table of current users."""
+"""The consuming half: message source to keyed table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from rollbook.operators.latest import current_users
-from rollbook.schema import DATABASE, TABLE
-from rollbook.sinks.tables import ensure_live_view, ensure_table, replace_users
-from rollbook.sinks.user_log import read_log
+from rollbook.sinks.tables import UserTable, ensure_table
 from rollbook.streaming.ingest import INTERVAL, BatchWriter, start_ingest
 
 
@@ -16,30 +13,10 @@ def consume(
     messages: DataFrame,
     write_batch: BatchWriter,
     checkpoint: str,
-    log_path: str,
-    table_folder: str,
+    table: UserTable,
     interval: str | None = INTERVAL,
     drain: bool = False,
-    database: str = DATABASE,
-    table: str = TABLE,
 ) -> StreamingQuery:
-    """Create the table and its live view if needed, then start the stream.
-
-    A failure of any of them is raised.
-    """
-    spark = messages.sparkSession
-    ensure_table(spark, table_folder, database, table)
-    ensure_live_view(spark, log_path, database, f"{table}_live")
+    """Create the table if needed, then start the stream. A failure of either is raised."""
+    ensure_table(messages.sparkSession, table)
     return start_ingest(messages, write_batch, checkpoint, interval, drain)
-
-
-def refresh(
-    spark: SparkSession,
-    log_path: str,
-    table_folder: str,
-    database: str = DATABASE,
-    table: str = TABLE,
-) -> None:
-    """Bring the table up to date: the current row of every id in the log."""
-    name = ensure_table(spark, table_folder, database, table)
-    replace_users(current_users(read_log(spark, log_path)), name, table_folder)

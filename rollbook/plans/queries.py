@@ -18,7 +18,6 @@ from rollbook.operators.flatten import flatten_rejects, flatten_users
 from rollbook.operators.latest import current_users, rejected_messages
 from rollbook.operators.screening import rejected, screen_messages, storable
 from rollbook.operators.wire import decode_messages, encode_messages, message_text
-from rollbook.plans.consume import refresh
 from rollbook.plans.fixtures import (
     event_records,
     landed_responses,
@@ -35,7 +34,7 @@ from rollbook.plans.produce import (
 from rollbook.schema import TOPIC, USER_COLUMNS
 from rollbook.session import shared_folder
 from rollbook.sinks.messages import publish_files
-from rollbook.sinks.tables import ensure_live_view
+from rollbook.sinks.tables import UserTable, ensure_table, merge_log
 from rollbook.sinks.user_log import batch_writer, compact_log, read_log
 from rollbook.sources.messages import read_message_files
 from rollbook.sources.responses import read_responses
@@ -217,22 +216,29 @@ def compacted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_users(read_log(spark, target))
 
 
+def _new_table(spark: SparkSession) -> UserTable:
+    folder = shared_folder(spark, "table")
+    name = f"users_{folder.rsplit('-', 1)[1]}"
+    return UserTable(folder, shared_folder(spark, "log"), "rollbook_check", name, buckets=8)
+
+
 def stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table is created twice, brought up to date from the log twice, and read by name."""
-    log, folder = shared_folder(spark, "log"), shared_folder(spark, "table")
-    database, name = "rollbook_check", f"users_{folder.rsplit('-', 1)[1]}"
-    _ingest(spark, message_files(spark, sf_dir), log, "first")
-    for _ in range(2):
-        refresh(spark, log, folder, database, name)
-    return spark.table(f"{database}.{name}")
+    """The table is made twice, merged twice with the log in between, and read by name."""
+    table = _new_table(spark)
+    source = message_files(spark, sf_dir)
+    for run in ("first", "second"):
+        ensure_table(spark, table)
+        _ingest(spark, source, table.log_path, run)
+        merge_log(spark, table)
+    return spark.table(table.name)
 
 
 def live_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The view is made before the first batch and read after the last."""
-    log = shared_folder(spark, "log")
-    view = ensure_live_view(spark, log, "rollbook_check", f"live_{log.rsplit('-', 1)[1]}")
-    _ingest(spark, message_files(spark, sf_dir), log, "first")
-    return spark.table(view)
+    """The table is made before the first batch and read after the last, without a merge."""
+    table = _new_table(spark)
+    ensure_table(spark, table)
+    _ingest(spark, message_files(spark, sf_dir), table.log_path, "first")
+    return spark.table(table.name)
 
 
 def scheduled_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

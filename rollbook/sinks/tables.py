@@ -1,64 +1,120 @@
-"""Catalog objects: the namespace and the table of current users."""
+"""Catalog objects: the namespace and the keyed table of current users.
+
+The table is a view of eleven columns over two parts: a base, bucketed by id, with
+one row per id as of the last merge, and the ingest log with everything since. Only
+the log is shuffled when the table is read or merged, however large the base is,
+and a lookup by id reads one bucket of it.
+"""
 
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-from rollbook.schema import DATABASE, POSITION, TABLE, USER_COLUMNS
+from rollbook.schema import DATABASE, LOG_SCHEMA, POSITION, TABLE, USER_COLUMNS
 from rollbook.sinks.user_log import ensure_log
 
+_VERSION_COLUMNS = (*USER_COLUMNS, *POSITION)
+
 
-def ensure_table(
-    spark: SparkSession, folder: str, database: str = DATABASE, table: str = TABLE
-) -> str:
-    """Create the namespace and the eleven-column table unless they exist; return its name.
+@dataclass(frozen=True)
+class UserTable:
+    """Names and places of one keyed table.
 
-    Parquet tables take no primary key. One row per id is kept by what is written
-    here, which is always the output of `current_users`.
+    `buckets` counts when the base is first made; about a gigabyte per bucket is a
+    good size. The base outlives the session only in a persistent catalog.
     """
-    name = f"`{database}`.`{table}`"
-    columns = ", ".join(f"`{column}` STRING" for column in USER_COLUMNS)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet LOCATION '{folder}/empty'"
-    )
-    return name
 
+    folder: str
+    log_path: str
+    database: str = DATABASE
+    table: str = TABLE
+    buckets: int = 64
+
+    @property
+    def name(self) -> str:
+        return f"`{self.database}`.`{self.table}`"
 
-def ensure_live_view(
-    spark: SparkSession, log_path: str, database: str = DATABASE, view: str = f"{TABLE}_live"
-) -> str:
-    """Create the namespace and a view of the log's current users unless they exist.
+    def part(self, suffix: str) -> str:
+        return f"`{self.database}`.`{self.table}_{suffix}`"
 
-    The table holds what the last refresh wrote. The view works out the same rows
-    from the log whenever it is read, so it shows a batch as soon as it is written.
+
+def ensure_table(spark: SparkSession, table: UserTable) -> str:
+    """Create the namespace and the table unless they exist, and return the table's name.
+
+    Parquet tables take no primary key; the view shows one row per id. It is pointed
+    at the given log, so a job can go on with a new log after a merge of the old one.
     """
-    name = f"`{database}`.`{view}`"
-    ensure_log(spark, log_path)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    newest_first = ", ".join(f"`{column}` DESC" for column in POSITION)
+    base = table.part("base")
+    columns = ", ".join(
+        f"`{field.name}` {field.dataType.simpleString()}"
+        for field in LOG_SCHEMA.fields
+        if field.name in _VERSION_COLUMNS
+    )
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{table.database}`")
     spark.sql(
         f"""
-        CREATE VIEW IF NOT EXISTS {name} AS
-        SELECT {", ".join(USER_COLUMNS)} FROM (
-            SELECT *, row_number() OVER (PARTITION BY id ORDER BY {newest_first}) AS _rank
-            FROM parquet.`{log_path}` WHERE reason IS NULL
-        ) WHERE _rank = 1
+        CREATE TABLE IF NOT EXISTS {base} ({columns}) USING parquet
+        CLUSTERED BY (id) SORTED BY (id) INTO {table.buckets} BUCKETS
+        LOCATION '{table.folder}/empty'
         """
     )
-    return name
+    ensure_log(spark, table.log_path)
+    shown = ", ".join(USER_COLUMNS)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {table.name} AS SELECT {shown} FROM ({_versions(spark, table)})"
+    )
+    return table.name
 
 
-def replace_users(users: DataFrame, name: str, folder: str) -> None:
-    """Make `users` the content of the table.
+def merge_log(spark: SparkSession, table: UserTable) -> None:
+    """Fold the log into the base.
 
-    The new content gets a folder of its own and the table is then pointed at it,
-    so readers see the old rows or the new ones, and a failed job changes nothing.
+    The merged base is written beside the old one, and the catalog is then pointed at
+    it: readers see the old parts or the new ones, a failed job changes nothing, and
+    the log may be merged again or retired.
     """
-    version = f"{folder}/{uuid.uuid4().hex}"
-    users.select(*USER_COLUMNS).write.parquet(version)
-    spark = users.sparkSession
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
-    spark.catalog.refreshTable(name)
+    ensure_table(spark, table)
+    base, label = table.part("base"), uuid.uuid4().hex
+    place, written = f"{table.folder}/{label}", table.part(f"base_{label}")
+    (
+        spark.sql(_versions(spark, table))
+        .write.bucketBy(_bucket_count(spark, base), "id")
+        .sortBy("id")
+        .option("path", place)
+        .saveAsTable(written)
+    )
+    spark.sql(f"ALTER TABLE {base} SET LOCATION '{place}'")
+    # The table has a location of its own, so this forgets the name and keeps the files.
+    spark.sql(f"DROP TABLE {written}")
+    spark.catalog.refreshTable(base)
+
+
+def _bucket_count(spark: SparkSession, name: str) -> int:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+    return int(described.filter("col_name = 'Num Buckets'").first()["data_type"])
+
+
+def _versions(spark: SparkSession, table: UserTable) -> str:
+    """The newest row of every id, with its position, from the base and the log.
+
+    The log is reduced to one row per id before it is brought into the base's
+    buckets, so an id that holds much of the log does not fill one of them.
+    """
+    columns = ", ".join(f"`{name}`" for name in _VERSION_COLUMNS)
+    newest_first = ", ".join(f"`{name}` DESC" for name in POSITION)
+
+    def newest(rows: str, hint: str = "") -> str:
+        return f"""
+            SELECT {hint} {columns} FROM (
+                SELECT *, row_number() OVER (PARTITION BY id ORDER BY {newest_first}) AS _rank
+                FROM {rows}
+            ) WHERE _rank = 1
+        """
+
+    base = table.part("base")
+    logged = f"(SELECT {columns} FROM parquet.`{table.log_path}` WHERE reason IS NULL)"
+    bucketed = f"/*+ REPARTITION({_bucket_count(spark, base)}, id) */"
+    return newest(f"(SELECT {columns} FROM {base} UNION ALL {newest(logged, bucketed)})")

@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 from rollbook.operators.latest import latest_versions, rejected_messages
 from rollbook.schema import LOG_SCHEMA
 
+_FILE_FIELDS = [field for field in LOG_SCHEMA.fields if field.name not in ("run", "batch_id")]
+
 
 def batch_writer(path: str, run: str) -> Callable[[DataFrame, int], None]:
     """The `foreachBatch` function that writes screened messages to the log at `path`."""
@@ -33,13 +35,12 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 def ensure_log(spark: SparkSession, path: str) -> None:
     """Make the log readable before its first batch: one empty file with its columns."""
-    columns = [field for field in LOG_SCHEMA.fields if field.name not in ("run", "batch_id")]
-    empty = spark.createDataFrame([], T.StructType(columns)).coalesce(1)
+    empty = spark.createDataFrame([], T.StructType(_FILE_FIELDS)).coalesce(1)
     empty.write.mode("ignore").parquet(f"{path}/run=none/batch_id=0")
 
 
 def compact_log(spark: SparkSession, path: str, target: str) -> None:
-    """Write the log at `path` again under `target`: one accepted row per id, each reject once.
+    """Write the log at `path` again under `target`: one stored row per id, each reject once.
 
     Positions are kept, so rows that a restarted stream adds under `target` compete
     with the compacted ones as before, and a batch that is both compacted and
@@ -47,5 +48,6 @@ def compact_log(spark: SparkSession, path: str, target: str) -> None:
     lookup by id skip most row groups.
     """
     log = read_log(spark, path)
-    for batch_id, rows in enumerate((latest_versions(log), rejected_messages(log))):
-        rows.write.mode("overwrite").parquet(f"{target}/run=compacted/batch_id={batch_id}")
+    rows = latest_versions(log).unionByName(rejected_messages(log), allowMissingColumns=True)
+    columns = [field.name for field in _FILE_FIELDS]
+    rows.select(*columns).write.mode("overwrite").parquet(f"{target}/run=compacted/batch_id=0")

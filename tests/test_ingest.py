@@ -3,6 +3,7 @@
 import json
 import time
 import uuid
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -11,10 +12,10 @@ from pyspark.sql import functions as F
 
 from rollbook.operators.latest import current_users, latest_versions, rejected_messages
 from rollbook.operators.screening import storable
-from rollbook.plans.consume import consume, refresh
+from rollbook.plans.consume import consume
 from rollbook.schema import MESSAGE_SCHEMA, TOPIC, USER_COLUMNS
 from rollbook.sinks.connector import STORE_FORMAT, store_options, store_writer
-from rollbook.sinks.tables import ensure_live_view
+from rollbook.sinks.tables import UserTable, ensure_table, merge_log
 from rollbook.sinks.user_log import batch_writer, compact_log, read_log
 from rollbook.sources.messages import kafka_options, read_kafka, read_message_files
 from rollbook.streaming.ingest import drain_messages, start_ingest
@@ -215,25 +216,6 @@ def test_trigger_interval_is_kept(spark, job):
         query.stop()
 
 
-def test_live_view_follows_the_log(spark, job):
-    view = ensure_live_view(spark, job.log, "live", "users")
-    assert tuple(spark.table(view).columns) == USER_COLUMNS
-    assert spark.table(view).count() == 0
-    for start in (0, 40):
-        write_messages(spark, job.source, range(start, start + 40))
-        job.drain()
-        assert ensure_live_view(spark, job.log, "live", "users") == view
-        found = {row.id: row.full_name for row in spark.table(view).collect()}
-        assert found == newest(range(start + 40)) == job.current()
-
-
-def test_lookup_in_the_live_view_reaches_the_scan(spark, job, plan):
-    view = ensure_live_view(spark, job.log, "live", "looked_up")
-    text = plan(spark.table(view).filter(F.col("id") == IDS[3]))
-    assert f"EqualTo(id,{IDS[3]})" in text
-    assert "row_number(), 1, Partial" in text
-
-
 def test_progress_counts_messages_and_rejects(spark, job):
     write_messages(spark, job.source, range(50))
     messages = read_message_files(spark, job.source)
@@ -355,33 +337,134 @@ def test_missing_store_stops_the_job_and_loses_nothing(spark, job):
     assert job.current() == newest(range(10))
 
 
-# --- the whole job -----------------------------------------------------------------------------
+# --- the whole job, and the table ----------------------------------------------------------
+
+
+@pytest.fixture
+def table(job, request):
+    name = request.node.name.split("[")[0]
+    return UserTable(f"{job.folder}/table", job.log, "made", name, buckets=3)
+
+
+def shown(spark, table):
+    return {row.id: row.full_name for row in spark.table(table.name).collect()}
+
+
+def test_table_is_made_once(spark, table):
+    assert {ensure_table(spark, table) for _ in range(2)} == {table.name}
+    frame = spark.table(table.name)
+    assert tuple(frame.columns) == USER_COLUMNS
+    assert {kind for _, kind in frame.dtypes} == {"string"}
+    assert frame.count() == 0
+
+
+def test_names_readers_use():
+    table = UserTable("folder", "log")
+    assert table.name == "`spark_stream`.`created_users`"
+
+
+def test_table_shows_every_batch_at_once_and_merging_changes_nothing(spark, job, table):
+    ensure_table(spark, table)
+    for step, start in enumerate((0, 40, 80)):
+        write_messages(spark, job.source, range(start, start + 40))
+        job.drain()
+        assert shown(spark, table) == newest(range(start + 40))
+        if step != 1:
+            merge_log(spark, table)
+            assert shown(spark, table) == newest(range(start + 40))
+    assert spark.table(table.part("base")).count() == len(newest(range(120)))
+    assert [t.name for t in spark.catalog.listTables("made") if "base_" in t.name] == []
+
+
+def test_merging_again_and_replays_after_a_merge_change_nothing(spark, job, table):
+    write_messages(spark, job.source, range(100))
+    job.drain("first")
+    for _ in range(2):
+        merge_log(spark, table)
+    job.drain("second")
+    assert shown(spark, table) == newest(range(100))
+    merge_log(spark, table)
+    assert shown(spark, table) == newest(range(100))
+
+
+def test_stream_goes_on_with_a_new_log_after_a_merge(spark, job, table):
+    """The merged log is no longer needed: messages in the new one compete with the base."""
+    write_messages(spark, job.source, range(100))
+    job.drain()
+    merge_log(spark, table)
+    moved = replace(table, log_path=f"{job.folder}/log-2")
+    ensure_table(spark, moved)
+    job.log = moved.log_path
+    assert shown(spark, table) == newest(range(100))
+    write_messages(spark, job.source, range(5), second=-1)
+    write_messages(spark, job.source, range(100, 130))
+    job.drain()
+    assert shown(spark, table) == newest(range(130))
+    merge_log(spark, moved)
+    assert shown(spark, table) == newest(range(130))
+
+
+def test_failed_merge_changes_nothing(spark, job, table):
+    write_messages(spark, job.source, range(40))
+    job.drain()
+    merge_log(spark, table)
+    broken = Path(job.log, "run=broken", "batch_id=0")
+    broken.mkdir(parents=True)
+    (broken / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        merge_log(spark, table)
+    (broken / "part-0.parquet").unlink()
+    assert spark.table(table.part("base")).count() == len(newest(range(40)))
+    assert shown(spark, table) == newest(range(40))
+
+
+def test_only_the_log_is_shuffled(spark, job, table, plan):
+    write_messages(spark, job.source, range(100))
+    job.drain()
+    merge_log(spark, table)
+    text = plan(spark.table(table.name))
+    base = text[text.index("Union") : text.index("Exchange")]
+    assert "Bucketed: true" in base
+    assert "Exchange" not in text[: text.index("Union")]
+    # One exchange gathers the versions of an id, reduced beforehand; one matches the buckets.
+    log = text[text.index("Exchange") :]
+    assert log.count("Exchange") == 2
+    assert "hashpartitioning(id" in log
+    assert "row_number(), 1, Partial" in log
+
+
+def test_lookup_by_id_reads_one_bucket(spark, job, table, plan):
+    write_messages(spark, job.source, range(100))
+    job.drain()
+    merge_log(spark, table)
+    found = spark.table(table.name).filter(F.col("id") == IDS[3])
+    text = plan(found)
+    assert text.count(f"EqualTo(id,{IDS[3]})") == 2
+    assert "SelectedBucketsCount: 1 out of 3" in text
+    assert [row.full_name for row in found.collect()] == ["v83"]
+
+
+def test_bucket_count_is_the_tables_own(spark, job, table):
+    write_messages(spark, job.source, range(100))
+    job.drain()
+    ensure_table(spark, table)
+    merge_log(spark, replace(table, buckets=7))
+    assert shown(spark, table) == newest(range(100))
+    for key in (IDS[0], IDS[21], IDS[38]):
+        assert spark.table(table.name).filter(F.col("id") == key).count() == 1
 
 
-def test_consume_creates_the_table_before_the_stream_and_refresh_fills_it(spark, job):
+def test_consume_creates_the_table_before_the_stream(spark, job, table):
     write_messages(spark, job.source, range(60))
-    folder = f"{job.folder}/table"
-    query = consume(
-        read_message_files(spark, job.source),
-        batch_writer(job.log, "first"),
-        f"{job.folder}/checkpoint",
-        job.log,
-        folder,
-        drain=True,
-        database="consumed",
-        table="users",
-    )
-    assert tuple(spark.table("consumed.users").columns) == USER_COLUMNS
+    messages = read_message_files(spark, job.source)
+    writer = batch_writer(job.log, "first")
+    query = consume(messages, writer, f"{job.folder}/checkpoint", table, drain=True)
+    assert tuple(spark.table(table.name).columns) == USER_COLUMNS
     query.awaitTermination()
-    assert spark.table("consumed.users").count() == 0
-    live = spark.table("consumed.users_live").collect()
-    assert {row.id: row.full_name for row in live} == newest(range(60))
-    refresh(spark, job.log, folder, "consumed", "users")
-    rows = spark.table("consumed.users").collect()
-    assert {row.id: row.full_name for row in rows} == newest(range(60))
+    assert shown(spark, table) == newest(range(60))
 
 
-def test_table_that_cannot_be_made_stops_the_job(spark, job):
+def test_table_that_cannot_be_made_stops_the_job(spark, job, table):
     write_messages(spark, job.source, range(5))
     active = len(spark.streams.active)
     with pytest.raises(Exception):
@@ -389,8 +472,7 @@ def test_table_that_cannot_be_made_stops_the_job(spark, job):
             read_message_files(spark, job.source),
             batch_writer(job.log, "first"),
             f"{job.folder}/checkpoint",
-            job.log,
-            "nosuchscheme://folder",
+            replace(table, folder="nosuchscheme://folder"),
         )
     assert len(spark.streams.active) == active
     assert not Path(job.log).exists()

@@ -4,7 +4,6 @@ import json
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
 
 from rollbook.__main__ import main
 from rollbook.operators.wire import decode_messages, encode_messages
@@ -20,7 +19,6 @@ from rollbook.schema import (
 )
 from rollbook.session import STORE_PACING, SessionOptions, build_session, shared_folder
 from rollbook.sinks.messages import kafka_sink_options, publish_files, publish_kafka
-from rollbook.sinks.tables import ensure_table, replace_users
 from rollbook.sources.messages import read_message_files
 from rollbook.sources.responses import read_responses
 
@@ -155,44 +153,6 @@ def test_missing_broker_connector_stops_the_job(spark, tmp_path):
         )
 
 
-# --- table -------------------------------------------------------------------------------
-
-
-def test_table_is_made_once(spark, tmp_path):
-    folder = str(tmp_path / "table")
-    names = {ensure_table(spark, folder, "made", "users") for _ in range(2)}
-    assert names == {"`made`.`users`"}
-    table = spark.table("made.users")
-    assert tuple(table.columns) == USER_COLUMNS
-    assert {kind for _, kind in table.dtypes} == {"string"}
-    assert table.count() == 0
-
-
-def test_replacing_content_keeps_the_table_and_survives_failure(spark, tmp_path):
-    folder = str(tmp_path / "table")
-    name = ensure_table(spark, folder, "replaced", "users")
-
-    def users(*names):
-        rows = [dict.fromkeys(USER_COLUMNS, text) for text in names]
-        return spark.createDataFrame(rows, USER_SCHEMA)
-
-    replace_users(users("a", "b"), name, folder)
-    assert {row.id for row in spark.table(name).collect()} == {"a", "b"}
-    ensure_table(spark, folder, "replaced", "users")
-    assert spark.table(name).count() == 2
-    failing = users("c").withColumn("id", F.raise_error(F.lit("lost")).cast("string"))
-    with pytest.raises(Exception, match="lost"):
-        replace_users(failing, name, folder)
-    assert spark.table(name).count() == 2
-    # The new content may be computed from the table itself.
-    replace_users(spark.table(name).filter("id = 'a'"), name, folder)
-    assert {row.id for row in spark.table(name).collect()} == {"a"}
-
-
-def test_names_readers_use():
-    assert (DATABASE, TABLE, TOPIC) == ("spark_stream", "created_users", "users_created")
-
-
 # --- session -----------------------------------------------------------------------------
 
 
@@ -229,12 +189,14 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
     assert f"'published': {len(GOOD)}" in capsys.readouterr().out
     main(
         ["consume", "--messages", path("messages"), "--log", path("log"), "--run", "first"]
-        + ["--checkpoint", path("checkpoint"), "--table-folder", path("table"), "--drain"]
+        + ["--checkpoint", path("checkpoint"), "--table-folder", path("table")]
+        + ["--buckets", "4", "--drain"]
     )
     main(["compact", "--log", path("log"), "--target", path("compacted")])
-    main(["refresh", "--log", path("compacted"), "--table-folder", path("table")])
-    rows = spark.table(f"{DATABASE}.{TABLE}").collect()
-    assert {row.user_name for row in rows} == {f"u{n}" for n in GOOD}
+    for log in ("log", "compacted"):
+        main(["merge", "--log", path(log), "--table-folder", path("table")])
+        rows = spark.table(f"{DATABASE}.{TABLE}").collect()
+        assert sorted(row.user_name for row in rows) == sorted(f"u{n}" for n in GOOD)
 
 
 def test_scheduled_run_from_the_command_line(spark, tmp_path):
