@@ -55,6 +55,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--table-folder", required=True)
     job.add_argument("--buckets", type=int, default=UserTable.buckets, help="of a new table")
     job.add_argument("--interval", default=INTERVAL, help="empty: no pause between batches")
+    job.add_argument("--merge-files", action="store_true", help="fewer files per batch")
     job.add_argument("--drain", action="store_true", help="take what is there and end")
     job.add_argument("--store", metavar="HOST", help="write accepted records to the store too")
 
@@ -91,7 +92,7 @@ def _consume(spark: SparkSession, args: argparse.Namespace) -> None:
         messages = read_kafka(spark, options)
     else:
         messages = read_message_files(spark, args.messages, args.topic)
-    write = batch_writer(args.log, args.run)
+    write = batch_writer(args.log, args.run, args.merge_files)
     if args.store:
         write = store_writer(write)
     table = UserTable(args.table_folder, args.log, buckets=args.buckets)

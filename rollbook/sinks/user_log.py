@@ -19,10 +19,19 @@ from rollbook.schema import LOG_SCHEMA
 _FILE_FIELDS = [field for field in LOG_SCHEMA.fields if field.name not in ("run", "batch_id")]
 
 
-def batch_writer(path: str, run: str) -> Callable[[DataFrame, int], None]:
-    """The `foreachBatch` function that writes screened messages to the log at `path`."""
+def batch_writer(
+    path: str, run: str, merge_files: bool = False
+) -> Callable[[DataFrame, int], None]:
+    """The `foreachBatch` function that writes screened messages to the log at `path`.
+
+    Every task writes a file, one per topic partition and batch. `merge_files` adds a
+    shuffle that lets adaptive execution settle on fewer and evener ones, which pays
+    when batches are small and topic partitions many.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if merge_files:
+            batch = batch.hint("rebalance")
         batch.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
 
     return write

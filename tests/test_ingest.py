@@ -150,6 +150,26 @@ def test_winner_is_by_time_then_partition_then_offset(spark, job):
     assert job.current() == {IDS[0]: "v0", IDS[1]: "v1", IDS[2]: "v42"}
 
 
+def test_merged_files(spark, job):
+    """Many small topic partitions end up in fewer files with the same rows."""
+    for partition in range(12):
+        write_messages(spark, job.source, range(partition, 120, 12), partition=partition)
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 27))
+    try:
+        files = {}
+        for merge_files in (False, True):
+            writer = batch_writer(job.log, f"merge-{merge_files}", merge_files)
+            messages = read_message_files(spark, job.source)
+            drain_messages(messages, writer, f"{job.folder}/checkpoint-{merge_files}")
+            written = Path(job.log, f"run=merge-{merge_files}")
+            assert spark.read.parquet(str(written)).count() == 120
+            files[merge_files] = len(list(written.glob("*/part-*.parquet")))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert files[False] == 12
+    assert files[True] < 12
+
+
 def test_null_fields_of_the_newest_message_are_stored_as_null(spark, job):
     write_messages(spark, job.source, range(3))
     job.drain()
