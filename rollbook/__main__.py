@@ -33,6 +33,7 @@ def _parser() -> argparse.ArgumentParser:
 
     job = jobs.add_parser("produce", help="landed responses to messages")
     job.add_argument("--responses", required=True)
+    job.add_argument("--format", default="parquet", help="of the responses")
     job.add_argument("--staging", required=True)
     job.add_argument("--checkpoint", help="take only responses landed since the last run")
     target = job.add_mutually_exclusive_group(required=True)
@@ -77,7 +78,9 @@ def _produce(spark: SparkSession, args: argparse.Namespace) -> None:
             publish_files(messages, args.out)
 
     quota = args.quota or None
-    responses = read_responses(spark, args.responses, streaming=bool(args.checkpoint))
+    responses = read_responses(
+        spark, args.responses, args.format, streaming=bool(args.checkpoint)
+    )
     settings = {"quota": quota, "topic": args.topic, "keyed": args.keyed_ids}
     if args.checkpoint:
         drain_responses(responses, publish, args.staging, args.checkpoint, **settings)

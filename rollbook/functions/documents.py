@@ -21,25 +21,38 @@ def results(body: Column) -> Column:
     return F.from_json(wrapped, schema, {"allowSingleQuotes": "false"})["document"]["results"]
 
 
+def _kind(leaf: Column) -> Column:
+    return F.schema_of_variant(leaf)
+
+
+def _text(leaf: Column) -> Column:
+    """The cases that `plain` and `printed` share, the usual ones first."""
+    text, kind = leaf.cast("string"), _kind(leaf)
+    return (
+        F.when(kind.isin("STRING", "BIGINT"), text)
+        .when(leaf.isNull(), F.lit(""))
+        # Integers read as BIGINT up to 18 digits, so a shorter DECIMAL had a decimal point.
+        .when(kind.rlike(r"^DECIMAL\((\d|1[0-8]),0\)$"), F.concat(text, F.lit(".0")))
+    )
+
+
 def plain(leaf: Column) -> Column:
-    """The text of a leaf: empty when it is missing, NULL for a JSON null."""
-    return F.coalesce(leaf.cast("string"), F.when(leaf.isNull(), F.lit("")))
+    """The text of a leaf: empty when it is missing, NULL for a JSON null.
+
+    A whole number written with a decimal point keeps one digit after it.
+    """
+    return _text(leaf).otherwise(leaf.cast("string"))
 
 
 def printed(leaf: Column) -> Column:
     """The text of a leaf as it prints inside a sentence.
 
-    Unlike `plain`, a JSON null prints as `None`, booleans are capitalised, and a
-    whole number written with a decimal point keeps one digit after it.
+    As `plain`, but a JSON null prints as `None`, and booleans are capitalised.
     """
-    text = leaf.cast("string")
-    kind = F.schema_of_variant(leaf)
+    text, kind = leaf.cast("string"), _kind(leaf)
     return (
-        F.when(kind.isin("STRING", "BIGINT"), text)
-        .when(leaf.isNull(), F.lit(""))
+        _text(leaf)
         .when(kind == "VOID", F.lit("None"))
         .when(kind == "BOOLEAN", F.initcap(text))
-        # Integers read as BIGINT up to 18 digits, so a shorter DECIMAL had a decimal point.
-        .when(kind.rlike(r"^DECIMAL\((\d|1[0-8]),0\)$"), F.concat(text, F.lit(".0")))
         .otherwise(text)
     )

@@ -75,6 +75,8 @@ CASES = [
     ('{"location":{"postcode":"true"}}', {"postcode": "true"}),
     ('{"name":{"first":true,"last":""}}', {"full_name": "True "}),
     ('{"gender":7}', {"gender": "7"}),
+    ('{"gender":100.00}', {"gender": "100.0"}),
+    ('{"phone":1.50}', {"phone": "1.5"}),
     ('{"gender":true}', {"gender": "true"}),
     ('{"gender":{"a":1}}', {"gender": '{"a":1}'}),
     ('{"phone":[1,2]}', {"phone": "[1,2]"}),

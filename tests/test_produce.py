@@ -203,11 +203,11 @@ def test_scheduled_run_from_the_command_line(spark, tmp_path):
     def path(name):
         return str(tmp_path / name)
 
-    responses(spark, KINDS).write.parquet(path("landing"))
+    responses(spark, KINDS).write.json(path("landing"))
     for _ in range(2):
         main(
-            ["produce", "--responses", path("landing"), "--staging", path("staging")]
-            + ["--out", path("messages"), "--checkpoint", path("checkpoint")]
+            ["produce", "--responses", path("landing"), "--format", "json"]
+            + ["--staging", path("staging"), "--out", path("messages"), "--checkpoint", path("checkpoint")]
         )
     assert len(published(spark, path("messages"))) == 20
 
