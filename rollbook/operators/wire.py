@@ -25,13 +25,10 @@ def encode_messages(users: DataFrame, topic: str = TOPIC) -> DataFrame:
 
 def message_text(messages: DataFrame) -> DataFrame:
     """Message bytes as text."""
-    return messages.selectExpr("CAST(value AS STRING) AS value")
+    return messages.select(F.col("value").cast("string").alias("value"))
 
 
 def decode_messages(messages: DataFrame, schema: T.StructType = USER_SCHEMA) -> DataFrame:
     """Messages as columns. A message that cannot be parsed stays, as a row of NULLs."""
-    return (
-        message_text(messages)
-        .select(F.from_json("value", schema).alias("data"))
-        .select("data.*")
-    )
+    text = F.col("value").cast("string")
+    return messages.select(F.from_json(text, schema).alias("record")).select("record.*")

@@ -74,7 +74,8 @@ _LANDED = f"""
         SELECT *, CAST(unnest(generate_series(1, {ATTEMPTS})) AS INTEGER) AS attempt FROM customer
     ),
     landed AS (
-        SELECT c_custkey AS request_id, attempt, {STATUS} AS status, {BODY} AS body FROM attempts
+        SELECT c_custkey AS request_id, attempt, {STATUS} AS status, {BODY} AS body
+        FROM attempts
     ),
     judged AS (
         SELECT *, status = 200 AND coalesce(
@@ -90,7 +91,8 @@ _LANDED = f"""
         QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY attempt) = 1
     ),
     flat AS (
-        SELECT request_id, attempt, {_REASON} AS reason, CAST(u AS VARCHAR) AS document, {_RECORD_OF_USER}
+        SELECT request_id, attempt, {_REASON} AS reason, CAST(u AS VARCHAR) AS document,
+               {_RECORD_OF_USER}
         FROM firsts
     ),
     exhausted AS (
@@ -198,14 +200,25 @@ ORACLES: dict[str, str] = {
         ORDER BY request_id LIMIT {QUOTA}
     """,
     "publish_count": f"""
-        WITH {_LANDED}, counts AS (
-            SELECT count(*) FILTER (reason IS NULL) AS accepted,
-                   count(*) FILTER (reason IS NOT NULL) AS rejected FROM flat
+        WITH {_LANDED}, used AS (
+            SELECT request_id FROM flat WHERE reason IS NULL ORDER BY request_id LIMIT {QUOTA}
+        ),
+        gone_through AS (
+            SELECT DISTINCT request_id FROM landed
+            WHERE request_id <= (SELECT max(request_id) FROM used)
+               OR (SELECT count(*) FROM used) < {QUOTA}
+        ),
+        counts AS (
+            SELECT count(*) FILTER (flat.request_id IS NOT NULL AND reason IS NULL) AS accepted,
+                   count(*) FILTER (reason IS NOT NULL) AS rejected,
+                   count(exhausted.request_id) AS exhausted, count(*) AS requests
+            FROM gone_through g
+            LEFT JOIN flat ON flat.request_id = g.request_id
+            LEFT JOIN exhausted ON exhausted.request_id = g.request_id
         )
-        SELECT accepted, rejected, (SELECT count(*) FROM exhausted) AS exhausted,
-               (SELECT count(DISTINCT request_id) FROM landed) - accepted - rejected
-                   - (SELECT count(*) FROM exhausted) AS pending,
-               least(accepted, {QUOTA}) AS published
+        SELECT accepted, rejected, exhausted,
+               requests - accepted - rejected - exhausted AS pending,
+               (SELECT count(*) FROM used) AS published
         FROM counts
     """,
     "wire_encode": f"""

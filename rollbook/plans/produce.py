@@ -18,6 +18,10 @@ from rollbook.schema import TOPIC, USER_COLUMNS
 # Fixed value: records published by one run.
 QUOTA = 20
 
+# Rows looked at first for every record of a quota, and the most that may be.
+HEAD_PER_RECORD = 50
+HEAD_LIMIT = 100_000
+
 ACCEPTED = "accepted"
 REJECTED = "rejected"
 EXHAUSTED = "exhausted"
@@ -26,7 +30,7 @@ PENDING = "pending"
 
 @dataclass(frozen=True)
 class ProduceReport:
-    """How many requests a run resolved to each outcome, and how many records it published."""
+    """How many requests a run went through, by outcome, and how many records it published."""
 
     accepted: int
     rejected: int
@@ -82,6 +86,16 @@ def take_quota(users: DataFrame, quota: int = QUOTA) -> DataFrame:
     return users.orderBy("request_id").limit(quota)
 
 
+def head_requests(responses: DataFrame, attempts: int) -> DataFrame:
+    """The responses of the first requests, as many as the first `attempts` rows belong to.
+
+    Only the request column is read to find them, and the filter reaches the scan.
+    """
+    head = responses.select("request_id").orderBy("request_id").limit(attempts)
+    last = head.agg(F.max("request_id")).first()[0]
+    return responses.filter(F.col("request_id") <= F.lit(last))
+
+
 def produce(
     responses: DataFrame,
     publish: Callable[[DataFrame], None],
@@ -92,25 +106,51 @@ def produce(
 ) -> ProduceReport:
     """Resolve `responses` into `staging`, publish the accepted records, and report the counts.
 
-    Staging is written once and holds every outcome, rejects and exhausted requests
-    included. It also settles random ids before the first message is sent, so a
-    repeated task sends the same ones.
+    With a quota the run goes through the requests in order until it is filled, and
+    the report covers those. A small quota is looked for among the first requests;
+    only if they do not fill it, all are resolved.
+
+    Staging holds every outcome, rejects and exhausted requests included. It also
+    settles random ids before the first message is sent, so a repeated task sends
+    the same ones.
     """
     spark = responses.sparkSession
-    resolved = Observation("resolved")
-    outcomes = [ACCEPTED, REJECTED, EXHAUSTED, PENDING]
-    counts = [F.count_if(F.col("outcome") == name).alias(name) for name in outcomes]
-    table = resolve_requests(responses, keyed=keyed)
-    table.observe(resolved, *counts).write.mode("overwrite").parquet(staging)
 
-    staged = spark.read.schema(table.schema).parquet(staging)
-    users = staged.filter(F.col("outcome") == ACCEPTED)
-    if quota is not None:
-        users = take_quota(users, quota)
+    def stage(rows: DataFrame) -> DataFrame:
+        table = resolve_requests(rows, keyed=keyed)
+        table.write.mode("overwrite").parquet(staging)
+        return spark.read.schema(table.schema).parquet(staging)
+
+    if quota is None:
+        staged = stage(responses)
+        users = _accepted(staged)
+    else:
+        head = quota * HEAD_PER_RECORD
+        staged = stage(head_requests(responses, head) if head <= HEAD_LIMIT else responses)
+        found, last = _reach(staged, quota)
+        if found < quota and head <= HEAD_LIMIT:
+            staged = stage(responses)
+            found, last = _reach(staged, quota)
+        users = take_quota(_accepted(staged), quota)
+        if found == quota:
+            staged = staged.filter(F.col("request_id") <= F.lit(last))
+
     sent = Observation("sent")
     messages = encode_messages(users, topic).observe(sent, F.count(F.lit(1)).alias("published"))
     publish(messages)
-    return ProduceReport(**resolved.get, **sent.get)
+    outcomes = [ACCEPTED, REJECTED, EXHAUSTED, PENDING]
+    counts = [F.count_if(F.col("outcome") == name).alias(name) for name in outcomes]
+    return ProduceReport(**staged.agg(*counts).first().asDict(), **sent.get)
+
+
+def _accepted(resolved: DataFrame) -> DataFrame:
+    return resolved.filter(F.col("outcome") == ACCEPTED)
+
+
+def _reach(resolved: DataFrame, quota: int) -> tuple[int, int | None]:
+    """How many records of the quota there are, and the request of the last."""
+    taken = take_quota(_accepted(resolved).select("request_id"), quota)
+    return tuple(taken.agg(F.count(F.lit(1)), F.max("request_id")).first())
 
 
 def drain_responses(

@@ -166,7 +166,7 @@ def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A third of the files per micro-batch, so the number of batches does not grow with the data."""
+    """A third of the files per micro-batch: the number of batches does not grow with the data."""
     source, log = message_files(spark, sf_dir), shared_folder(spark, "log")
     files = len(spark.read.parquet(source).inputFiles())
     _ingest(spark, source, log, "first", max_files=max(1, files // 3))

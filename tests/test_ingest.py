@@ -286,9 +286,10 @@ def test_rejects_skip_row_groups_without_one(filled, plan):
 
 def test_one_id_with_a_third_of_all_rows(spark):
     """Each task sends one row of the hot id, however many there are."""
+    text = F.col("id").cast("string")
     rows = spark.range(30_000, numPartitions=6).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("id"),
-        *[F.col("id").cast("string").alias(name) for name in USER_COLUMNS[1:]],
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(text).alias("id"),
+        *[text.alias(name) for name in USER_COLUMNS[1:]],
         F.timestamp_seconds(F.col("id") % 1000).alias("timestamp"),
         (F.col("id") % 7).cast("int").alias("partition"),
         F.col("id").alias("offset"),

@@ -1,19 +1,20 @@
 """The producing job, the table, the session, and the command line."""
 
 import json
+from dataclasses import asdict
 from pathlib import Path
 
 import pytest
 
 from rollbook.__main__ import main
 from rollbook.operators.wire import decode_messages, encode_messages
-from rollbook.plans.produce import drain_responses, produce
+from rollbook.plans import produce as produce_module
+from rollbook.plans.produce import drain_responses, head_requests, produce
 from rollbook.schema import (
     DATABASE,
     MESSAGE_SCHEMA,
     RESPONSE_SCHEMA,
     TABLE,
-    TOPIC,
     USER_COLUMNS,
     USER_SCHEMA,
 )
@@ -48,19 +49,55 @@ def published(spark, path):
 
 
 def test_one_run_publishes_the_quota(spark, tmp_path):
+    """It goes through the requests in order until the quota is filled, and counts those."""
     out, staging = str(tmp_path / "out"), str(tmp_path / "staging")
     report = produce(responses(spark, KINDS), lambda m: publish_files(m, out), staging)
-    assert report.published == 20
-    assert report.accepted == len(GOOD)
-    assert report.rejected == sum(kind == "broken" for kind in KINDS.values())
-    assert report.exhausted == sum(kind == "empty" for kind in KINDS.values())
-    assert report.pending == 0
+    needed = [KINDS[n] for n in range(GOOD[19] + 1)]
+    assert asdict(report) == {
+        "accepted": 20,
+        "rejected": needed.count("broken"),
+        "exhausted": needed.count("empty"),
+        "pending": 0,
+        "published": 20,
+    }
     rows = published(spark, out)
     assert {row.user_name for row in rows} == {f"u{n}" for n in GOOD[:20]}
-    staged = spark.read.parquet(staging)
-    ids = {row.user_name: row.id for row in staged.collect() if row.id}
+    ids = {row.user_name: row.id for row in spark.read.parquet(staging).collect() if row.id}
     assert all(ids[row.user_name] == row.id for row in rows)
-    assert staged.count() == len(KINDS)
+
+
+@pytest.mark.parametrize(
+    ("per_record", "limit", "resolved"),
+    [
+        (4, 100, "head"),  # the first requests fill the quota
+        (1, 100, "all"),  # they do not, because some are rejected
+        (2, 1, "all"),  # a quota too large to be looked for
+    ],
+)
+def test_quota_is_looked_for_among_the_first_requests(
+    spark, tmp_path, monkeypatch, per_record, limit, resolved
+):
+    monkeypatch.setattr(produce_module, "HEAD_PER_RECORD", per_record)
+    monkeypatch.setattr(produce_module, "HEAD_LIMIT", limit)
+    out, staging = str(tmp_path / "out"), str(tmp_path / "staging")
+    frame = responses(spark, KINDS).repartition(4)
+    report = produce(frame, lambda m: publish_files(m, out), staging, quota=6)
+    assert {row.user_name for row in published(spark, out)} == {f"u{n}" for n in GOOD[:6]}
+    needed = [KINDS[n] for n in range(GOOD[5] + 1)]
+    assert (report.accepted, report.published) == (6, 6)
+    assert report.rejected == needed.count("broken")
+    assert report.exhausted == needed.count("empty")
+    staged = spark.read.parquet(staging).count()
+    assert staged == len(KINDS) if resolved == "all" else GOOD[5] < staged < len(KINDS)
+
+
+def test_looking_for_the_first_requests_reads_one_column(spark, tmp_path, plan):
+    responses(spark, KINDS).write.parquet(str(tmp_path / "landing"))
+    head = head_requests(read_responses(spark, str(tmp_path / "landing")), 10)
+    assert "LessThanOrEqual(request_id" in plan(head)
+    kept = {row.request_id for row in head.collect()}
+    assert kept == set(range(max(kept) + 1))
+    assert head.count() >= 10
 
 
 def test_fewer_records_than_the_quota(spark, tmp_path):
@@ -82,7 +119,7 @@ def test_nothing_to_publish(spark, tmp_path, kinds, quota):
         responses(spark, kinds), lambda m: publish_files(m, out), str(tmp_path / "s"), quota
     )
     assert (report.accepted, report.published) == (0, 0)
-    assert report.rejected + report.exhausted == len(kinds)
+    assert report.rejected + report.exhausted == (0 if quota == 0 else len(kinds))
     assert published(spark, out) == []
 
 
@@ -207,7 +244,8 @@ def test_scheduled_run_from_the_command_line(spark, tmp_path):
     for _ in range(2):
         main(
             ["produce", "--responses", path("landing"), "--format", "json"]
-            + ["--staging", path("staging"), "--out", path("messages"), "--checkpoint", path("checkpoint")]
+            + ["--staging", path("staging"), "--out", path("messages")]
+            + ["--checkpoint", path("checkpoint")]
         )
     assert len(published(spark, path("messages"))) == 20
 
