@@ -55,4 +55,5 @@ def judged_attempts(responses: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> D
 
 
 def _is_valid(status: Column, found: Column) -> Column:
-    return (status == 200) & F.coalesce(F.size(found) > 0, F.lit(False))
+    """Never NULL: an attempt that got no answer has no status, and is not valid."""
+    return status.eqNullSafe(200) & F.coalesce(F.size(found) > 0, F.lit(False))

@@ -32,7 +32,7 @@ def attempts():
     rows = []
     for request in range(300):
         for attempt in range(1, rng.randint(1, 8) + 1):
-            kind = rng.choice(["good", "broken", "status", "empty", "text", "none"])
+            kind = rng.choice(["good", "broken", "status", "empty", "text", "none", "lost"])
             text = {
                 "good": body(f"u{request}.{attempt}"),
                 "broken": BROKEN,
@@ -40,8 +40,10 @@ def attempts():
                 "empty": '{"results":[]}',
                 "text": "nope",
                 "none": None,
+                "lost": None,
             }[kind]
-            rows.append((request, attempt, 503 if kind == "status" else 200, text, kind))
+            status = {"status": 503, "lost": None}.get(kind, 200)
+            rows.append((request, attempt, status, text, kind))
     rng.shuffle(rows)
     return rows
 
@@ -102,6 +104,15 @@ def test_exhausted_agrees(attempts, landed):
     assert {row.attempts for row in rows} == {5}
 
 
+def test_request_that_never_got_an_answer_is_exhausted(spark):
+    rows = [(1, n, None, None) for n in range(1, 6)] + [(2, n, None, None) for n in range(1, 5)]
+    landed = spark.createDataFrame(rows, RESPONSE_SCHEMA)
+    assert [tuple(row) for row in exhausted_requests(landed).collect()] == [(1, 5)]
+    outcomes = {row.request_id: row.outcome for row in resolve_requests(landed).collect()}
+    assert outcomes == {1: "exhausted", 2: "pending"}
+    assert judged_attempts(landed).filter("NOT valid").count() == 9
+
+
 def test_judged_attempts_keep_every_allowed_attempt(attempts, landed):
     rows = judged_attempts(landed).select("request_id", "attempt", "valid").collect()
     assert {tuple(row) for row in rows} == {
