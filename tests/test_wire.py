@@ -101,6 +101,7 @@ GOOD = "b6cfa0c0-1234-4abc-8def-0123456789ab"
 SCREENED = [
     (json.dumps({"id": GOOD}), None),
     (json.dumps({"id": GOOD.upper()}), None),
+    (json.dumps({"id": GOOD, "_corrupt_record": "only a field name"}), None),
     ("", "empty message"),
     ("  ", "empty message"),
     (None, "empty message"),
@@ -128,10 +129,20 @@ def test_screening(spark):
         kept = rows[n].value if rows[n].value is None else rows[n].value.decode()
         assert kept == (text if reason else None)
     assert {row.id for row in storable(screened).collect()} == {GOOD}
-    assert rejected(screened).count() == len(SCREENED) - 2
+    assert rejected(screened).count() == len(SCREENED) - 3
 
 
 def test_screening_parses_each_message_once(spark, plan):
     screened = screen_messages(messages(spark, ["{}"]))
     for frame in (screened, storable(screened), rejected(screened)):
         assert plan(frame).count("from_json") == 1
+
+
+def test_bytes_that_are_no_text_do_not_stop_the_stream(spark):
+    good = b'{"id":"' + GOOD.encode() + b'","full_name":"a\xff\xfeb"}'
+    values = [good, b"\xff\xfe", b"\x00", b'{"id":"\xff"}']
+    rows = [(None, bytearray(v), TOPIC, 0, n, None, 0) for n, v in enumerate(values)]
+    screened = screen_messages(spark.createDataFrame(rows, MESSAGE_SCHEMA))
+    assert [row.offset for row in storable(screened).collect()] == [0]
+    kept = {row.offset: bytes(row.value) for row in rejected(screened).collect()}
+    assert kept == dict(enumerate(values[1:], 1))
