@@ -8,22 +8,16 @@ from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rollbook.fixed import INTERVAL, MAX_PER_TRIGGER, QUOTA, STORE_PACING, TOPIC
 from rollbook.plans.consume import consume
-from rollbook.plans.produce import QUOTA, drain_responses, produce
-from rollbook.schema import TOPIC
-from rollbook.session import STORE_PACING, SessionOptions, build_session
+from rollbook.plans.produce import drain_responses, produce
+from rollbook.session import SessionOptions, build_session
 from rollbook.sinks.connector import store_writer
 from rollbook.sinks.messages import kafka_sink_options, publish_files, publish_kafka
 from rollbook.sinks.tables import UserTable, merge_log
 from rollbook.sinks.user_log import batch_writer, compact_log
-from rollbook.sources.messages import (
-    MAX_PER_TRIGGER,
-    kafka_options,
-    read_kafka,
-    read_message_files,
-)
+from rollbook.sources.messages import kafka_options, read_kafka, read_message_files
 from rollbook.sources.responses import read_responses
-from rollbook.streaming.ingest import INTERVAL
 
 
 def _parser() -> argparse.ArgumentParser:

@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.fixed import MAX_ATTEMPTS
 from rollbook.functions.documents import results
 from rollbook.operators.ranking import best_per_key
 
-# Fixed value: fetch attempts made for one request before it is given up.
-MAX_ATTEMPTS = 5
-
 
 def valid_attempts(responses: DataFrame) -> DataFrame:
     """Attempts that answered 200 with a non-empty `results` list, with its first element as `user`.

@@ -5,30 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.fixed import CONTAINERS, DOCUMENT, USER_COLUMNS
 from rollbook.functions.documents import plain, printed
 from rollbook.operators.once import with_once
-from rollbook.schema import USER_COLUMNS
-
-# The parts of a raw user that the record is made of.
-DOCUMENT = """
-    struct<
-        name: struct<first: variant, last: variant>,
-        gender: variant,
-        location: struct<
-            street: struct<number: variant, name: variant>,
-            city: variant,
-            state: variant,
-            country: variant,
-            postcode: variant>,
-        email: variant,
-        login: struct<username: variant>,
-        dob: struct<date: variant>,
-        registered: struct<date: variant>,
-        phone: variant,
-        picture: struct<medium: variant>>
-"""
-# Its objects: each may be left out, which reads as empty, but must not be anything else.
-CONTAINERS = ("location", "location.street", "name", "login", "dob", "registered", "picture")
 
 
 def _reason(user: Column, document: Column) -> Column:

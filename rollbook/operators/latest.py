@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.fixed import USER_COLUMNS
 from rollbook.operators.ranking import best_per_key
 from rollbook.operators.screening import rejected, storable
-from rollbook.schema import POSITION, USER_COLUMNS
+from rollbook.schema import POSITION
 
 
 def latest_versions(log: DataFrame) -> DataFrame:

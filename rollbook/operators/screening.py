@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollbook.fixed import USER_COLUMNS
 from rollbook.functions.identifiers import canonical_id, is_uuid
 from rollbook.operators.once import with_once
 from rollbook.operators.wire import CORRUPT
-from rollbook.schema import POSITION, USER_COLUMNS, USER_SCHEMA
+from rollbook.schema import POSITION, USER_SCHEMA
 
 _SCREEN_SCHEMA = T.StructType([*USER_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollbook.schema import TOPIC, USER_COLUMNS, USER_SCHEMA
+from rollbook.fixed import TOPIC, USER_COLUMNS
+from rollbook.schema import USER_SCHEMA
 
 CORRUPT = "_corrupt_record"
 

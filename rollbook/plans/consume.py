@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from rollbook.fixed import INTERVAL
 from rollbook.sinks.tables import UserTable, ensure_table
-from rollbook.streaming.ingest import INTERVAL, BatchWriter, start_ingest
+from rollbook.streaming.ingest import BatchWriter, start_ingest
 
 
 def consume(

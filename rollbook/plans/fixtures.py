@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollbook.fixed import USER_COLUMNS
 from rollbook.functions.identifiers import keyed_id
 from rollbook.operators.wire import record_json
-from rollbook.schema import MESSAGE_SCHEMA, USER_COLUMNS
+from rollbook.schema import MESSAGE_SCHEMA
 from rollbook.session import shared_folder
 
 # --- landed responses, one request per customer -------------------------------

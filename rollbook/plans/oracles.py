@@ -6,8 +6,7 @@ else by DuckDB's own JSON, text and window functions.
 
 from __future__ import annotations
 
-from rollbook.operators.attempts import MAX_ATTEMPTS
-from rollbook.operators.flatten import CONTAINERS
+from rollbook.fixed import CONTAINERS, MAX_ATTEMPTS, QUOTA, TOPIC, USER_COLUMNS
 from rollbook.plans.fixtures import (
     ATTEMPTS,
     BODY,
@@ -17,8 +16,6 @@ from rollbook.plans.fixtures import (
     STATUS,
     TOPIC_OF,
 )
-from rollbook.plans.produce import QUOTA
-from rollbook.schema import TOPIC, USER_COLUMNS
 
 _COLUMNS = ", ".join(USER_COLUMNS)
 

@@ -8,15 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from rollbook.fixed import MAX_ATTEMPTS, QUOTA, TOPIC, USER_COLUMNS
 from rollbook.functions.identifiers import keyed_id, random_id
-from rollbook.operators.attempts import MAX_ATTEMPTS, judged_attempts
+from rollbook.operators.attempts import judged_attempts
 from rollbook.operators.flatten import flatten
 from rollbook.operators.ranking import best_per_key
 from rollbook.operators.wire import encode_messages
-from rollbook.schema import TOPIC, USER_COLUMNS
-
-# Fixed value: records published by one run.
-QUOTA = 20
 
 # Rows looked at first for every record of a quota, and the most that may be.
 HEAD_PER_RECORD = 50

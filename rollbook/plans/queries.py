@@ -8,6 +8,7 @@ from dataclasses import asdict
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollbook.fixed import TOPIC, USER_COLUMNS
 from rollbook.functions.identifiers import is_uuid, keyed_id
 from rollbook.operators.attempts import (
     exhausted_requests,
@@ -31,7 +32,6 @@ from rollbook.plans.produce import (
     resolve_requests,
     take_quota,
 )
-from rollbook.schema import TOPIC, USER_COLUMNS
 from rollbook.session import shared_folder
 from rollbook.sinks.messages import publish_files
 from rollbook.sinks.tables import UserTable, ensure_table, merge_log

@@ -4,24 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# The stored record's columns, in order, and the names of the
-# topic, namespace and table that existing readers and writers use.
-USER_COLUMNS = (
-    "id",
-    "full_name",
-    "gender",
-    "address",
-    "postcode",
-    "email",
-    "user_name",
-    "dob",
-    "registered_date",
-    "phone",
-    "image",
-)
-TOPIC = "users_created"
-DATABASE = "spark_stream"
-TABLE = "created_users"
+from rollbook.fixed import USER_COLUMNS
 
 # Every column is text. `from_json` ignores declared nullability, so none is declared.
 USER_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in USER_COLUMNS])

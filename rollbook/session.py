@@ -9,13 +9,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
-# Write pacing of the key-value store connector. They only take
-# effect when that connector is on the classpath.
-STORE_PACING = {
-    "spark.cassandra.output.concurrent.writes": "2",
-    "spark.cassandra.output.throughputMBPerSec": "10",
-}
-
 
 @dataclass(frozen=True)
 class SessionOptions:

@@ -6,11 +6,8 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
+from rollbook.fixed import DATABASE, STORE_FORMAT, TABLE, USER_COLUMNS
 from rollbook.operators.screening import rejected, storable
-from rollbook.schema import DATABASE, TABLE, USER_COLUMNS
-
-# Fixed value: the data source name of the store's connector.
-STORE_FORMAT = "org.apache.spark.sql.cassandra"
 
 
 def store_options(keyspace: str = DATABASE, table: str = TABLE) -> dict[str, str]:

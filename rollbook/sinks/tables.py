@@ -13,7 +13,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-from rollbook.schema import DATABASE, LOG_SCHEMA, POSITION, TABLE, USER_COLUMNS
+from rollbook.fixed import DATABASE, TABLE, USER_COLUMNS
+from rollbook.schema import LOG_SCHEMA, POSITION
 from rollbook.sinks.user_log import ensure_log
 
 _VERSION_COLUMNS = (*USER_COLUMNS, *POSITION)

@@ -7,10 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.schema import MESSAGE_SCHEMA, TOPIC
-
-# Fixed value: messages taken per micro-batch unless told otherwise.
-MAX_PER_TRIGGER = 2000
+from rollbook.fixed import MAX_PER_TRIGGER, TOPIC
+from rollbook.schema import MESSAGE_SCHEMA
 
 
 def kafka_options(

@@ -8,11 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from rollbook.fixed import INTERVAL
 from rollbook.operators.screening import screen_messages
 
-# Fixed value: how often a continuous job looks for new messages.
-INTERVAL = "5 seconds"
-
 BatchWriter = Callable[[DataFrame, int], None]
 
 

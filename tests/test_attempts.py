@@ -7,6 +7,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from rollbook.fixed import USER_COLUMNS
 from rollbook.operators.attempts import (
     exhausted_requests,
     first_valid_attempt,
@@ -14,7 +15,7 @@ from rollbook.operators.attempts import (
     valid_attempts,
 )
 from rollbook.plans.produce import resolve_requests, take_quota
-from rollbook.schema import RESPONSE_SCHEMA, USER_COLUMNS
+from rollbook.schema import RESPONSE_SCHEMA
 from rollbook.sources.responses import read_responses
 
 

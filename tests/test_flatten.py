@@ -5,8 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from rollbook.operators.flatten import CONTAINERS, flatten_rejects, flatten_users
-from rollbook.schema import USER_COLUMNS
+from rollbook.fixed import CONTAINERS, USER_COLUMNS
+from rollbook.operators.flatten import flatten_rejects, flatten_users
 
 EMPTY = {name: "" for name in USER_COLUMNS if name != "id"}
 EMPTY |= {"full_name": " ", "address": " , , , "}

@@ -10,11 +10,12 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from rollbook.fixed import STORE_FORMAT, TOPIC, USER_COLUMNS
 from rollbook.operators.latest import current_users, latest_versions, rejected_messages
 from rollbook.operators.screening import storable
 from rollbook.plans.consume import consume
-from rollbook.schema import MESSAGE_SCHEMA, TOPIC, USER_COLUMNS
-from rollbook.sinks.connector import STORE_FORMAT, store_options, store_writer
+from rollbook.schema import MESSAGE_SCHEMA
+from rollbook.sinks.connector import store_options, store_writer
 from rollbook.sinks.tables import UserTable, ensure_table, merge_log
 from rollbook.sinks.user_log import batch_writer, compact_log, read_log
 from rollbook.sources.messages import kafka_options, read_kafka, read_message_files

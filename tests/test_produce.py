@@ -7,18 +7,12 @@ from pathlib import Path
 import pytest
 
 from rollbook.__main__ import main
+from rollbook.fixed import DATABASE, STORE_PACING, TABLE, USER_COLUMNS
 from rollbook.operators.wire import decode_messages, encode_messages
 from rollbook.plans import produce as produce_module
 from rollbook.plans.produce import drain_responses, head_requests, produce
-from rollbook.schema import (
-    DATABASE,
-    MESSAGE_SCHEMA,
-    RESPONSE_SCHEMA,
-    TABLE,
-    USER_COLUMNS,
-    USER_SCHEMA,
-)
-from rollbook.session import STORE_PACING, SessionOptions, build_session, shared_folder
+from rollbook.schema import MESSAGE_SCHEMA, RESPONSE_SCHEMA, USER_SCHEMA
+from rollbook.session import SessionOptions, build_session, shared_folder
 from rollbook.sinks.messages import kafka_sink_options, publish_files, publish_kafka
 from rollbook.sources.messages import read_message_files
 from rollbook.sources.responses import read_responses

@@ -7,7 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from rollbook.schema import USER_COLUMNS
+
+from rollbook.fixed import USER_COLUMNS
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()

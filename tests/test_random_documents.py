@@ -7,11 +7,11 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from rollbook.fixed import CONTAINERS, USER_COLUMNS
 from rollbook.functions.identifiers import keyed_id
-from rollbook.operators.flatten import CONTAINERS, flatten
+from rollbook.operators.flatten import flatten
 from rollbook.operators.wire import decode_messages
 from rollbook.plans.oracles import _DECODED, _REASON, _RECORD_OF_USER
-from rollbook.schema import USER_COLUMNS
 
 LEAVES = [
     "name.first",

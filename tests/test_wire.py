@@ -7,9 +7,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import types as T
 
+from rollbook.fixed import TOPIC, USER_COLUMNS
 from rollbook.operators.screening import rejected, screen_messages, storable
 from rollbook.operators.wire import decode_messages, encode_messages, message_text
-from rollbook.schema import MESSAGE_SCHEMA, TOPIC, USER_COLUMNS, USER_SCHEMA
+from rollbook.schema import MESSAGE_SCHEMA, USER_SCHEMA
 
 SHORT = T.StructType(
     [T.StructField(name, T.StringType()) for name in ("id", "postcode", "email")]
