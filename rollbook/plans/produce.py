@@ -120,7 +120,6 @@ def produce(
 
     if quota is None:
         staged = stage(responses)
-        users = _accepted(staged)
     else:
         head = quota * HEAD_PER_RECORD
         staged = stage(head_requests(responses, head) if head <= HEAD_LIMIT else responses)
@@ -128,13 +127,12 @@ def produce(
         if found < quota and head <= HEAD_LIMIT:
             staged = stage(responses)
             found, last = _reach(staged, quota)
-        users = take_quota(_accepted(staged), quota)
         if found == quota:
             staged = staged.filter(F.col("request_id") <= F.lit(last))
 
     sent = Observation("sent")
-    messages = encode_messages(users, topic).observe(sent, F.count(F.lit(1)).alias("published"))
-    publish(messages)
+    messages = encode_messages(_accepted(staged), topic)
+    publish(messages.observe(sent, F.count(F.lit(1)).alias("published")))
     outcomes = [ACCEPTED, REJECTED, EXHAUSTED, PENDING]
     counts = [F.count_if(F.col("outcome") == name).alias(name) for name in outcomes]
     return ProduceReport(**staged.agg(*counts).first().asDict(), **sent.get)
