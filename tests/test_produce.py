@@ -191,6 +191,7 @@ def test_session_settings(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
 
 
 def test_store_pacing_is_passed_through(spark):
