@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import quality_classifier
+from rollbook.llm import decontamination, oracles, quality_classifier, quality_rules
 from rollbook.llm.common import fold, table
 
 
@@ -22,7 +22,24 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.digest(found)
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, full = quality_rules.POLICIES
+    judged = quality_rules.apply_policies(quality_rules.ledger(table(spark, sf_dir, "documents"), ["doc_id"]))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~F.col(f"kept_{base.version}")).alias("base_failed"), F.col(f"kept_{full.version}").alias("kept"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_classifier,)
+    f.__name__: f for f in (op1_quality_classifier, op3_benchmark_decontamination, op4_quality_rules)
+}
+ORACLES: dict[str, str] = {
+    "op3_benchmark_decontamination": oracles.OP3,
+    "op4_quality_rules": oracles.OP4,
 }
-ORACLES: dict[str, str] = {}
