@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import decontamination, oracles, quality_classifier, quality_rules
+from rollbook.llm import decontamination, oracles, pii, quality_classifier, quality_rules
 from rollbook.llm.common import fold, table
 
 
@@ -36,8 +36,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = pii.find(documents, pii.train(documents), ["doc_id"])
+    return found.select("doc_id", *(f"n_{k}" for k in pii.KINDS), F.sha2("exact", 256).alias("base_sha256"), "spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_classifier, op3_benchmark_decontamination, op4_quality_rules)
+    f.__name__: f for f in (op1_quality_classifier, op3_benchmark_decontamination, op4_quality_rules, op5_pii)
 }
 ORACLES: dict[str, str] = {
     "op3_benchmark_decontamination": oracles.OP3,
