@@ -72,7 +72,7 @@ def per_row(
 _ARROW = {
     "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(),
     "binary": pa.binary(), "array<double>": pa.list_(pa.float64()), "array<long>": pa.list_(pa.int64()),
-    "array<float>": pa.list_(pa.float32()), "array<array<double>>": pa.list_(pa.list_(pa.float64())), "array<int>": pa.list_(pa.int32()),
+    "array<float>": pa.list_(pa.float32()), "array<array<double>>": pa.list_(pa.list_(pa.float64())), "array<string>": pa.list_(pa.string()), "array<int>": pa.list_(pa.int32()),
 }
 
 

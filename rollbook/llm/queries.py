@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import decontamination, oracles, pii, quality_classifier, quality_rules
-from rollbook.llm.common import fold, table
+from rollbook.llm import decontamination, mixing, oracles, pii, quality_classifier, quality_rules, secret_scan
+from rollbook.llm.common import fold, table, written
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,8 +42,27 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(f"n_{k}" for k in pii.KINDS), F.sha2("exact", 256).alias("base_sha256"), "spans")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", mixing.source_key(F.col("source")).alias("key"), mixing.size_of(F.col("text")).alias("size")
+    )
+    rows = written(rows, "mix-sizes").withColumn("members", F.array("key"))
+    sizes = {r["key"]: r["n"] for r in rows.groupBy("key").agg(F.sum("size").alias("n")).toLocalIterator()}
+    targets = mixing.targets(sizes, mixing.cyclic_weights(list(sizes)))
+    sources = spark.createDataFrame(
+        [(k, sizes[k], targets[k]) for k in sizes], "key string, source_size long, target double"
+    )
+    mixed = mixing.mix(rows, "members", "size", "doc_id", mixing.cyclic_weights, ["doc_id", "key", "size"])
+    return mixed.join(F.broadcast(sources), "key").select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return secret_scan.scan(documents, secret_scan.train(documents), ["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_classifier, op3_benchmark_decontamination, op4_quality_rules, op5_pii)
+    f.__name__: f for f in (op1_quality_classifier, op3_benchmark_decontamination, op4_quality_rules, op5_pii, op8_mixing, op10_secret_scan)
 }
 ORACLES: dict[str, str] = {
     "op3_benchmark_decontamination": oracles.OP3,
