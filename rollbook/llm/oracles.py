@@ -66,3 +66,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
             OR 100 * n_letter_words < 60 * n_words) AS kept
 FROM f
 """
+
+OP6 = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, {_TOKENS.format(text=_LOWER)} AS w FROM documents
+),
+s AS (
+    SELECT DISTINCT doc_id, w[i : i + 4] AS shingle
+    FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+links AS MATERIALIZED (
+    SELECT a, b FROM (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+        FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2
+    ) JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+    WHERE 100 * common >= 75 * (p.size + q.size - common)
+),
+reach AS (
+    SELECT a AS doc_id, a AS node FROM links
+    UNION
+    SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.node
+),
+c AS (SELECT doc_id, min(node) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.size, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id,
+       coalesce(component_id, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
