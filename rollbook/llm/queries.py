@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import decontamination, mixing, near_dedup, oracles, pii, quality_classifier, quality_rules, secret_scan
+from rollbook.llm import decontamination, mixing, near_dedup, oracles, pii, quality_classifier, quality_rules, secret_scan, substring_dedup
 from rollbook.llm.common import fold, table, written
 
 
@@ -47,6 +47,10 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(*substring_dedup.find(table(spark, sf_dir, "documents"), ["doc_id"]), ["doc_id"])
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select(
         "doc_id", mixing.source_key(F.col("source")).alias("key"), mixing.size_of(F.col("text")).alias("size")
@@ -67,7 +71,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_classifier, op3_benchmark_decontamination, op4_quality_rules, op5_pii, op6_minhash_near_dedup, op8_mixing, op10_secret_scan)
+    f.__name__: f for f in (op1_quality_classifier, op3_benchmark_decontamination, op4_quality_rules, op5_pii, op6_minhash_near_dedup, op7_suffix_array_dedup, op8_mixing, op10_secret_scan)
 }
 ORACLES: dict[str, str] = {
     "op3_benchmark_decontamination": oracles.OP3,
