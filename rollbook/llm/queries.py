@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import decontamination, mixing, near_dedup, oracles, pii, quality_classifier, quality_rules, secret_scan, substring_dedup
+from rollbook.llm import decontamination, mixing, near_dedup, ngram_scoring, oracles, pii, quality_classifier, quality_rules, secret_scan, substring_dedup
 from rollbook.llm.common import fold, table, written
 
 
@@ -22,6 +22,14 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = fold(F.col("doc_id"))
+    scored = ngram_scoring.scores(table(spark, sf_dir, "documents"), (number >= 0) & (number != 1))
+    return scored.select(
+        "doc_id", (number == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontamination.digest(found)
@@ -71,7 +79,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_classifier, op3_benchmark_decontamination, op4_quality_rules, op5_pii, op6_minhash_near_dedup, op7_suffix_array_dedup, op8_mixing, op10_secret_scan)
+    f.__name__: f for f in (op1_quality_classifier, op2_lm_scoring, op3_benchmark_decontamination, op4_quality_rules, op5_pii, op6_minhash_near_dedup, op7_suffix_array_dedup, op8_mixing, op10_secret_scan)
 }
 ORACLES: dict[str, str] = {
     "op3_benchmark_decontamination": oracles.OP3,
