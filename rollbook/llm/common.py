@@ -40,6 +40,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """The name, with underscores until no column has it, in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id's text mod 5; -1 for a null id, which so belongs to no fold."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5, F.lit(-1)).cast("int")
@@ -52,7 +60,7 @@ def per_row(
 
     schema names the new columns in the order of of()'s values. Nothing is shuffled.
     """
-    fields = frame.select(*keep).schema
+    fields = frame.select(*(F.col(f"`{c}`") for c in keep)).schema
     names = [part.strip().split(" ")[0] for part in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,7 +74,8 @@ def per_row(
                 yield pa.RecordBatch.from_arrays([*kept, *made], [*keep, *names])
 
     out = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), schema])
-    return frame.select(*keep, F.col(text).cast("string").alias("text of row")).mapInArrow(run, out)
+    quoted = [F.col(f"`{c}`") for c in keep]
+    return frame.select(*quoted, F.col(text).cast("string").alias("text of row")).mapInArrow(run, out)
 
 
 _ARROW = {

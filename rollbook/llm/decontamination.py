@@ -23,7 +23,7 @@ import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import per_row, written
+from rollbook.llm.common import per_row, unused, written
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 WIDTH = 10
@@ -91,26 +91,26 @@ def _blocks(benchmark: DataFrame, block_chars: int) -> tuple[DataFrame, int]:
 def find(documents: DataFrame, benchmark: DataFrame, block_chars: int = 50_000_000) -> DataFrame:
     """Per document (doc_id): n_words, hits (first, past, ... of words), places (the same in code points), items.
 
-    documents: doc_id, text. benchmark: item_id, text. Rows of one id stay apart where there is one block.
+    documents: doc_id, text. benchmark: item_id, text. Rows of one id stay apart.
     """
-    items, n = _blocks(benchmark, block_chars)
     schema = "n_words long, hits array<long>, places array<long>, items string"
-    out = None
-    if n > 1:  # rows are told apart while blocks are brought together
-        documents = written(documents.select("doc_id", "text").withColumn("row", F.uuid()), "decontaminate")
-    for block in range(n):
-        matcher = Matcher([(r.name, r.item) for r in items.where(F.col("block") == block).select("name", "item").collect()])
-        shared = documents.sparkSession.sparkContext.broadcast(matcher)
-
-        def one(raw: bytes, shared=shared):
+
+    def of(rows: DataFrame, keep: list[str], shared) -> DataFrame:
+        def one(raw: bytes):
             n_words, runs, names = shared.value(raw)
             return n_words, [x for run in runs for x in run], _places(raw, runs), "\n".join(sorted(names))
 
-        part = per_row(documents, schema, ["doc_id"] if n == 1 else ["doc_id", "row"], "text", one)
-        part = part.withColumn("items", F.expr("if(items = '', array(), split(items, '\\n', -1))"))
-        out = part if out is None else out.unionByName(part)
-    if n == 1:
-        return out
+        part = per_row(rows, schema, keep, "text", one)
+        return part.withColumn("items", F.expr("if(items = '', array(), split(items, '\\n', -1))"))
+
+    matchers = _matchers(documents, benchmark, block_chars)
+    if len(matchers) == 1:
+        return of(documents, ["doc_id"], matchers[0])
+    # Rows are told apart while blocks are brought together.
+    rows = written(documents.select("doc_id", "text").withColumn("row", F.uuid()), "decontaminate")
+    out = of(rows, ["doc_id", "row"], matchers[0])
+    for shared in matchers[1:]:
+        out = out.unionByName(of(rows, ["doc_id", "row"], shared))
     joined = out.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
         F.collect_list("hits").alias("hits"), F.collect_list("places").alias("places"),
@@ -120,6 +120,24 @@ def find(documents: DataFrame, benchmark: DataFrame, block_chars: int = 50_000_0
     return joined.select("doc_id", "n_words", union("hits").alias("hits"), union("places").alias("places"), "items")
 
 
+def _matchers(documents: DataFrame, benchmark: DataFrame, block_chars: int) -> list:
+    """A broadcast automaton for each block of items."""
+    items, n = _blocks(benchmark, block_chars)
+    context = documents.sparkSession.sparkContext
+    of = lambda block: [(r.name, r.item) for r in items.where(F.col("block") == block).select("name", "item").collect()]
+    return [context.broadcast(Matcher(of(block))) for block in range(n)]
+
+
+def without(documents: DataFrame, benchmark: DataFrame, block_chars: int = 50_000_000) -> DataFrame:
+    """The documents, all their columns, that hold no window of an item. Nothing is shuffled."""
+    names, out = documents.columns, documents
+    hit, all_ = unused("hit", names), [F.col(f"`{c}`") for c in names]
+    for shared in _matchers(documents, benchmark, block_chars):
+        found = per_row(out, f"{hit} boolean", names, "text", lambda raw, shared=shared: (bool(shared.value(raw)[1]),))
+        out = found.where(~F.col(hit)).select(*all_)
+    return out
+
+
 def _merge(lists: list[list[int]]) -> list[int]:
     runs: list[list[int]] = []
     for first, past in sorted((x[i], x[i + 1]) for x in lists for i in range(0, len(x), 2)):

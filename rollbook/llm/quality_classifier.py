@@ -162,10 +162,10 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = 6000, seed: int
     return fit(of(1), of(0), seed=seed)
 
 
-def score(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The kept columns and score (0 to 1) of every whole text."""
+def score(documents: DataFrame, model: Model, keep: list[str], score: str = "score") -> DataFrame:
+    """The kept columns and the score (0 to 1) of every whole text, in a column named by `score`."""
 
     def one(raw: bytes) -> tuple[float]:
         return (float(model.score(features(raw)[None].astype(np.float64))[0]),)
 
-    return per_row(documents, "score double", keep, "text", one)
+    return per_row(documents, f"{score} double", keep, "text", one)

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import per_row
+from rollbook.llm.common import per_row, unused
 from rollbook.llm.trees import Forest, forest
 
 _CANDIDATE = re.compile(rb"(?<![A-Za-z0-9_/+.\-])[A-Za-z0-9_/+.\-]{12,}+={0,2}")
@@ -189,9 +189,13 @@ def redact(documents: DataFrame, model: Model, mark: str = "[SECRET]") -> DataFr
         return (b"".join([*out, raw[at:]]).decode() if out else None,)
 
     names = documents.columns
-    made = per_row(documents, "redacted_text_ string", names, "text", one)
-    out = made.withColumn("text", F.coalesce("redacted_text_", F.col("text").cast("string")))
-    if "n_chars" in names:
-        changed = F.length("text").cast(documents.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("redacted_text_").isNotNull(), changed).otherwise(F.col("n_chars")))
-    return out.select(*names)
+    new = unused("redacted", names)
+    out = per_row(documents, f"{new} string", names, "text", one)
+    columns = {}
+    for name in names:
+        columns[name] = F.col(f"`{name}`")
+        if name.lower() == "text":
+            columns[name] = F.coalesce(new, columns[name].cast("string"))
+        elif name.lower() == "n_chars":
+            columns[name] = F.when(F.col(new).isNull(), columns[name]).otherwise(F.length(new).cast(out.schema[name].dataType))
+    return out.select(*(c.alias(name) for name, c in columns.items()))
