@@ -41,7 +41,7 @@ _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _PLACE = np.uint64((1 << 20) - 1)
 _SEGMENT = 1 << 19
 _BITS = 21
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 1_500_000
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
@@ -93,19 +93,22 @@ def two_stage(raw: bytes, wanted: np.ndarray, depth: int = WIDTH) -> np.ndarray:
     if not len(wanted):
         return wanted
     # A suffix is small if it is less than its successor: the next different byte is greater.
-    turns = np.flatnonzero(codes[1:] != codes[:-1])
-    sizes = np.diff(np.concatenate(([0], turns + 1, [n])))
+    turns = np.flatnonzero(codes[1:] != codes[:-1]).astype(np.int32)
+    ends = np.append(turns + 1, n).astype(np.int32)
+    sizes = np.diff(ends, prepend=0)
     rising = np.append(codes[turns + 1] > codes[turns], False)
     small = np.repeat(rising, sizes)
-    run_end = np.repeat(np.cumsum(sizes), sizes)
+    run_end = np.repeat(ends, sizes)
+    del turns, ends, sizes, rising
     # A large suffix is induced from its successor, so all positions up to the next small one take part.
-    starts = np.flatnonzero(small)
-    stop = np.searchsorted(starts, wanted)
-    end = np.where(stop < len(starts), starts[np.minimum(stop, max(0, len(starts) - 1))] if len(starts) else n - 1, n - 1)
+    starts = np.flatnonzero(small).astype(np.int32)
+    stop = np.append(starts, n - 1)[np.searchsorted(starts, wanted)]
+    del starts
     mark = np.zeros(n + 1, np.int32)
-    np.add.at(mark, wanted, 1)
-    np.add.at(mark, end + 1, -1)
-    used = np.cumsum(mark[:n]) > 0
+    mark[wanted] = 1
+    np.subtract.at(mark, stop + 1, 1)
+    used = np.cumsum(mark, out=mark)[:n] > 0
+    del mark, stop
 
     direct = np.flatnonzero(used & small)
     direct = direct[np.argsort(_words(codes, direct), kind="stable")]
@@ -116,7 +119,8 @@ def two_stage(raw: bytes, wanted: np.ndarray, depth: int = WIDTH) -> np.ndarray:
         direct[a:b] = sorted(direct[a:b].tolist(), key=lambda p: raw[p + 8 : p + depth + 1])
 
     induced = np.flatnonzero(used & ~small)
-    rank = np.full(n + 1, -1, np.int64)  # past the end: the least
+    rank = np.full(n + 1, -1, np.int32)  # past the end: the least
+    del used, small
     order, at = [], 0
     direct_heads, induced_heads = codes[direct], codes[induced]
     induced = induced[np.argsort(induced_heads, kind="stable")]
@@ -298,18 +302,28 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield out()
 
 
-def _strings_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(print, part, at, times) of each start of pieces (gram, piece, times)."""
+def _strings_of(shared=None):
+    """(print, part, at, times) of each start of pieces (gram, piece, times); shared: a map of the prints wanted."""
     names = ["print", "part", "at", "times"]
-    for batch in batches:
-        for gram, piece, times in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            n = len(piece) - WIDTH + 1
-            prints = [md5(piece[i : i + WIDTH], usedforsecurity=False).digest() for i in range(n)]
-            part = _piece_name(gram, piece)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(prints, pa.binary()), pa.array([part] * n, pa.binary()), pa.array(range(n), pa.int64()), pa.array([times] * n, pa.int64())],
-                names,
-            )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = None if shared is None else np.unpackbits(shared.value)
+        for batch in batches:
+            for gram, piece, times in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                n = len(piece) - WIDTH + 1
+                found = [(i, md5(piece[i : i + WIDTH], usedforsecurity=False).digest()) for i in range(n)]
+                if bits is not None:
+                    found = [x for x in found if bits[zlib.crc32(x[1]) % (1 << _BITS)]]
+                part = _piece_name(gram, piece)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([x for _, x in found], pa.binary()), pa.array([part] * len(found), pa.binary()),
+                        pa.array([i for i, _ in found], pa.int64()), pa.array([times] * len(found), pa.int64()),
+                    ],
+                    names,
+                )
+
+    return run
 
 
 def _repeated_parts(cut: DataFrame, group_bytes: int) -> DataFrame:
@@ -324,8 +338,11 @@ def _repeated_parts(cut: DataFrame, group_bytes: int) -> DataFrame:
     parts = sorted_.mapInArrow(_sorted_groups, "part binary, stretches array<long>")
     if calm is found:
         return parts
-    strings = found.join(hot, "gram", "left_semi").mapInArrow(_strings_of, "print binary, part binary, at long, times long")
-    often = strings.groupBy("print").agg(F.sum("times").alias("n")).where("n > 1").select("print")
+    shape = "print binary, part binary, at long, times long"
+    large = found.join(hot, "gram", "left_semi")
+    counts = large.mapInArrow(_strings_of(), shape).groupBy("print").agg(F.sum("times").alias("n"))
+    often = written(counts.where("n > 1").select("print"), "often-strings")
+    strings = large.mapInArrow(_strings_of(_bit_map(often, F.crc32("print"))), shape)
     starts = strings.join(often, "print", "left_semi").groupBy("part").agg(F.collect_set("at").alias("at"))
     split = F.flatten(F.transform("at", lambda x: F.array(x, x + 1)))  # a piece has few starts
     return parts.unionByName(starts.select("part", split.alias("stretches")))
@@ -360,7 +377,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
 
 
-def find(documents: DataFrame, keep: list[str], group_bytes: int = 8_000_000) -> tuple[DataFrame, DataFrame]:
+def find(documents: DataFrame, keep: list[str], group_bytes: int = 4_000_000) -> tuple[DataFrame, DataFrame]:
     """Two tables: the kept columns with name (of the text), n_bytes, sha256 and copies (rows of the text); and of
     each text that loses bytes without having copies: name, runs (first, past, ...) and kept (the remaining bytes).
 
