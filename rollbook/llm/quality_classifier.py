@@ -158,7 +158,8 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = 6000, seed: int
     rows = documents.select("doc_id", "text").join(F.broadcast(wanted), F.col("doc_id") == F.col("wanted"))
     got = per_row(rows, "x array<float>", ["doc_id", "kind"], "text", lambda raw: (features(raw).tolist(),)).toPandas()
     got = got.sort_values(["kind", "doc_id"], kind="stable").drop_duplicates(["kind", "doc_id"])
-    of = lambda kind: np.array(got.x[got.kind == kind].tolist(), np.float64).reshape(int((got.kind == kind).sum()), -1)
+    width = len(features(b""))
+    of = lambda kind: np.array(got.x[got.kind == kind].tolist(), np.float64).reshape(-1, width)
     return fit(of(1), of(0), seed=seed)
 
 
