@@ -157,7 +157,8 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = 6000, seed: int
     # At most 2 * sample ids: the bound of what is broadcast.
     rows = documents.select("doc_id", "text").join(F.broadcast(wanted), F.col("doc_id") == F.col("wanted"))
     got = per_row(rows, "x array<float>", ["doc_id", "kind"], "text", lambda raw: (features(raw).tolist(),)).toPandas()
-    got = got.sort_values(["kind", "doc_id"], kind="stable").drop_duplicates(["kind", "doc_id"])
+    got["x"] = got["x"].map(tuple)  # in one order at every run; rows of one id count once
+    got = got.sort_values(["kind", "doc_id", "x"]).drop_duplicates(["kind", "doc_id"])
     width = len(features(b""))
     of = lambda kind: np.array(got.x[got.kind == kind].tolist(), np.float64).reshape(-1, width)
     return fit(of(1), of(0), seed=seed)

@@ -114,7 +114,10 @@ def boost(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, rate:
 
 @dataclass
 class Forest:
-    """The mean vote of trees grown on resampled rows with a random part of the columns at each cut."""
+    """The mean vote of trees grown on resampled rows, half of each class, with a random part of the columns at each cut.
+
+    So a vote above one half says that a row resembles the positive rows more, however rare they are.
+    """
 
     trees: list[Tree]
     share: float
@@ -131,8 +134,9 @@ def forest(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 10, seed:
         return Forest([], share)
     rng = np.random.default_rng(seed)
     grown = []
+    classes = [np.flatnonzero(y == k) for k in (0, 1)]
     for _ in range(trees):
-        rows = rng.integers(0, len(x), len(x))
+        rows = np.concatenate([rng.choice(c, max(1, len(x) // 2)) for c in classes])
         binned, cuts = _binned(x[rows], 32)
         grown.append(_grow(binned, cuts, y[rows].astype(float), np.ones(len(rows)), depth, 2, rng, x.shape[1] ** -0.5))
     return Forest(grown, share)

@@ -1,0 +1,47 @@
+import re
+
+import numpy as np
+
+from rollbook.llm import secret_scan as ss
+
+TRUE = re.compile(r"AKIA[0-9A-Z]{16}|(?i:token) = \"([0-9a-fA-F]{40})|(?i:password)=([0-9a-f]{18})")
+
+
+def test_finds_what_is_planted_and_little_else(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    found = {
+        r.doc_id: [tuple(map(int, x.split(":"))) for x in r.spans.split(",")]
+        for r in ss.scan(documents, ss.train(documents), ["doc_id"]).where("n_secrets > 0").collect()
+    }
+    want = {(i, m.start(g), m.end(g)) for i, t in texts.items() for m in TRUE.finditer(t) for g in [m.lastindex or 0]}
+    got = {(i, *s) for i, spans in found.items() for s in spans}
+    assert len(want) > 50 and len(got & want) >= 0.99 * len(want) and len(got - want) <= 0.02 * len(want)
+
+
+def test_redaction_keeps_documents(spark, odd):
+    rows = [(i, f'the and of token = "{"%040x" % (i * 7919**8 % 16**40)}" é after {"%016d" % (i * 7919**4 % 10**16)} it') for i in range(200)]
+    frame = spark.createDataFrame([(i, t, len(t), "x") for i, t in rows], "doc_id long, text string, n_chars int, redacted string")
+    model = ss.train(frame)
+    out = {r.doc_id: r for r in ss.redact(frame, model).collect()}
+    assert ss.redact(frame, model).schema == frame.schema
+    clean = sum(re.fullmatch(r'the and of token = "\[SECRET\]" é after \d{16} it', out[i].text) is not None for i, _ in rows)
+    assert clean >= 198 and all(r.n_chars == len(r.text) for r in out.values())
+    assert ss.redact(odd, model).columns == odd.columns
+    before, after = ({repr(r.doc_id): r for r in f.collect()} for f in (odd, ss.redact(odd, model)))
+    assert before.keys() == after.keys() and after["1"].text is None and after["10"] == before["10"]
+
+
+def test_a_table_of_findings_can_label(spark):
+    rows = [(i, f"key {'%032x' % (i * 31**20 % 16**32)} x") for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    model = ss.train(frame, label=lambda raw, span: int(int(raw[span[0] : span[0] + 32], 16) % 2))
+    assert {r.n_candidates for r in ss.scan(frame, model, ["doc_id"]).collect()} == {1}
+
+
+def test_odd_rows(odd, none):
+    for frame in (odd, none):
+        rows = ss.scan(frame, ss.train(frame), ["doc_id"]).collect()
+        assert len(rows) == frame.count()
+    assert ss.Model(ss.Forest([], 0.0), ss.Language.of({})).find(b"") == (0, [])
+    assert np.isfinite(ss.shape(b"password=b7db7aa4a5fcc78305", (9, 27), ss.Language.of({}))).all()
