@@ -16,10 +16,32 @@ from rollbook.sinks.connector import store_writer
 from rollbook.sinks.messages import kafka_sink_options, publish_files, publish_kafka
 from rollbook.sinks.tables import UserTable, merge_log
 from rollbook.sinks.user_log import batch_writer, compact_log
-from rollbook.sources.messages import kafka_options, read_kafka, read_message_files
+from rollbook.sources.messages import file_caps, kafka_options, read_kafka, read_message_files
 from rollbook.sources.responses import read_responses
 
 
+def _add_file_caps(job: argparse.ArgumentParser) -> None:
+    job.add_argument("--max-files-per-trigger", type=int, help="of a batch from files")
+    job.add_argument("--max-bytes-per-trigger", type=int, help="of a batch from files")
+
+
+def _refuse(parser: argparse.ArgumentParser, args: argparse.Namespace) -> None:
+    """Flags that do not apply to the chosen source are errors, not ignored."""
+
+    def given(*names: str) -> list[str]:
+        return [f"--{n.replace('_', '-')}" for n in names if getattr(args, n, None) is not None]
+
+    of_files = given("max_files_per_trigger", "max_bytes_per_trigger")
+    if len(of_files) > 1:
+        parser.error(f"{' and '.join(of_files)} exclude each other")
+    if args.job == "produce" and not args.checkpoint and of_files:
+        parser.error(f"{of_files[0]} needs --checkpoint")
+    if args.job == "consume":
+        wrong = of_files if args.servers else given("max_per_trigger", "min_partitions")
+        if wrong:
+            parser.error(f"{wrong[0]} does not apply to {'--servers' if args.servers else '--messages'}")
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="rollbook")
     parser.add_argument("--shuffle-partitions", type=int)
@@ -30,11 +52,12 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--format", default="parquet", help="of the responses")
     job.add_argument("--staging", required=True)
     job.add_argument("--checkpoint", help="take only responses landed since the last run")
+    _add_file_caps(job)
     target = job.add_mutually_exclusive_group(required=True)
     target.add_argument("--servers", help="Kafka brokers")
-    target.add_argument("--out", help="folder for message files")
+    target.add_argument("--out", help="folder for message files, a stand-in for brokers")
     job.add_argument("--topic", default=TOPIC)
-    job.add_argument("--quota", type=int, default=QUOTA, help="0 publishes everything")
+    job.add_argument("--quota", type=int, default=QUOTA, help="of a run; 0 publishes everything")
     job.add_argument("--keyed-ids", action="store_true", help="ids derived from the request")
 
     job = jobs.add_parser("consume", help="messages to the log")
@@ -42,21 +65,24 @@ def _parser() -> argparse.ArgumentParser:
     source.add_argument("--servers", help="Kafka brokers")
     source.add_argument("--messages", help="folder of message files")
     job.add_argument("--topic", default=TOPIC)
-    job.add_argument("--max-per-trigger", type=int, default=MAX_PER_TRIGGER, help="0 lifts it")
-    job.add_argument("--min-partitions", type=int)
+    job.add_argument(
+        "--max-per-trigger", type=int, help=f"messages per batch from brokers, {MAX_PER_TRIGGER} unless given; 0 lifts it"
+    )
+    job.add_argument("--min-partitions", type=int, help="of a batch from brokers")
+    _add_file_caps(job)
     job.add_argument("--log", required=True)
-    job.add_argument("--run", required=True, help="name of this run; one per checkpoint")
     job.add_argument("--checkpoint", required=True)
     job.add_argument("--table-folder", required=True)
     job.add_argument("--buckets", type=int, default=UserTable.buckets, help="of a new table")
     job.add_argument("--interval", default=INTERVAL, help="empty: no pause between batches")
     job.add_argument("--merge-files", action="store_true", help="fewer files per batch")
     job.add_argument("--drain", action="store_true", help="take what is there and end")
-    job.add_argument("--store", metavar="HOST", help="write accepted records to the store too")
+    job.add_argument("--store", metavar="HOST", help="write the newest record of each id to the store too")
 
     job = jobs.add_parser("merge", help="log into the base of the table")
     job.add_argument("--log", required=True)
     job.add_argument("--table-folder", required=True)
+    job.add_argument("--buckets", type=int, help="of the merged base; as before unless given")
 
     job = jobs.add_parser("compact", help="log to a smaller log, where there is no catalog")
     job.add_argument("--log", required=True)
@@ -72,24 +98,27 @@ def _produce(spark: SparkSession, args: argparse.Namespace) -> None:
             publish_files(messages, args.out)
 
     quota = args.quota or None
+    caps = file_caps(args.max_files_per_trigger, args.max_bytes_per_trigger)
     responses = read_responses(
-        spark, args.responses, args.format, streaming=bool(args.checkpoint)
+        spark, args.responses, args.format, streaming=bool(args.checkpoint), caps=caps
     )
     settings = {"quota": quota, "topic": args.topic, "keyed": args.keyed_ids}
     if args.checkpoint:
-        drain_responses(responses, publish, args.staging, args.checkpoint, **settings)
+        report = drain_responses(responses, publish, args.staging, args.checkpoint, **settings)
     else:
-        print(asdict(produce(responses, publish, args.staging, **settings)))
+        report = produce(responses, publish, args.staging, **settings)
+    print(asdict(report))
 
 
 def _consume(spark: SparkSession, args: argparse.Namespace) -> None:
-    limit = args.max_per_trigger or None
     if args.servers:
-        options = kafka_options(args.servers, args.topic, limit, args.min_partitions)
+        limit = MAX_PER_TRIGGER if args.max_per_trigger is None else args.max_per_trigger
+        options = kafka_options(args.servers, args.topic, limit or None, args.min_partitions)
         messages = read_kafka(spark, options)
     else:
-        messages = read_message_files(spark, args.messages, args.topic)
-    write = batch_writer(args.log, args.run, args.merge_files)
+        caps = file_caps(args.max_files_per_trigger, args.max_bytes_per_trigger)
+        messages = read_message_files(spark, args.messages, args.topic, caps)
+    write = batch_writer(args.log, args.checkpoint, args.merge_files)
     if args.store:
         write = store_writer(write)
     table = UserTable(args.table_folder, args.log, buckets=args.buckets)
@@ -99,7 +128,9 @@ def _consume(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def main(argv: Sequence[str] | None = None) -> None:
     """Run one job. Errors are raised, which ends the process with a non-zero code."""
-    args = _parser().parse_args(argv)
+    parser = _parser()
+    args = parser.parse_args(argv)
+    _refuse(parser, args)
     extra = {}
     if getattr(args, "store", None):
         extra = {"spark.cassandra.connection.host": args.store, **STORE_PACING}
@@ -111,7 +142,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.job == "consume":
         _consume(spark, args)
     elif args.job == "merge":
-        merge_log(spark, UserTable(args.table_folder, args.log))
+        merge_log(spark, UserTable(args.table_folder, args.log), args.buckets)
     else:
         compact_log(spark, args.log, args.target)
 

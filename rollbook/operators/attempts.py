@@ -21,9 +21,18 @@ def valid_attempts(responses: DataFrame) -> DataFrame:
 
 
 def first_valid_attempt(attempts: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
-    """The earliest valid attempt of every request, among the allowed number."""
+    """The earliest valid attempt of every request, among the allowed number.
+
+    An attempt that landed more than once with different answers counts with the one
+    that comes first by content, whatever the order of the rows.
+    """
     allowed = attempts.filter(F.col("attempt") <= max_attempts)
-    return best_per_key(allowed, "request_id", F.col("attempt"))
+    return best_per_key(allowed, "request_id", F.col("attempt"), *content_order())
+
+
+def content_order() -> list[Column]:
+    """Orders answers to one attempt by what they say."""
+    return [F.xxhash64("status", "body"), F.md5(F.coalesce("body", F.lit("")))]
 
 
 def exhausted_requests(responses: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
@@ -39,15 +48,20 @@ def exhausted_requests(responses: DataFrame, max_attempts: int = MAX_ATTEMPTS) -
 
 
 def judged_attempts(responses: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
-    """Every allowed attempt with its verdict `valid` and its `user`, from one parse of the body."""
+    """Every allowed attempt with its verdict `valid` and its `user`, from one parse of the body.
+
+    `answer` tells answers to one attempt apart, in an order that depends on them alone.
+    """
     return (
         responses.filter(F.col("attempt") <= max_attempts)
+        .withColumn("answer", F.struct(*content_order()))
         .withColumn("results", F.when(F.col("status") == 200, results(F.col("body"))))
         .select(
             "request_id",
             "attempt",
             _is_valid(F.col("status"), F.col("results")).alias("valid"),
             F.get("results", F.lit(0)).alias("user"),
+            "answer",
         )
     )
 

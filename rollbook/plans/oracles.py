@@ -234,7 +234,10 @@ ORACLES: dict[str, str] = {
     "undecodable_rejects": _REJECTS,
     "ensure_table": _NEWEST,
     "stream_append": _RECORDS,
-    "stream_rate_limited": _RECORDS,
+    "stream_rate_limited": f"""
+        WITH {_MESSAGES} SELECT "offset" % 3 AS batch_id, count(*) AS messages, count(reason) AS rejects
+        FROM screened WHERE topic = '{TOPIC}' GROUP BY 1
+    """,
     "stream_resume": _RECORDS,
     "stream_rejects": f"{_REJECTS} AND topic = '{TOPIC}'",
     "keyed_upsert": _NEWEST,
@@ -242,5 +245,35 @@ ORACLES: dict[str, str] = {
     "scheduled_runs": f"WITH {_LANDED} SELECT {_COLUMNS} FROM flat WHERE reason IS NULL",
     "live_view": _NEWEST,
     "compacted_log": _NEWEST,
+    "two_checkpoints": _RECORDS,
+    "store_and_log": f"""
+        WITH {_MESSAGES} SELECT {_COLUMNS}, held_by
+        FROM newest, (SELECT unnest(['store', 'log']) AS held_by)
+    """,
+    "random_id": """
+        SELECT count(*) AS storable, count(*) AS random, count(*) AS distinct_ids FROM events
+    """,
+    "quota_runs": f"""
+        WITH {_LANDED}, good AS (SELECT request_id, id FROM flat WHERE reason IS NULL),
+        run_0 AS (
+            SELECT request_id FROM good WHERE request_id % 3 = 0 ORDER BY request_id LIMIT {QUOTA}
+        ),
+        run_1 AS (
+            SELECT request_id FROM good WHERE request_id % 3 <= 1 AND request_id NOT IN (FROM run_0)
+            ORDER BY request_id LIMIT {QUOTA}
+        ),
+        run_2 AS (
+            SELECT request_id FROM good WHERE request_id NOT IN (FROM run_0)
+                AND request_id NOT IN (FROM run_1) ORDER BY request_id LIMIT {QUOTA}
+        )
+        SELECT request_id, id,
+               CAST(CASE WHEN request_id IN (FROM run_0) THEN 0 WHEN request_id IN (FROM run_1) THEN 1
+                         WHEN request_id IN (FROM run_2) THEN 2 END AS BIGINT) AS run
+        FROM good
+    """,
+    "producer_replay": f"""
+        WITH {_LANDED} SELECT phone, CAST(1 AS BIGINT) AS ids FROM flat WHERE reason IS NULL
+    """,
     "end_to_end": f"WITH {_LANDED} SELECT {_COLUMNS} FROM flat WHERE reason IS NULL",
 }
+ORACLES["split_attempts"] = ORACLES["request_outcomes"]

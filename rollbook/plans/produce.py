@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -14,15 +15,8 @@ from rollbook.operators.attempts import judged_attempts
 from rollbook.operators.flatten import flatten
 from rollbook.operators.ranking import best_per_key
 from rollbook.operators.wire import encode_messages
-
-# Rows looked at first for every record of a quota, and the most that may be.
-HEAD_PER_RECORD = 50
-HEAD_LIMIT = 100_000
-
-ACCEPTED = "accepted"
-REJECTED = "rejected"
-EXHAUSTED = "exhausted"
-PENDING = "pending"
+from rollbook.sinks.staging import ACCEPTED, EXHAUSTED, PENDING, REJECTED, Staging
+from rollbook.streaming.ingest import query_id
 
 
 @dataclass(frozen=True)
@@ -43,24 +37,39 @@ def resolve_requests(
 
     A request is accepted or rejected by its first valid attempt, exhausted when all
     allowed attempts failed, and pending while it has attempts left; `attempts` is
-    the number that were needed to know. Bodies are parsed once, and flattened
-    before the only shuffle, which then moves flat records instead of responses.
+    the number that were needed to know. Responses that name no request are one row,
+    rejected. Bodies are parsed once, and flattened before the only shuffle, which
+    then moves flat records instead of responses.
     """
-    attempt, valid = F.col("attempt"), F.col("valid")
-    flat = flatten(judged_attempts(responses, max_attempts)).select(
+    return _outcomes(_decisive(_flat_attempts(responses, max_attempts)), max_attempts, keyed)
+
+
+def _flat_attempts(responses: DataFrame, max_attempts: int) -> DataFrame:
+    valid = F.col("valid")
+    return flatten(judged_attempts(responses, max_attempts)).select(
         "request_id",
         "attempt",
         "valid",
+        "answer",
         F.when(valid, F.col("reason")).alias("reason"),
         F.when(valid & F.col("reason").isNotNull(), F.to_json("user")).alias("document"),
         *USER_COLUMNS[1:],
     )
-    # Valid attempts first, in order; without one, the last failure.
-    decisive = best_per_key(
-        flat, "request_id", valid.desc(), F.when(valid, attempt), attempt.desc()
+
+
+def _decisive(attempts: DataFrame) -> DataFrame:
+    """Valid attempts first, in order; without one, the last failure. Ties are settled by content."""
+    attempt, valid = F.col("attempt"), F.col("valid")
+    return best_per_key(
+        attempts, "request_id", valid.desc(), F.when(valid, attempt), attempt.desc(), F.col("answer")
     )
+
+
+def _outcomes(decisive: DataFrame, max_attempts: int, keyed: bool) -> DataFrame:
+    attempt, valid, named = F.col("attempt"), F.col("valid"), F.col("request_id").isNotNull()
     outcome = (
-        F.when(valid & F.col("reason").isNull(), F.lit(ACCEPTED))
+        F.when(~named, F.lit(REJECTED))
+        .when(valid & F.col("reason").isNull(), F.lit(ACCEPTED))
         .when(valid, F.lit(REJECTED))
         .when(attempt >= max_attempts, F.lit(EXHAUSTED))
         .otherwise(F.lit(PENDING))
@@ -71,7 +80,7 @@ def resolve_requests(
         "request_id",
         attempt.alias("attempts"),
         "outcome",
-        "reason",
+        F.when(named, F.col("reason")).otherwise(F.lit("request_id is missing")).alias("reason"),
         "document",
         F.when(accepted, record_id).alias("id"),
         *[F.when(accepted, F.col(name)).alias(name) for name in USER_COLUMNS[1:]],
@@ -83,69 +92,107 @@ def take_quota(users: DataFrame, quota: int = QUOTA) -> DataFrame:
     return users.orderBy("request_id").limit(quota)
 
 
-def head_requests(responses: DataFrame, attempts: int) -> DataFrame:
-    """The responses of the first requests, as many as the first `attempts` rows belong to.
+def nth_request(requests: DataFrame, n: int) -> int | None:
+    """The n-th `request_id` in order, None when there are fewer.
 
-    Only the request column is read to find them, and the filter reaches the scan.
+    Ranges of requests are counted first, so that however large n is, only the range
+    it falls into is sorted by one task.
     """
-    head = responses.select("request_id").orderBy("request_id").limit(attempts)
-    last = head.agg(F.max("request_id")).first()[0]
-    return responses.filter(F.col("request_id") <= F.lit(last))
+    ranges = (
+        requests.select("request_id")
+        .repartitionByRange("request_id")
+        .groupBy(F.spark_partition_id())
+        .agg(F.count("request_id").alias("n"), F.min("request_id").alias("lo"), F.max("request_id").alias("hi"))
+        .orderBy("lo")
+        .collect()
+    )
+    for part in ranges:
+        if n <= part.n:
+            inside = requests.filter(F.col("request_id").between(part.lo, part.hi))
+            return take_quota(inside.select("request_id"), n).agg(F.max("request_id")).first()[0]
+        n -= part.n
+    return None
 
 
-def produce(
+def resolve_batch(
     responses: DataFrame,
+    staging: Staging,
+    query: str,
+    batch_id: int,
+    keyed: bool = False,
+    max_attempts: int = MAX_ATTEMPTS,
+) -> None:
+    """Add the outcomes of a batch of responses to what earlier batches left in `staging`.
+
+    Requests that are decided stay as they are; open ones go on from the attempts they
+    have had. A batch that was committed before is left alone, so its ids are final.
+    Of the decided requests only those in the batch's range are read.
+    """
+    if staging.has(query, batch_id):
+        return
+    earlier = staging.resolved()
+    waiting = earlier.filter(F.col("outcome") == PENDING)
+    attempts = _flat_attempts(responses, max_attempts).unionByName(
+        waiting.select("request_id", F.col("attempts").alias("attempt"), F.lit(False).alias("valid")),
+        allowMissingColumns=True,
+    )
+    low, high = responses.agg(F.min("request_id"), F.max("request_id")).first()
+    decided = earlier.filter((F.col("outcome") != PENDING) & F.col("request_id").between(F.lit(low), F.lit(high)))
+    fresh = _decisive(attempts).join(decided.select("request_id"), "request_id", "left_anti")
+    staging.commit(_outcomes(fresh, max_attempts, keyed), query, batch_id)
+
+
+def publish_run(
+    staging: Staging,
     publish: Callable[[DataFrame], None],
-    staging: str,
     quota: int | None = QUOTA,
     topic: str = TOPIC,
-    keyed: bool = False,
 ) -> ProduceReport:
-    """Resolve `responses` into `staging`, publish the accepted records, and report the counts.
+    """One run: the first `quota` accepted records that no run has sent, and a report of what was gone through.
 
-    With a quota the run goes through the requests in order until it is filled, and
-    the report covers those. A small quota is looked for among the first requests;
-    only if they do not fill it, all are resolved.
-
-    Staging holds every outcome, rejects and exhausted requests included. It also
-    settles random ids before the first message is sent, so a repeated task sends
-    the same ones.
+    What a run sends is settled before it sends. A run that failed is finished first,
+    with the same records and ids, and is then the run; more waits for the next one.
     """
-    spark = responses.sparkSession
-
-    def stage(rows: DataFrame) -> DataFrame:
-        table = resolve_requests(rows, keyed=keyed)
-        table.write.mode("overwrite").parquet(staging)
-        return spark.read.schema(table.schema).parquet(staging)
-
-    if quota is None:
-        staged = stage(responses)
+    runs = staging.runs()
+    if runs and not staging.is_sent(runs[-1]):
+        run, before = runs[-1], runs[:-1]
+    elif quota == 0:
+        publish(encode_messages(staging.resolved().limit(0), topic))
+        return ProduceReport(0, 0, 0, 0, 0)
     else:
-        head = quota * HEAD_PER_RECORD
-        staged = stage(head_requests(responses, head) if head <= HEAD_LIMIT else responses)
-        found, last = _reach(staged, quota)
-        if found < quota and head <= HEAD_LIMIT:
-            staged = stage(responses)
-            found, last = _reach(staged, quota)
-        if found == quota:
-            staged = staged.filter(F.col("request_id") <= F.lit(last))
+        left = staging.left_by(runs).filter(F.col("outcome") == ACCEPTED)
+        last = None if quota is None else nth_request(left, quota)
+        number = runs[-1].number + 1 if runs else 0
+        run, before = staging.begin(number, staging.last_version(), last), runs
+    through = staging.left_by(before).filter(run.reaches())
 
     sent = Observation("sent")
-    messages = encode_messages(_accepted(staged), topic)
+    messages = encode_messages(through.filter(F.col("outcome") == ACCEPTED), topic)
     publish(messages.observe(sent, F.count(F.lit(1)).alias("published")))
+    staging.finish(run)
     outcomes = [ACCEPTED, REJECTED, EXHAUSTED, PENDING]
     counts = [F.count_if(F.col("outcome") == name).alias(name) for name in outcomes]
-    return ProduceReport(**staged.agg(*counts).first().asDict(), **sent.get)
-
+    return ProduceReport(**through.agg(*counts).first().asDict(), **sent.get)
 
-def _accepted(resolved: DataFrame) -> DataFrame:
-    return resolved.filter(F.col("outcome") == ACCEPTED)
 
+def produce(
+    responses: DataFrame,
+    publish: Callable[[DataFrame], None],
+    staging: str,
+    quota: int | None = QUOTA,
+    topic: str = TOPIC,
+    keyed: bool = False,
+) -> ProduceReport:
+    """Resolve `responses` into `staging`, publish a run's accepted records, and report the counts.
 
-def _reach(resolved: DataFrame, quota: int) -> tuple[int, int | None]:
-    """How many records of the quota there are, and the request of the last."""
-    taken = take_quota(_accepted(resolved).select("request_id"), quota)
-    return tuple(taken.agg(F.count(F.lit(1)), F.max("request_id")).first())
+    All responses are resolved, once. With a quota the run goes through the requests
+    in order until it is filled, and the report covers those; what it does not reach
+    remains in `staging` for the next run. Given the same staging again, requests that
+    are decided are not resolved or sent again.
+    """
+    state = Staging(responses.sparkSession, staging)
+    resolve_batch(responses, state, uuid.uuid4().hex, 0, keyed)
+    return publish_run(state, publish, quota, topic)
 
 
 def drain_responses(
@@ -156,17 +203,18 @@ def drain_responses(
     quota: int | None = QUOTA,
     topic: str = TOPIC,
     keyed: bool = False,
-) -> None:
-    """A scheduled run: `produce` over the responses landed since the last run, then end.
+) -> ProduceReport:
+    """A scheduled run: resolve the responses landed since the last run, publish a quota, and end.
 
     `responses` is a stream of the landing zone and `checkpoint` remembers what was
-    taken, so a run reads new files only and days without a run are not made up for.
-    Attempts of one request must land in one run; a request split over two runs is
-    resolved by each with what it sees.
+    taken, in batches as large as the source's caps allow. The quota is one for the
+    run, whatever the number of batches; days without a run are not made up for.
+    Attempts of one request may land in different runs.
     """
+    state = Staging(responses.sparkSession, staging)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        produce(batch, publish, f"{staging}/batch_id={batch_id}", quota, topic, keyed)
+        resolve_batch(batch, state, query_id(responses.sparkSession, checkpoint), batch_id, keyed)
 
     query = (
         responses.writeStream.option("checkpointLocation", checkpoint)
@@ -175,3 +223,4 @@ def drain_responses(
         .start()
     )
     query.awaitTermination()
+    return publish_run(state, publish, quota, topic)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 from dataclasses import asdict
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.fixed import TOPIC, USER_COLUMNS
-from rollbook.functions.identifiers import is_uuid, keyed_id
+from rollbook.functions.identifiers import is_uuid, keyed_id, random_id
 from rollbook.operators.attempts import (
     exhausted_requests,
     first_valid_attempt,
@@ -25,18 +26,14 @@ from rollbook.plans.fixtures import (
     message_files,
     message_log,
 )
-from rollbook.plans.produce import (
-    ACCEPTED,
-    drain_responses,
-    produce,
-    resolve_requests,
-    take_quota,
-)
+from rollbook.plans.produce import drain_responses, produce, resolve_requests, take_quota
 from rollbook.session import shared_folder
+from rollbook.sinks.connector import store_writer
 from rollbook.sinks.messages import publish_files
-from rollbook.sinks.tables import UserTable, ensure_table, merge_log
+from rollbook.sinks.staging import ACCEPTED, Staging
+from rollbook.sinks.tables import UserTable, drop_table, ensure_table, merge_log
 from rollbook.sinks.user_log import batch_writer, compact_log, read_log
-from rollbook.sources.messages import read_message_files
+from rollbook.sources.messages import file_caps, read_message_files
 from rollbook.sources.responses import read_responses
 from rollbook.streaming.ingest import drain_messages
 
@@ -145,14 +142,12 @@ def _ingest(
     spark: SparkSession,
     source: str,
     log: str,
-    run: str,
     checkpoint: str | None = None,
     max_files: int | None = None,
 ) -> None:
-    messages = read_message_files(spark, source, TOPIC, max_files)
-    drain_messages(
-        messages, batch_writer(log, run), checkpoint or shared_folder(spark, "checkpoint")
-    )
+    checkpoint = checkpoint or shared_folder(spark, "checkpoint")
+    messages = read_message_files(spark, source, TOPIC, file_caps(max_files))
+    drain_messages(messages, batch_writer(log, checkpoint), checkpoint)
 
 
 def _records(log: DataFrame) -> DataFrame:
@@ -161,30 +156,36 @@ def _records(log: DataFrame) -> DataFrame:
 
 def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = shared_folder(spark, "log")
-    _ingest(spark, message_files(spark, sf_dir), log, "first")
+    _ingest(spark, message_files(spark, sf_dir), log)
     return _records(read_log(spark, log))
 
 
 def stream_rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A third of the files per micro-batch: the number of batches does not grow with the data."""
-    source, log = message_files(spark, sf_dir), shared_folder(spark, "log")
-    files = len(spark.read.parquet(source).inputFiles())
-    _ingest(spark, source, log, "first", max_files=max(1, files // 3))
-    return _records(read_log(spark, log))
+    """Two files per micro-batch, from three drops of two files each: rows and rejects of every batch."""
+    source, log = shared_folder(spark, "messages"), shared_folder(spark, "log")
+    messages = message_log(spark, sf_dir)
+    for drop in range(3):
+        messages.filter(F.col("offset") % 3 == drop).repartition(2).write.mode("append").parquet(source)
+    _ingest(spark, source, log, max_files=2)
+    return read_log(spark, log).groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("messages"), F.count("reason").alias("rejects")
+    )
 
 
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stopped and started again on the same checkpoint: nothing is read twice."""
-    source, log = message_files(spark, sf_dir), shared_folder(spark, "log")
+    """Stopped when a half has come, and started again on the same checkpoint: nothing is read twice or lost."""
+    source, log = shared_folder(spark, "messages"), shared_folder(spark, "log")
     checkpoint = shared_folder(spark, "checkpoint")
-    for _ in range(2):
-        _ingest(spark, source, log, "first", checkpoint)
+    for half in range(2):
+        rows = message_log(spark, sf_dir).filter(F.col("offset") % 2 == half)
+        rows.write.mode("append").parquet(source)
+        _ingest(spark, source, log, checkpoint)
     return _records(read_log(spark, log))
 
 
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = shared_folder(spark, "log")
-    _ingest(spark, message_files(spark, sf_dir), log, "first")
+    _ingest(spark, message_files(spark, sf_dir), log)
     rejects = rejected_messages(read_log(spark, log))
     return rejects.select(
         "partition", "offset", "reason", F.col("value").cast("string").alias("value")
@@ -193,26 +194,48 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = shared_folder(spark, "log")
-    _ingest(spark, message_files(spark, sf_dir), log, "first")
+    _ingest(spark, message_files(spark, sf_dir), log)
     return current_users(read_log(spark, log))
 
 
 def replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole source ingested twice, the second time as a new run on a fresh checkpoint."""
+    """The whole source ingested twice, the second time on a fresh checkpoint."""
     source, log = message_files(spark, sf_dir), shared_folder(spark, "log")
-    for run in ("first", "second"):
-        _ingest(spark, source, log, run)
+    for _ in range(2):
+        _ingest(spark, source, log)
     return current_users(read_log(spark, log))
 
 
+def two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams with equal settings, each with half of the messages and a checkpoint of its own, fill one log."""
+    log = shared_folder(spark, "log")
+    for half in range(2):
+        source = shared_folder(spark, "messages")
+        message_log(spark, sf_dir).filter(F.col("offset") % 2 == half).write.parquet(source)
+        _ingest(spark, source, log)
+    return _records(read_log(spark, log))
+
+
+def store_and_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream with a store beside the log, for which Parquet stands in: both hold the current users."""
+    store, log = shared_folder(spark, "store"), shared_folder(spark, "log")
+    checkpoint = shared_folder(spark, "checkpoint")
+    messages = read_message_files(spark, message_files(spark, sf_dir))
+    write = store_writer(batch_writer(log, checkpoint), {"path": store}, "parquet")
+    drain_messages(messages, write, checkpoint)
+    stored = spark.read.parquet(store).withColumn("held_by", F.lit("store"))
+    logged = current_users(read_log(spark, log)).withColumn("held_by", F.lit("log"))
+    return stored.unionByName(logged)
+
+
 def compacted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs compacted into a new log, to which a third run then adds the same messages."""
+    """Two streams compacted into a new log, to which a third then adds the same messages."""
     source = message_files(spark, sf_dir)
     log, target = shared_folder(spark, "log"), shared_folder(spark, "compacted")
-    for run in ("first", "second"):
-        _ingest(spark, source, log, run)
+    for _ in range(2):
+        _ingest(spark, source, log)
     compact_log(spark, log, target)
-    _ingest(spark, source, target, "third")
+    _ingest(spark, source, target)
     return current_users(read_log(spark, target))
 
 
@@ -222,42 +245,132 @@ def _new_table(spark: SparkSession) -> UserTable:
     return UserTable(folder, shared_folder(spark, "log"), "rollbook_check", name, buckets=8)
 
 
+def _taken(spark: SparkSession, table: UserTable) -> DataFrame:
+    """The rows of a table that is made for a check, which leaves no name in the catalog."""
+    path = shared_folder(spark, "rows")
+    spark.table(table.name).write.parquet(path)
+    drop_table(spark, table)
+    return spark.read.parquet(path)
+
+
 def stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table is made twice, merged twice with the log in between, and read by name."""
     table = _new_table(spark)
     source = message_files(spark, sf_dir)
-    for run in ("first", "second"):
+    for buckets in (None, 5):
         ensure_table(spark, table)
-        _ingest(spark, source, table.log_path, run)
-        merge_log(spark, table)
-    return spark.table(table.name)
+        _ingest(spark, source, table.log_path)
+        merge_log(spark, table, buckets)
+    return _taken(spark, table)
 
 
 def live_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table is made before the first batch and read after the last, without a merge."""
-    table = _new_table(spark)
+    """The table is made before the first batch and read after the last, merged in between."""
+    table, source = _new_table(spark), shared_folder(spark, "messages")
+    checkpoint = shared_folder(spark, "checkpoint")
     ensure_table(spark, table)
-    _ingest(spark, message_files(spark, sf_dir), table.log_path, "first")
-    return spark.table(table.name)
+    for half in range(2):
+        rows = message_log(spark, sf_dir).filter(F.col("offset") % 2 == half)
+        rows.write.mode("append").parquet(source)
+        _ingest(spark, source, table.log_path, checkpoint)
+        if not half:
+            merge_log(spark, table)
+    return _taken(spark, table)
+
+
+def random_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, version and number of random ids, over all events."""
+    ids = spark.read.parquet(f"{sf_dir}/events.parquet").select(random_id().alias("id"))
+    version = r"^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
+    return ids.agg(
+        F.count_if(is_uuid(F.col("id"))).alias("storable"),
+        F.count_if(F.col("id").rlike(version)).alias("random"),
+        F.count_distinct("id").alias("distinct_ids"),
+    )
+
+
+class _Producer:
+    """A landing zone with its scheduled runs."""
+
+    def __init__(self, spark: SparkSession, **settings):
+        self.spark, self.settings = spark, settings
+        self.landing, self.published = shared_folder(spark, "landing"), shared_folder(spark, "published")
+        self.staging, self.checkpoint = shared_folder(spark, "staging"), shared_folder(spark, "checkpoint")
+
+    def land(self, responses: DataFrame) -> None:
+        responses.write.mode("append").parquet(self.landing)
+
+    def run(self, publish=None) -> None:
+        drain_responses(
+            read_responses(self.spark, self.landing, streaming=True, caps=file_caps(4)),
+            publish or self.publish,
+            self.staging,
+            self.checkpoint,
+            **self.settings,
+        )
+
+    def publish(self, messages: DataFrame) -> None:
+        publish_files(messages, self.published)
+
+    def messages(self) -> DataFrame:
+        return decode_messages(read_message_files(self.spark, self.published, streaming=False))
+
+    def progress(self) -> DataFrame:
+        return Staging(self.spark, self.staging).progress()
+
+
+def quota_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three drops, three runs with the usual quota, the second of which fails once after it has published.
+
+    Which request goes out in which run; those without a run remain for later ones.
+    """
+    job, responses = _Producer(spark, keyed=True), landed_responses(spark, sf_dir)
+
+    def fails(messages: DataFrame) -> None:
+        job.publish(messages)
+        raise ConnectionError("lost after publishing")
+
+    for drop in range(3):
+        job.land(responses.filter(F.col("request_id") % 3 == drop))
+        if drop == 1:
+            with contextlib.suppress(ConnectionError):
+                job.run(fails)
+        job.run()
+    return job.progress().filter(F.col("outcome") == ACCEPTED).select("request_id", "id", "run")
+
+
+def split_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempts of a request land in up to three drops, those of the first drop again in the later ones."""
+    job, responses = _Producer(spark, quota=None, keyed=True), landed_responses(spark, sf_dir)
+    drop = F.least(F.floor((F.col("attempt") - 1) / 2), F.lit(2))
+    for number in range(3):
+        job.land(responses.filter((drop == number) | (drop == 0)))
+        job.run()
+    return job.progress().drop("run")
+
+
+def producer_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Random ids, a run that fails after publishing, and its restart: how many ids a user has been sent under."""
+    job = _Producer(spark, quota=None)
+    job.land(landed_responses(spark, sf_dir))
+
+    def fails(messages: DataFrame) -> None:
+        job.publish(messages)
+        raise ConnectionError("lost after publishing")
+
+    with contextlib.suppress(ConnectionError):
+        job.run(fails)
+    job.run()
+    return job.messages().groupBy("phone").agg(F.count_distinct("id").alias("ids"))
 
 
 def scheduled_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two drops of responses, each followed by a run that takes only what is new."""
-    landing, published = shared_folder(spark, "landing"), shared_folder(spark, "published")
-    staging, checkpoint = shared_folder(spark, "staging"), shared_folder(spark, "checkpoint")
-    responses = landed_responses(spark, sf_dir)
+    job, responses = _Producer(spark, quota=None, keyed=True), landed_responses(spark, sf_dir)
     for drop in range(2):
-        landed = responses.filter(F.col("request_id") % 2 == drop)
-        landed.write.mode("append").parquet(landing)
-        drain_responses(
-            read_responses(spark, landing, streaming=True),
-            lambda messages: publish_files(messages, published),
-            f"{staging}/{drop}",
-            checkpoint,
-            quota=None,
-            keyed=True,
-        )
-    return decode_messages(read_message_files(spark, published, streaming=False))
+        job.land(responses.filter(F.col("request_id") % 2 == drop))
+        job.run()
+    return job.messages()
 
 
 def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,7 +383,7 @@ def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
         quota=None,
         keyed=True,
     )
-    _ingest(spark, published, log, "first")
+    _ingest(spark, published, log)
     return current_users(read_log(spark, log))
 
 
@@ -299,6 +412,12 @@ QUERIES: dict[str, Query] = {
     "keyed_upsert": keyed_upsert,
     "replay_idempotent": replay_idempotent,
     "live_view": live_view,
+    "two_checkpoints": two_checkpoints,
+    "store_and_log": store_and_log,
+    "random_id": random_ids,
+    "quota_runs": quota_runs,
+    "split_attempts": split_attempts,
+    "producer_replay": producer_replay,
     "compacted_log": compacted_log,
     "scheduled_runs": scheduled_runs,
     "end_to_end": end_to_end,

@@ -51,12 +51,14 @@ def build_session(options: SessionOptions = SessionOptions()) -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the folder that every executor can reach.
 
-    The cluster names it in `spark.checkpoint.dir`. Only a local session without
-    that setting falls back to a folder of its own.
+    The cluster names it in `spark.checkpoint.dir`; without the setting a cluster is
+    refused. Only where driver and executors are one process, as in tests and trials,
+    does an unset one become a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="rollbook-")
     return f"{root.rstrip('/')}/rollbook/{purpose}-{uuid.uuid4().hex}"

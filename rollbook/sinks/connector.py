@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rollbook.fixed import DATABASE, STORE_FORMAT, TABLE, USER_COLUMNS
-from rollbook.operators.screening import rejected, storable
+from rollbook.operators.latest import latest_versions
 
 
 def store_options(keyspace: str = DATABASE, table: str = TABLE) -> dict[str, str]:
@@ -15,13 +16,18 @@ def store_options(keyspace: str = DATABASE, table: str = TABLE) -> dict[str, str
 
 
 def store_writer(
-    reject_writer: Callable[[DataFrame, int], None],
+    log_writer: Callable[[DataFrame, int], None],
     options: Mapping[str, str] | None = None,
     format: str = STORE_FORMAT,
+    write_time: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """A `foreachBatch` function: storable records to the store, rejects to `reject_writer`.
+    """A `foreachBatch` function: the whole batch to `log_writer`, then one row per id to the store.
 
-    The store keeps one row per key, so a replayed batch overwrites itself there.
+    The store keeps one row per key, and the last to arrive; the batch is therefore
+    reduced to the newest message of each id. `write_time` names a column to add with
+    the message's time in microseconds, and the connector option of that name is set
+    to it, for a store that resolves conflicts by time. Batches follow one another, so
+    without it a replayed older batch is put right by those after it.
     The batch is cached because it feeds two writes.
     """
     target = dict(options or store_options())
@@ -29,9 +35,13 @@ def store_writer(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            users = storable(batch).select(*USER_COLUMNS)
-            users.write.format(format).options(**target).mode("append").save()
-            reject_writer(rejected(batch), batch_id)
+            log_writer(batch, batch_id)
+            users, columns = latest_versions(batch), list(USER_COLUMNS)
+            if write_time:
+                users = users.withColumn(write_time, F.unix_micros("timestamp"))
+                columns.append(write_time)
+                target[write_time] = write_time
+            users.select(*columns).write.format(format).options(**target).mode("append").save()
         finally:
             batch.unpersist()
 

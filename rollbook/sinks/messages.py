@@ -19,8 +19,10 @@ def publish_kafka(messages: DataFrame, options: Mapping[str, str]) -> None:
 
 
 def publish_files(messages: DataFrame, path: str) -> None:
-    """Append `topic` and `value` rows as Parquet in the Kafka envelope's shape.
+    """A stand-in for a broker, for trials and checks: `topic` and `value` rows as Parquet in the envelope's shape.
 
+    It appends, so a run that is finished after a failure adds its messages again, as
+    a broker would get them again; their ids are the same.
     Each task is one partition of the log and numbers its own messages, so no
     task waits for another and nothing is sorted.
     """

@@ -1,13 +1,15 @@
 """Catalog objects: the namespace and the keyed table of current users.
 
 The table is a view of eleven columns over two parts: a base, bucketed by id, with
-one row per id as of the last merge, and the ingest log with everything since. Only
-the log is shuffled when the table is read or merged, however large the base is,
-and a lookup by id reads one bucket of it.
+one row per id as of the last merge, and the batches of the ingest log that are not
+merged yet. Only those are shuffled when the table is read or merged; the base is
+neither shuffled nor sorted, however large it is, and a lookup by id reads one
+bucket of it.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 
@@ -15,7 +17,7 @@ from pyspark.sql import SparkSession
 
 from rollbook.fixed import DATABASE, TABLE, USER_COLUMNS
 from rollbook.schema import LOG_SCHEMA, POSITION
-from rollbook.sinks.user_log import ensure_log
+from rollbook.sinks.user_log import ensure_log, read_log
 
 _VERSION_COLUMNS = (*USER_COLUMNS, *POSITION)
 
@@ -25,7 +27,8 @@ class UserTable:
     """Names and places of one keyed table.
 
     `buckets` counts when the base is first made; about a gigabyte per bucket is a
-    good size. The base outlives the session only in a persistent catalog.
+    good size, and a merge can change it. The base outlives the session only in a
+    persistent catalog.
     """
 
     folder: str
@@ -36,10 +39,10 @@ class UserTable:
 
     @property
     def name(self) -> str:
-        return f"`{self.database}`.`{self.table}`"
+        return f"{_name(self.database)}.{_name(self.table)}"
 
     def part(self, suffix: str) -> str:
-        return f"`{self.database}`.`{self.table}_{suffix}`"
+        return f"{_name(self.database)}.{_name(f'{self.table}_{suffix}')}"
 
 
 def ensure_table(spark: SparkSession, table: UserTable) -> str:
@@ -48,49 +51,92 @@ def ensure_table(spark: SparkSession, table: UserTable) -> str:
     Parquet tables take no primary key; the view shows one row per id. It is pointed
     at the given log, so a job can go on with a new log after a merge of the old one.
     """
-    base = table.part("base")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(table.database)}")
+    _create_base(spark, table, table.part("base"), f"{table.folder}/empty", table.buckets)
+    ensure_log(spark, table.log_path)
+    _show(spark, table, _marks(spark, table))
+    return table.name
+
+
+def drop_table(spark: SparkSession, table: UserTable) -> None:
+    """Forget the table's names. Its files stay."""
+    spark.sql(f"DROP VIEW IF EXISTS {table.name}")
+    spark.sql(f"DROP TABLE IF EXISTS {table.part('base')}")
+
+
+def merge_log(spark: SparkSession, table: UserTable, buckets: int | None = None) -> None:
+    """Fold the batches that the log holds now into the base, and leave them out from then on.
+
+    The merged base is written beside the old one, and the catalog is then pointed at
+    it: readers see the old parts or the new ones, a failed job changes nothing, and
+    the log may be merged again or retired. Another number of `buckets` replaces the
+    base's entry in the catalog, and readers between the two statements find none.
+    """
+    ensure_table(spark, table)
+    base, label = table.part("base"), uuid.uuid4().hex
+    place, written = f"{table.folder}/{label}", table.part(f"base_{label}")
+    count, before = _bucket_count(spark, base), _marks(spark, table)
+    # The batches of a stream follow one another, so its highest is enough to name them all.
+    found = read_log(spark, table.log_path).groupBy("run").agg({"batch_id": "max"}).collect()
+    marks = before | {row[0]: row[1] for row in found}
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        # The log's one shuffle then brings it into the base's buckets.
+        spark.conf.set("spark.sql.shuffle.partitions", count)
+        (
+            spark.sql(_versions(spark, table, before, marks))
+            .write.bucketBy(buckets or count, "id")
+            .sortBy("id")
+            .option("path", place)
+            .saveAsTable(written)
+        )
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    # A table with a location of its own: this forgets the name and keeps the files.
+    spark.sql(f"DROP TABLE {written}")
+    if buckets in (None, count):
+        spark.sql(f"ALTER TABLE {base} SET LOCATION {_text(place)}")
+    else:
+        spark.sql(f"DROP TABLE {base}")
+        _create_base(spark, table, base, place, buckets)
+    spark.sql(f"ALTER TABLE {base} SET TBLPROPERTIES ('merged' = {_text(json.dumps(marks))})")
+    spark.sql(f"REFRESH TABLE {base}")
+    _show(spark, table, marks)
+
+
+def _create_base(spark: SparkSession, table: UserTable, name: str, place: str, buckets: int) -> None:
     columns = ", ".join(
         f"`{field.name}` {field.dataType.simpleString()}"
         for field in LOG_SCHEMA.fields
         if field.name in _VERSION_COLUMNS
     )
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{table.database}`")
     spark.sql(
         f"""
-        CREATE TABLE IF NOT EXISTS {base} ({columns}) USING parquet
-        CLUSTERED BY (id) SORTED BY (id) INTO {table.buckets} BUCKETS
-        LOCATION '{table.folder}/empty'
+        CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet
+        CLUSTERED BY (id) SORTED BY (id) INTO {buckets} BUCKETS
+        LOCATION {_text(place)}
         """
     )
-    ensure_log(spark, table.log_path)
+
+
+def _show(spark: SparkSession, table: UserTable, marks: dict[str, int]) -> None:
     shown = ", ".join(USER_COLUMNS)
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {table.name} AS SELECT {shown} FROM ({_versions(spark, table)})"
-    )
-    return table.name
+    versions = _versions(spark, table, marks)
+    spark.sql(f"CREATE OR REPLACE VIEW {table.name} AS SELECT {shown} FROM ({versions})")
 
 
-def merge_log(spark: SparkSession, table: UserTable) -> None:
-    """Fold the log into the base.
+def _marks(spark: SparkSession, table: UserTable) -> dict[str, int]:
+    """The highest merged batch of each run."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table.part('base')}").filter("key = 'merged'").collect()
+    return json.loads(rows[0]["value"]) if rows else {}
+
+
+def _name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-    The merged base is written beside the old one, and the catalog is then pointed at
-    it: readers see the old parts or the new ones, a failed job changes nothing, and
-    the log may be merged again or retired.
-    """
-    ensure_table(spark, table)
-    base, label = table.part("base"), uuid.uuid4().hex
-    place, written = f"{table.folder}/{label}", table.part(f"base_{label}")
-    (
-        spark.sql(_versions(spark, table))
-        .write.bucketBy(_bucket_count(spark, base), "id")
-        .sortBy("id")
-        .option("path", place)
-        .saveAsTable(written)
-    )
-    spark.sql(f"ALTER TABLE {base} SET LOCATION '{place}'")
-    # The table has a location of its own, so this forgets the name and keeps the files.
-    spark.sql(f"DROP TABLE {written}")
-    spark.catalog.refreshTable(base)
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _bucket_count(spark: SparkSession, name: str) -> int:
@@ -98,24 +144,42 @@ def _bucket_count(spark: SparkSession, name: str) -> int:
     return int(described.filter("col_name = 'Num Buckets'").first()["data_type"])
 
 
-def _versions(spark: SparkSession, table: UserTable) -> str:
-    """The newest row of every id, with its position, from the base and the log.
+def _versions(
+    spark: SparkSession, table: UserTable, after: dict[str, int], upto: dict[str, int] | None = None
+) -> str:
+    """The newest row of every id, with its position, from the base and the log's batches.
 
-    The log is reduced to one row per id before it is brought into the base's
-    buckets, so an id that holds much of the log does not fill one of them.
+    Batches up to those in `after` are merged and not read; `upto` bounds the others.
+    The log is reduced to one row per id before it is brought into the base's buckets,
+    so an id that holds much of the log does not fill one of them. The base's rows
+    stream past a hash table of it, once whole and once their ids and positions.
     """
     columns = ", ".join(f"`{name}`" for name in _VERSION_COLUMNS)
     newest_first = ", ".join(f"`{name}` DESC" for name in POSITION)
+    bounds = [f"NOT (run = {_text(run)} AND batch_id <= {batch})" for run, batch in after.items()]
+    if upto is not None:
+        named = [f"(run = {_text(run)} AND batch_id <= {batch})" for run, batch in upto.items()]
+        bounds.append(f"({' OR '.join(named) or 'false'})")
+    base = table.part("base")
 
-    def newest(rows: str, hint: str = "") -> str:
+    def log(columns: str) -> str:
         return f"""
-            SELECT {hint} {columns} FROM (
+            SELECT /*+ REPARTITION({_bucket_count(spark, base)}, id) */ {columns} FROM (
                 SELECT *, row_number() OVER (PARTITION BY id ORDER BY {newest_first}) AS _rank
-                FROM {rows}
+                FROM parquet.{_name(table.log_path)} WHERE {' AND '.join(['reason IS NULL', *bounds])}
             ) WHERE _rank = 1
         """
 
-    base = table.part("base")
-    logged = f"(SELECT {columns} FROM parquet.`{table.log_path}` WHERE reason IS NULL)"
-    bucketed = f"/*+ REPARTITION({_bucket_count(spark, base)}, id) */"
-    return newest(f"(SELECT {columns} FROM {base} UNION ALL {newest(logged, bucketed)})")
+    def position(side: str) -> str:
+        return f"struct({', '.join(f'{side}.`{name}`' for name in POSITION)})"
+
+    ids = ", ".join(f"`{name}`" for name in ("id", *POSITION))
+    mine = ", ".join(f"log.`{name}`" for name in _VERSION_COLUMNS)
+    return f"""
+        SELECT /*+ SHUFFLE_HASH(log) */ {columns} FROM {base} AS base
+        LEFT ANTI JOIN ({log(ids)}) AS log ON base.id = log.id AND {position('log')} > {position('base')}
+        UNION ALL
+        SELECT /*+ SHUFFLE_HASH(log) */ {mine} FROM ({log(columns)}) AS log
+        LEFT JOIN (SELECT {ids} FROM {base}) AS base ON base.id = log.id
+        WHERE base.id IS NULL OR {position('log')} > {position('base')}
+    """

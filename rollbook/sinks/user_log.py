@@ -2,8 +2,8 @@
 
 Every micro-batch owns the directory `run=<run>/batch_id=<n>`. Writing the batch
 again after a failure replaces that directory, so a replay leaves no second copy.
-A run belongs to one checkpoint: a new checkpoint counts batches from 0 again and
-must not replace the directories of an earlier one.
+The run is the id of the streaming query, which lives in its checkpoint: a new
+checkpoint counts batches from 0 again, in directories of its own.
 """
 
 from __future__ import annotations
@@ -15,21 +15,25 @@ from pyspark.sql import types as T
 
 from rollbook.operators.latest import latest_versions, rejected_messages
 from rollbook.schema import LOG_SCHEMA
+from rollbook.streaming.ingest import query_id
 
 _FILE_FIELDS = [field for field in LOG_SCHEMA.fields if field.name not in ("run", "batch_id")]
 
 
 def batch_writer(
-    path: str, run: str, merge_files: bool = False
+    path: str, checkpoint: str, merge_files: bool = False
 ) -> Callable[[DataFrame, int], None]:
     """The `foreachBatch` function that writes screened messages to the log at `path`.
 
+    `checkpoint` is that of the stream it writes for.
+
     Every task writes a file, one per topic partition and batch. `merge_files` adds a
     shuffle that lets adaptive execution settle on fewer and evener ones, which pays
     when batches are small and topic partitions many.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        run = query_id(batch.sparkSession, checkpoint)
         if merge_files:
             batch = batch.hint("rebalance")
         batch.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")

@@ -34,6 +34,14 @@ def kafka_options(
     return options
 
 
+def file_caps(max_files: int | None = None, max_bytes: int | None = None) -> dict[str, str]:
+    """Options of a file stream that bound a batch by number of files, or by their bytes."""
+    if max_files and max_bytes:
+        raise ValueError("a file stream is bounded by files or by bytes, not by both")
+    caps = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes}
+    return {name: str(value) for name, value in caps.items() if value}
+
+
 def read_kafka(
     spark: SparkSession, options: Mapping[str, str], streaming: bool = True
 ) -> DataFrame:
@@ -46,7 +54,7 @@ def read_message_files(
     spark: SparkSession,
     path: str,
     topic: str = TOPIC,
-    max_files_per_trigger: int | None = None,
+    caps: Mapping[str, str] | None = None,
     streaming: bool = True,
 ) -> DataFrame:
     """Messages of one topic from Parquet files in the Kafka envelope's shape.
@@ -54,7 +62,5 @@ def read_message_files(
     The topic test is on an envelope column, so it reaches the file scan and runs
     before any message is decoded.
     """
-    reader = (spark.readStream if streaming else spark.read).schema(MESSAGE_SCHEMA)
-    if streaming and max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(path).filter(F.col("topic") == topic)
+    reader = spark.readStream.options(**(caps or {})) if streaming else spark.read
+    return reader.schema(MESSAGE_SCHEMA).parquet(path).filter(F.col("topic") == topic)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,6 +15,14 @@ from rollbook.operators.screening import screen_messages
 BatchWriter = Callable[[DataFrame, int], None]
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the streaming query that owns a checkpoint, the same at every start.
+
+    A new checkpoint is a new query, though it counts its batches from 0 as well.
+    """
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def start_ingest(
     messages: DataFrame,
     write_batch: BatchWriter,

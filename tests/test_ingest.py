@@ -1,6 +1,7 @@
 """The streaming job: batches, resume, replay, rejects, and hot keys."""
 
 import json
+import re
 import time
 import uuid
 from dataclasses import replace
@@ -16,10 +17,10 @@ from rollbook.operators.screening import storable
 from rollbook.plans.consume import consume
 from rollbook.schema import MESSAGE_SCHEMA
 from rollbook.sinks.connector import store_options, store_writer
-from rollbook.sinks.tables import UserTable, ensure_table, merge_log
+from rollbook.sinks.tables import UserTable, drop_table, ensure_table, merge_log
 from rollbook.sinks.user_log import batch_writer, compact_log, read_log
-from rollbook.sources.messages import kafka_options, read_kafka, read_message_files
-from rollbook.streaming.ingest import drain_messages, start_ingest
+from rollbook.sources.messages import file_caps, kafka_options, read_kafka, read_message_files
+from rollbook.streaming.ingest import drain_messages, query_id, start_ingest
 
 IDS = [str(uuid.UUID(int=n)) for n in range(40)]
 
@@ -43,16 +44,20 @@ class Job:
         self.source, self.log = f"{folder}/messages", f"{folder}/log"
         self.folder = folder
 
+    def checkpoint(self, run):
+        return f"{self.folder}/checkpoint-{run}"
+
     def drain(self, run="first", max_files=None):
-        messages = read_message_files(self.spark, self.source, TOPIC, max_files)
-        writer = batch_writer(self.log, run)
-        query = drain_messages(messages, writer, f"{self.folder}/checkpoint-{run}")
+        messages = read_message_files(self.spark, self.source, TOPIC, file_caps(max_files))
+        writer = batch_writer(self.log, self.checkpoint(run))
+        query = drain_messages(messages, writer, self.checkpoint(run))
         return sum(progress.numInputRows for progress in query.recentProgress)
 
+    def directory(self, run="first"):
+        return Path(f"{self.log}/run={query_id(self.spark, self.checkpoint(run))}")
+
     def batches(self, run="first"):
-        return sorted(
-            int(p.name.split("=")[1]) for p in Path(f"{self.log}/run={run}").glob("batch_id=*")
-        )
+        return sorted(int(p.name.split("=")[1]) for p in self.directory(run).glob("batch_id=*"))
 
     def read(self):
         return read_log(self.spark, self.log)
@@ -116,7 +121,7 @@ def test_batch_with_lost_commit_is_written_over(spark, job):
 def test_failed_batch_is_retried_whole(spark, job):
     """A writer that dies after writing leaves a batch that the next start replaces."""
     write_messages(spark, job.source, range(40))
-    good = batch_writer(job.log, "first")
+    good = batch_writer(job.log, job.checkpoint("first"))
 
     def dies(batch, batch_id):
         good(batch, batch_id)
@@ -130,6 +135,18 @@ def test_failed_batch_is_retried_whole(spark, job):
     assert job.current() == newest(range(40))
 
 
+def test_fresh_checkpoints_never_replace_each_others_batches(spark, job):
+    """Equal settings, disjoint messages, both counting batches from 0: the log holds all."""
+    write_messages(spark, job.source, range(40))
+    job.drain("first")
+    job.source = f"{job.folder}/others"
+    write_messages(spark, job.source, range(40, 100))
+    job.drain("second")
+    assert job.read().count() == 100
+    assert job.current() == newest(range(100))
+    assert job.batches("first") == job.batches("second") == [0]
+
+
 def test_second_run_on_a_fresh_checkpoint_changes_nothing(spark, job):
     write_messages(spark, job.source, range(70))
     job.drain("first")
@@ -159,10 +176,10 @@ def test_merged_files(spark, job):
     try:
         files = {}
         for merge_files in (False, True):
-            writer = batch_writer(job.log, f"merge-{merge_files}", merge_files)
+            writer = batch_writer(job.log, job.checkpoint(merge_files), merge_files)
             messages = read_message_files(spark, job.source)
-            drain_messages(messages, writer, f"{job.folder}/checkpoint-{merge_files}")
-            written = Path(job.log, f"run=merge-{merge_files}")
+            drain_messages(messages, writer, job.checkpoint(merge_files))
+            written = job.directory(merge_files)
             assert spark.read.parquet(str(written)).count() == 120
             files[merge_files] = len(list(written.glob("*/part-*.parquet")))
     finally:
@@ -202,8 +219,8 @@ def test_continuous_job_runs_until_stopped(spark, job):
         run = f"every-{interval}".replace(" ", "-")
         query = start_ingest(
             read_message_files(spark, job.source),
-            batch_writer(job.log, run),
-            f"{job.folder}/checkpoint-{run}",
+            batch_writer(job.log, job.checkpoint(run)),
+            job.checkpoint(run),
             interval,
         )
         try:
@@ -220,15 +237,15 @@ def test_trigger_interval_is_kept(spark, job):
     """Batches start on the interval, not as soon as there is data."""
     write_messages(spark, job.source, range(10))
     query = start_ingest(
-        read_message_files(spark, job.source, max_files_per_trigger=1),
-        batch_writer(job.log, "slow"),
-        f"{job.folder}/checkpoint-slow",
+        read_message_files(spark, job.source, caps=file_caps(1)),
+        batch_writer(job.log, job.checkpoint("slow")),
+        job.checkpoint("slow"),
         "1 hour",
     )
     try:
         # The first batch starts at once; the file that comes later waits for the interval.
         deadline = time.monotonic() + 60
-        while not job.batches("slow") and time.monotonic() < deadline:
+        while not list(Path(job.log).glob("run=*/batch_id=*")) and time.monotonic() < deadline:
             time.sleep(0.1)
         write_messages(spark, job.source, range(10, 20))
         time.sleep(2)
@@ -240,7 +257,7 @@ def test_trigger_interval_is_kept(spark, job):
 def test_progress_counts_messages_and_rejects(spark, job):
     write_messages(spark, job.source, range(50))
     messages = read_message_files(spark, job.source)
-    query = drain_messages(messages, batch_writer(job.log, "first"), f"{job.folder}/checkpoint")
+    query = drain_messages(messages, batch_writer(job.log, job.checkpoint("x")), job.checkpoint("x"))
     metrics = query.lastProgress.observedMetrics["ingest"]
     assert (metrics.messages, metrics.rejects) == (50, 5)
     assert query.lastProgress.numInputRows == 50
@@ -275,7 +292,7 @@ def test_lookup_by_id_reaches_the_scan(filled, plan):
 
 
 def test_batches_and_runs_are_pruned_by_directory(filled, plan):
-    text = plan(filled.read().filter((F.col("run") == "first") & (F.col("batch_id") > 2)))
+    text = plan(filled.read().filter((F.col("run") == "x") & (F.col("batch_id") > 2)))
     scan = text[text.index("PartitionFilters") :]
     assert "run" in scan[: scan.index("PushedFilters")]
     assert "batch_id" in scan[: scan.index("PushedFilters")]
@@ -307,6 +324,14 @@ def test_one_id_with_a_third_of_all_rows(spark):
 # --- other sources and sinks -----------------------------------------------------------------
 
 
+def test_file_caps():
+    assert file_caps() == {}
+    assert file_caps(5) == {"maxFilesPerTrigger": "5"}
+    assert file_caps(max_bytes=1 << 33) == {"maxBytesPerTrigger": "8589934592"}
+    with pytest.raises(ValueError):
+        file_caps(5, 10)
+
+
 def test_kafka_options():
     assert kafka_options("broker:1") == {
         "kafka.bootstrap.servers": "broker:1",
@@ -326,19 +351,31 @@ def test_missing_source_stops_the_job(spark):
         read_kafka(spark, kafka_options("broker:1"))
 
 
-def test_store_receives_storable_records_only(spark, job):
+def test_store_gets_one_row_per_id_and_the_log_every_row(spark, job):
     """Parquet stands in for the store: format and options are passed through."""
-    write_messages(spark, job.source, range(30))
-    table = f"{job.folder}/store"
-    writer = store_writer(batch_writer(job.log, "first"), {"path": table}, "parquet")
-    drain_messages(
-        read_message_files(spark, job.source), writer, f"{job.folder}/checkpoint-first"
+    write_messages(spark, job.source, range(100))
+    store, checkpoint = f"{job.folder}/store", job.checkpoint("first")
+    writer = store_writer(
+        batch_writer(job.log, checkpoint), {"path": store}, "parquet", write_time="written"
     )
-    stored = spark.read.parquet(table)
-    assert tuple(stored.columns) == USER_COLUMNS
-    assert stored.count() == 27
-    assert rejected_messages(job.read()).count() == 3
-    assert storable(job.read()).count() == 0
+    drain_messages(read_message_files(spark, job.source), writer, checkpoint)
+    stored = spark.read.parquet(store)
+    assert tuple(stored.columns) == (*USER_COLUMNS, "written")
+    assert {r.id: r.full_name for r in stored.collect()} == newest(range(100)) == job.current()
+    assert stored.count() == len(newest(range(100)))
+    assert {r.written for r in stored.collect()} == {1_700_000_000_000_000}
+    assert job.read().count() == 100
+    assert rejected_messages(job.read()).count() == 10
+
+
+def test_a_failing_store_leaves_the_batch_to_the_restart(spark, job):
+    write_messages(spark, job.source, range(30))
+    checkpoint = job.checkpoint("first")
+    writer = store_writer(batch_writer(job.log, checkpoint), {"path": "nosuchscheme://x"}, "parquet")
+    with pytest.raises(Exception):
+        drain_messages(read_message_files(spark, job.source), writer, checkpoint)
+    assert job.drain() == 30
+    assert job.read().count() == 30 and job.current() == newest(range(30))
 
 
 def test_store_target():
@@ -352,8 +389,8 @@ def test_missing_store_stops_the_job_and_loses_nothing(spark, job):
     with pytest.raises(Exception, match="DATA_SOURCE_NOT_FOUND|cassandra"):
         drain_messages(
             messages,
-            store_writer(batch_writer(job.log, "first")),
-            f"{job.folder}/checkpoint-first",
+            store_writer(batch_writer(job.log, job.checkpoint("first"))),
+            job.checkpoint("first"),
         )
     assert job.drain() == 10
     assert job.current() == newest(range(10))
@@ -430,29 +467,55 @@ def test_failed_merge_changes_nothing(spark, job, table):
     write_messages(spark, job.source, range(40))
     job.drain()
     merge_log(spark, table)
-    broken = Path(job.log, "run=broken", "batch_id=0")
+    write_messages(spark, job.source, range(40, 60))
+    job.drain()
+    broken = job.directory() / "batch_id=9"
     broken.mkdir(parents=True)
     (broken / "part-0.parquet").write_bytes(b"not parquet")
     with pytest.raises(Exception):
         merge_log(spark, table)
     (broken / "part-0.parquet").unlink()
     assert spark.table(table.part("base")).count() == len(newest(range(40)))
-    assert shown(spark, table) == newest(range(40))
+    assert shown(spark, table) == newest(range(60))
 
 
-def test_only_the_log_is_shuffled(spark, job, table, plan):
+def test_base_is_neither_sorted_nor_shuffled(spark, job, table, plan):
     write_messages(spark, job.source, range(100))
     job.drain()
     merge_log(spark, table)
-    text = plan(spark.table(table.name))
-    base = text[text.index("Union") : text.index("Exchange")]
-    assert "Bucketed: true" in base
-    assert "Exchange" not in text[: text.index("Union")]
-    # One exchange gathers the versions of an id, reduced beforehand; one matches the buckets.
-    log = text[text.index("Exchange") :]
-    assert log.count("Exchange") == 2
-    assert "hashpartitioning(id" in log
-    assert "row_number(), 1, Partial" in log
+    lines = plan(spark.table(table.name)).splitlines()
+    base = [line for line in lines if "FileScan" in line and "_base[" in line]
+    assert len(base) == 2 and all("Bucketed: true" in line for line in base)
+    # Only ids and positions are read the second time.
+    assert "full_name" not in base[1].split("Batched")[0]
+    assert sum("ShuffledHashJoin" in line for line in lines) == 2
+    # What is sorted or shuffled lies above a scan of the log, which is reduced beforehand.
+    for at, line in enumerate(lines):
+        if re.search(r"[- ](Exchange|Sort) ", line):
+            scan = next(x for x in lines[at:] if "FileScan" in x)
+            assert "_base[" not in scan
+    assert sum("row_number(), 1, Partial" in line for line in lines) == 2
+
+
+def test_merged_batches_are_left_out(spark, job, table, plan):
+    write_messages(spark, job.source, range(50))
+    job.drain()
+    merge_log(spark, table)
+    run = query_id(spark, job.checkpoint("first"))
+    scans = [x for x in plan(spark.table(table.name)).splitlines() if "FileScan parquet [" in x]
+    assert len(scans) == 2
+    for scan in scans:
+        pruned = scan[scan.index("PartitionFilters") : scan.index("PushedFilters")]
+        assert run in pruned and "batch_id" in pruned
+    # Even their loss changes nothing, and later batches of the same stream are seen.
+    for file in (job.directory() / "batch_id=0").glob("part-*"):
+        file.unlink()
+    write_messages(spark, job.source, range(50, 60))
+    job.drain()
+    spark.catalog.refreshByPath(job.log)
+    assert shown(spark, table) == newest(range(60))
+    merge_log(spark, table)
+    assert shown(spark, table) == newest(range(60))
 
 
 def test_lookup_by_id_reads_one_bucket(spark, job, table, plan):
@@ -461,26 +524,45 @@ def test_lookup_by_id_reads_one_bucket(spark, job, table, plan):
     merge_log(spark, table)
     found = spark.table(table.name).filter(F.col("id") == IDS[3])
     text = plan(found)
-    assert text.count(f"EqualTo(id,{IDS[3]})") == 2
-    assert "SelectedBucketsCount: 1 out of 3" in text
+    assert text.count(f"EqualTo(id,{IDS[3]})") == 4
+    assert text.count("SelectedBucketsCount: 1 out of 3") == 2
     assert [row.full_name for row in found.collect()] == ["v83"]
 
 
-def test_bucket_count_is_the_tables_own(spark, job, table):
+def test_buckets_can_be_changed_by_a_merge(spark, job, table):
     write_messages(spark, job.source, range(100))
     job.drain()
     ensure_table(spark, table)
-    merge_log(spark, replace(table, buckets=7))
-    assert shown(spark, table) == newest(range(100))
-    for key in (IDS[0], IDS[21], IDS[38]):
-        assert spark.table(table.name).filter(F.col("id") == key).count() == 1
+    merge_log(spark, replace(table, buckets=7))  # a new table's number means nothing to an old one
+    assert "Num Buckets 3" in " ".join(" ".join(map(str, r)) for r in spark.sql(f"DESCRIBE EXTENDED {table.part('base')}").collect())
+    for buckets in (7, None):
+        merge_log(spark, table, buckets)
+        described = spark.sql(f"DESCRIBE EXTENDED {table.part('base')}").collect()
+        assert [r.data_type for r in described if r.col_name == "Num Buckets"] == ["7"]
+        assert shown(spark, table) == newest(range(100))
+        for key in (IDS[0], IDS[21], IDS[38]):
+            assert spark.table(table.name).filter(F.col("id") == key).count() == 1
+    write_messages(spark, job.source, range(100, 130))
+    job.drain()
+    assert shown(spark, table) == newest(range(130))
+
+
+def test_paths_with_quotes(spark, job):
+    job.log = f"{job.folder}/it's `a` log"
+    odd = UserTable(f"{job.folder}/it's a table", job.log, "made", "odd", buckets=2)
+    write_messages(spark, job.source, range(30))
+    job.drain()
+    merge_log(spark, odd)
+    assert shown(spark, odd) == newest(range(30))
+    drop_table(spark, odd)
+    assert "odd" not in [t.name for t in spark.catalog.listTables("made")]
 
 
 def test_consume_creates_the_table_before_the_stream(spark, job, table):
     write_messages(spark, job.source, range(60))
     messages = read_message_files(spark, job.source)
-    writer = batch_writer(job.log, "first")
-    query = consume(messages, writer, f"{job.folder}/checkpoint", table, drain=True)
+    checkpoint = job.checkpoint("first")
+    query = consume(messages, batch_writer(job.log, checkpoint), checkpoint, table, drain=True)
     assert tuple(spark.table(table.name).columns) == USER_COLUMNS
     query.awaitTermination()
     assert shown(spark, table) == newest(range(60))
@@ -492,8 +574,8 @@ def test_table_that_cannot_be_made_stops_the_job(spark, job, table):
     with pytest.raises(Exception):
         consume(
             read_message_files(spark, job.source),
-            batch_writer(job.log, "first"),
-            f"{job.folder}/checkpoint",
+            batch_writer(job.log, job.checkpoint("first")),
+            job.checkpoint("first"),
             replace(table, folder="nosuchscheme://folder"),
         )
     assert len(spark.streams.active) == active

@@ -9,12 +9,12 @@ import pytest
 from rollbook.__main__ import main
 from rollbook.fixed import DATABASE, STORE_PACING, TABLE, USER_COLUMNS
 from rollbook.operators.wire import decode_messages, encode_messages
-from rollbook.plans import produce as produce_module
-from rollbook.plans.produce import drain_responses, head_requests, produce
+from rollbook.plans.produce import drain_responses, nth_request, produce, resolve_requests
 from rollbook.schema import MESSAGE_SCHEMA, RESPONSE_SCHEMA, USER_SCHEMA
 from rollbook.session import SessionOptions, build_session, shared_folder
 from rollbook.sinks.messages import kafka_sink_options, publish_files, publish_kafka
-from rollbook.sources.messages import read_message_files
+from rollbook.sinks.staging import Staging
+from rollbook.sources.messages import file_caps, read_message_files
 from rollbook.sources.responses import read_responses
 
 
@@ -56,42 +56,61 @@ def test_one_run_publishes_the_quota(spark, tmp_path):
     }
     rows = published(spark, out)
     assert {row.user_name for row in rows} == {f"u{n}" for n in GOOD[:20]}
-    ids = {row.user_name: row.id for row in spark.read.parquet(staging).collect() if row.id}
+    staged = Staging(spark, staging).progress().collect()
+    assert len(staged) == len(KINDS)  # every outcome, whatever the quota
+    ids = {row.user_name: row.id for row in staged if row.id}
     assert all(ids[row.user_name] == row.id for row in rows)
 
 
-@pytest.mark.parametrize(
-    ("per_record", "limit", "resolved"),
-    [
-        (4, 100, "head"),  # the first requests fill the quota
-        (1, 100, "all"),  # they do not, because some are rejected
-        (2, 1, "all"),  # a quota too large to be looked for
-    ],
-)
-def test_quota_is_looked_for_among_the_first_requests(
-    spark, tmp_path, monkeypatch, per_record, limit, resolved
-):
-    monkeypatch.setattr(produce_module, "HEAD_PER_RECORD", per_record)
-    monkeypatch.setattr(produce_module, "HEAD_LIMIT", limit)
+@pytest.mark.parametrize("n", [1, 5, 20, 59, 60, 61])
+def test_nth_request(spark, n):
+    frame = spark.createDataFrame([(7 * i % 60,) for i in range(60)], "request_id long").repartition(5)
+    assert nth_request(frame, n) == (n - 1 if n <= 60 else None)
+    assert nth_request(frame.limit(0), n) is None
+
+
+def test_runs_go_on_where_the_last_stopped(spark, tmp_path):
+    """Nothing is lost to the quota: the rest goes out in later runs, in order, each request once."""
+    out, staging = str(tmp_path / "out"), str(tmp_path / "staging")
+    sizes = []
+    for _ in range(4):
+        produce(responses(spark, KINDS), lambda m: publish_files(m, out), staging, quota=15)
+        sizes.append(len(published(spark, out)))
+    assert sizes == [15, 30, len(GOOD), len(GOOD)]
+    assert len({row.id for row in published(spark, out)}) == len(GOOD)
+    runs = {row.user_name: row.run for row in Staging(spark, staging).progress().collect() if row.id}
+    assert [runs[f"u{n}"] for n in GOOD] == [i // 15 for i in range(len(GOOD))]
+
+
+def test_late_requests_before_the_last_one_go_out_too(spark, tmp_path):
     out, staging = str(tmp_path / "out"), str(tmp_path / "staging")
-    frame = responses(spark, KINDS).repartition(4)
-    report = produce(frame, lambda m: publish_files(m, out), staging, quota=6)
-    assert {row.user_name for row in published(spark, out)} == {f"u{n}" for n in GOOD[:6]}
-    needed = [KINDS[n] for n in range(GOOD[5] + 1)]
-    assert (report.accepted, report.published) == (6, 6)
-    assert report.rejected == needed.count("broken")
-    assert report.exhausted == needed.count("empty")
-    staged = spark.read.parquet(staging).count()
-    assert staged == len(KINDS) if resolved == "all" else GOOD[5] < staged < len(KINDS)
-
-
-def test_looking_for_the_first_requests_reads_one_column(spark, tmp_path, plan):
-    responses(spark, KINDS).write.parquet(str(tmp_path / "landing"))
-    head = head_requests(read_responses(spark, str(tmp_path / "landing")), 10)
-    assert "LessThanOrEqual(request_id" in plan(head)
-    kept = {row.request_id for row in head.collect()}
-    assert kept == set(range(max(kept) + 1))
-    assert head.count() >= 10
+    for kinds in ({n: "good" for n in range(10, 20)}, {n: "good" for n in range(0, 30)}, {}):
+        produce(responses(spark, kinds), lambda m: publish_files(m, out), staging, quota=8)
+    names = [row.user_name for row in published(spark, out)]
+    assert sorted(names) == sorted({*names}) and len(names) == 24
+    remaining = Staging(spark, staging).progress().filter("run IS NULL").collect()
+    assert sorted(row.request_id for row in remaining) == list(range(24, 30))
+
+
+def test_request_without_a_number_is_rejected(spark, tmp_path):
+    rows = [(None, 1, 200, response(1)[0][3]), *response(2)]
+    frame = spark.createDataFrame(rows, RESPONSE_SCHEMA)
+    for quota in (1, None, 5000):
+        out = str(tmp_path / f"out-{quota}")
+        produce(frame, lambda m: publish_files(m, out), str(tmp_path / f"staging-{quota}"), quota)  # noqa: B023
+        assert [row.user_name for row in published(spark, out)] == ["u2"]
+        outcomes = Staging(spark, str(tmp_path / f"staging-{quota}")).progress().collect()
+        assert {(r.request_id, r.outcome) for r in outcomes} == {(None, "rejected"), (2, "accepted")}
+
+
+def test_the_same_attempt_with_two_answers(spark):
+    rows = [(n, 1, 200, response(n)[0][3].replace("A", x)) for n in range(40) for x in "ABC"]
+    frame = spark.createDataFrame(rows, RESPONSE_SCHEMA)
+    found = {
+        tuple(sorted((r.request_id, r.full_name) for r in resolve_requests(frame.repartition(n, *by)).collect()))
+        for n, by in ((1, []), (3, ["body"]), (7, []), (5, ["request_id"]))
+    }
+    assert len(found) == 1
 
 
 def test_fewer_records_than_the_quota(spark, tmp_path):
@@ -168,6 +187,86 @@ def test_scheduled_run_takes_only_what_landed_since(spark, tmp_path):
     assert run() == ["u1", "u2", "u3"]
 
 
+class Scheduled:
+    """A landing zone and its runs; `fails` breaks a run after it has published."""
+
+    def __init__(self, spark, folder, **settings):
+        self.spark, self.folder, self.settings = spark, folder, settings
+
+    def land(self, rows):
+        self.spark.createDataFrame(rows, RESPONSE_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.folder}/landing")
+
+    def run(self, fails=False):
+        def publish(messages):
+            publish_files(messages, f"{self.folder}/out")
+            if fails:
+                raise ConnectionError("lost after publishing")
+
+        landed = read_responses(self.spark, f"{self.folder}/landing", streaming=True, caps=file_caps(1))
+        return drain_responses(landed, publish, f"{self.folder}/staging", f"{self.folder}/checkpoint", **self.settings)
+
+    def published(self):
+        return published(self.spark, f"{self.folder}/out")
+
+    def outcomes(self):
+        rows = Staging(self.spark, f"{self.folder}/staging").progress().collect()
+        return {r.request_id: (r.outcome, r.attempts) for r in rows}
+
+
+def test_quota_is_per_run_whatever_the_batches(spark, tmp_path):
+    job = Scheduled(spark, str(tmp_path), quota=5)
+    for start in (0, 4, 8, 12):
+        job.land([row for n in range(start, start + 4) for row in response(n)])
+    assert job.run().published == 5  # four batches
+    assert job.run().published == 5  # nothing landed
+    with pytest.raises(ConnectionError):
+        job.run(fails=True)
+    job.land([row for n in range(16, 20) for row in response(n)])
+    assert job.run().published == 5  # the failed run, finished; its messages are there twice
+    names = [row.user_name for row in job.published()]
+    assert {*names} == {f"u{n}" for n in range(15)}
+    assert len({row.id for row in job.published()}) == 15
+    assert job.run().published == 5
+    assert job.run().published == 0
+    assert {row.user_name for row in job.published()} == {f"u{n}" for n in range(20)}
+
+
+def test_attempts_over_several_runs(spark, tmp_path):
+    good = response(1)[0][3]
+    job = Scheduled(spark, str(tmp_path), quota=None)
+    job.land([(1, 1, 500, None), (2, 1, 200, good), (3, 1, 500, None), (3, 2, 500, None)])
+    job.run()
+    assert job.outcomes() == {1: ("pending", 1), 2: ("accepted", 1), 3: ("pending", 2)}
+    job.land([(1, 2, 200, good), (2, 2, 200, good), (3, 3, 500, None), (2, 1, 200, good)])
+    job.run()
+    assert job.outcomes() == {1: ("accepted", 2), 2: ("accepted", 1), 3: ("pending", 3)}
+    job.land([(2, 5, 500, None), (3, 4, 500, None), (3, 5, 500, None), (1, 3, 200, good)])
+    job.run()
+    assert job.outcomes() == {1: ("accepted", 2), 2: ("accepted", 1), 3: ("exhausted", 5)}
+    assert len(job.published()) == 2
+
+
+def test_a_repeated_batch_keeps_its_ids(spark, tmp_path):
+    """A stream that lost the commit of a batch gives it again; what it decided stands."""
+    job = Scheduled(spark, str(tmp_path), quota=None)
+    job.land([row for n in range(6) for row in response(n)])
+    job.run()
+    before = sorted((r.user_name, r.id) for r in job.published())
+    for name in ("0", ".0.crc"):
+        (tmp_path / "checkpoint" / "commits" / name).unlink()
+    assert job.run().published == 0
+    assert sorted((r.user_name, r.id) for r in job.published()) == before
+
+
+def test_a_new_checkpoint_sends_nothing_again(spark, tmp_path):
+    job = Scheduled(spark, str(tmp_path), quota=None)
+    job.land([row for n in range(6) for row in response(n)])
+    job.run()
+    (tmp_path / "checkpoint").rename(tmp_path / "old")
+    job.run()
+    assert len(job.published()) == 6
+
+
 def test_kafka_sink():
     assert kafka_sink_options("broker:1") == {
         "kafka.bootstrap.servers": "broker:1",
@@ -220,9 +319,9 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
     )
     assert f"'published': {len(GOOD)}" in capsys.readouterr().out
     main(
-        ["consume", "--messages", path("messages"), "--log", path("log"), "--run", "first"]
+        ["consume", "--messages", path("messages"), "--log", path("log")]
         + ["--checkpoint", path("checkpoint"), "--table-folder", path("table")]
-        + ["--buckets", "4", "--drain"]
+        + ["--buckets", "4", "--drain", "--max-bytes-per-trigger", "1000000"]
     )
     main(["compact", "--log", path("log"), "--target", path("compacted")])
     for log in ("log", "compacted"):
@@ -240,9 +339,25 @@ def test_scheduled_run_from_the_command_line(spark, tmp_path):
         main(
             ["produce", "--responses", path("landing"), "--format", "json"]
             + ["--staging", path("staging"), "--out", path("messages")]
-            + ["--checkpoint", path("checkpoint")]
+            + ["--checkpoint", path("checkpoint"), "--max-files-per-trigger", "1"]
         )
-    assert len(published(spark, path("messages"))) == 20
+    assert len(GOOD) == 41
+    assert len(published(spark, path("messages"))) == 40
+
+
+def test_flags_that_do_not_apply_are_refused(capsys):
+    consume = ["consume", "--log", "l", "--checkpoint", "c", "--table-folder", "t"]
+    produce = ["produce", "--responses", "r", "--staging", "s", "--out", "o"]
+    for argv in (
+        [*consume, "--messages", "m", "--max-per-trigger", "10"],
+        [*consume, "--messages", "m", "--min-partitions", "4"],
+        [*consume, "--servers", "b", "--max-files-per-trigger", "4"],
+        [*consume, "--messages", "m", "--max-files-per-trigger", "4", "--max-bytes-per-trigger", "1000"],
+        [*produce, "--max-files-per-trigger", "4"],
+    ):
+        with pytest.raises(SystemExit):
+            main(argv)
+    assert "does not apply" in capsys.readouterr().err
 
 
 def test_command_line_needs_its_paths(capsys):
@@ -254,7 +369,7 @@ def test_command_line_needs_its_paths(capsys):
 def test_unavailable_source_ends_the_command_with_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="kafka"):
         main(
-            ["consume", "--servers", "broker:1", "--log", str(tmp_path / "log"), "--run", "r"]
+            ["consume", "--servers", "broker:1", "--log", str(tmp_path / "log")]
             + ["--checkpoint", str(tmp_path / "c"), "--table-folder", str(tmp_path / "t")]
         )
     assert not Path(tmp_path / "log").exists()
