@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollbook.session import shared_folder
+
 WHITE = b" \t\n\x0b\x0c\r"  # what ends a word: [\x20\x09-\x0D]
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 _RNG = np.random.default_rng(20240229)
@@ -21,17 +22,9 @@ IS_WHITE = np.zeros(256, bool)
 IS_WHITE[list(WHITE)] = True
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which the driver and all executors see."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return folder.rstrip("/")
-
-
 def written(frame: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the shared folder: computed once, its lineage cut, and safe from lost executors."""
-    path = f"{shared_folder(frame.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
+    path = shared_folder(frame.sparkSession, f"llm-{name}")
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
