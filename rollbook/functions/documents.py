@@ -26,7 +26,7 @@ def _kind(leaf: Column) -> Column:
 
 
 def _text(leaf: Column) -> Column:
-    """The cases that `plain` and `printed` share, the usual ones first."""
+    """The cases of `plain` but the last, the usual ones first."""
     text, kind = leaf.cast("string"), _kind(leaf)
     return (
         F.when(kind.isin("STRING", "BIGINT"), text)
@@ -44,15 +44,48 @@ def plain(leaf: Column) -> Column:
     return _text(leaf).otherwise(leaf.cast("string"))
 
 
+def spelled(number: Column) -> Column:
+    """The text of a floating-point number: the shortest digits that give it back, and an exponent of
+    two digits or more below 0.0001 and from 1e16 on; infinity is `inf`.
+    """
+    # Fifteen digits always survive; some numbers need one or two more.
+    tries = [F.format_string(f"%.{digits}e", number) for digits in (14, 15, 16)]
+    text = F.coalesce(*[F.when(text.cast("double") == number, text) for text in tries], tries[-1])
+    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    part = lambda group: F.regexp_extract(text, r"^-?(\d)\.(\d*?)0*e([+-]\d+)$", group)
+    first, rest, power = part(1), part(2), part(3).cast("int")
+    digits = F.concat(first, rest)
+    after = F.substring(digits, power + 2, F.lit(20))
+    size = F.abs(power).cast("string")
+    return (
+        F.when(text.contains("Infinity"), F.concat(sign, F.lit("inf")))
+        .when((power >= 16) | (power < -4), F.concat(
+            sign, first, F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(F.lit("")),
+            F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
+            F.when(F.length(size) < 2, F.concat(F.lit("0"), size)).otherwise(size),
+        ))
+        .when(power >= 0, F.concat(
+            sign, F.substring(F.rpad(digits, power + 1, "0"), F.lit(1), power + 1), F.lit("."),
+            F.when(after == "", F.lit("0")).otherwise(after),
+        ))
+        .otherwise(F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits))
+    )
+
+
 def printed(leaf: Column) -> Column:
     """The text of a leaf as it prints inside a sentence.
 
-    As `plain`, but a JSON null prints as `None`, and booleans are capitalised.
+    As `plain`, but a JSON null prints as `None`, booleans are capitalised, and a
+    number with a point or an exponent is spelled as the floating-point number it is.
     """
     text, kind = leaf.cast("string"), _kind(leaf)
+    # Integers read as BIGINT up to 18 digits and as DECIMAL without a fraction up to 38.
+    floating = (kind == "DOUBLE") | kind.rlike(r"^DECIMAL\((\d+,[1-9]\d*|(\d|1[0-8]),0)\)$")
     return (
-        _text(leaf)
+        F.when(kind.isin("STRING", "BIGINT"), text)
+        .when(leaf.isNull(), F.lit(""))
         .when(kind == "VOID", F.lit("None"))
         .when(kind == "BOOLEAN", F.initcap(text))
+        .when(floating, spelled(leaf.cast("double")))
         .otherwise(text)
     )

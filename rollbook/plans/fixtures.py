@@ -17,43 +17,60 @@ from rollbook.session import shared_folder
 
 # --- landed responses, one request per customer -------------------------------
 
-# Attempts landed per request.
+# Attempts landed per request. Some fail once, twice, or all five times and answer on the sixth; some
+# have failed three times and wait.
 ATTEMPTS = """
-    CASE c_custkey % 10 WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 2 THEN 6 ELSE 1 END
+    CASE WHEN c_custkey % 20 = 3 THEN 3
+         ELSE CASE c_custkey % 10 WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 2 THEN 6 ELSE 1 END END
 """
 STATUS = "CASE WHEN c_custkey % 10 = 0 AND attempt = 1 THEN 500 ELSE 200 END"
 
 _KEY = "CAST(c_custkey AS STRING)"
 _MONTH_DAY = "lpad(CAST(c_custkey % 12 + 1 AS STRING), 2, '0') || '-01T00:00:00.000Z'"
+# Each container is something else than an object in some document.
+_STREET = f"""
+    CASE WHEN c_custkey % 47 = 0 THEN '[]'
+         ELSE '{{"name":"' || c_mktsegment || '","number":' || {_KEY} || '}}' END
+"""
 _LOCATION = f"""
     CASE WHEN c_custkey % 17 = 0 THEN 'null' ELSE
         '{{"city":"City' || CAST(c_nationkey AS STRING)
         || '","country":"Country' || CAST(c_nationkey AS STRING)
         || '","postcode":'
-        || CASE WHEN c_custkey % 11 = 0 THEN 'null' ELSE CAST(10000 + c_custkey AS STRING) END
+        || CASE WHEN c_custkey % 11 = 0 THEN 'null' WHEN c_custkey % 29 = 0 THEN '0.0001'
+                WHEN c_custkey % 31 = 0 THEN '1234567890123456.5' WHEN c_custkey % 37 = 0 THEN 'true'
+                WHEN c_custkey % 5 = 0 THEN CAST(10000 + c_custkey AS STRING) || '.25'
+                ELSE CAST(10000 + c_custkey AS STRING) END
         || CASE WHEN c_custkey % 7 = 0 THEN ''
                 ELSE ',"state":"State' || CAST(c_custkey % 50 AS STRING) || '"' END
-        || ',"street":{{"name":"' || c_mktsegment || '","number":' || {_KEY} || '}}}}'
+        || CASE WHEN c_custkey % 79 = 0 THEN '}}' ELSE ',"street":' || {_STREET} || '}}' END
     END
 """
-_USER = f"""
-    '{{"dob":{{"date":"1980-' || {_MONTH_DAY}
-    || '"}},"email":'
+_OBJECT = f"""
+    '{{"dob":' || CASE WHEN c_custkey % 61 = 0 THEN 'null' ELSE '{{"date":"1980-' || {_MONTH_DAY} || '"}}' END
+    || ',"email":'
     || CASE WHEN c_custkey % 13 = 0 THEN 'null'
             ELSE '"' || lower(c_name) || '@example.com"' END
     || CASE WHEN c_custkey % 19 = 0 THEN ''
             WHEN c_custkey % 2 = 0 THEN ',"gender":"female"' ELSE ',"gender":"male"' END
     || ',"location":' || {_LOCATION}
-    || CASE WHEN c_custkey % 23 = 0 THEN ''
+    || CASE WHEN c_custkey % 23 = 0 THEN '' WHEN c_custkey % 59 = 0 THEN ',"login":1'
             ELSE ',"login":{{"username":"user' || {_KEY} || '"}}' END
-    || ',"name":{{"first":"' || split_part(c_name, '#', 1)
-    || '","last":"' || split_part(c_name, '#', 2)
-    || '"}},"phone":"555-' || {_KEY}
-    || '","picture":{{"medium":"https://example.com/med/' || {_KEY}
-    || '.jpg"}},"registered":{{"date":"2010-' || {_MONTH_DAY} || '"}}}}'
+    || CASE WHEN c_custkey % 73 = 0 THEN '' WHEN c_custkey % 53 = 0 THEN ',"name":"text"'
+            ELSE ',"name":{{"first":"' || split_part(c_name, '#', 1)
+                 || '","last":"' || split_part(c_name, '#', 2) || '"}}' END
+    || ',"phone":"555-' || {_KEY}
+    || '","picture":' || CASE WHEN c_custkey % 71 = 0 THEN 'false'
+                              ELSE '{{"medium":"https://example.com/med/' || {_KEY} || '.jpg"}}' END
+    || ',"registered":' || CASE WHEN c_custkey % 67 = 0 THEN '"text"'
+                                ELSE '{{"date":"2010-' || {_MONTH_DAY} || '"}}' END || '}}'
+"""
+_USER = f"""
+    CASE WHEN c_custkey % 41 = 0 THEN '"text"' WHEN c_custkey % 43 = 0 THEN 'null' ELSE {_OBJECT} END
 """
 BODY = f"""
     CASE WHEN c_custkey % 10 = 0 AND attempt = 1 THEN NULL
+         WHEN c_custkey % 20 = 3 THEN '{{"results":{{}}}}'
          WHEN c_custkey % 10 = 1 AND attempt <= 2 THEN '{{"results":[]}}'
          WHEN c_custkey % 10 = 2 AND attempt <= 5 AND attempt % 2 = 1 THEN '{{"error":"e"}}'
          WHEN c_custkey % 10 = 2 AND attempt <= 5 THEN 'nope'

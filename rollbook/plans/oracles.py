@@ -38,6 +38,10 @@ def _printed(path: str) -> str:
     return f"""
         CASE WHEN json_type(u, '$.{path}') IS NULL THEN ''
              WHEN json_type(u, '$.{path}') = 'NULL' THEN 'None'
+             WHEN json_type(u, '$.{path}') = 'BOOLEAN' THEN
+                  CASE u ->> '$.{path}' WHEN 'true' THEN 'True' ELSE 'False' END
+             WHEN json_type(u, '$.{path}') = 'DOUBLE' THEN
+                  CAST(CAST(u ->> '$.{path}' AS DOUBLE) AS VARCHAR)
              ELSE u ->> '$.{path}' END
     """
 
