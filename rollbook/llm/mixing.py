@@ -9,7 +9,8 @@ whose stretch covers the document's middle.
 
 Only sums per source and pattern come to the driver (an error is raised beyond `max_patterns`), and the hash values at
 which stretches end. They are found from sums per hash bucket and then within the buckets that hold an end. Documents
-are never sorted or shuffled: each is judged by its own hash and its pattern's few numbers.
+are never sorted or shuffled: each is judged by its own hash and its pattern's few numbers. Where the last document of
+a stretch misses its end, one more or one less, of nearly the missing size, makes up for it.
 
 Defined cases: a null text has size 0; documents of no source form a source of their own (null); an empty table gives
 no rows; rows with the same id share a hash and are treated alike, so a group of copies moves the result by its whole
@@ -162,19 +163,34 @@ def mix(
     )
     upto = F.sum("_size").over(Window.partitionBy("_pattern", "_bucket").orderBy("_hash"))
     middle = F.col("_before") + F.col("_upto") - F.col("_size") / 2
-    cuts = (
+    fits = F.max(F.when(middle <= F.col("_into"), F.struct("_hash", "_upto"))).alias("_best")
+    cuts = written(
         inside.withColumn("_upto", upto).join(F.broadcast(held), ["_pattern", "_bucket"])
-        .groupBy("_pattern", "_i", "_bucket")
-        .agg(F.max(F.when(middle <= F.col("_into"), F.col("_hash"))).alias("_cut"))
-        .select("_pattern", "_i", F.coalesce("_cut", F.shiftleft(F.col("_bucket"), 63 - _BITS) - 1).alias("_cut"))
+        .groupBy("_pattern", "_i", "_bucket", "_before", "_into").agg(fits)
+        .select(
+            "_pattern", "_i",
+            F.coalesce("_best._hash", F.shiftleft(F.col("_bucket"), 63 - _BITS) - 1).alias("_cut"),
+            (F.col("_into") - F.col("_before") - F.coalesce("_best._upto", F.lit(0))).alias("_left"),
+        ),
+        "mix-cuts",
+    )
+    # What the last document leaves open or exceeds is made up by one other of about that size.
+    after = F.col("_hash") > F.col("_cut")
+    off = F.abs(F.col("_size") - F.abs("_left"))
+    swapped = (
+        rows.select("_pattern", "_hash", "_size").join(F.broadcast(cuts), "_pattern")
+        .where(((F.col("_left") > 0) & after) | ((F.col("_left") < 0) & ~after)).where(off < F.abs("_left"))
+        .groupBy("_pattern", "_i").agg(F.min(F.struct(off.alias("off"), "_hash")).alias("_best"))
+        .select("_pattern", "_i", F.col("_best._hash").alias("_swap"))
     )
     plan = (
-        found.join(F.broadcast(cuts), ["_pattern", "_i"], "left")
+        found.join(F.broadcast(cuts), ["_pattern", "_i"], "left").join(F.broadcast(swapped), ["_pattern", "_i"], "left")
+        .withColumns({c: F.coalesce(c, F.lit(-1)) for c in ("_cut", "_swap")})
         .groupBy("_pattern")
-        .agg(F.sort_array(F.collect_list(F.struct("_i", "_source", "_pass", F.coalesce("_cut", F.lit(-1)).alias("_cut")))).alias("_ends"))
-    )
+        .agg(F.sort_array(F.collect_list(F.struct("_i", "_source", "_pass", "_cut", "_swap"))).alias("_ends"))
+    )
     plan = written(plan, "mix-plan")  # a row for each pattern
-    passed = "_p < e._pass or (_p = e._pass and _hash <= e._cut)"
+    passed = "_p < e._pass or (_p = e._pass and (_hash <= e._cut) <> (_hash = e._swap))"
     drawn = rows.join(F.broadcast(plan), "_pattern", "left").withColumn(
         "routed",
         F.expr(
