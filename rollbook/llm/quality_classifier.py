@@ -33,7 +33,6 @@ for _i, _bytes in enumerate(
 _CLASS[128:] = 0  # letters beyond ASCII, for the languages at hand
 _CLASS[:9] = _CLASS[14:32] = _CLASS[127] = 10
 _CLASSES = 11
-_LINE_BREAK = re.compile(rb"\n")
 
 
 def features(raw: bytes) -> np.ndarray:

@@ -58,26 +58,21 @@ def measure(raw: bytes) -> tuple[int, ...]:
 
 @dataclass(frozen=True)
 class Rule:
-    """Fails where `fails` is true. The place in RULES is the bit."""
+    """Fails where the condition on the measurements holds. Its place in RULES is its bit."""
 
     name: str
-    fails: Column | None
-    text: str
-
-
-def _rule(name: str, text: str) -> Rule:
-    return Rule(name, None, text)
+    fails: str
 
 
 #: In the order of their bits; a new rule goes to the end, so that old ledgers stay readable.
 RULES = [
-    _rule("few_words", "n_words < 10"),
-    _rule("repeated_windows", "100 * n_repeat_words > 20 * n_words"),
-    _rule("symbols", "10 * n_symbols > n_words"),
-    _rule("duplicate_lines", "100 * n_dup_lines > 30 * n_lines"),
-    _rule("short_words", "word_chars < 2 * n_words"),
-    _rule("long_words", "word_chars > 20 * n_words"),
-    _rule("few_letters", "100 * n_letter_words < 60 * n_words"),
+    Rule("few_words", "n_words < 10"),
+    Rule("repeated_windows", "100 * n_repeat_words > 20 * n_words"),
+    Rule("symbols", "10 * n_symbols > n_words"),
+    Rule("duplicate_lines", "100 * n_dup_lines > 30 * n_lines"),
+    Rule("short_words", "word_chars < 2 * n_words"),
+    Rule("long_words", "word_chars > 20 * n_words"),
+    Rule("few_letters", "100 * n_letter_words < 60 * n_words"),
 ]
 BITS = {rule.name: 1 << i for i, rule in enumerate(RULES)}
 
@@ -101,7 +96,7 @@ POLICIES = [
 def ledger(documents: DataFrame, keep: list[str]) -> DataFrame:
     """The kept columns, the measurements and `failures`, a bit for each failed rule."""
     measured = per_row(documents, MEASURES, keep, "text", measure)
-    bits = [F.when(F.expr(rule.text), F.lit(BITS[rule.name])).otherwise(F.lit(0)) for rule in RULES]
+    bits = [F.when(F.expr(rule.fails), F.lit(BITS[rule.name])).otherwise(F.lit(0)) for rule in RULES]
     total = bits[0]
     for bit in bits[1:]:
         total = total.bitwiseOR(bit)

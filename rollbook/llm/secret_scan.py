@@ -17,7 +17,6 @@ of one id or of none, are scanned each by itself; further columns are ignored un
 from __future__ import annotations
 
 import re
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np

@@ -177,8 +177,8 @@ def _stretches(flags: np.ndarray) -> list[int]:
     return np.stack((np.flatnonzero(turns == 1), np.flatnonzero(turns == -1)), 1).ravel().tolist()
 
 
-def _bit_map(frame: DataFrame, column: Column) -> DataFrame:
-    """A packed map of fixed size of the values of column, modulo its length."""
+def _bit_map(frame: DataFrame, column: Column):
+    """A broadcast, packed map of fixed size of the values of column, modulo its length."""
     bits = np.zeros(1 << _BITS, bool)
     at = frame.select(F.pmod(column, F.lit(1 << _BITS)).cast("int").alias("at")).distinct().toPandas()
     bits[at["at"].to_numpy()] = True
@@ -198,7 +198,7 @@ def _marked(texts: DataFrame, shared, inverse: bool = False) -> DataFrame:
 
 
 def _grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, name, times) of each text; names are numbered rows of the batch's first column."""
+    """(gram, name, times) of each text in batches of (name, text)."""
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             found: list[tuple[int, bytes, int]] = []
