@@ -62,7 +62,7 @@ f AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 10 * n_symbols > n_words
-            OR 100 * n_dup_lines > 30 * n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+            OR 100 * n_dup_lines > 60 * n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words
             OR 100 * n_letter_words < 60 * n_words) AS kept
 FROM f
 """

@@ -15,7 +15,6 @@ their names, are ignored.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np

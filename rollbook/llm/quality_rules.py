@@ -69,7 +69,7 @@ RULES = [
     Rule("few_words", "n_words < 10"),
     Rule("repeated_windows", "100 * n_repeat_words > 20 * n_words"),
     Rule("symbols", "10 * n_symbols > n_words"),
-    Rule("duplicate_lines", "100 * n_dup_lines > 30 * n_lines"),
+    Rule("duplicate_lines", "100 * n_dup_lines > 60 * n_lines"),
     Rule("short_words", "word_chars < 2 * n_words"),
     Rule("long_words", "word_chars > 20 * n_words"),
     Rule("few_letters", "100 * n_letter_words < 60 * n_words"),
