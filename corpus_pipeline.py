@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rollbook.llm import decontamination, mixing, near_dedup, quality_classifier, secret_scan
-from rollbook.llm.common import table, unused, written
+from rollbook.llm.common import fingerprint_filter, table, unused, written
 
 KEPT_FROM = 0.3
 
@@ -39,8 +39,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     text = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
     found = near_dedup.groups(docs.select("doc_id", "text", text.alias("hash")), ["hash"])
     found = written(found, "near-found")
-    gone = found.where("n_shingles > 0 and doc_id <> component_id").select("doc_id", "hash").distinct()
-    left = docs.join(gone, (docs["doc_id"] == gone["doc_id"]) & (text == gone["hash"]), "left_anti")
+    gone = written(
+        found.where("n_shingles > 0 and doc_id <> component_id").select("doc_id", "hash").distinct(), "near-gone"
+    )
+    # Only rows whose fingerprint is among those that go are shuffled, to be compared exactly.
+    key = lambda id_, hash_: F.concat(F.coalesce(id_.cast("string"), F.lit("")), F.lit(":"), hash_).cast("binary")
+    maybe = fingerprint_filter(gone, key(F.col("doc_id"), F.col("hash")))(key(docs["doc_id"], text))
+    match = (docs["doc_id"] == gone["doc_id"]) & (text == gone["hash"])
+    left = docs.where(~maybe).unionByName(docs.where(maybe).join(gone, match, "left_anti"))
     again = written(
         found.where("n_shingles > 0").groupBy("doc_id", "hash").count().where("count > 1").select("doc_id", "hash"), "near-again"
     )

@@ -29,6 +29,24 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def fingerprint_filter(frame: DataFrame, key: Column, bits: int = 21) -> Callable[[Column], Column]:
+    """A test of whether a key may be among those of `frame`: never false for one that is.
+
+    A bit map of fixed size, whatever the input, so that rows which cannot match need not be shuffled.
+    """
+    place = lambda key: F.pmod(F.crc32(key), F.lit(1 << bits))
+    marked = np.zeros(1 << bits, bool)
+    marked[frame.select(place(key).cast("int").alias("at")).distinct().toPandas()["at"].to_numpy()] = True
+    packed = F.lit(bytearray(np.packbits(marked, bitorder="little").tobytes()))
+
+    def test(key: Column) -> Column:
+        at = place(key)
+        byte = F.conv(F.hex(F.substring(packed, F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        return F.getbit(byte, at.bitwiseAND(F.lit(7)).cast("int")) == 1
+
+    return test
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
