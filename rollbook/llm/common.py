@@ -71,22 +71,23 @@ def per_row(
 
     schema names the new columns in the order of of()'s values. Nothing is shuffled.
     """
-    fields = frame.select(*(F.col(f"`{c}`") for c in keep)).schema
+    rows = frame.select(*(F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)), F.col(text).cast("string").alias("text"))
     names = [part.strip().split(" ")[0] for part in schema.split(",")]
+    plain = [f"k{i}" for i in range(len(keep))] + [f"v{i}" for i in range(len(names))]  # names may hold any sign
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target = None
+        kinds = _types(schema)
         for batch in batches:
             column = batch.column(len(keep)).cast(pa.binary())
             for part in range(0, batch.num_rows, 1000):
                 values = [of(x or b"") for x in column.slice(part, 1000).to_pylist()]
-                made = [pa.array(x, t) for x, t in zip(zip(*values), target or _types(schema), strict=True)]
+                made = [pa.array(x, t) for x, t in zip(zip(*values), kinds, strict=True)]
                 kept = [batch.column(i).slice(part, 1000) for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays([*kept, *made], [*keep, *names])
+                yield pa.RecordBatch.from_arrays([*kept, *made], plain)
 
-    out = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), schema])
-    quoted = [F.col(f"`{c}`") for c in keep]
-    return frame.select(*quoted, F.col(text).cast("string").alias("text of row")).mapInArrow(run, out)
+    kept = [f"k{i} {field.dataType.simpleString()}" for i, field in enumerate(rows.schema.fields[:-1])]
+    made = [f"v{i} {part.strip().split(' ', 1)[1]}" for i, part in enumerate(schema.split(","))]
+    return rows.mapInArrow(run, ", ".join([*kept, *made])).toDF(*keep, *names)
 
 
 _ARROW = {
