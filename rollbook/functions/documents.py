@@ -47,7 +47,13 @@ def plain(leaf: Column) -> Column:
 def spelled(number: Column) -> Column:
     """The text of a floating-point number: the shortest digits that give it back, and an exponent of
     two digits or more below 0.0001 and from 1e16 on; infinity is `inf`.
+
+    It is rare and long, so it is kept out of the generated code, as the transform of a one-element array.
     """
+    return F.get(F.transform(F.array(number), _spelled), F.lit(0))
+
+
+def _spelled(number: Column) -> Column:
     # Fifteen digits always survive; some numbers need one or two more.
     tries = [F.format_string(f"%.{digits}e", number) for digits in (14, 15, 16)]
     text = F.coalesce(*[F.when(text.cast("double") == number, text) for text in tries], tries[-1])

@@ -55,8 +55,11 @@ class Run:
 
 
 class Staging:
+    """The folder of one producing job; one run of the job at a time writes to it."""
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self._last: int | None = None
 
     def _read(self, name: str, schema: T.StructType | str) -> DataFrame:
         try:
@@ -73,8 +76,10 @@ class Staging:
 
     def last_version(self) -> int:
         """-1 when there is none."""
-        last = self._read("commits", _COMMIT).agg(F.max("version")).first()[0]
-        return -1 if last is None else last
+        if self._last is None:
+            last = self._read("commits", _COMMIT).agg(F.max("version")).first()[0]
+            self._last = -1 if last is None else last
+        return self._last
 
     def has(self, query: str, batch_id: int) -> bool:
         commits = self._read("commits", _COMMIT)
@@ -91,6 +96,7 @@ class Staging:
         self._write(outcomes, f"resolved/version={version}")
         row = self.spark.createDataFrame([(query, batch_id)], "query string, batch_id long")
         self._write(row.coalesce(1), f"commits/version={version}")
+        self._last = version
 
     # --- sending ---
 
