@@ -7,23 +7,29 @@ labelled findings; without a table of them, `labelled` marks the clear cases of
 values assigned to a name that means a secret are positive, plain numbers, parts of addresses and of paths are negative,
 all others are left to the forest.
 
-Dictionary, letter pairs and forest come from at most `sample` documents and `rows` findings (parameters), drawn by
-hash. Scanning is one pass over whole texts without a shuffle.
+Words, letter pairs and labels are counted over all documents, in partial sums. What the model holds is bounded: the
+`most` frequent words as its dictionary, and of each class all labelled findings, or `rows` of them drawn by hash. Clear
+cases are reported whatever the forest says, and alone where a class is empty. Scanning is one pass over whole texts
+without a shuffle.
 
-Defined cases: a null text is empty; an empty table gives no rows and a model that finds nothing; equal rows, and rows
+Defined cases: a null text is empty; an empty table gives no rows and a model of the clear cases alone; equal rows, and rows
 of one id or of none, are scanned each by itself; further columns are ignored unless kept. Offsets are code points.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import per_row, unused
+from rollbook.llm.common import per_row, unused, written
 from rollbook.llm.trees import Forest, forest
 
 _CANDIDATE = re.compile(rb"(?<![A-Za-z0-9_/+.\-])[A-Za-z0-9_/+.\-]{12,}+={0,2}")
@@ -42,6 +48,8 @@ _KIND = np.full(256, 4, np.int64)
 for _i, _r in enumerate((range(97, 123), range(65, 91), range(48, 58))):
     _KIND[list(_r)] = _i
 _KIND[list(b"/.-_")] = 3
+BEFORE, AFTER = 40, 20  # bytes beside a candidate that the forest sees
+DISTINCT = 200_000  # words that a task counts before it passes partial sums on
 Span = tuple[int, int]
 
 
@@ -65,11 +73,16 @@ class Language:
 
     @classmethod
     def of(cls, counts: dict[bytes, int]) -> Language:
-        pairs = np.ones((26, 26))
+        pairs = np.zeros((26, 26))
         for word, n in counts.items():
             codes = np.frombuffer(word, np.uint8).astype(int) - 97
             np.add.at(pairs, (codes[:-1], codes[1:]), n)
-        return cls(frozenset(counts), np.log10(pairs / pairs.sum(1, keepdims=True)))
+        return cls.from_pairs(counts, pairs)
+
+    @classmethod
+    def from_pairs(cls, words, pairs: np.ndarray) -> Language:
+        pairs = pairs + 1
+        return cls(frozenset(words), np.log10(pairs / pairs.sum(1, keepdims=True)))
 
 
 def shape(raw: bytes, span: Span, language: Language) -> list[float]:
@@ -85,7 +98,7 @@ def shape(raw: bytes, span: Span, language: Language) -> list[float]:
     reads = [language.pairs[a - 97, b - 97] for x in parts for a, b in zip(x, x[1:])]
     times = np.bincount(np.frombuffer(text, np.uint8)) / n
     times = times[times > 0]
-    before, after = raw[max(0, start - 40) : start], raw[end : end + 20]
+    before, after = raw[max(0, start - BEFORE) : start], raw[end : end + AFTER]
     near = [x.lower() for x in re.findall(rb"[A-Za-z_]+", before)[-3:]]
     m = _ASSIGN.search(before)
     hexes = len(re.sub(rb"[^0-9a-fA-F]", b"", text)) / n
@@ -119,46 +132,93 @@ class Model:
     threshold: float = 0.5
 
     def find(self, raw: bytes) -> tuple[int, list[Span]]:
-        """The number of candidates, and the spans (in bytes) judged to be secrets."""
+        """The number of candidates, and the spans (in bytes) judged to be secrets: clear findings, with or without a forest,
+        and what the forest takes for one."""
         spans = candidates(raw)
         if not spans:
             return 0, []
         scores = self.forest(np.array([shape(raw, s, self.language) for s in spans]))
-        return len(spans), [s for s, p in zip(spans, scores, strict=True) if p >= self.threshold]
+        return len(spans), [s for s, p in zip(spans, scores, strict=True) if p >= self.threshold or labelled(raw, s) == 1]
 
 
-def _drawn(documents: DataFrame, sample: int, seed: int) -> DataFrame:
-    ids = documents.select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(sample)
-    return documents.select("doc_id", "text").join(
-        F.broadcast(ids.withColumnRenamed("doc_id", "drawn")), F.col("doc_id") == F.col("drawn")
-    )
+def _row_of(w: list[str], n: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"w": pa.array(w, pa.string()), "n": pa.array(n, pa.int64())})
 
 
-def language_of(documents: DataFrame, sample: int = 2000, most: int = 20000, seed: int = 3) -> Language:
-    """From words of at least two of the drawn documents, the `most` frequent."""
+def language_of(documents: DataFrame, most: int = 20000) -> Language:
+    """Letter pairs of all words that are in at least two rows, weighted by rows; the `most` frequent are the dictionary."""
 
-    def one(raw: bytes):
-        return (sorted({x.decode() for x in _LETTERS.findall(raw.lower())}),)
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[bytes] = Counter()
+        for batch in batches:
+            for text in batch.column(0).cast(pa.binary()).to_pylist():
+                counts.update(set(_LETTERS.findall((text or b"").lower())))
+                if len(counts) >= DISTINCT:
+                    yield _row_of(w=[x.decode() for x in counts], n=list(counts.values()))
+                    counts.clear()
+        yield _row_of(w=[x.decode() for x in counts], n=list(counts.values()))
 
-    words = per_row(_drawn(documents, sample, seed), "w array<string>", ["doc_id"], "text", one).select(F.explode("w").alias("w"))
-    counts = words.groupBy("w").count().where("count > 1").orderBy(F.desc("count"), "w").limit(most)
-    return Language.of({r["w"].encode(): r["count"] for r in counts.toLocalIterator()})
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(26 * 26, np.int64)
+        for batch in batches:
+            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                codes = np.frombuffer(word.encode(), np.uint8).astype(int) - 97
+                np.add.at(total, codes[:-1] * 26 + codes[1:], n)
+        yield pa.RecordBatch.from_pydict({"x": pa.array([total.tolist()], pa.list_(pa.int64()))})
 
+    partial = documents.select(F.col("text").cast("string")).mapInArrow(words, "w string, n long")
+    counts = written(partial.groupBy("w").agg(F.sum("n").alias("n")).where("n > 1"), "secret-words")
+    total = np.zeros(26 * 26)
+    for r in counts.select("w", "n").mapInArrow(pairs, "x array<long>").toLocalIterator():  # a row for each task
+        total += r.x
+    frequent = counts.orderBy(F.desc("n"), "w").limit(most)
+    return Language.from_pairs([r.w.encode() for r in frequent.toLocalIterator()], total.reshape(26, 26))
 
-def train(documents: DataFrame, label=labelled, sample: int = 20000, rows: int = 20000, seed: int = 3) -> Model:
-    """The forest from findings that `label` decides, in drawn documents."""
-    language = language_of(documents, seed=seed)
 
-    def one(raw: bytes):
-        marked = ((label(raw, span), span) for span in candidates(raw))
-        return ([[float(mark), *shape(raw, span, language)] for mark, span in marked if mark is not None],)
+def train(documents: DataFrame, label=labelled, rows: int = 20000) -> Model:
+    """The forest from findings of all documents that `label` decides: of each class all, or `rows` drawn by hash.
 
-    found = per_row(_drawn(documents, sample, seed), "x array<array<double>>", ["doc_id"], "text", one)
-    found = found.select(F.explode("x").alias("x")).orderBy(F.xxhash64("x", F.lit(seed)), "x").limit(rows)
-    got = np.array([r.x for r in found.toLocalIterator()], float)
-    if not len(got) or len(set(got[:, 0])) < 2:
+    Findings that are equal with all that the forest sees of them count once, so that copies crowd out no other.
+    """
+    language = language_of(documents)
+
+    def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drawn: tuple[dict, dict] = ({}, {})
+        most = [2**63, 2**63]  # hashes from here on are not among the `rows` least
+        for batch in batches:
+            for text in batch.column(0).cast(pa.binary()).to_pylist():
+                for span in candidates(text or b""):
+                    if (mark := label(text, span)) is None:
+                        continue
+                    seen = text[max(0, span[0] - BEFORE) : span[1] + AFTER]
+                    place = span[0] - max(0, span[0] - BEFORE)
+                    key = b"%d:%d:" % (place, span[1] - span[0]) + seen
+                    number = int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "big") >> 1
+                    own = drawn[mark]
+                    if number < most[mark] and number not in own:
+                        own[number] = shape(text, span, language)
+                        if len(own) >= 2 * rows:
+                            for k in sorted(own)[rows:]:
+                                del own[k]
+                            most[mark] = max(own, default=0)
+        for mark, own in enumerate(drawn):
+            for at in range(0, len(keys := sorted(own)[:rows]), 1000):
+                part = keys[at : at + 1000]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "mark": pa.array([mark] * len(part), pa.int32()), "hash": pa.array(part, pa.int64()),
+                        "x": pa.array([own[k] for k in part], pa.list_(pa.float64())),
+                    }
+                )
+
+    found = written(documents.select(F.col("text").cast("string")).mapInArrow(one, "mark int, hash long, x array<double>"), "secret-found")
+    classes = []
+    for mark in (0, 1):
+        least = found.where(F.col("mark") == mark).groupBy("hash").agg(F.min("x").alias("x")).orderBy("hash").limit(rows)
+        classes.append(np.array([r.x for r in least.toLocalIterator()], float))
+    if not all(map(len, classes)):
         return Model(Forest([], 0.0), language)
-    return Model(forest(got[:, 1:], got[:, 0]), language)
+    return Model(forest(np.concatenate(classes), np.repeat([0.0, 1.0], [len(c) for c in classes])), language)
 
 
 def scan(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
