@@ -1,11 +1,15 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
-A candidate is an unbroken run of 12 or more characters of keys and tokens that is no plain word. The forest sees its
-length, its character classes and their transitions, how it reads under letter pairs of ordinary words, how much of it
-a dictionary covers, whether it looks like a path or an address, and the words and signs beside it. It is trained from
-labelled findings; without a table of them, `labelled` marks the clear cases of a sample: well-known key formats and
-values assigned to a name that means a secret are positive, plain numbers, parts of addresses and of paths are negative,
-all others are left to the forest.
+A candidate is an unbroken run of 12 or more characters of keys and tokens that is no plain word; a well-known format
+wherever it stands between other signs; the password, or the token, of a login in an address (://user:password@host); or
+a value of four or more signs of any kind, in quotes or up to white space, assigned to a name that means a secret. Plain
+words are values of names like `password` alone, and after a colon only in quotes. The forest sees a candidate's length,
+its character classes and their transitions, how it reads under letter pairs of ordinary words, how much of it a
+dictionary covers, whether it looks like a path or an address, and the words and signs beside it. It is trained from
+labelled findings; without a table of them, `labelled` marks the clear cases: what stands for a value (variables, calls,
+marks) is negative; known formats, passwords in logins, and values with letters and digits assigned to a name that means
+a secret are positive; values of such names without digits are not decided; plain numbers, parts of addresses and of
+paths are negative; all others are left to the forest.
 
 Words, letter pairs and labels are counted over all documents, in partial sums. What the model holds is bounded: the
 `most` frequent words as its dictionary, and of each class all labelled findings, or `rows` of them drawn by hash. Clear
@@ -34,16 +38,40 @@ from rollbook.llm.trees import Forest, forest
 
 _CANDIDATE = re.compile(rb"(?<![A-Za-z0-9_/+.\-])[A-Za-z0-9_/+.\-]{12,}+={0,2}")
 _SPLIT = re.compile(rb"[A-Za-z]+")
+_WHITE = re.compile(rb"\s")
 _LETTERS = re.compile(rb"[a-z]{2,}")
 #: Openings of well-known key formats, and names that announce a secret.
 FORMATS = re.compile(
     rb"(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}"
-    rb"|sk_live_[A-Za-z0-9]{16,}|eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,})"
+    rb"|sk_live_[A-Za-z0-9]{16,}|(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,})"
 )
 CUES = frozenset(
     b"password passwd pwd secret token key apikey api_key auth bearer credential credentials private access".split()
 )
 _ASSIGN = re.compile(rb"([A-Za-z_-]+)[\"']?\s{0,3}(?::|=|=>|:=)\s{0,3}[\"']?$")
+#: A format as it stands in other text.
+_FORMAT = re.compile(rb"(?<![A-Za-z0-9])" + FORMATS.pattern + rb"(?![A-Za-z0-9])")
+#: Of these names the last part announces a secret whatever the value, plain words and white space included.
+_STRONG = frozenset(b"password passwd pwd passphrase secret token apikey credential credentials".split())
+#: The end of a name that may be a cue, a sign of assignment, and perhaps a quote.
+_HEAD = re.compile(
+    rb"(?i:passw(?:or)?d|pwd|passphrase|secret|token|key|auth|bearer|credentials?|private|access)(?P<end>)"
+    rb"[\"']?[ \t]{0,3}(?P<sign>=>|:=|=|:)[ \t]{0,3}(?P<quote>[\"']?)"
+)
+_CLOSE = {b'"': re.compile(rb'["\r\n]'), b"'": re.compile(rb"['\r\n]"), b"": re.compile(rb"[\s\"'<>]")}
+_NAME = re.compile(rb"[A-Za-z_-]+$")
+_PARTS = re.compile(rb"(?<=[a-z])(?=[A-Z])|[_-]+")
+_PLAIN = re.compile(rb"[A-Za-z]?[a-z]+(?:-[a-z]+)*|[A-Z]+")
+#: What stands between :// and @: user:password, up to the last @ before a path, or a token alone.
+_LOGIN = re.compile(rb"://(?:[^\s/:@\"'<>]*:([^\s/\"'<>]+)|([^\s/:@\"'<>]{12,}))@")
+_IN_LOGIN = re.compile(rb"://([^\s/:@\"'<>]*:)?$")
+#: What stands for a value: variables, marks, and words that name the thing instead of being it; calls.
+_STANDS_FOR = re.compile(
+    rb"[$%#]?\{.*\}|\$[A-Z_]+|\$\(.*\)|%\w+%|%s|<.*>|\[.*\]|(.)\1*"
+    rb"|(?i:null|none|nil|true|false|undefined|passw(?:or)?d|secret|token|key|change_?me|example|redacted)",
+    re.DOTALL,
+)
+_CALL = re.compile(rb"[A-Za-z_][\w.]*[(\[](?:.*[)\]])?", re.DOTALL)
 _KIND = np.full(256, 4, np.int64)
 for _i, _r in enumerate((range(97, 123), range(65, 91), range(48, 58))):
     _KIND[list(_r)] = _i
@@ -53,15 +81,88 @@ DISTINCT = 200_000  # words that a task counts before it passes partial sums on
 Span = tuple[int, int]
 
 
+def _cue(name: bytes) -> tuple[bool, bool]:
+    """Whether a name or its last part announces a secret, and whether it does so whatever the value."""
+    parts = [x.lower() for x in _PARTS.split(name) if x] or [b""]
+    strong = parts[-1] in _STRONG or b"".join(parts[-2:]) == b"apikey"
+    return strong or name.lower() in CUES or parts[-1] in CUES, strong
+
+
+def _no_word(text: bytes) -> bool:
+    kinds = {*_KIND[np.frombuffer(text, np.uint8)].tolist()}
+    return 2 in kinds or 1 in kinds and 0 in kinds and not text.istitle()
+
+
+def _assigned(raw: bytes) -> list[tuple[int, int, int]]:
+    """Values of any signs, four at least, after a cue; 0 where quoted, else 1.
+
+    Plain words are values of strong cues alone, and after a colon only in quotes.
+    """
+    heads = []
+    for m in _HEAD.finditer(raw):
+        name = _NAME.search(raw[max(0, m.start() - BEFORE) : m.end("end")])[0]
+        cue, strong = _cue(name)
+        if cue:
+            heads.append((m.end("end") - len(name), m.end(), m["quote"], m["sign"] == b":", strong))
+    out, done, stop = [], 0, 0
+    for (at, start, quote, colon, strong), after in zip(heads, [*(h[0] for h in heads), len(raw)][1:], strict=True):
+        if start <= done:  # in the quotes of the last
+            continue
+        m = _CLOSE[quote].search(raw, start) if quote else None
+        if quoted := bool(m) and m[0] == quote:
+            end = done = m.start()
+        else:
+            if start > stop:
+                stop = m.start() if (m := _CLOSE[b""].search(raw, start)) else len(raw)
+            end = max(start, min(stop, after))
+        text = raw[start:end]
+        if not quoted:
+            if raw[max(0, at - 1) : at] in (b"?", b"&"):
+                text = re.split(rb"[&#]", text, maxsplit=1)[0]  # of an address
+            text = text.rstrip(b".,;:" + b")" * (b"(" not in text) + b"]" * (b"[" not in text))
+        if len(text) < 4:
+            continue
+        if (quoted or not colon or not _PLAIN.fullmatch(text)) if strong else _no_word(text) and not _WHITE.search(text):
+            out.append((start, start + len(text), int(not quoted)))
+    return out
+
+
+def _special(raw: bytes) -> list[Span]:
+    """Logins of addresses, values after cues and known formats; of two that overlap the inner, but nothing inside quotes."""
+    found = _assigned(raw)
+    found += [(*m.span(m.lastindex), 2) for m in _LOGIN.finditer(raw) if m[1] or _no_word(m[2])]
+    found += [(*m.span(), 3) for m in _FORMAT.finditer(raw)]
+    out: list[tuple[int, int, int]] = []
+    for x in sorted(found, key=lambda x: (x[0], x[2])):
+        if not out or x[0] >= out[-1][1]:
+            out.append(x)
+        elif x[2] < 3 and out[-1][2] == 1:
+            out[-1] = x
+    return [x[:2] for x in out]
+
+
 def candidates(raw: bytes) -> list[Span]:
-    out = []
+    special = _special(raw)
+    out, k = list(special), 0
     for m in _CANDIDATE.finditer(raw):
-        start, end = m.span()
-        end -= len(m.group()) - len(m.group().rstrip(b".-"))  # the end of a sentence is no part
-        kinds = {*_KIND[np.frombuffer(raw[start:end], np.uint8)].tolist()}
-        if end - start >= 12 and (2 in kinds or 1 in kinds and 0 in kinds and not raw[start:end].istitle()):
-            out.append((start, end))
-    return out
+        start, stop = m.span()
+        while k < len(special) and special[k][1] <= start:
+            k += 1
+        pieces, j = [], k
+        while j < len(special) and special[j][0] < stop:
+            pieces.append((start, special[j][0]))
+            start = special[j][1]
+            j += 1
+        for start, end in [*pieces, (start, stop)]:
+            end -= max(0, end - start) - len(raw[start:end].rstrip(b".-"))  # the end of a sentence is no part
+            if end - start >= 12 and _no_word(raw[start:end]):
+                out.append((start, end))
+    return sorted(out)
+
+
+def _in_login(raw: bytes, span: Span) -> re.Match | None:
+    """Whether a span is the password, or the token, of a login in an address."""
+    return _IN_LOGIN.search(raw[max(0, span[0] - 300) : span[0]]) if raw[span[1] : span[1] + 1] == b"@" else None
 
 
 @dataclass
@@ -101,26 +202,34 @@ def shape(raw: bytes, span: Span, language: Language) -> list[float]:
     before, after = raw[max(0, start - BEFORE) : start], raw[end : end + AFTER]
     near = [x.lower() for x in re.findall(rb"[A-Za-z_]+", before)[-3:]]
     m = _ASSIGN.search(before)
+    login = bool(_in_login(raw, span))
     hexes = len(re.sub(rb"[^0-9a-fA-F]", b"", text)) / n
     return [
         n, hexes, float(-(times * np.log2(times)).sum()), known, float(np.mean(reads)) if reads else 0.0, len(parts) / n,
         max(map(len, parts), default=0), *classes, *turns[:3, :3].ravel(), turns[3].sum(),
         text.count(b"/"), text.count(b"."), float(bool(re.search(rb"\.[a-z]{2,4}$", text))),
-        float(before[-3:] in (b"://", b"ww.") or before[-1:] == b"@" or after[:1] == b"@"),
+        float(not login and (before[-3:] in (b"://", b"ww.") or before[-1:] == b"@" or after[:1] == b"@")), float(login),
         float(before[-1:] in b"\"'" and bool(before)), float(bool(m)), float(any(x in CUES for x in near)),
-        float(bool(m) and m[1].lower() in CUES), float(not parts),
+        float(bool(m) and _cue(m[1])[0]), float(not parts),
     ]
 
 
 def labelled(raw: bytes, span: Span) -> int | None:
     """1: a clear finding. 0: clearly none. None: not decided by rule."""
-    text, before, after = raw[slice(*span)], raw[max(0, span[0] - 40) : span[0]], raw[span[1] : span[1] + 1]
-    if before[-1:] == b"@" or after == b"@" or before.endswith(b"://") or not _SPLIT.search(text):
+    text, before, after = raw[slice(*span)], raw[max(0, span[0] - BEFORE) : span[0]], raw[span[1] : span[1] + 1]
+    if _STANDS_FOR.fullmatch(text) or before[-1:] not in (b'"', b"'") and _CALL.fullmatch(text):
         return 0
-    m = _ASSIGN.search(before)
-    if FORMATS.fullmatch(text) or m and m[1].lower() in CUES and re.search(rb"[0-9]", text):
+    if _FORMAT.search(text):
         return 1
-    if text.count(b"/") > 1 or re.search(rb"\.[a-z]{2,4}$", text) or not re.search(rb"[0-9]", text):
+    digit, letter = re.search(rb"[0-9]", text), _SPLIT.search(text)
+    if m := _in_login(raw, span):
+        return 1 if m[1] else None
+    m = _ASSIGN.search(before)
+    if m and (cue := _cue(m[1]))[0]:
+        return 1 if digit and letter and len(text) >= (8 if cue[1] else 12) and not _WHITE.search(text) else None
+    if before[-1:] == b"@" or after == b"@" or before.endswith(b"://") or not letter:
+        return 0
+    if text.count(b"/") > 1 or re.search(rb"\.[a-z]{2,4}$", text) or not digit:
         return 0
     return None
 
