@@ -3,7 +3,10 @@
 Building: void elements, raw text of scripts and styles, character references; paragraphs, list items, definitions,
 options, rows, cells and row groups end where HTML lets them end unsaid; an end tag closes what is open inside it and
 is ignored if nothing matches within its table. Hidden: head, scripts, styles, templates, media fallbacks, `hidden`,
-`display: none`, `visibility: hidden`, closed details except their summary, hidden inputs. All other text is kept.
+`display: none`, closed details except their summary; what `visibility` hides, except descendants that are visible again;
+hidden, password, choice, file, range and colour inputs; in drawings all but `text` and `foreignObject`, and definitions;
+in formulas annotations and phantoms. All other text is kept, values of inputs (else their placeholders) included; the
+parts of a fraction are joined by a slash.
 
 Layout: white space collapses outside preformatted text; blocks start lines, paragraphs, headings, lists and tables
 stand apart by one blank line; list items have bullets or numbers and are indented by level; table columns are aligned,
@@ -31,8 +34,13 @@ DEEPEST = 512  # levels; deeper elements become siblings, as in browsers
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset(
-    "head title meta link base script style template iframe object audio video canvas datalist noembed noframes svg math".split()
+    "head title meta link base script style template iframe object audio video canvas datalist noembed noframes".split()
 )
+FOREIGN = frozenset("svg math foreignobject".split())
+#: Not rendered where they stand in drawings and formulas.
+UNDRAWN = frozenset("desc defs metadata symbol clippath mask marker pattern".split())
+UNSAID = frozenset("annotation annotation-xml mphantom".split())
+VALUELESS = frozenset("hidden password checkbox radio file image range color".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary ul option optgroup"
@@ -58,7 +66,8 @@ _TAG = re.compile(
     re.DOTALL,
 )
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_GONE = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)")
+_GONE = re.compile(r"(?i)display\s*:\s*none")
+_SEEN = re.compile(r"(?i)(?<![a-z-])visibility\s*:\s*(visible|initial|hidden|collapse)")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -134,6 +143,9 @@ def parse(html: str) -> Node:
             stack.append(row)
         node = Node(name, attrs)
         stack[-1].children.append(node)
+        inside = next((x.name for x in reversed(stack) if x.name in FOREIGN), "") if m["attrs"].rstrip().endswith("/") else ""
+        if inside in ("svg", "math") or m["attrs"].rstrip().endswith("/") and name in ("svg", "math", "path"):
+            continue  # only there a slash ends an element
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(html, at)
             stop = end.start() if end else n
@@ -143,7 +155,7 @@ def parse(html: str) -> Node:
             at = stop
             if end:
                 at = html.find(">", stop) + 1 or n
-        elif name not in VOID and not (m["attrs"].rstrip().endswith("/") and name in ("svg", "path")):
+        elif name not in VOID:
             if len(stack) >= DEEPEST:
                 stack.pop()
             stack.append(node)
@@ -156,6 +168,13 @@ def hidden(node: Node) -> bool:
     return bool(_GONE.search(node.attrs.get("style", "")))
 
 
+def unseen(node: Node, above: bool, drawn: bool) -> bool:
+    """Whether the element's own text is invisible: by its last declaration, else as above it."""
+    said = _SEEN.findall(node.attrs.get("style", "")) or drawn and [node.attrs.get("visibility", "")]
+    said = said[-1].lower() if said else ""
+    return said in ("hidden", "collapse") if said in ("visible", "initial", "hidden", "collapse") else above
+
+
 class Page:
     """Lines under construction: inline text goes to the last line; blank lines between blocks collapse."""
 
@@ -257,12 +276,14 @@ class Table:
 def render(html: str) -> str:
     """The visible text of a page."""
     pages, tables, lists = [Page()], [], []
-    todo: list[tuple[object, bool]] = [(parse(html), False)]
+    #: Further: whether text is invisible, and what it stands in: a page (""), "svg", "text" of a drawing, or "math".
+    todo: list[tuple[object, bool, bool, str]] = [(parse(html), False, False, "")]
     while todo:
-        node, leaving = todo.pop()
+        node, leaving, dark, within = todo.pop()
         page = pages[-1]
         if isinstance(node, str):
-            page.write(node)
+            if not dark and within != "svg":
+                page.write(node)
             continue
         name = node.name
         if leaving:
@@ -293,20 +314,40 @@ def render(html: str) -> str:
                     page.apart()
             elif name == "textarea":
                 page.pre -= 1
+            elif name == "text" and within == "text":
+                page.space = True
             continue
         if hidden(node):
             continue
+        drawn = within in ("svg", "text")
+        if drawn and (name in UNDRAWN or node.attrs.get("display", "").strip().lower() == "none") or within == "math" and name in UNSAID:
+            continue
+        dark = unseen(node, dark, drawn)
+        if name in ("svg", "math"):
+            within = name
+        elif drawn and name in ("text", "foreignobject"):
+            within = "text" if name == "text" else ""
+        if within == "text" and name == "text":
+            page.space = True
         if name == "br":
-            page.end(True)
+            if not dark:
+                page.end(True)
             continue
         if name == "hr":
+            if dark:
+                continue
             page.apart()
             page.parts.append("---")
             page.apart()
             continue
         if name == "input":
-            if node.attrs.get("type", "").lower() in ("submit", "button", "reset"):
+            kind = node.attrs.get("type", "").strip().lower()
+            if dark:
+                continue
+            if kind in ("submit", "button", "reset"):
                 page.write(node.attrs.get("value", ""))
+            elif kind not in VALUELESS and (value := node.attrs.get("value") or node.attrs.get("placeholder", "")):
+                page.write(f" {value} ")
             continue
         if name in VOID:
             continue
@@ -330,7 +371,8 @@ def render(html: str) -> str:
                 page.indent += "   "
             elif name == "li":
                 kind = lists[-1] if lists else ["ul", 1]
-                page.mark = f"{kind[1]}. " if kind[0] == "ol" else "-  "
+                if not dark:
+                    page.mark = f"{kind[1]}. " if kind[0] == "ol" else "-  "
                 kind[1] += 1
             elif name in ("dd", "blockquote"):
                 page.indent += "   "
@@ -343,8 +385,11 @@ def render(html: str) -> str:
         if tables and name in ("table", "tr", "thead", "tbody", "tfoot"):
             # Text outside cells is not lost: it stands in a cell of its own.
             children = [_celled(x) if isinstance(x, str) else x for x in children]
-        todo.append((node, True))
-        todo += [(x, False) for x in reversed(children)]
+        if name == "mfrac" and within == "math":
+            parts = [x for x in children if isinstance(x, Node)]
+            children = [y for x in parts for y in (x, "/")][:-1]
+        todo.append((node, True, dark, within))
+        todo += [(x, False, dark, within) for x in reversed(children)]
     return "\n".join(pages[0].done())
 
 

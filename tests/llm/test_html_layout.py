@@ -70,3 +70,33 @@ def test_odd_rows(spark, odd):
     rows = extract(pages, ["page_id", "score"]).collect()
     assert len(rows) == odd.count() and all(r.text is not None for r in rows)
     assert extract(pages.limit(0), ["page_id"]).count() == 0
+
+
+def test_drawings_and_formulas():
+    chart = (
+        '<p>Sales <svg viewBox="0 0 9 9"><title>no</title><desc>no</desc><defs><text>no</text></defs> no <style/><circle r="1"/>'
+        '<g><text x="1">North <tspan>1</tspan></text><text>South</text><text display="none">no</text></g>'
+        "<foreignObject><b>total</b></foreignObject></svg> end</p><desc>kept</desc>"
+    )
+    assert render(chart) == "Sales North 1 South total end\n\nkept"
+    formula = (
+        "<p>so <math><semantics><mrow><mi>y</mi><mo>=</mo><mfrac><mn>1</mn> <mi>x</mi></mfrac><mspace/><mphantom>no</mphantom></mrow>"
+        '<annotation encoding="application/x-tex">no</annotation></semantics></math> holds</p>'
+    )
+    assert render(formula) == "so y=1/x holds"
+    assert render("<p>a <svg/> b <math/> c") == "a b c"
+
+
+def test_visibility_of_each_element():
+    page = '<div style="visibility: hidden">no <p style="visibility:visible">shown <i style="visibility: collapse">no</i></p><hr>no</div>end'
+    assert render(page) == "shown\n\nend"
+    assert render('<ul><li style="visibility:hidden">no</li><li>two</li></ul>').strip() == "-  two"
+    assert render('<p style="backface-visibility: hidden">kept') == "kept"
+
+
+def test_values_of_inputs():
+    page = (
+        'Name:<input value="Ann  Lee"><input type=hidden value=no><input type=checkbox value=no><input type=password value=no>'
+        '<input type=email placeholder="your mail"><span style="visibility:hidden"><input value=no></span><input type=submit value=Go>'
+    )
+    assert render(page) == "Name: Ann Lee your mail Go"
