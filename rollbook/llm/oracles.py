@@ -93,3 +93,42 @@ SELECT d.doc_id, coalesce(n.size, 0) AS n_shingles, coalesce(component_id, d.doc
        coalesce(component_id, d.doc_id) = d.doc_id AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 """
+
+OP11 = f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, {_LOWER} AS text FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+g AS (
+    SELECT lang, size, array_to_string(w[i : i + size - 1], ' ') AS phrase, count(*) AS f
+    FROM (
+        SELECT lang, w, size, unnest(generate_series(1, len(w) - size + 1)) AS i
+        FROM w, (VALUES (1), (2), (3)) AS s(size) WHERE len(w) >= size
+    ) GROUP BY ALL
+),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE size = 1 GROUP BY lang),
+c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM g WHERE size > 1 AND f >= 10),
+cut AS (
+    SELECT lang, phrase, a, k, array_to_string(w[1 : k], ' ') AS x, array_to_string(w[k + 1 : size], ' ') AS y
+    FROM (SELECT *, unnest(generate_series(1, size - 1)) AS k FROM c)
+),
+s AS (
+    SELECT cut.lang, cut.phrase, a, k, x.f AS l, y.f AS r,
+           CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+    FROM cut JOIN g AS x ON x.lang = cut.lang AND x.phrase = cut.x JOIN g AS y ON y.lang = cut.lang AND y.phrase = cut.y
+),
+lowest AS (
+    SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+longer AS (
+    SELECT lang, phrase, max(a) AS b
+    FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM c WHERE size = 3)
+    GROUP BY lang, phrase
+),
+kept AS (
+    SELECT lowest.* FROM lowest LEFT JOIN longer USING (lang, phrase) WHERE b IS NULL OR 100 * b < 50 * a
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""

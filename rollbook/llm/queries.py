@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import decontamination, html_layout, mixing, near_dedup, ngram_scoring, oracles, pii, quality_classifier, quality_rules, secret_scan, substring_dedup
+from rollbook.llm import decontamination, html_layout, mixing, near_dedup, ngram_scoring, oracles, phrases, pii, quality_classifier, quality_rules, secret_scan, substring_dedup
 from rollbook.llm.common import fold, table, written
 
 
@@ -82,6 +82,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(documents, secret_scan.train(documents), ["doc_id"])
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -95,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mixing,
         op9_html_extraction,
         op10_secret_scan,
+        op11_phrase_mining,
     )
 }
 #: The others hold learned columns, or what SQL cannot state; tests compare them with brute-force versions.
@@ -102,4 +107,5 @@ ORACLES: dict[str, str] = {
     "op3_benchmark_decontamination": oracles.OP3,
     "op4_quality_rules": oracles.OP4,
     "op6_minhash_near_dedup": oracles.OP6,
+    "op11_phrase_mining": oracles.OP11,
 }
