@@ -59,9 +59,9 @@ def unused(name: str, columns: list[str]) -> str:
     return name
 
 
-def fold(doc_id: Column) -> Column:
-    """crc32 of the id's text mod 5; -1 for a null id, which so belongs to no fold."""
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5, F.lit(-1)).cast("int")
+def fold(doc_id: Column, folds: int = 5) -> Column:
+    """crc32 of the id's text mod `folds`; -1 for a null id, which so belongs to no fold."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(-1)).cast("int")
 
 
 def per_row(

@@ -132,3 +132,49 @@ ranked AS (
 )
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
 """
+
+
+def _op12(rounds: int = 6) -> str:
+    """One pair of tables per round: the nearest entries, and the entries averaged again."""
+    nearest = """
+    SELECT row, p, e, d FROM (
+        SELECT row, parts.p, e, sum((parts.x - book.x) * (parts.x - book.x)) AS d
+        FROM parts JOIN {book} AS book ON book.p = parts.p AND book.j = parts.j GROUP BY row, parts.p, e
+    ) QUALIFY row_number() OVER (PARTITION BY row, p ORDER BY d, e) = 1
+"""
+    averaged = """
+    SELECT old.p, old.e, old.j, CASE WHEN n IS NULL THEN old.x ELSE (s - ((s % n) + n) % n) // n END AS x
+    FROM {book} AS old LEFT JOIN (
+        SELECT parts.p, e, j, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+        FROM parts JOIN {near} AS near ON near.row = parts.row AND near.p = parts.p GROUP BY parts.p, e, j
+    ) AS new ON new.p = old.p AND new.e = old.e AND new.j = old.j
+"""
+    steps = []
+    for i in range(rounds):
+        steps.append(f"near{i} AS MATERIALIZED ({nearest.format(book=f'book{i}')})")
+        steps.append(f"book{i + 1} AS MATERIALIZED ({averaged.format(book=f'book{i}', near=f'near{i}')})")
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id) - 1 AS row, vec_id, label,
+           list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+parts AS MATERIALIZED (
+    SELECT row, (i - 1) // (len(v) // 8) AS p, (i - 1) % (len(v) // 8) AS j, v[i] AS x
+    FROM (SELECT row, v, unnest(generate_series(1, len(v))) AS i FROM kept)
+),
+book0 AS MATERIALIZED (SELECT p, row AS e, j, x FROM parts WHERE row < 16),
+{", ".join(steps)},
+final AS MATERIALIZED ({nearest.format(book=f"book{rounds}")}),
+coded AS (
+    SELECT row, string_agg(lower(printf('%02x', e)), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+    FROM final GROUP BY row
+),
+digest AS (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, j)) AS codebooks_sha256 FROM book{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (row), digest
+"""
+
+
+OP12 = _op12()

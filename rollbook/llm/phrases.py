@@ -139,8 +139,8 @@ def windows(
     least: int = LEAST,
     text: str = "text",
     lang: str = "lang",
-    chunk_bytes: int = 24_000_000,
-    bucket_bytes: int = 24_000_000,
+    chunk_bytes: int = 12_000_000,
+    bucket_bytes: int = 12_000_000,
 ) -> DataFrame:
     """How often (`n`) each word `first` is followed by `second` and `third` in a piece, per `lang`.
 
@@ -169,6 +169,7 @@ def windows(
                         texts, langs, held = [], [], 0
         if texts:
             yield from _blocks(texts, langs, buckets)
+        pa.default_memory_pool().release_unused()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
@@ -179,6 +180,7 @@ def windows(
                     key, held = (row["bucket"], row["lang"], row["scattered"]), []
                 held.append(row)
         yield from _added(key, held, least)
+        pa.default_memory_pool().release_unused()
 
     blocks = rows.mapInArrow(count, _BLOCKS)
     summed = (
@@ -197,11 +199,12 @@ def _words(text: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     inside[1:-1] = kind == 0
     turn = np.diff(inside)
     starts, ends = np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
-    stops = np.cumsum(kind == _STOP, dtype=np.int32)
-    piece = stops[starts]
+    del inside, turn
+    piece = np.searchsorted(np.flatnonzero(kind == _STOP), starts).astype(np.int32)
     offsets = np.zeros(len(starts) + 1, np.int32)
     np.cumsum(ends - starts, out=offsets[1:])
     kept = raw[kind == 0]
+    del raw, kind
     words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
     return words, piece, starts
 
@@ -213,7 +216,7 @@ def _blocks(texts: list[bytes], langs: list[str], buckets: int) -> Iterator[pa.R
         return
     coded = words.dictionary_encode()
     known = coded.dictionary
-    first = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1  # 0 is the padding
+    first = coded.indices.to_numpy(zero_copy_only=False) + np.int32(1)  # 0 is the padding
     del words, coded
     # The lead columns: the next word and the one after it, while the piece lasts.
     second, third = np.zeros_like(first), np.zeros_like(first)
@@ -222,7 +225,7 @@ def _blocks(texts: list[bytes], langs: list[str], buckets: int) -> Iterator[pa.R
     names = sorted(set(langs))
     number = {name: i for i, name in enumerate(names)}
     ends = np.cumsum([len(x) + 1 for x in texts])
-    of_text = np.array([number[name] for name in langs], np.int64)
+    of_text = np.array([number[name] for name in langs], np.int32)
     spoken = of_text[np.searchsorted(ends, starts, side="right")]
     del piece, starts
     prints = np.concatenate(([np.uint64(0)], word_prints(*_bytes(known))))
@@ -267,7 +270,7 @@ def _bytes(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _counted(a: np.ndarray, b: np.ndarray, c: np.ndarray, size: int, n: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """The different triples of numbers below `size`, in order, and how often each occurs (n: the count of each given one)."""
     base, pairs = np.int64(size), None
-    key = a * base + b
+    key = a.astype(np.int64) * base + b
     if size >= 1 << 21:  # three numbers do not fit into one: the pairs that occur are numbered first
         pairs, key = np.unique(key, return_inverse=True)
     key = key * base + c
@@ -338,11 +341,11 @@ def _added(key: tuple[int, str, bool] | None, blocks: list[dict], least: int) ->
         raw = pa.decompress(row["words"], decompressed_size=int(ends[-1]), codec="zstd")
         lists.append(pa.Array.from_buffers(pa.binary(), row["n_words"], [None, pa.py_buffer(ends), raw]))
     coded = pa.concat_arrays(lists).dictionary_encode()
-    numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    numbers = coded.indices.to_numpy(zero_copy_only=False) + np.int32(1)
     mark, at, parts = len(coded.dictionary) + 1, 0, []
     del lists
     for row in blocks:
-        place = np.concatenate(([0], numbers[at : at + row["n_words"]], [mark]))
+        place = np.concatenate(([0], numbers[at : at + row["n_words"]], [mark])).astype(np.int32)
         at += row["n_words"]
         steps, b, c, n = _numbers(row.pop("windows"), 4 * row["n_windows"]).reshape(4, -1)
         parts.append((place[np.cumsum(steps)], place[b], place[c], n))

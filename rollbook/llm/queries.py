@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import decontamination, html_layout, mixing, near_dedup, ngram_scoring, oracles, phrases, pii, quality_classifier, quality_rules, secret_scan, substring_dedup
+from rollbook.llm import decontamination, html_layout, language_id, mixing, near_dedup, ngram_scoring, oracles, phrases, pii, quality_classifier, quality_rules, secret_scan, substring_dedup, vector_codes
 from rollbook.llm.common import fold, table, written
 
 
@@ -86,6 +86,23 @@ def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, model = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    digits = F.transform("code", lambda entry: F.lpad(F.lower(F.hex(entry)), 2, "0"))
+    return rows.select(
+        "vec_id", F.array_join(digits, "").alias("code"), "error", "label_error", F.lit(model.digest()).alias("codebooks_sha256")
+    )
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    number = fold(F.col("doc_id"), 3)
+    model = language_id.train(documents, (number >= 0) & (number != 1))
+    return language_id.predict(documents, model, ["doc_id"]).select(
+        "doc_id", (number == 1).alias("held_out"), "lang_pred", "score"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -100,6 +117,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_html_extraction,
         op10_secret_scan,
         op11_phrase_mining,
+        op12_vector_codes,
+        op13_language_id,
     )
 }
 #: The others hold learned columns, or what SQL cannot state; tests compare them with brute-force versions.
@@ -108,4 +127,5 @@ ORACLES: dict[str, str] = {
     "op4_quality_rules": oracles.OP4,
     "op6_minhash_near_dedup": oracles.OP6,
     "op11_phrase_mining": oracles.OP11,
+    "op12_vector_codes": oracles.OP12,
 }
