@@ -48,33 +48,31 @@ def spelled(number: Column) -> Column:
     """The text of a floating-point number: the shortest digits that give it back, and an exponent of
     two digits or more below 0.0001 and from 1e16 on; infinity is `inf`.
 
-    It is rare and long, so it is kept out of the generated code, as the transform of a one-element array.
+    One conversion finds the digits. It writes an exponent below 0.001 and from 1e7 on, where the point is
+    moved or the exponent spelled anew; between them, where nearly all numbers lie, its text is the answer.
+    Only from 1e16 on, where Java 17 writes digits that are not needed, are 15 to 17 digits tried.
     """
-    return F.get(F.transform(F.array(number), _spelled), F.lit(0))
-
-
-def _spelled(number: Column) -> Column:
-    # Fifteen digits always survive; some numbers need one or two more.
-    tries = [F.format_string(f"%.{digits}e", number) for digits in (14, 15, 16)]
-    text = F.coalesce(*[F.when(text.cast("double") == number, text) for text in tries], tries[-1])
+    text = number.cast("string")
     sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    part = lambda group: F.regexp_extract(text, r"^-?(\d)\.(\d*?)0*e([+-]\d+)$", group)
-    first, rest, power = part(1), part(2), part(3).cast("int")
-    digits = F.concat(first, rest)
-    after = F.substring(digits, power + 2, F.lit(20))
-    size = F.abs(power).cast("string")
+    part = lambda text, mark, at: F.ltrim(F.substring_index(text, mark, at), F.lit("-"))
+    power = F.substring_index(text, "E", -1).cast("int")
+    digits = F.replace(part(text, "E", 1), F.lit("."), F.lit(""))
+    after = F.rtrim(F.substring(digits, power + 2, F.lit(20)), F.lit("0"))
+    tries = [F.format_string(f"%.{n}e", number) for n in (14, 15, 16)]
+    large = F.coalesce(*[F.when(t.cast("double") == number, t) for t in tries[:2]], tries[2])
+    bare = lambda mantissa: F.rtrim(F.rtrim(mantissa, F.lit("0")), F.lit("."))
     return (
-        F.when(text.contains("Infinity"), F.concat(sign, F.lit("inf")))
-        .when((power >= 16) | (power < -4), F.concat(
-            sign, first, F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(F.lit("")),
-            F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
-            F.when(F.length(size) < 2, F.concat(F.lit("0"), size)).otherwise(size),
+        F.when(text.endswith("y"), F.concat(sign, F.lit("inf")))
+        .when(~text.contains("E"), text)
+        .when(power >= 16, F.concat(sign, bare(part(large, "e", 1)), F.lit("e"), F.substring_index(large, "e", -1)))
+        .when(power < -4, F.concat(
+            sign, bare(part(text, "E", 1)), F.lit("e-"), F.when(power > -10, F.lit("0")).otherwise(F.lit("")), F.abs(power).cast("string")
         ))
-        .when(power >= 0, F.concat(
-            sign, F.substring(F.rpad(digits, power + 1, "0"), F.lit(1), power + 1), F.lit("."),
+        .when(power < 0, F.concat(sign, F.lit("0.000"), F.rtrim(digits, F.lit("0"))))
+        .otherwise(F.concat(
+            sign, F.rpad(F.left(digits, power + 1), power + 1, "0"), F.lit("."),
             F.when(after == "", F.lit("0")).otherwise(after),
         ))
-        .otherwise(F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits))
     )
 
 

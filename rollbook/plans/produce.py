@@ -92,26 +92,38 @@ def take_quota(users: DataFrame, quota: int = QUOTA) -> DataFrame:
     return users.orderBy("request_id").limit(quota)
 
 
-def nth_request(requests: DataFrame, n: int) -> int | None:
-    """The n-th `request_id` in order, None when there are fewer.
+def nth_request(requests: DataFrame, n: int, direct: int = 1000, k: int = 1024) -> int | None:
+    """The n-th `request_id` in order, None when there are fewer; rows without one do not count.
 
-    Ranges of requests are counted first, so that however large n is, only the range
-    it falls into is sorted by one task.
+    While more than `direct` ids come before it, a quantile sketch of the ids (`k` is its size) gives two of them
+    that enclose it, the ids before and between are counted, and the search goes on between. What is found is
+    exact, since the counts are. Every pass sends one row per task, the last one up to `direct` ids; none shuffles.
     """
-    ranges = (
-        requests.select("request_id")
-        .repartitionByRange("request_id")
-        .groupBy(F.spark_partition_id())
-        .agg(F.count("request_id").alias("n"), F.min("request_id").alias("lo"), F.max("request_id").alias("hi"))
-        .orderBy("lo")
-        .collect()
-    )
-    for part in ranges:
-        if n <= part.n:
-            inside = requests.filter(F.col("request_id").between(part.lo, part.hi))
-            return take_quota(inside.select("request_id"), n).agg(F.max("request_id")).first()[0]
-        n -= part.n
-    return None
+    request = F.col("request_id")
+    inside = requests.select("request_id").filter(request.isNotNull())
+    while n > direct:
+        size = F.count("request_id")
+        sketched = inside.agg(size.alias("size"), F.kll_sketch_agg_bigint("request_id", F.lit(k)).alias("sketch"))
+        total, sketch = sketched.first()
+        if n > total:
+            return None
+        # Ranks err by less than a hundredth at this size of the sketch.
+        ranks = [min(max(n / total + side, 0.0), 1.0) for side in (-0.01, 0.01)]
+        quantiles = [F.kll_sketch_get_quantile_bigint(F.lit(sketch), F.lit(rank)) for rank in ranks]
+        low, high = requests.sparkSession.range(1).select(*quantiles).first()
+        before, between = inside.agg(F.count_if(request < low), F.count_if(request.between(low, high))).first()
+        if n <= before:
+            inside = inside.filter(request < low)
+        elif n > before + between:
+            inside, n = inside.filter(request > high), n - before - between
+        elif low == high:
+            return low
+        else:
+            inside, n = inside.filter(request.between(low, high)), n - before
+            if between == total:  # the same few ids again and again
+                break
+    found = inside.orderBy("request_id").limit(n).agg(F.count("request_id"), F.max("request_id")).first()
+    return found[1] if found[0] == n else None
 
 
 def resolve_batch(
@@ -164,15 +176,14 @@ def publish_run(
         last = None if quota is None else nth_request(left, quota)
         number = runs[-1].number + 1 if runs else 0
         run, before = staging.begin(number, staging.last_version(), last), runs
-    through = staging.left_by(before).filter(run.reaches())
-
-    sent = Observation("sent")
-    messages = encode_messages(through.filter(F.col("outcome") == ACCEPTED), topic)
-    publish(messages.observe(sent, F.count(F.lit(1)).alias("published")))
-    staging.finish(run)
+    # One pass sends the accepted records and counts what it goes through.
     outcomes = [ACCEPTED, REJECTED, EXHAUSTED, PENDING]
+    gone = Observation("gone through")
     counts = [F.count_if(F.col("outcome") == name).alias(name) for name in outcomes]
-    return ProduceReport(**through.agg(*counts).first().asDict(), **sent.get)
+    through = staging.left_by(before).filter(run.reaches()).observe(gone, *counts)
+    publish(encode_messages(through.filter(F.col("outcome") == ACCEPTED), topic))
+    staging.finish(run)
+    return ProduceReport(**gone.get, published=gone.get[ACCEPTED])
 
 
 def produce(

@@ -63,10 +63,37 @@ def test_one_run_publishes_the_quota(spark, tmp_path):
 
 
 @pytest.mark.parametrize("n", [1, 5, 20, 59, 60, 61])
-def test_nth_request(spark, n):
-    frame = spark.createDataFrame([(7 * i % 60,) for i in range(60)], "request_id long").repartition(5)
-    assert nth_request(frame, n) == (n - 1 if n <= 60 else None)
-    assert nth_request(frame.limit(0), n) is None
+@pytest.mark.parametrize("direct", [0, 7, 1000])
+def test_nth_request(spark, n, direct):
+    frame = spark.createDataFrame([(7 * i % 60,) for i in range(60)] + [(None,)], "request_id long").repartition(5)
+    assert nth_request(frame, n, direct) == (n - 1 if n <= 60 else None)
+    assert nth_request(frame.limit(0), n, direct) is None
+
+
+@pytest.mark.parametrize("n", [1, 999, 1000, 12_345, 60_000, 119_999, 120_000, 120_001])
+def test_nth_request_of_many(spark, n):
+    """The sketch of a hundred thousand ids, uneven ones, some of them often."""
+    ids = [i * i for i in range(90_000)] + [5_000_000] * 20_000 + [-7] * 10_000
+    frame = spark.createDataFrame([(i,) for i in ids], "request_id long").repartition(6)
+    assert nth_request(frame, n, direct=100, k=256) == (sorted(ids)[n - 1] if n <= len(ids) else None)
+
+
+def test_nth_request_shuffles_no_ids(spark, monkeypatch):
+    """Every frame that a search collects moves to one task what a task has reduced first."""
+    plans = []
+    first = type(spark.range(0)).first
+
+    def seen(frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return first(frame)
+
+    monkeypatch.setattr(type(spark.range(0)), "first", seen)
+    frame = spark.range(100_000).selectExpr("id * 3 as request_id")
+    assert nth_request(frame, 70_000, direct=10) == 69_999 * 3
+    assert len(plans) > 3
+    for text in plans:
+        assert "rangepartitioning" not in text and "hashpartitioning" not in text
+        assert text.count("Exchange SinglePartition") <= 2 and "+- Sort [" not in text
 
 
 def test_runs_go_on_where_the_last_stopped(spark, tmp_path):
