@@ -22,43 +22,62 @@ def _reason(user: Column, document: Column) -> Column:
     return reason
 
 
-def _record(document: Column) -> dict[str, Column]:
+#: Leaves of a document whose text stands alone, and those that stand in a sentence.
+_PLAIN = ("gender", "email", "login.username", "dob.date", "registered.date", "phone", "picture.medium")
+_PRINTED = (
+    "name.first",
+    "name.last",
+    *(f"location.{part}" for part in ("street.number", "street.name", "city", "state", "country", "postcode")),
+)
+
+
+def _leaf(document: Column, path: str) -> Column:
+    for name in path.split("."):
+        document = document[name]
+    return document
+
+
+def _texts(document: Column) -> Column:
+    """The texts of all leaves, by kind and place.
+
+    Each kind is one lambda over an array of its leaves. Written out per leaf, the same expressions make a method
+    that takes seconds to compile and is then too large to be used.
+    """
+    kinds = {"plain": (_PLAIN, plain), "printed": (_PRINTED, printed)}
+    return F.struct(
+        *(F.transform(F.array(*(_leaf(document, path) for path in paths)), text).alias(kind) for kind, (paths, text) in kinds.items())
+    )
+
+
+def _record(texts: Column) -> dict[str, Column]:
     """The columns of the flat record except its id."""
-    space, comma = F.lit(" "), F.lit(", ")
-    name, location = document["name"], document["location"]
-    street = location["street"]
+    plain = {path: F.get(texts["plain"], F.lit(i)) for i, path in enumerate(_PLAIN)}
+    printed = {path: F.get(texts["printed"], F.lit(i)) for i, path in enumerate(_PRINTED)}
+    address = [printed[f"location.{part}"] for part in ("street.name", "city", "state", "country")]
+    comma = [x for part in address for x in (part, F.lit(", "))][:-1]
     return {
-        "full_name": F.concat(printed(name["first"]), space, printed(name["last"])),
-        "gender": plain(document["gender"]),
-        "address": F.concat(
-            printed(street["number"]),
-            space,
-            printed(street["name"]),
-            comma,
-            printed(location["city"]),
-            comma,
-            printed(location["state"]),
-            comma,
-            printed(location["country"]),
-        ),
-        "postcode": printed(location["postcode"]),
-        "email": plain(document["email"]),
-        "user_name": plain(document["login"]["username"]),
-        "dob": plain(document["dob"]["date"]),
-        "registered_date": plain(document["registered"]["date"]),
-        "phone": plain(document["phone"]),
-        "image": plain(document["picture"]["medium"]),
+        "full_name": F.concat(printed["name.first"], F.lit(" "), printed["name.last"]),
+        "gender": plain["gender"],
+        "address": F.concat(printed["location.street.number"], F.lit(" "), *comma),
+        "postcode": printed["location.postcode"],
+        "email": plain["email"],
+        "user_name": plain["login.username"],
+        "dob": plain["dob.date"],
+        "registered_date": plain["registered.date"],
+        "phone": plain["phone"],
+        "image": plain["picture.medium"],
     }
 
 
 def flatten(documents: DataFrame) -> DataFrame:
     """`documents` with the record of each `user`, or the `reason` why it has none."""
     parts = with_once(documents, "_document", F.try_variant_get("user", "$", DOCUMENT))
-    columns = _record(F.col("_document"))
+    parts = with_once(parts, "_texts", _texts(F.col("_document")))
+    columns = _record(F.col("_texts"))
     return parts.withColumns(
         {"reason": _reason(F.col("user"), F.col("_document"))}
         | {name: columns[name] for name in USER_COLUMNS if name != "id"}
-    ).drop("_document")
+    ).drop("_document", "_texts")
 
 
 def flatten_users(documents: DataFrame, record_id: Column, *keep: str) -> DataFrame:

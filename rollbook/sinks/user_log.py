@@ -17,6 +17,15 @@ from rollbook.operators.latest import latest_versions, rejected_messages
 from rollbook.schema import LOG_SCHEMA
 from rollbook.streaming.ingest import query_id
 
+#: Options of Parquet files that are looked up by id. Ids are random, so that the least and the greatest of a row group
+#: skip nothing, and hardly repeat, so that a dictionary of them is only as large: a Bloom filter of a fitting size skips
+#: the row groups without the id.
+LOOKUP_OPTIONS = {
+    "parquet.enable.dictionary#id": "false",
+    "parquet.bloom.filter.enabled#id": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
+
 _FILE_FIELDS = [field for field in LOG_SCHEMA.fields if field.name not in ("run", "batch_id")]
 
 
@@ -36,7 +45,7 @@ def batch_writer(
         run = query_id(batch.sparkSession, checkpoint)
         if merge_files:
             batch = batch.hint("rebalance")
-        batch.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
+        batch.write.mode("overwrite").options(**LOOKUP_OPTIONS).parquet(f"{path}/run={run}/batch_id={batch_id}")
 
     return write
 
@@ -63,4 +72,4 @@ def compact_log(spark: SparkSession, path: str, target: str) -> None:
     log = read_log(spark, path)
     rows = latest_versions(log).unionByName(rejected_messages(log), allowMissingColumns=True)
     columns = [field.name for field in _FILE_FIELDS]
-    rows.select(*columns).write.mode("overwrite").parquet(f"{target}/run=compacted/batch_id=0")
+    rows.select(*columns).write.mode("overwrite").options(**LOOKUP_OPTIONS).parquet(f"{target}/run=compacted/batch_id=0")

@@ -7,6 +7,7 @@ import uuid
 from dataclasses import replace
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from rollbook.plans.consume import consume
 from rollbook.schema import MESSAGE_SCHEMA
 from rollbook.sinks.connector import store_options, store_writer
 from rollbook.sinks.tables import UserTable, drop_table, ensure_table, merge_log
-from rollbook.sinks.user_log import batch_writer, compact_log, read_log
+from rollbook.sinks.user_log import LOOKUP_OPTIONS, batch_writer, compact_log, read_log
 from rollbook.sources.messages import file_caps, kafka_options, read_kafka, read_message_files
 from rollbook.streaming.ingest import drain_messages, query_id, start_ingest
 
@@ -547,6 +548,86 @@ def test_buckets_can_be_changed_by_a_merge(spark, job, table):
     assert shown(spark, table) == newest(range(130))
 
 
+def _read_files(spark, table):
+    return {Path(f.split("file:")[-1]).parent.name: f.split("/")[-1] for f in spark.table(table.part("base")).inputFiles()}
+
+
+def test_a_merge_leaves_untouched_buckets_alone(spark, job, table):
+    table = replace(table, buckets=16)
+    write_messages(spark, job.source, range(200))
+    job.drain()
+    merge_log(spark, table)
+    before = _read_files(spark, table)
+    assert len(before) > 5
+    touched = spark.createDataFrame([(IDS[n],) for n in (3, 4)], "id string").selectExpr("pmod(hash(id), 16) AS slice").distinct()
+    touched = {f"slice={r.slice}" for r in touched.collect()}
+    write_messages(spark, job.source, [n for n in range(200, 300) if n % len(IDS) in (3, 4)])
+    job.drain()
+    merge_log(spark, table)
+    after = _read_files(spark, table)
+    assert {name for name in after if after[name] != before.get(name)} == touched
+    assert shown(spark, table) == newest([*range(200), *(n for n in range(200, 300) if n % len(IDS) in (3, 4))])
+    merge_log(spark, table)  # nothing new: nothing written
+    assert _read_files(spark, table) == after
+
+
+def test_a_merge_that_stopped_half_way_is_done_again(spark, job, table, monkeypatch):
+    write_messages(spark, job.source, range(60))
+    job.drain()
+    merge_log(spark, table)
+    write_messages(spark, job.source, range(60, 90))
+    job.drain()
+    sql, changed = type(spark).sql, []
+
+    def stops(session, text, *args, **named):
+        if "ALTER TABLE" in text and "PARTITION" in text:
+            changed.append(text)
+            if len(changed) > 1:
+                raise ConnectionError("lost")
+        return sql(session, text, *args, **named)
+
+    monkeypatch.setattr(type(spark), "sql", stops)
+    with pytest.raises(ConnectionError):
+        merge_log(spark, table)
+    monkeypatch.undo()
+    spark.sql(f"REFRESH TABLE {table.part('base')}")
+    assert shown(spark, table) == newest(range(90))
+    merge_log(spark, table)
+    assert shown(spark, table) == newest(range(90))
+    assert spark.table(table.part("base")).count() == len(newest(range(90)))
+
+
+def test_a_lookup_skips_row_groups_by_bloom_filter(spark, job):
+    """The ids of every batch span the same range, so that only Bloom filters tell the batches apart."""
+    for batch in range(4):
+        rows = spark.range(batch * 20_000, (batch + 1) * 20_000, numPartitions=1).select(
+            F.expr("uuid()").alias("id"), *[F.col("id").cast("string").alias(c) for c in USER_COLUMNS[1:]]
+        )
+        rows.write.options(**LOOKUP_OPTIONS).parquet(f"{job.log}/run=r/batch_id={batch}")
+    log = read_log(spark, job.log)
+    key = log.filter("batch_id = 2").first().id
+    found = log.filter(F.col("id") == key)
+    assert found.count() == 1
+    rows = found.select("full_name")
+    assert len(rows.collect()) == 1
+    scans = [x for x in _leaves(rows._jdf.queryExecution().executedPlan()) if "Scan" in x.nodeName()]
+    read = sum(x.metrics().get("numOutputRows").get().value() for x in scans)
+    assert read == 20_000 < log.count()
+
+
+def _leaves(plan):
+    leaves = plan.collectLeaves()
+    return [leaves.apply(i) for i in range(leaves.size())]
+
+
+def test_batches_are_written_with_bloom_filters(spark, job):
+    write_messages(spark, job.source, range(50))
+    job.drain()
+    file = next(job.directory().rglob("part-*.parquet"))
+    column = pq.ParquetFile(file).metadata.row_group(0).column(0)
+    assert column.path_in_schema == "id" and "PLAIN_DICTIONARY" not in column.encodings
+
+
 def test_paths_with_quotes(spark, job):
     job.log = f"{job.folder}/it's `a` log"
     odd = UserTable(f"{job.folder}/it's a table", job.log, "made", "odd", buckets=2)
