@@ -29,10 +29,10 @@ from hashlib import md5, sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import mixed, mixed_bytes, written
+from rollbook.llm.common import fingerprint_filter, mixed, mixed_bytes, written
 
 WIDTH = 400
 GRAM = 128
@@ -177,33 +177,13 @@ def _stretches(flags: np.ndarray) -> list[int]:
     return np.stack((np.flatnonzero(turns == 1), np.flatnonzero(turns == -1)), 1).ravel().tolist()
 
 
-def _bit_map(frame: DataFrame, column: Column):
-    """A broadcast, packed map of fixed size of the values of column, modulo its length."""
-    bits = np.zeros(1 << _BITS, bool)
-    at = frame.select(F.pmod(column, F.lit(1 << _BITS)).cast("int").alias("at")).distinct().toPandas()
-    bits[at["at"].to_numpy()] = True
-    return frame.sparkSession.sparkContext.broadcast(np.packbits(bits))
-
-
-def _marked(texts: DataFrame, shared, inverse: bool = False) -> DataFrame:
-    """Rows (name, text) whose name's crc32 is in the map, or is not."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(shared.value)
-        for batch in batches:
-            names = batch.column(0).to_pylist()
-            yield batch.filter(pa.array([bool(bits[zlib.crc32(x) % (1 << _BITS)]) != inverse for x in names], pa.bool_()))
-
-    return texts.mapInArrow(run, "name binary, text string")
-
-
 def _grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(gram, name, times) of each text in batches of (name, text)."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
+        for at in range(0, batch.num_rows, 200):
             found: list[tuple[int, bytes, int]] = []
             for name, raw in zip(
-                batch.column(0).slice(at, 500).to_pylist(), batch.column(1).slice(at, 500).cast(pa.binary()).to_pylist(), strict=True
+                batch.column(0).slice(at, 200).to_pylist(), batch.column(1).slice(at, 200).cast(pa.binary()).to_pylist(), strict=True
             ):
                 times: dict[int, int] = {}
                 for gram, _, _ in pieces(raw):
@@ -302,6 +282,14 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield out()
 
 
+def _bit_map(prints: DataFrame):
+    """A broadcast, packed map of fixed size of the crc32 of prints, modulo its length."""
+    bits = np.zeros(1 << _BITS, bool)
+    at = prints.select(F.pmod(F.crc32("print"), F.lit(1 << _BITS)).cast("int").alias("at")).distinct().toPandas()
+    bits[at["at"].to_numpy()] = True
+    return prints.sparkSession.sparkContext.broadcast(np.packbits(bits))
+
+
 def _strings_of(shared=None):
     """(print, part, at, times) of each start of pieces (gram, piece, times); shared: a map of the prints wanted."""
     names = ["print", "part", "at", "times"]
@@ -342,7 +330,7 @@ def _repeated_parts(cut: DataFrame, group_bytes: int) -> DataFrame:
     large = found.join(hot, "gram", "left_semi")
     counts = large.mapInArrow(_strings_of(), shape).groupBy("print").agg(F.sum("times").alias("n"))
     often = written(counts.where("n > 1").select("print"), "often-strings")
-    strings = large.mapInArrow(_strings_of(_bit_map(often, F.crc32("print"))), shape)
+    strings = large.mapInArrow(_strings_of(_bit_map(often)), shape)
     starts = strings.join(often, "print", "left_semi").groupBy("part").agg(F.collect_set("at").alias("at"))
     split = F.flatten(F.transform("at", lambda x: F.array(x, x + 1)))  # a piece has few starts
     return parts.unionByName(starts.select("part", split.alias("stretches")))
@@ -391,17 +379,19 @@ def find(documents: DataFrame, keep: list[str], group_bytes: int = 4_000_000) ->
     )
     copies = written(base.groupBy("name").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1"), "substring-copies")
     long = documents.select(name.alias("name"), text.alias("text")).where(F.octet_length("text") >= WIDTH)
-    copied = _bit_map(copies, F.crc32("name"))
-    once = _marked(long, copied).groupBy("name").agg(F.first("text").alias("text"))
-    texts = _marked(long, copied, inverse=True).unionByName(written(once, "substring-once"))
+    # Texts without copies are not shuffled: bit maps of fixed size tell most of them, and the rest become one anyway.
+    copied = fingerprint_filter(copies, F.col("name"), _BITS)
+    once = long.where(copied(F.col("name"))).groupBy("name").agg(F.first("text").alias("text"))
+    texts = long.where(~copied(F.col("name"))).unionByName(written(once, "substring-once"))
 
-    anchors = texts.mapInArrow(_grams_of, "gram long, name binary, times long")
+    # One pass over the texts, whose grams are counted first and then chosen.
+    anchors = written(texts.mapInArrow(_grams_of, "gram long, name binary, times long"), "substring-anchors")
     often = anchors.groupBy("gram").agg(F.sum("times").alias("n")).where("n > 1").select("gram")
     wanted = written(
         anchors.select("gram", "name").join(often, "gram").groupBy("name").agg(F.collect_list("gram").alias("grams")),
         "substring-grams",
     )
-    some = _marked(texts, _bit_map(wanted, F.crc32("name")))
+    some = texts.where(fingerprint_filter(wanted, F.col("name"), _BITS)(F.col("name")))
     cut = written(some.join(wanted, "name").select("name", "text", "grams"), "substring-cut")
 
     parts = written(_repeated_parts(cut, group_bytes), "substring-parts")
