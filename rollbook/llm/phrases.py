@@ -139,8 +139,8 @@ def windows(
     least: int = LEAST,
     text: str = "text",
     lang: str = "lang",
-    chunk_bytes: int = 12_000_000,
-    bucket_bytes: int = 12_000_000,
+    chunk_bytes: int = 8_000_000,
+    bucket_bytes: int = 8_000_000,
 ) -> DataFrame:
     """How often (`n`) each word `first` is followed by `second` and `third` in a piece, per `lang`.
 
