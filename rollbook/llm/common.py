@@ -64,6 +64,19 @@ def fold(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(-1)).cast("int")
 
 
+def drawn(ids: DataFrame, sample: int, *salt: int) -> DataFrame:
+    """At most `sample` different values of the one column of `ids`, by a hash of them, alike at every run.
+
+    A threshold on the hash, from an estimate of how many there are, leaves few rows to sort, however large the input.
+    """
+    name = ids.columns[0]
+    count = ids.agg(F.approx_count_distinct(name)).first()[0]
+    # Signed hashes from the least one on; four times what is wanted is more than the estimate errs by.
+    edge = min(-(1 << 63) + (1 << 64) * 4 * sample // max(count, 1), (1 << 63) - 1)
+    hashed = F.xxhash64(name, *(F.lit(x) for x in salt))
+    return ids.where(hashed <= edge).distinct().orderBy(hashed, name).limit(sample)
+
+
 def per_row(
     frame: DataFrame, schema: str, keep: list[str], text: str, of: Callable[[bytes], tuple]
 ) -> DataFrame:

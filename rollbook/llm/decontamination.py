@@ -18,8 +18,10 @@ columns of either table are not read.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import ahocorasick
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,8 @@ from rollbook.llm.common import per_row, unused, written
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 WIDTH = 10
+#: Characters of a benchmark in one automaton, which takes about 50 bytes for each: some 50 MB in every worker.
+BLOCK_CHARS = 1_000_000
 
 
 def words(raw: bytes) -> list[bytes]:
@@ -88,7 +92,7 @@ def _blocks(benchmark: DataFrame, block_chars: int) -> tuple[DataFrame, int]:
     return items.withColumn("block", F.pmod(F.xxhash64("name", "item"), F.lit(n)).cast("int")), n
 
 
-def find(documents: DataFrame, benchmark: DataFrame, block_chars: int = 50_000_000) -> DataFrame:
+def find(documents: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Per document (doc_id): n_words, hits (first, past, ... of words), places (the same in code points), items.
 
     documents: doc_id, text. benchmark: item_id, text. Rows of one id stay apart.
@@ -116,8 +120,9 @@ def find(documents: DataFrame, benchmark: DataFrame, block_chars: int = 50_000_0
         F.collect_list("hits").alias("hits"), F.collect_list("places").alias("places"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
-    union = F.udf(_merge, "array<long>")
-    return joined.select("doc_id", "n_words", union("hits").alias("hits"), union("places").alias("places"), "items")
+    id_type = joined.schema["doc_id"].dataType.simpleString()
+    shape = f"doc_id {id_type}, n_words long, hits array<long>, places array<long>, items array<string>"
+    return joined.select("doc_id", "n_words", "hits", "places", "items").mapInArrow(_united, shape)
 
 
 def _matchers(documents: DataFrame, benchmark: DataFrame, block_chars: int) -> list:
@@ -128,7 +133,7 @@ def _matchers(documents: DataFrame, benchmark: DataFrame, block_chars: int) -> l
     return [context.broadcast(Matcher(of(block))) for block in range(n)]
 
 
-def without(documents: DataFrame, benchmark: DataFrame, block_chars: int = 50_000_000) -> DataFrame:
+def without(documents: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents, all their columns, that hold no window of an item. Nothing is shuffled."""
     names, out = documents.columns, documents
     hit, all_ = unused("hit", names), [F.col(f"`{c}`") for c in names]
@@ -148,6 +153,15 @@ def _merge(lists: list[list[int]]) -> list[int]:
     return [x for run in runs for x in run]
 
 
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the runs of all blocks (columns 2 and 3) as one list of runs."""
+    for batch in batches:
+        columns = list(batch.columns)
+        for i in (2, 3):
+            columns[i] = pa.array([_merge(lists) for lists in columns[i].to_pylist()], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+
 def digest(found: DataFrame) -> DataFrame:
     """The columns of the registered query from those of find()."""
     sizes = F.expr("aggregate(sequence(0, cast(size(hits) / 2 as int) - 1), 0L, (n, i) -> n + hits[2 * i + 1] - hits[2 * i])")

@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import per_row
+from rollbook.llm.common import drawn, per_row
 from rollbook.llm.trees import Boosted, boost
 
 KINDS = ("email", "ip", "card", "phone")
@@ -274,10 +274,10 @@ def fit(rows: np.ndarray, precision: float = 0.98) -> Model:
 
 
 def train(documents: DataFrame, sample: int = 4000, rows: int = 20000, seed: int = 3) -> Model:
-    drawn = documents.select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(sample)
-    texts = documents.select("doc_id", "text").join(
-        F.broadcast(drawn.withColumnRenamed("doc_id", "drawn")), F.col("doc_id") == F.col("drawn")
-    )
+    """Learns from the texts of at most `sample` ids, one text of each (the least), and `rows` spans of them."""
+    wanted = drawn(documents.select("doc_id").where("doc_id is not null"), sample, seed).withColumnRenamed("doc_id", "wanted")
+    texts = documents.select("doc_id", "text").join(F.broadcast(wanted), F.col("doc_id") == F.col("wanted"))
+    texts = texts.groupBy("doc_id").agg(F.min(F.col("text").cast("string")).alias("text"))
     found = per_row(texts, "x array<array<double>>", ["doc_id"], "text", lambda raw: (_examples(raw),))
     found = found.select(F.explode("x").alias("x")).orderBy(F.xxhash64("x", F.lit(seed)), "x").limit(rows)
     return fit(np.array([r.x for r in found.toLocalIterator()], float).reshape(-1, 2 + len(shape(b"", 0, 0))))

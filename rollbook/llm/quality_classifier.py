@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import fold, per_row
+from rollbook.llm.common import drawn, fold, per_row
 
 _SYMBOLS = b"#*$%&|<>"
 _CLASS = np.full(256, 9, np.uint8)  # 9: other printable bytes
@@ -142,21 +142,20 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = 6000, seed: int
 
     sample bounds the rows of each kind that come to the driver, as features: the trusted positives, and the texts
     of the corpus at large, whose labels are not looked at. Rows are drawn by a hash of the id, alike at every run.
-    Texts are read, and features computed, for the drawn rows only.
+    Features are computed for the drawn ids only, one row of each, however many rows an id has.
     """
-    open_ids = documents.select("doc_id").where(fold(F.col("doc_id")) > 0).distinct()
+    open_ids = documents.select("doc_id").where(fold(F.col("doc_id")) > 0)
     trusted = labels.groupBy("doc_id").agg(F.min("quality").alias("least")).where("least = 1").select("doc_id")
-    draw = lambda ids, salt: ids.orderBy(F.xxhash64("doc_id", F.lit(seed + salt)), "doc_id").limit(sample)
     wanted = (
-        draw(open_ids.join(trusted, "doc_id", "left_semi"), 0).withColumn("kind", F.lit(1))
-        .unionByName(draw(open_ids, 1).withColumn("kind", F.lit(0)))
+        drawn(open_ids.join(trusted, "doc_id", "left_semi"), sample, seed).withColumn("kind", F.lit(1))
+        .unionByName(drawn(open_ids, sample, seed + 1).withColumn("kind", F.lit(0)))
         .withColumnRenamed("doc_id", "wanted")
     )
-    # At most 2 * sample ids: the bound of what is broadcast.
+    # At most 2 * sample ids: the bound of what is broadcast. Of the rows of one id a task keeps one, the least text.
     rows = documents.select("doc_id", "text").join(F.broadcast(wanted), F.col("doc_id") == F.col("wanted"))
+    rows = rows.groupBy("kind", "doc_id").agg(F.min(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"))
     got = per_row(rows, "x array<float>", ["doc_id", "kind"], "text", lambda raw: (features(raw).tolist(),)).toPandas()
-    got["x"] = got["x"].map(tuple)  # in one order at every run; rows of one id count once
-    got = got.sort_values(["kind", "doc_id", "x"]).drop_duplicates(["kind", "doc_id"])
+    got = got.sort_values(["kind", "doc_id"])  # in one order at every run
     width = len(features(b""))
     of = lambda kind: np.array(got.x[got.kind == kind].tolist(), np.float64).reshape(-1, width)
     return fit(of(1), of(0), seed=seed)

@@ -49,3 +49,18 @@ def test_contaminated_documents_leave(spark, odd):
     assert left.columns == odd.columns
     want = [r.doc_id for r in odd.collect() if not plain(r.text, ITEMS)[1]]
     assert sorted(map(repr, (r.doc_id for r in left.collect()))) == sorted(map(repr, want))
+
+
+def test_an_automaton_of_a_block_is_bounded(spark):
+    """A block of a large benchmark, of different words and windows, takes at most 100 MB in a worker."""
+    import pickle
+    import resource
+
+    text = " ".join(f"w{i}x{i % 977}" for i in range(dc.BLOCK_CHARS // 11))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    matcher = dc.Matcher([("1", text)])
+    assert len(pickle.dumps(matcher)) < 100_000_000
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400_000  # kB, to build and to pickle it
+    many = bench(spark, [(i, " ".join(f"z{i}y{j}" for j in range(300))) for i in range(100)])
+    blocks, n = dc._blocks(many, 20_000)
+    assert n > 5 and blocks.groupBy("block").count().count() == n

@@ -83,3 +83,19 @@ def test_ledger_policies_and_ablations(spark, odd, none):
         assert r.n_kept_without == sum(b & ~bit == 0 for b in bits)
     assert qr.ledger(none, ["doc_id"]).count() == 0 and qr.ablations(qr.ledger(none, [])).count() == 0
     assert qr.ledger(odd, odd.columns).columns[: len(odd.columns)] == odd.columns
+
+
+def test_an_id_with_most_rows_sends_no_more_than_others(spark, monkeypatch):
+    """One row of each drawn id comes to the driver, however many rows it has."""
+    from pyspark.sql import DataFrame
+
+    from rollbook.llm import quality_classifier as qc
+
+    hot = spark.range(30_000).selectExpr("2L as doc_id", "concat('text ', id) as text")
+    rest = spark.range(100, 400).selectExpr("id as doc_id", "concat('other words ', id) as text")
+    labels = spark.range(0, 400).selectExpr("id as doc_id", "cast(id % 3 > 0 as int) as quality")
+    seen, collect = [], DataFrame.toPandas
+    monkeypatch.setattr(DataFrame, "toPandas", lambda frame: seen.append(collect(frame)) or seen[-1])
+    qc.train(hot.unionByName(rest), labels, sample=50)
+    assert sum(map(len, seen)) <= 100
+    assert all(frame.groupby(["kind", "doc_id"]).size().max() == 1 for frame in seen)
