@@ -242,6 +242,15 @@ ORACLES: dict[str, str] = {
         WITH {_MESSAGES} SELECT "offset" % 3 AS batch_id, count(*) AS messages, count(reason) AS rejects
         FROM screened WHERE topic = '{TOPIC}' GROUP BY 1
     """,
+    "stream_record_limited": f"""
+        WITH {_MESSAGES}, landed AS (SELECT "partition", count(*) AS c FROM screened WHERE topic = '{TOPIC}' GROUP BY 1),
+        files AS (SELECT c, unnest(generate_series(0, (c - 1) // 3000)) AS i FROM landed)
+        SELECT least(3000, c - 3000 * i) AS messages, count(*) AS batches FROM files GROUP BY 1
+    """,
+    "stream_progress": f"""
+        WITH {_MESSAGES} SELECT "offset" % 3 AS batch_id, count(*) AS messages, count(reason) AS rejects
+        FROM screened WHERE topic = '{TOPIC}' GROUP BY 1
+    """,
     "stream_resume": _RECORDS,
     "stream_rejects": f"{_REJECTS} AND topic = '{TOPIC}'",
     "keyed_upsert": _NEWEST,

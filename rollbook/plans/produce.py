@@ -228,7 +228,8 @@ def drain_responses(
         resolve_batch(batch, state, query_id(responses.sparkSession, checkpoint), batch_id, keyed)
 
     query = (
-        responses.writeStream.option("checkpointLocation", checkpoint)
+        responses.observe("landed", F.count(F.lit(1)).alias("responses"))
+        .writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(run)
         .start()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import time
 from collections.abc import Callable
 from dataclasses import asdict
 
@@ -29,13 +30,14 @@ from rollbook.plans.fixtures import (
 from rollbook.plans.produce import drain_responses, produce, resolve_requests, take_quota
 from rollbook.session import shared_folder
 from rollbook.sinks.connector import store_writer
-from rollbook.sinks.messages import publish_files
+from rollbook.sinks.messages import file_size, publish_files
 from rollbook.sinks.staging import ACCEPTED, Staging
 from rollbook.sinks.tables import UserTable, drop_table, ensure_table, merge_log
 from rollbook.sinks.user_log import batch_writer, compact_log, read_log
-from rollbook.sources.messages import file_caps, read_message_files
+from rollbook.sources.messages import file_caps, read_message_files, record_caps
 from rollbook.sources.responses import read_responses
 from rollbook.streaming.ingest import drain_messages
+from rollbook.streaming.progress import progress_told
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -172,6 +174,33 @@ def stream_rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_record_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of at most 3,000 messages, from files that are landed with as many: how many batches have which size."""
+    source, log = shared_folder(spark, "messages"), shared_folder(spark, "log")
+    checkpoint, cap = shared_folder(spark, "checkpoint"), 3000
+    messages = message_log(spark, sf_dir).filter(F.col("topic") == TOPIC).repartition("partition")
+    messages.write.options(**file_size(cap)).partitionBy("partition").parquet(source)
+    stream = read_message_files(spark, source, TOPIC, record_caps(spark, source, cap, cap))
+    drain_messages(stream, batch_writer(log, checkpoint), checkpoint)
+    sizes = read_log(spark, log).groupBy("batch_id").agg(F.count(F.lit(1)).alias("messages"))
+    return sizes.groupBy("messages").agg(F.count(F.lit(1)).alias("batches"))
+
+
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a listener is told of three batches while the stream runs: messages and rejects of each."""
+    source, log = shared_folder(spark, "messages"), shared_folder(spark, "log")
+    messages, told = message_log(spark, sf_dir), []
+    for drop in range(3):
+        messages.filter(F.col("offset") % 3 == drop).coalesce(1).write.mode("append").parquet(source)
+    with progress_told(spark, told.append):
+        _ingest(spark, source, log, max_files=1)
+        end = time.monotonic() + 60  # the last events follow the end of the query
+        while not any(x.get("ended") for x in told) and time.monotonic() < end:
+            time.sleep(0.05)
+    rows = [(x["batch_id"], x["ingest.messages"], x["ingest.rejects"]) for x in told if "batch_id" in x]
+    return spark.createDataFrame(rows, "batch_id long, messages long, rejects long")
+
+
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stopped when a half has come, and started again on the same checkpoint: nothing is read twice or lost."""
     source, log = shared_folder(spark, "messages"), shared_folder(spark, "log")
@@ -407,6 +436,8 @@ QUERIES: dict[str, Query] = {
     "ensure_table": stored_table,
     "stream_append": stream_append,
     "stream_rate_limited": stream_rate_limited,
+    "stream_record_limited": stream_record_limited,
+    "stream_progress": stream_progress,
     "stream_resume": stream_resume,
     "stream_rejects": stream_rejects,
     "keyed_upsert": keyed_upsert,

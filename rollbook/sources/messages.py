@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +43,42 @@ def file_caps(max_files: int | None = None, max_bytes: int | None = None) -> dic
     return {name: str(value) for name, value in caps.items() if value}
 
 
+def record_caps(spark: SparkSession, path: str, max_records: int, max_per_file: int | None = None) -> dict[str, str]:
+    """Options of a stream of Parquet files that bound a batch by the number of its records, of all topics.
+
+    Spark admits whole files, so files must not be larger than the bound: land them with `max_per_file`
+    (see `publish_files`), which then also holds for those that come later, or leave it out to take the
+    largest file there is now, by the counts in the files' footers. A larger one is refused.
+    """
+    place = F.col("_metadata.file_path")
+    try:
+        files = spark.read.parquet(path).groupBy(place.alias("file")).count()
+        largest = files.agg(F.max("count")).first()[0] or 0
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        largest = 0  # nothing has landed yet
+    largest = max(largest, max_per_file or 1)
+    if largest > max_records:
+        raise ValueError(f"a file of {largest} records cannot be admitted to batches of {max_records}; land smaller files")
+    return file_caps(max_files=max_records // largest if max_per_file or largest > 1 else 1)
+
+
+def file_retirement(archive: str | None = None, delete: bool = False, max_age: str | None = None) -> dict[str, str]:
+    """Options of a long-lived file stream: what becomes of files once their batch is done, and of old ones.
+
+    Without them every listing and the list of files in the checkpoint only grow. Files go to `archive`, a folder
+    outside the source, or are deleted. Files older than `max_age` (as in "7d"), counted from the newest, are not
+    taken any more and no longer remembered; Spark's own default is seven days.
+    """
+    if archive and delete:
+        raise ValueError("files that were read are archived or deleted, not both")
+    options = {"cleanSource": "archive", "sourceArchiveDir": archive} if archive else {}
+    if delete:
+        options = {"cleanSource": "delete"}
+    return options | ({"maxFileAge": max_age} if max_age else {})
+
+
 def read_kafka(
     spark: SparkSession, options: Mapping[str, str], streaming: bool = True
 ) -> DataFrame:
@@ -59,6 +96,8 @@ def read_message_files(
 ) -> DataFrame:
     """Messages of one topic from Parquet files in the Kafka envelope's shape.
 
+    `caps` are options of the file stream: `file_caps`, `record_caps`, `file_retirement`.
+
     The topic test is on an envelope column, so it reaches the file scan and runs
     before any message is decoded.
     """

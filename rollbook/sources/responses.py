@@ -18,7 +18,7 @@ def read_responses(
 ) -> DataFrame:
     """Fetch attempts landed under `path`, as a batch or as a stream of newly landed files.
 
-    `caps` are options of the file stream that bound a batch, see `file_caps`.
+    `caps` are options of the file stream: `file_caps`, `file_retirement`.
     """
     reader = spark.readStream.options(**(caps or {})) if streaming else spark.read
     return reader.schema(RESPONSE_SCHEMA).format(format).load(path)

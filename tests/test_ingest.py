@@ -20,8 +20,10 @@ from rollbook.schema import MESSAGE_SCHEMA
 from rollbook.sinks.connector import store_options, store_writer
 from rollbook.sinks.tables import UserTable, drop_table, ensure_table, merge_log
 from rollbook.sinks.user_log import LOOKUP_OPTIONS, batch_writer, compact_log, read_log
-from rollbook.sources.messages import file_caps, kafka_options, read_kafka, read_message_files
+from rollbook.sinks.messages import publish_files
+from rollbook.sources.messages import file_caps, file_retirement, kafka_options, read_kafka, read_message_files, record_caps
 from rollbook.streaming.ingest import drain_messages, query_id, start_ingest
+from rollbook.streaming.progress import progress_told, to_log
 
 IDS = [str(uuid.UUID(int=n)) for n in range(40)]
 
@@ -333,6 +335,85 @@ def test_file_caps():
         file_caps(5, 10)
 
 
+def test_record_caps(spark, tmp_path):
+    """Files of at most so many messages, admitted so that no batch has more than the bound."""
+    path = str(tmp_path / "messages")
+    assert record_caps(spark, path, 10) == {"maxFilesPerTrigger": "1"}  # nothing there yet
+    for _ in range(2):
+        rows = spark.range(25).selectExpr("'x' as topic", "cast(id as string) as value").coalesce(1)
+        publish_files(rows, path, max_per_file=10)
+    assert sorted(r["count"] for r in spark.read.parquet(path).groupBy("_metadata.file_path").count().collect()) == [5, 5, 10, 10, 10, 10]
+    assert record_caps(spark, path, 10) == {"maxFilesPerTrigger": "1"}
+    assert record_caps(spark, path, 39) == {"maxFilesPerTrigger": "3"}
+    assert record_caps(spark, path, 39, 13) == {"maxFilesPerTrigger": "3"}
+    assert record_caps(spark, str(tmp_path / "none"), 39, 13) == {"maxFilesPerTrigger": "3"}
+    with pytest.raises(ValueError, match="file of 10"):
+        record_caps(spark, path, 9)
+
+
+def test_batches_hold_no_more_records_than_the_cap(spark, job):
+    text = lambda n: json.dumps(dict.fromkeys(USER_COLUMNS) | {"id": IDS[n % 40], "full_name": f"v{n}"}).encode()
+    rows = spark.createDataFrame([(TOPIC, bytearray(text(n))) for n in range(95)], "topic string, value binary")
+    publish_files(rows.coalesce(1), job.source, max_per_file=10)
+    messages = read_message_files(spark, job.source, TOPIC, record_caps(spark, job.source, 25))
+    query = drain_messages(messages, batch_writer(job.log, job.checkpoint("first")), job.checkpoint("first"))
+    sizes = [p.numInputRows for p in query.recentProgress if p.numInputRows]
+    assert max(sizes) == 20 and sum(sizes) == 95 and job.read().count() == 95
+
+
+def test_progress_is_told_while_the_stream_runs(spark, job):
+    write_messages(spark, job.source, range(40))
+    told, checkpoint = [], job.checkpoint("first")
+    with progress_told(spark, told.append):
+        query = start_ingest(
+            read_message_files(spark, job.source), batch_writer(job.log, checkpoint), checkpoint, interval="100 milliseconds"
+        )
+        try:
+            for count in (1, 2):
+                end = time.monotonic() + 30
+                while len([x for x in told if "batch_id" in x]) < count and time.monotonic() < end:
+                    time.sleep(0.05)
+                assert query.isActive
+                write_messages(spark, job.source, range(40, 60))
+        finally:
+            query.stop()
+        end = time.monotonic() + 30
+        while not any(x.get("ended") for x in told) and time.monotonic() < end:
+            time.sleep(0.05)
+    batches = [x for x in told if "batch_id" in x]
+    assert [(x["batch_id"], x["rows"], x["ingest.messages"], x["ingest.rejects"]) for x in batches][:2] == [(0, 40, 40, 4), (1, 20, 20, 2)]
+    assert {x["query"] for x in told} == {query.id} and told[-1]["ended"] and told[-1]["error"] is None
+
+
+def test_progress_goes_to_the_log(caplog):
+    with caplog.at_level("INFO", logger="rollbook.progress"):
+        to_log({"batch_id": 3, "ingest.messages": 7})
+    assert json.loads(caplog.records[0].message) == {"batch_id": 3, "ingest.messages": 7}
+
+
+def test_files_retire_once_their_batch_is_done(spark, job):
+    archive = f"{job.folder}/archive"
+    options = file_caps(1) | file_retirement(archive)
+    for start in (0, 20, 40, 60):
+        write_messages(spark, job.source, range(start, start + 20))
+        messages = read_message_files(spark, job.source, TOPIC, options)
+        drain_messages(messages, batch_writer(job.log, job.checkpoint("first")), job.checkpoint("first"))
+    end = time.monotonic() + 20
+    while len(list(Path(archive).rglob("part-*"))) < 3 and time.monotonic() < end:
+        time.sleep(0.1)
+    left = len(list(Path(job.source).glob("part-*.parquet")))
+    assert left <= 1 and len(list(Path(archive).rglob("part-*.parquet"))) == 4 - left
+    assert job.read().count() == 80 and job.current() == newest(range(80))
+
+
+def test_file_retirement():
+    assert file_retirement() == {}
+    assert file_retirement("there", max_age="30d") == {"cleanSource": "archive", "sourceArchiveDir": "there", "maxFileAge": "30d"}
+    assert file_retirement(delete=True) == {"cleanSource": "delete"}
+    with pytest.raises(ValueError):
+        file_retirement("there", delete=True)
+
+
 def test_kafka_options():
     assert kafka_options("broker:1") == {
         "kafka.bootstrap.servers": "broker:1",
