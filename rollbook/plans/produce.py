@@ -65,7 +65,7 @@ def _decisive(attempts: DataFrame) -> DataFrame:
     )
 
 
-def _outcomes(decisive: DataFrame, max_attempts: int, keyed: bool) -> DataFrame:
+def _outcomes(decisive: DataFrame, max_attempts: int, keyed: bool, *keep: str) -> DataFrame:
     attempt, valid, named = F.col("attempt"), F.col("valid"), F.col("request_id").isNotNull()
     outcome = (
         F.when(~named, F.lit(REJECTED))
@@ -84,6 +84,7 @@ def _outcomes(decisive: DataFrame, max_attempts: int, keyed: bool) -> DataFrame:
         "document",
         F.when(accepted, record_id).alias("id"),
         *[F.when(accepted, F.col(name)).alias(name) for name in USER_COLUMNS[1:]],
+        *keep,
     )
 
 
@@ -137,21 +138,26 @@ def resolve_batch(
     """Add the outcomes of a batch of responses to what earlier batches left in `staging`.
 
     Requests that are decided stay as they are; open ones go on from the attempts they
-    have had. A batch that was committed before is left alone, so its ids are final.
-    Of the decided requests only those in the batch's range are read.
+    have had, and are written again only if the batch knows more of them. A batch that was
+    committed before is left alone, so its ids are final. Of earlier requests only those in
+    the batch's range are read.
     """
     if staging.has(query, batch_id):
         return
-    earlier = staging.resolved()
-    waiting = earlier.filter(F.col("outcome") == PENDING)
-    attempts = _flat_attempts(responses, max_attempts).unionByName(
-        waiting.select("request_id", F.col("attempts").alias("attempt"), F.lit(False).alias("valid")),
-        allowMissingColumns=True,
-    )
+    attempts = _flat_attempts(responses, max_attempts).withColumn("waited", F.lit(False))
+    if staging.last_version() < 0:
+        staging.commit(_outcomes(_decisive(attempts), max_attempts, keyed, "waited"), query, batch_id)
+        return
     low, high = responses.agg(F.min("request_id"), F.max("request_id")).first()
-    decided = earlier.filter((F.col("outcome") != PENDING) & F.col("request_id").between(F.lit(low), F.lit(high)))
-    fresh = _decisive(attempts).join(decided.select("request_id"), "request_id", "left_anti")
-    staging.commit(_outcomes(fresh, max_attempts, keyed), query, batch_id)
+    earlier = staging.resolved().filter(F.col("request_id").between(F.lit(low), F.lit(high)))
+    waiting = earlier.filter(F.col("outcome") == PENDING).select(
+        "request_id", F.col("attempts").alias("attempt"), F.lit(False).alias("valid"), F.lit(True).alias("waited")
+    )
+    newest = _decisive(attempts.unionByName(waiting, allowMissingColumns=True)).filter(~F.col("waited")).drop("waited")
+    decided = earlier.filter(F.col("outcome") != PENDING).select("request_id")
+    fresh = newest.join(decided, "request_id", "left_anti").join(waiting.select("request_id", "waited"), "request_id", "left")
+    fresh = fresh.withColumn("waited", F.coalesce("waited", F.lit(False)))
+    staging.commit(_outcomes(fresh, max_attempts, keyed, "waited"), query, batch_id)
 
 
 def publish_run(

@@ -1,8 +1,9 @@
 """What the producing job knows between its runs, as Parquet in one folder.
 
 - `resolved/version=n`: the outcome of every request that the n-th batch of responses decided, with the record and its
-  final id, and of every request that was still open after it. Written once; open requests of older versions are
-  superseded by later ones.
+  final id, and of those that it tried and left open. Written once, and never more than the batch brought: an open
+  request that a batch does not try stays where it is. `waited` marks a request that an older version has as open, so
+  that the open ones of now are found among marked and open rows, without a look at the others.
 - `commits/version=n`: one row, written after the version; names the stream's batch, so that a batch that is given
   again is not resolved again. Versions without a commit are not there.
 - `runs/run=k`: one row, written before anything of the run is sent: the versions the run looks at, and the last
@@ -34,6 +35,7 @@ _OUTCOME = T.StructType(
         T.StructField("attempts", T.IntegerType()),
         *[T.StructField(name, T.StringType()) for name in ("outcome", "reason", "document")],
         *[T.StructField(name, T.StringType()) for name in USER_COLUMNS],
+        T.StructField("waited", T.BooleanType()),
         T.StructField("version", T.LongType()),
     ]
 )
@@ -83,13 +85,21 @@ class Staging:
 
     def has(self, query: str, batch_id: int) -> bool:
         commits = self._read("commits", _COMMIT)
-        return bool(commits.filter((F.col("query") == query) & (F.col("batch_id") == batch_id)).head(1))
+        mine = F.when((F.col("query") == query) & (F.col("batch_id") == batch_id), F.col("version"))
+        last, version = commits.agg(F.max("version"), F.max(mine)).first()
+        self._last = -1 if last is None else last
+        return version is not None
 
     def resolved(self) -> DataFrame:
-        """Every committed outcome; open requests as of the last version only."""
+        """Every committed outcome, one per request; open requests count as of the last version."""
         last = self.last_version()
         rows = self._read("resolved", _OUTCOME).filter(F.col("version") <= last)
-        return rows.filter((F.col("outcome") != PENDING) | (F.col("version") == last))
+        decided = rows.filter(F.col("outcome") != PENDING)
+        newest = lambda name: F.max_by(name, "version").alias(name)
+        tried = rows.filter((F.col("outcome") == PENDING) | F.col("waited")).groupBy("request_id")
+        still = tried.agg(newest("attempts"), newest("outcome")).filter(F.col("outcome") == PENDING)
+        still = still.select("request_id", "attempts", F.lit(PENDING).alias("outcome"), F.lit(last).cast("long").alias("version"))
+        return decided.unionByName(still, allowMissingColumns=True).drop("waited")
 
     def commit(self, outcomes: DataFrame, query: str, batch_id: int) -> None:
         version = self.last_version() + 1

@@ -400,3 +400,27 @@ def test_unavailable_source_ends_the_command_with_an_error(spark, tmp_path):
             + ["--checkpoint", str(tmp_path / "c"), "--table-folder", str(tmp_path / "t")]
         )
     assert not Path(tmp_path / "log").exists()
+
+
+# --- what a batch writes -------------------------------------------------------------------
+
+
+def test_a_batch_writes_no_more_than_it_brings(spark, tmp_path):
+    """Open requests that a batch does not try are not written again, however many there are."""
+    job = Scheduled(spark, str(tmp_path), quota=None)
+    job.land([(n, 1, 500, None) for n in range(300)])
+    job.run()
+    job.land([(5, 2, 500, None), (7, 2, 200, response(7)[0][3]), (9, 1, 500, None), (400, 1, 500, None)])
+    job.run()
+    version = spark.read.parquet(f"{tmp_path}/staging/resolved/version=1")
+    # 9 brought the attempt that was known: which of two equal rows counts is open, its outcome is not.
+    assert {r.request_id for r in version.collect()} - {9} == {5, 7, 400}
+    outcomes = job.outcomes()
+    assert len(outcomes) == 301 and outcomes[5] == ("pending", 2) and outcomes[7] == ("accepted", 2)
+    assert outcomes[9] == ("pending", 1) and outcomes[400] == ("pending", 1)
+    job.land([(5, n, 500, None) for n in (3, 4, 5)] + [(8, 1, 200, response(8)[0][3])])
+    report = job.run()
+    assert (report.published, report.pending, report.exhausted) == (1, 298, 1)
+    outcomes = job.outcomes()
+    assert outcomes[5] == ("exhausted", 5) and outcomes[8] == ("accepted", 1)
+    assert sum(o == "pending" for o, _ in outcomes.values()) == 298
