@@ -11,10 +11,16 @@ marks) is negative; known formats, passwords in logins, and values with letters
 a secret are positive; values of such names without digits are not decided; plain numbers, parts of addresses and of
 paths are negative; all others are left to the forest.
 
+Names and logins, which give the labels, must not be what the forest goes by. So every labelled finding is also planted
+between plain signs, where they are withheld, and both versions are learned: by length, transitions, dictionary and
+letter pairs a value must do without its name. What is reported is the forest's choice alone, but for well-known formats
+(always) and for what stands for a value (never). `held_out` holds its precision and recall on findings that it has not
+seen, names withheld.
+
 Words, letter pairs and labels are counted over all documents, in partial sums. What the model holds is bounded: the
-`most` frequent words as its dictionary, and of each class all labelled findings, or `rows` of them drawn by hash. Clear
-cases are reported whatever the forest says, and alone where a class is empty. Scanning is one pass over whole texts
-without a shuffle.
+`most` frequent words as its dictionary, and of each class all labelled findings, or `rows` of them drawn by hash. Where
+a class is empty there is no forest, and the clear cases are reported. Scanning is one pass over whole texts without a
+shuffle.
 
 Defined cases: a null text is empty; an empty table gives no rows and a model of the clear cases alone; equal rows, and rows
 of one id or of none, are scanned each by itself; further columns are ignored unless kept. Offsets are code points.
@@ -26,7 +32,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -234,20 +240,40 @@ def labelled(raw: bytes, span: Span) -> int | None:
     return None
 
 
+def planted(text: bytes) -> tuple[bytes, Span]:
+    """A value between plain signs, away from its name, its quotes and its address."""
+    return b" . " + text + b" . ", (3, 3 + len(text))
+
+
+def settled(raw: bytes, span: Span) -> bool | None:
+    """True: a well-known format. False: what stands for a value. None: for the forest to say."""
+    text = raw[slice(*span)]
+    if _STANDS_FOR.fullmatch(text) or raw[max(0, span[0] - 1) : span[0]] not in (b'"', b"'") and _CALL.fullmatch(text):
+        return False
+    return True if _FORMAT.search(text) else None
+
+
 @dataclass
 class Model:
     forest: Forest
     language: Language
     threshold: float = 0.5
+    held_out: dict[str, float] = field(default_factory=dict)  # precision, recall, findings
 
     def find(self, raw: bytes) -> tuple[int, list[Span]]:
-        """The number of candidates, and the spans (in bytes) judged to be secrets: clear findings, with or without a forest,
-        and what the forest takes for one."""
+        """The number of candidates, and the spans (in bytes) judged to be secrets."""
         spans = candidates(raw)
         if not spans:
             return 0, []
-        scores = self.forest(np.array([shape(raw, s, self.language) for s in spans]))
-        return len(spans), [s for s, p in zip(spans, scores, strict=True) if p >= self.threshold or labelled(raw, s) == 1]
+        if not self.forest.trees:
+            return len(spans), [s for s in spans if labelled(raw, s) == 1]
+        known = [settled(raw, s) for s in spans]
+        asked = [i for i, x in enumerate(known) if x is None]
+        if asked:
+            scores = self.forest(np.array([shape(raw, spans[i], self.language) for i in asked]))
+            for i, p in zip(asked, scores, strict=True):
+                known[i] = bool(p >= self.threshold)
+        return len(spans), [s for s, x in zip(spans, known, strict=True) if x]
 
 
 def _row_of(w: list[str], n: list[int]) -> pa.RecordBatch:
@@ -305,7 +331,8 @@ def train(documents: DataFrame, label=labelled, rows: int = 20000) -> Model:
                     number = int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "big") >> 1
                     own = drawn[mark]
                     if number < most[mark] and number not in own:
-                        own[number] = shape(text, span, language)
+                        apart = shape(*planted(text[slice(*span)]), language)
+                        own[number] = shape(text, span, language) + apart
                         if len(own) >= 2 * rows:
                             for k in sorted(own)[rows:]:
                                 del own[k]
@@ -327,7 +354,20 @@ def train(documents: DataFrame, label=labelled, rows: int = 20000) -> Model:
         classes.append(np.array([r.x for r in least.toLocalIterator()], float))
     if not all(map(len, classes)):
         return Model(Forest([], 0.0), language)
-    return Model(forest(np.concatenate(classes), np.repeat([0.0, 1.0], [len(c) for c in classes])), language)
+    x, y = np.concatenate(classes), np.repeat([0.0, 1.0], [len(c) for c in classes])
+    width = x.shape[1] // 2
+    own, apart = x[:, :width], x[:, width:]
+    learned = lambda some: forest(np.concatenate((own[some], apart[some])), np.concatenate((y[some], y[some])))
+    # Rows are in the order of their hashes: every fourth of each class is held out.
+    held = np.concatenate([np.arange(len(c)) % 4 == 3 for c in classes])
+    model = Model(learned(slice(None)), language)
+    if held.any() and all(len(c) >= 8 for c in classes):
+        chosen, wanted = learned(~held)(apart[held]) >= model.threshold, y[held] == 1
+        hits = float((chosen & wanted).sum())
+        model.held_out = {
+            "precision": hits / max(1.0, float(chosen.sum())), "recall": hits / max(1.0, float(wanted.sum())), "findings": float(held.sum()),
+        }
+    return model
 
 
 def scan(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
