@@ -8,10 +8,11 @@
   generators look for (addresses spelled out, long addresses, numbers without '+', account and id formats), and so are
   long addresses and bank accounts that pass their check, and ids and spelled addresses behind a cue word. Spans that
   look alike and fail a check, and other runs of digits, are negative; what a rule takes and nothing confirms is neither.
-- Of the spans that overlap, the likeliest is kept. A generator's threshold is the least at which `precision` of the
-  unseen part of the sample is right; what a check or a cue word confirms is taken at any threshold. A generator without
-  such a threshold, as in a corpus without spans of the exact kinds, goes by `rule` instead: checksum, valid format,
-  marks of spelling, or a cue word before 9 to 15 digits.
+- Of the spans that overlap, the likeliest is kept. A generator's threshold is the least at which `precision` of a part
+  of the sample that the trees have not seen is right, and decides alone. `held_out` has the precision and recall of every
+  generator on another such part, which the thresholds have not seen either. A generator without a threshold, as in a
+  corpus without spans of the exact kinds, goes by `rule` instead: checksum, valid format, marks of spelling, or a cue
+  word before 9 to 15 digits.
 
 Learning takes spans of at most `sample` documents and at most `rows` spans (parameters), drawn by hash. Finding is one
 pass over whole texts without a shuffle; the model's size does not depend on the input.
@@ -26,7 +27,7 @@ from __future__ import annotations
 import hashlib
 import ipaddress
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -252,25 +253,37 @@ def _examples(raw: bytes) -> list[list[float]]:
 class Model:
     trees: Boosted
     thresholds: dict[str, float | None]  # None: by rule
+    held_out: dict[str, dict[str, float]] = field(default_factory=dict)  # by generator: precision, recall, spans
 
 
 def fit(rows: np.ndarray, precision: float = 0.98) -> Model:
-    """From rows of (generator, label, shape). Every third row calibrates the thresholds."""
+    """From rows of (generator, label, shape). Of five, one calibrates the thresholds and one is held out for the figures."""
     least: dict[str, float | None] = dict.fromkeys(GENERATORS)
     if len(rows) < 30:
         return Model(boost(np.zeros((0, 1)), np.zeros(0)), least)
-    unseen = np.arange(len(rows)) % 3 == 0
-    trees = boost(rows[~unseen, 2:], rows[~unseen, 1])
-    check = rows[unseen]
-    scores = trees(check[:, 2:])
+    part = np.arange(len(rows)) % 5
+    trees = boost(rows[part > 1, 2:], rows[part > 1, 1])
+    check, unseen = rows[part == 0], rows[part == 1]
+    scores, others = trees(check[:, 2:]), trees(unseen[:, 2:])
+    figures = {}
     for name in GENERATORS:
         own = check[:, 0] == _NAMES.index(name)
+        below = 0.0
         for cut in np.unique(scores[own]):
             chosen = own & (scores >= cut)
             if chosen.sum() >= 5 and check[chosen, 1].mean() >= precision:
-                least[name] = float(max(cut, 0.5))
+                # Half way to the next score below, as spans in other contexts score a little less.
+                least[name] = float(max((below + cut) / 2, 0.5))
                 break
-    return Model(trees, least)
+            below = cut
+        own = unseen[:, 0] == _NAMES.index(name)
+        if least[name] is not None and own.any():
+            chosen, wanted = own & (others >= least[name]), own & (unseen[:, 1] == 1)
+            hits = float((chosen & wanted).sum())
+            figures[name] = {
+                "precision": hits / max(1.0, float(chosen.sum())), "recall": hits / max(1.0, float(wanted.sum())), "spans": float(own.sum()),
+            }
+    return Model(trees, least, figures)
 
 
 def train(documents: DataFrame, sample: int = 4000, rows: int = 20000, seed: int = 3) -> Model:
@@ -291,7 +304,7 @@ def select(raw: bytes, model: Model) -> tuple[list[Span], list[Span]]:
     if free:
         scores = model.trees(np.array([shape(raw, s, e) for s, e, _ in free], float))
         scores = [
-            1.0 if _label(raw, *p) == 1.0 else float(rule(raw, *p)) if model.thresholds[p[2]] is None else float(x)
+            float(rule(raw, *p)) if model.thresholds[p[2]] is None else float(x)
             for x, p in zip(scores, free, strict=True)
         ]
         for score, span in sorted(zip(scores, free, strict=True), key=lambda x: (-x[0], x[1][2].endswith("number"), x[1])):
