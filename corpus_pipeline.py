@@ -5,9 +5,9 @@ copies that the mix takes of each document and their words. Further columns of d
 named copies or taken give way to those of the last stage.
 
 1. quality: documents that the classifier rejects (score under 0.3) go. It is trained on the rows it is given.
-2. near_dedup: of the documents of a near-duplicate group, the one with the least id stays. Rows without words, which
-   are linked with nothing, all stay, and so do rows without an id, unless they are equal in text; equal texts of one id
-   are one document, and one of them stays.
+2. near_dedup: of the documents of a near-duplicate group, the one with the least id stays; where rows of that id
+   differ, the one with the least hash of its text. Rows without words, which are linked with nothing, all stay, and so
+   do rows without an id, unless they are equal in text; equal texts of one id are one document, and one of them stays.
 3. decontaminate: documents with a passage of a benchmark item go.
 4. secrets: secrets are replaced by a mark, n_chars is counted anew; no document goes.
 5. mix: documents are drawn, whole, to their sources' targets; what the mix does not take goes.
@@ -37,19 +37,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # A row is known by its id and its text's hash, so that texts travel once.
     text = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    found = near_dedup.groups(docs.select("doc_id", "text", text.alias("hash")), ["hash"])
-    found = written(found, "near-found")
-    gone = written(
-        found.where("n_shingles > 0 and doc_id <> component_id").select("doc_id", "hash").distinct(), "near-gone"
-    )
+    found = near_dedup.groups(docs.select("doc_id", "text", text.alias("hash")), ["hash"], group="group")
+    found = written(found.where("n_shingles > 0"), "near-found")
+    # Of a group stays the document of its least id; where rows of that id differ, the one of the least hash.
+    heads = found.where("doc_id = component_id").select("group", "doc_id", "hash").distinct()
+    several = heads.groupBy("group").agg(F.min("hash").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    others = heads.join(several, "group").where("hash > least").select("doc_id", "hash")
+    members = found.where("doc_id <> component_id").select("doc_id", "hash")
+    gone = written(members.unionByName(others).distinct(), "near-gone")
     # Only rows whose fingerprint is among those that go are shuffled, to be compared exactly.
     key = lambda id_, hash_: F.concat(F.coalesce(id_.cast("string"), F.lit("")), F.lit(":"), hash_).cast("binary")
     maybe = fingerprint_filter(gone, key(F.col("doc_id"), F.col("hash")))(key(docs["doc_id"], text))
     match = (docs["doc_id"] == gone["doc_id"]) & (text == gone["hash"])
     left = docs.where(~maybe).unionByName(docs.where(maybe).join(gone, match, "left_anti"))
-    again = written(
-        found.where("n_shingles > 0").groupBy("doc_id", "hash").count().where("count > 1").select("doc_id", "hash"), "near-again"
-    )
+    again = written(found.groupBy("doc_id", "hash").count().where("count > 1").select("doc_id", "hash"), "near-again")
     if again.limit(1).count() == 0:
         return left
     # Equal rows of one id: one of them.
