@@ -72,12 +72,13 @@ def _grow(binned, cuts, target, weight, depth, least, rng, share) -> Tree:
         return at
 
     node(np.arange(len(binned)), 0)
+    del node  # which holds itself, and with it the rows of every tree until they are collected
     return tree
 
 
 def _binned(x: np.ndarray, bins: int) -> tuple[np.ndarray, list[np.ndarray]]:
     cuts = _cuts(x, bins)
-    return np.stack([np.searchsorted(c, column) for c, column in zip(cuts, x.T, strict=True)], 1), cuts
+    return np.stack([np.searchsorted(c, column).astype(np.uint8) for c, column in zip(cuts, x.T, strict=True)], 1), cuts
 
 
 @dataclass
