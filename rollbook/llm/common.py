@@ -59,6 +59,17 @@ def unused(name: str, columns: list[str]) -> str:
     return name
 
 
+def shelved(keep: list[str]) -> Column:
+    """The columns to keep as one struct, so that their names clash with none that an operator uses inside."""
+    return F.struct(F.lit(None).cast("int").alias("none"), *(F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)))
+
+
+def unshelved(shelf: str, keep: list[str], new: list[str]) -> list[Column]:
+    """The kept columns again; one that is named like a new column, in any case, gives way to it."""
+    taken = {name.lower() for name in new}
+    return [F.col(f"{shelf}.k{i}").alias(c) for i, c in enumerate(keep) if c.lower() not in taken]
+
+
 def fold(doc_id: Column, folds: int = 5) -> Column:
     """crc32 of the id's text mod `folds`; -1 for a null id, which so belongs to no fold."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(-1)).cast("int")
@@ -82,10 +93,12 @@ def per_row(
 ) -> DataFrame:
     """The kept columns and what `of` makes of the bytes of each text (null: empty), a batch at a time.
 
-    schema names the new columns in the order of of()'s values. Nothing is shuffled.
+    schema names the new columns in the order of of()'s values. Kept columns named like one of them, in any case, give
+    way to it. Nothing is shuffled.
     """
-    rows = frame.select(*(F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)), F.col(text).cast("string").alias("text"))
     names = [part.strip().split(" ")[0] for part in schema.split(",")]
+    keep = [c for c in keep if c.lower() not in {n.lower() for n in names}]
+    rows = frame.select(*(F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)), F.col(text).cast("string").alias("text"))
     plain = [f"k{i}" for i in range(len(keep))] + [f"v{i}" for i in range(len(names))]  # names may hold any sign
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

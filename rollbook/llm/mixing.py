@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rollbook.llm.common import written
+from rollbook.llm.common import shelved, unshelved, written
 
 REPEATS = 3
 _BITS = 10  # hash buckets per pattern: 2 ** _BITS
@@ -119,7 +119,7 @@ def mix(
     a weight for each. key: the column that names a document for the draw.
     """
     rows = documents.select(
-        *keep,
+        shelved(keep).alias("_kept"),
         F.col(size).alias("_size"),
         F.array_join(F.sort_array(F.array_distinct(F.col(members))), "\x00").alias("_pattern"),
         F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 1).alias("_hash"),
@@ -200,8 +200,9 @@ def mix(
         ),
     )
     copies = F.size("routed")
+    new = ["copies", "taken", "routed"]
     return drawn.select(
-        *keep, copies.cast("int").alias("copies"), (copies * F.col("_size")).cast("long").alias("taken"), "routed"
+        *unshelved("_kept", keep, new), copies.cast("int").alias("copies"), (copies * F.col("_size")).cast("long").alias("taken"), "routed"
     )
 
 

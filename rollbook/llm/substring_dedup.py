@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import fingerprint_filter, mixed, mixed_bytes, written
+from rollbook.llm.common import fingerprint_filter, mixed, mixed_bytes, shelved, unshelved, unused, written
 
 WIDTH = 400
 GRAM = 128
@@ -374,7 +374,7 @@ def find(documents: DataFrame, keep: list[str], group_bytes: int = 4_000_000) ->
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     name = F.unhex(F.md5(text.cast("binary")))
     base = written(
-        documents.select(*keep, name.alias("name"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("sha256")),
+        documents.select(shelved(keep).alias("kept"), name.alias("name"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("sha256")),
         "substring-base",
     )
     copies = written(base.groupBy("name").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1"), "substring-copies")
@@ -402,18 +402,23 @@ def find(documents: DataFrame, keep: list[str], group_bytes: int = 4_000_000) ->
     )
     kept = cut.select("name", "text").join(starts, "name").select("name", "text", "starts")
     kept = kept.mapInArrow(_kept, "name binary, runs array<long>, kept binary")
-    return base.join(copies, "name", "left").withColumn("copies", F.coalesce("copies", F.lit(1))), kept
+    found = base.join(copies, "name", "left")
+    new = ["name", "n_bytes", "sha256", "copies"]
+    return found.select(*unshelved("kept", keep, new), *new[:3], F.coalesce("copies", F.lit(1)).alias("copies")), kept
 
 
 def digest(base: DataFrame, kept: DataFrame, keep: list[str]) -> DataFrame:
     """The columns of the registered query."""
     runs = F.expr("aggregate(sequence(0, cast(size(runs) / 2 as int) - 1), 0L, (n, i) -> n + runs[2 * i + 1] - runs[2 * i])")
-    lost = kept.select("name", runs.alias("n"), (F.size("runs") / 2).cast("long").alias("k"), F.sha2("kept", 256).alias("sha"))
+    of = lambda name: unused(name, base.columns)
+    lost = kept.select("name", runs.alias(of("n")), (F.size("runs") / 2).cast("long").alias(of("k")), F.sha2("kept", 256).alias(of("sha")))
+    new = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "name", "sha256", "copies"]
+    keep = [c for c in keep if c.lower() not in new]
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= WIDTH)
     pick = lambda all_, some, none: F.when(whole, all_).otherwise(F.coalesce(F.col(some), none))
     return base.join(lost, "name", "left").select(
-        *keep, "n_bytes",
-        pick(F.col("n_bytes"), "n", F.lit(0)).cast("long").alias("n_removed"),
-        pick(F.lit(1), "k", F.lit(0)).cast("long").alias("n_spans"),
-        pick(F.lit(sha256(b"").hexdigest()), "sha", F.col("sha256")).alias("kept_sha256"),
+        *(F.col(f"`{c}`") for c in keep), "n_bytes",
+        pick(F.col("n_bytes"), of("n"), F.lit(0)).cast("long").alias("n_removed"),
+        pick(F.lit(1), of("k"), F.lit(0)).cast("long").alias("n_spans"),
+        pick(F.lit(sha256(b"").hexdigest()), of("sha"), F.col("sha256")).alias("kept_sha256"),
     )
