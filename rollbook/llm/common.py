@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 from collections.abc import Callable, Iterator
 
@@ -88,6 +90,16 @@ def drawn(ids: DataFrame, sample: int, *salt: int) -> DataFrame:
     return ids.where(hashed <= edge).distinct().orderBy(hashed, name).limit(sample)
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, and after them the memory they took: workers are used again, and would keep it beside the next task's."""
+    yield from batches
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim is not None:
+        trim(0)
+
+
 def per_row(
     frame: DataFrame, schema: str, keep: list[str], text: str, of: Callable[[bytes], tuple]
 ) -> DataFrame:
@@ -113,7 +125,7 @@ def per_row(
 
     kept = [f"k{i} {field.dataType.simpleString()}" for i, field in enumerate(rows.schema.fields[:-1])]
     made = [f"v{i} {part.strip().split(' ', 1)[1]}" for i, part in enumerate(schema.split(","))]
-    return rows.mapInArrow(run, ", ".join([*kept, *made])).toDF(*keep, *names)
+    return rows.mapInArrow(lambda batches: released(run(batches)), ", ".join([*kept, *made])).toDF(*keep, *names)
 
 
 _ARROW = {

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import per_row, unused, written
+from rollbook.llm.common import per_row, released, unused, written
 from rollbook.llm.trees import Forest, forest
 
 _CANDIDATE = re.compile(rb"(?<![A-Za-z0-9_/+.\-])[A-Za-z0-9_/+.\-]{12,}+={0,2}")
@@ -301,7 +301,7 @@ def language_of(documents: DataFrame, most: int = 20000) -> Language:
                 np.add.at(total, codes[:-1] * 26 + codes[1:], n)
         yield pa.RecordBatch.from_pydict({"x": pa.array([total.tolist()], pa.list_(pa.int64()))})
 
-    partial = documents.select(F.col("text").cast("string")).mapInArrow(words, "w string, n long")
+    partial = documents.select(F.col("text").cast("string")).mapInArrow(lambda x: released(words(x)), "w string, n long")
     counts = written(partial.groupBy("w").agg(F.sum("n").alias("n")).where("n > 1"), "secret-words")
     total = np.zeros(26 * 26)
     for r in counts.select("w", "n").mapInArrow(pairs, "x array<long>").toLocalIterator():  # a row for each task
@@ -347,7 +347,7 @@ def train(documents: DataFrame, label=labelled, rows: int = 20000) -> Model:
                     }
                 )
 
-    found = written(documents.select(F.col("text").cast("string")).mapInArrow(one, "mark int, hash long, x array<double>"), "secret-found")
+    found = written(documents.select(F.col("text").cast("string")).mapInArrow(lambda x: released(one(x)), "mark int, hash long, x array<double>"), "secret-found")
     classes = []
     for mark in (0, 1):
         least = found.where(F.col("mark") == mark).groupBy("hash").agg(F.min("x").alias("x")).orderBy("hash").limit(rows)
