@@ -147,20 +147,12 @@ class Sequence:
         return a, end, low
 
 
-def quantise(values: np.ndarray, bits: int = 8) -> tuple[np.ndarray, np.ndarray]:
-    """Codes and a codebook: the mean of each of 2 ** bits equally filled bins."""
-    if not len(values):
-        return np.zeros(0, np.uint8), np.zeros(1)
-    edges = np.unique(np.quantile(values, np.linspace(0, 1, (1 << bits) + 1)[1:-1]))
-    codes = np.searchsorted(edges, values, side="right")
-    sums = np.bincount(codes, values, len(edges) + 1)
-    counts = np.bincount(codes, minlength=len(edges) + 1)
-    return codes.astype(np.uint8), sums / np.maximum(counts, 1)
+STEP = 1 / 1024  # of log10, to which values are rounded
 
 
-def _discount(counts: np.ndarray) -> float:
-    once, twice = int((counts == 1).sum()), int((counts == 2).sum())
-    return float(np.clip(once / max(1, once + 2 * twice), 0.1, 0.95))
+def quantise(values: np.ndarray) -> np.ndarray:
+    """Codes of two bytes: values rounded to a step that depends on no other value, from -32 to 32."""
+    return np.clip(np.rint(values / STEP), -(2**15), 2**15 - 1).astype(np.int16)
 
 
 def _starts(*columns: np.ndarray) -> np.ndarray:
@@ -180,29 +172,33 @@ class Trie:
     level is one monotone sequence: the values of a context are shifted by the context's number times the universe (or
     by where the successors of u start). Pointers from a context to its values are monotone too.
 
-    Probabilities are smoothed by absolute discounting, interpolated with the next shorter context and in the end with
-    a given probability of the single word, and kept in 8 bits, as are the shares left for unseen words.
+    Probabilities are smoothed by adding to the counts of a context the shorter context's probabilities, as if they had
+    been seen `weight` times (a Dirichlet prior):
+
+        p(w | u) = (n(u w) + weight p(w)) / (n(u) + weight)
+        p(w | v u) = (n(v u w) + weight p(w | u)) / (n(v u) + weight)
+
+    Of a sequence v u w the trie keeps the log10 of (n(v u w) + weight p(w | u)) / weight, and of a pair that of
+    weight / (n + weight), its share left for unseen successors. The two are added where both are known: a share of all
+    the successors of u suffices to tell them, and they do not depend on what else the trie holds.
     """
 
-    def __init__(self, v: np.ndarray, u: np.ndarray, w: np.ndarray, single: np.ndarray, times: np.ndarray):
-        """Rows are distinct sequences, sorted by u, v, w; single: the probability of w alone; times: how often seen."""
+    def __init__(
+        self, v: np.ndarray, u: np.ndarray, w: np.ndarray, single: np.ndarray, times: np.ndarray, total: np.ndarray,
+        weight: tuple[float, float],
+    ):
+        """Rows are distinct sequences, sorted by u, v, w, with all that were seen of each pair u w.
+
+        single: the probability of w alone; times: how often seen; total: how often u was followed by a word.
+        """
         arrays, self.universe = {}, int(max(w.max(initial=0), v.max(initial=0))) + 1
+        self.weight = weight
 
         def level(name: str, group: np.ndarray, n_groups: int, values: np.ndarray, universe: int):
             arrays.update(encode(name, group.astype(_U) * _U(universe) + values.astype(_U), n_groups * universe + 1))
             ends = np.concatenate(([0], np.cumsum(np.bincount(group, minlength=n_groups))))
             arrays.update(encode(f"{name}.ptr", ends, len(values) + 1))
 
-        def smoothed(name, counts, group, n_groups, shorter):
-            total = np.bincount(group, counts, n_groups)
-            kinds = np.bincount(group, minlength=n_groups)
-            off = _discount(counts)
-            left = off * kinds / np.maximum(total, 1)
-            p = np.maximum(counts - off, 0) / total[group] + left[group] * shorter
-            arrays[f"{name}.code"], arrays[f"{name}.book"] = quantise(np.log10(p))
-            arrays[f"{name}.left"], arrays[f"{name}.left.book"] = quantise(np.log10(np.maximum(left, 1e-12)))
-            return p
-
         words = u[_starts(u)]
         arrays.update(encode("words", words, int(words[-1]) + 1 if len(words) else 1))
         heads = _starts(u, v)
@@ -215,48 +211,51 @@ class Trie:
         )  # of the word's number and its successor, which fit 63 bits for up to three billion of each
         owner = pairs // self.universe
         level("two", owner, len(words), pairs % self.universe, self.universe)
-        p2 = smoothed("two", np.bincount(place, times, len(pairs)), owner, len(words), single[first])
+        seen = np.bincount(place, times, len(pairs))
+        p2 = (seen + weight[0] * single[first]) / (total[first] + weight[0])
+        arrays["two.code"], arrays["two.left"] = quantise(np.log10(p2)), quantise(np.log10(weight[1] / (seen + weight[1])))
 
         starts = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(words)))))
         relative = place - starts[context_owner[context]]
         self.width = int(np.diff(starts).max(initial=0)) + 1
         level("three", context, len(heads), relative, self.width)
-        smoothed("three", times.astype(float), context, len(heads), p2[place])
+        arrays["three.code"] = quantise(np.log10(times / weight[1] + p2[place]))
         self.mapped = Mapped(arrays)
         self.sizes = (len(words), len(p2), len(heads), len(u))
 
-    def log10(self, v: np.ndarray, u: np.ndarray, w: np.ndarray, single: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each w after v u; single: its probability alone."""
+    def log10(self, v, u, w, single, total) -> tuple[np.ndarray, np.ndarray]:
+        """Of each v u w: log10 of (n(v u w) + weight p(w | u)) / weight, and of the share left for unseen words after u w.
+
+        log10 p(w | v u) is the first of these for v u w and the second for v u.
+        """
         m = self.mapped.arrays
         seq = lambda name: Sequence(m, name)
-        out = np.log10(single)
+        out = np.log10(single * self.weight[0] / (total + self.weight[0]))
+        left = np.zeros(len(out))
         if not self.sizes[0] or not len(u):
-            return out
+            return out, left
         turn = _starts(u)  # equal neighbours are looked up once
         word = np.repeat(seq("words").find(u[turn]), np.diff(np.append(turn, len(u))))
         rows = np.flatnonzero(word >= 0)
         if not len(rows):
-            return out
-        word, q, before, alone = word[rows], w[rows], v[rows], out[rows]
+            return out, left
+        word, q, before = word[rows], w[rows], v[rows]
 
         # Of a pair beyond the universe none is there.
         key, back = np.unique(word * (self.universe + 1) + np.minimum(q, self.universe), return_inverse=True)
         of, to = key // (self.universe + 1), key % (self.universe + 1)
         two = np.where(to < self.universe, seq("two").find(of * self.universe + np.minimum(to, self.universe - 1)), -1)[back]
-        value = np.where(
-            two >= 0, m["two.book"][m["two.code"][np.maximum(two, 0)]], m["two.left.book"][m["two.left"][word]] + alone
-        )
+        pair = np.flatnonzero(two >= 0)
+        out[rows[pair]] = m["two.code"][two[pair]] * STEP
+        left[rows[pair]] = m["two.left"][two[pair]] * STEP
         turn = _starts(word, before)
         known = before[turn] < self.universe
         found = seq("context").find(word[turn] * self.universe + np.where(known, before[turn], 0))
         context = np.repeat(np.where(known, found, -1), np.diff(np.append(turn, len(word))))
-        longer = np.flatnonzero(context >= 0)
-        value[longer] += m["three.left.book"][m["three.left"][context[longer]]]
-        inner = longer[two[longer] >= 0]
+        inner = pair[context[pair] >= 0]
         # The word's place among the successors of u is what the longer context lists.
         relative = two[inner] - seq("two.ptr").get(np.arange(self.sizes[0])).astype(np.int64)[word[inner]]
         three = seq("three").find(context[inner] * self.width + relative)
         hit = three >= 0
-        value[inner[hit]] = m["three.book"][m["three.code"][three[hit]]]
-        out[rows] = value
-        return out
+        out[rows[inner[hit]]] = m["three.code"][three[hit]] * STEP
+        return out, left

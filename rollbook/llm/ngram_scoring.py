@@ -5,13 +5,17 @@ vocabulary. What blocks need from each other travels packed, and every text is j
 
 1. Vocabulary: each block sends its distinct words, with their training counts, to the part of the fingerprint range
    they belong to. A part adds the counts, numbers its words and answers each block.
-2. Contexts: a token goes, with the two before it, to the part of the word before it. A part builds a trie of the
-   training sequences it has received, and looks up all sequences, training or not, in it.
-3. Parts answer each block with one sum per text, in single precision; they are added in double.
-
-A word that precedes more tokens than a part should hold is split by the word before it; the shorter context of such a
-word is then learned per part of the split, from the many tokens there. So no part depends on one word, and a third of
-all tokens after one word are as even as any others. Part numbers come from the corpus' size; no n-gram is pruned.
+2. Contexts: each block sends its distinct sequences of three words, with their training counts, to the part of the word
+   in the middle. A part builds a trie of the training sequences it has received, and looks up all sequences in it.
+3. Parts answer each block with one sum per text, in single precision, and with one value for each sequence that the block
+   holds often, whose texts the block has kept; they are added in double.
+
+The log10 of a probability is a sum of two values (see elias_fano.Trie): one needs what was seen of u w, the other what
+was seen of v u, and each is told where that pair is. A word that precedes more tokens than a part should hold can
+therefore be split by the word after it, and a score does not depend on parts, blocks or memory settings, but for the
+rounding of sums. A sequence that many texts hold, such as a first word that all share or one word repeated, is one row
+for each block. What stays together is a pair of words, with a row for each word before it and block. Part numbers come
+from the corpus' size; no n-gram is pruned.
 
 Words are 64-bit fingerprints. Two words of one corpus share one with a probability of about n * n / 2 ** 65 for n
 distinct words: one in two hundred at 400 million.
@@ -38,6 +42,8 @@ from rollbook.llm.elias_fano import Mapped, Sequence, Trie, _starts, encode
 BLOCK_TOKENS = 2_000_000
 PART_TOKENS = 1_000_000
 PART_WORDS = 1_000_000
+WEIGHT = (2000.0, 5.0)  # of the probabilities of single words in those after one, and of these in those after two
+OFTEN = 8  # tokens of a sequence in a block beyond which its texts stay in the block
 CHUNK = 2_000_000  # bytes of text handled at once
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -197,37 +203,49 @@ def _sequences(parts: int, offsets: dict[int, int], n: int, v: int, texts: int,
                 first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
                 base = np.bincount(doc, np.log10((c + 0.5) / whole), len(sizes))
                 own = np.stack((sizes.astype(float), np.bincount(doc, c > 0, len(sizes)), base, train.astype(float)))
-                rows = [(-1 - int(block[:8], 16) % parts, block, len(sizes), _pack(own.ravel()), ids)]
+                end = w[-1]  # the last of every text
 
                 u = np.concatenate(([_BEGIN], w[:-1]))
                 u[first] = _BEGIN
-                x = np.concatenate(([_NONE], u[:-1]))
-                x[first] = _NONE
                 before = np.concatenate(([texts], c[:-1]))
                 before[first] = texts
-                del w, c
                 split = 1 + before // share
-                bucket = (mixed(x.astype(np.uint64)) % split.astype(np.uint64)).astype(np.uint64)
+                bucket = mixed(w.astype(np.uint64)) % split.astype(np.uint64)
                 part = (mixed(u.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + bucket) % np.uint64(parts)).astype(np.int64)
                 # From here on words are known by their places in the block, after the two that begin a text.
                 number = np.concatenate(([_NONE, _BEGIN], number))
-                count = np.concatenate(([0, 0], count))
+                count = np.concatenate(([0, texts], count))
                 w = (tokens + 2).astype(np.int32)
                 u = np.concatenate(([1], w[:-1])).astype(np.int32)
                 u[first] = 1
                 x = np.concatenate(([0], u[:-1])).astype(np.int32)
                 x[first] = 0
                 bits = int(len(number)).bit_length()
-                edges = np.concatenate(([0], np.cumsum(np.bincount(part, minlength=parts))))
-                order = np.lexsort((w, u, part)) if parts.bit_length() + 2 * bits > 63 else np.argsort(
-                    (part << (2 * bits)) | (u.astype(np.int64) << bits) | w
-                )
-                del part, bucket, split, before
+                key = (u.astype(np.int64) << bits) | w
+                if parts.bit_length() + 2 * bits <= 63:
+                    order = np.lexsort((x, (part << (2 * bits)) | key))
+                else:
+                    order = np.lexsort((x, key, part))
+                del key, bucket, split, before, c
+                u, w, x, doc, part = u[order], w[order], x[order], doc[order], part[order]
+                # Distinct sequences, sorted by part, u, w, x, and the texts of each.
+                at = _starts(part, u, w, x)
+                tokens_of_each = np.diff(np.append(at, len(u)))
+                seen = np.add.reduceat(train[doc].astype(np.int64), at)
+                often = tokens_of_each > OFTEN
+                kept = np.repeat(often, tokens_of_each)
+                held = [doc[kept], tokens_of_each[often]]
+                doc, own_part = doc[~kept], part[~kept]
+                u, w, x, part = u[at], w[at], x[at], part[at]
+                edges = np.searchsorted(part, np.arange(parts + 1))
+                doc_edges = np.searchsorted(own_part, np.arange(parts + 1))
+                body = _packed([own.ravel(), *held])
+                rows = [(-1 - int(block[:8], 16) % parts, block, len(sizes), body, ids)]
                 marked = np.zeros(len(number), bool)
                 place = np.zeros(len(number), np.uint32)
                 for i in np.flatnonzero(np.diff(edges)):
-                    at = order[edges[i] : edges[i + 1]]
-                    own = [y[at] for y in (u, w, x)]
+                    cut = slice(edges[i], edges[i + 1])
+                    own = [y[cut] for y in (u, w, x)]
                     for y in own:
                         marked[y] = True
                     used = np.flatnonzero(marked)
@@ -235,10 +253,9 @@ def _sequences(parts: int, offsets: dict[int, int], n: int, v: int, texts: int,
                     place[used] = np.arange(len(used))
                     small = np.uint16 if len(used) < 2**16 else np.uint32
                     columns = [np.diff(number[used], prepend=0), count[used], *_steps(*(place[y].astype(small) for y in own))]
-                    columns += [doc[at].astype(np.uint16 if len(sizes) < 2**16 else np.uint32), np.packbits(train)]
-                    packed = [_pack(y) for y in columns]
-                    body = ",".join(str(len(y)) for y in packed).encode() + b"\n" + b"".join(packed)
-                    rows.append((int(i), block, len(sizes), body, None))
+                    columns += [seen[cut], np.where(often[cut], 0, tokens_of_each[cut]).astype(np.uint8)]
+                    columns += [doc[doc_edges[i] : doc_edges[i + 1]].astype(np.uint16 if len(sizes) < 2**16 else np.uint32)]
+                    rows.append((int(i), block, len(sizes), _packed([*columns, np.array([end])]), None))
                 for at in range(0, len(rows), 64):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([r[j] for r in rows[at : at + 64]], k) for j, k in enumerate(kinds)], names
@@ -265,20 +282,26 @@ def _values(step: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return u, total - before
 
 
+def _packed(columns: list[np.ndarray]) -> bytes:
+    packed = [_pack(x) for x in columns]
+    return ",".join(str(len(x)) for x in packed).encode() + b"\n" + b"".join(packed)
+
+
 def _columns(body: bytes) -> list[np.ndarray]:
+    """The inverse of _packed."""
     head, _, rest = body.partition(b"\n")
     out, at = [], 0
     for size in map(int, head.split(b",")):
         out.append(_unpack(rest[at : at + size]))
         at += size
-    out[2], out[3] = _values(out[2], out[3])
     return out
 
 
-def judged(u, w, x, train, count, whole: float) -> np.ndarray:
-    """log10 of the probability of each token w after x u, under the trie of those with train.
+def judged(u, w, x, times, count, whole: float, end: int, weight: tuple[float, float]) -> np.ndarray:
+    """What each sequence x u w adds to the log10 of its text's probability, under the trie of those with times.
 
-    Words are numbers below len(count), their training counts.
+    Words are numbers below len(count), their training counts; end is the number of the end of a text. Rows of one
+    sequence add their times. Added is the sequence's own value and, but for the end, that of u w as a context.
     """
     bits = max(1, int(len(count)).bit_length())
     head, above = (u.astype(np.uint64) << np.uint64(bits)) | x.astype(np.uint64), bits
@@ -291,35 +314,43 @@ def judged(u, w, x, train, count, whole: float) -> np.ndarray:
     key = key[order]
     at = _starts(key)
     key = key[at]
-    times = np.add.reduceat(train[order].astype(np.int64), at)
+    times = np.add.reduceat(times[order].astype(np.int64), at)
     mask = np.uint64((1 << bits) - 1)
     w, head = (key & mask).astype(np.int64), key >> np.uint64(bits)
     if not above:
         head = pairs[head.astype(np.int64)]
     u, x = (head >> np.uint64(bits)).astype(np.int64), (head & mask).astype(np.int64)
     del head, key
-    single = (count[w] + 0.5) / whole
+    single, total = (count[w] + 0.5) / whole, count[u]
     seen = np.flatnonzero(times)
-    trie = Trie(x[seen], u[seen], w[seen], single[seen], times[seen])
-    found = trie.log10(x, u, w, single)
+    trie = Trie(x[seen], u[seen], w[seen], single[seen], times[seen], total[seen], weight)
+    found, left = trie.log10(x, u, w, single, total)
+    found += np.where(w == end, 0.0, left)
+    # The context that begins a text is no token of it.
+    found += np.where(x == _NONE, np.log10(weight[1] / (total + weight[1])), 0.0)
     out = np.empty(len(order))
     out[order] = np.repeat(found, np.diff(np.append(at, len(order))))
     return out
 
 
-def _together(each: list[list[np.ndarray]]) -> tuple[np.ndarray, ...]:
-    """u, w, x, doc, train and counts of all blocks' columns, words numbered in one order."""
+def _together(each: list[list[np.ndarray]]) -> tuple:
+    """u, w, x, counts of training and counts of all blocks' columns, and the end, words numbered in one order."""
+    # The two that begin a text are in all parts, so that their numbers stay what they are.
+    begin = np.array([_NONE, _BEGIN], np.int64)
     numbers = [np.cumsum(e[0].astype(np.int64)) for e in each]
-    merged, first = np.unique(np.concatenate(numbers), return_index=True)
-    count = np.concatenate([e[1] for e in each]).astype(np.int64)[first]
+    merged, first = np.unique(np.concatenate([begin, *numbers]), return_index=True)
+    texts = max([int(e[1][n == _BEGIN].max(initial=0)) for e, n in zip(each, numbers, strict=True)])
+    count = np.concatenate([np.array([0, texts]), *(e[1] for e in each)]).astype(np.int64)[first]
     places = [np.searchsorted(merged, x).astype(np.int32) for x in numbers]
-    u, w, x = (np.concatenate([p[e[i]] for e, p in zip(each, places, strict=True)]) for i in (2, 3, 4))
-    doc = np.concatenate([e[5].astype(np.int32) for e in each])
-    train = np.concatenate([np.unpackbits(e[6])[e[5]] for e in each])
-    return u, w, x, doc, train, count
+    values = [(*_values(e[2], e[3]), e[4]) for e in each]
+    u, w, x = (np.concatenate([p[v[i]] for v, p in zip(values, places, strict=True)]) for i in range(3))
+    times = np.concatenate([e[5] for e in each])
+    end = int(each[0][8][0])
+    at = int(np.searchsorted(merged, end))
+    return u, w, x, times, count, at if at < len(merged) and merged[at] == end else -1
 
 
-def _judgements(whole: float, ids_type: pa.DataType):
+def _judgements(whole: float, ids_type: pa.DataType, weight: tuple[float, float]):
     names = ["block", "part", "data", "ids"]
     kinds = (pa.string(), pa.int64(), pa.binary(), pa.list_(ids_type))
 
@@ -329,16 +360,18 @@ def _judgements(whole: float, ids_type: pa.DataType):
                 out = [(block, part, data, ids) for block, _, data, ids in rows]
             else:
                 each = [_columns(data) for _, _, data, _ in rows]
-                u, w, x, doc, train, count = _together(each)
-                sizes = [len(e[5]) for e in each]
+                u, w, x, times, count, end = _together(each)
+                texts = [(e[6], e[7]) for e in each]
                 del each
-                values = judged(u, w, x, train, count, whole)
+                values = judged(u, w, x, times, count, whole, end, weight)
                 out, at = [], 0
-                for (block, docs, _, _), n in zip(rows, sizes, strict=True):
-                    sums = np.bincount(doc[at : at + n], values[at : at + n], docs)
+                for (block, docs, _, _), (tokens, doc) in zip(rows, texts, strict=True):
+                    own = values[at : at + len(tokens)]
+                    at += len(tokens)
+                    sums = np.bincount(doc, np.repeat(own, tokens), docs)
                     some = np.flatnonzero(sums)
-                    out.append((block, part, _pack(some.astype(np.uint32)) + b"\n\n" + _pack(sums[some].astype(np.float32)), None))
-                    at += n
+                    body = [some.astype(np.uint32), sums[some].astype(np.float32), own[tokens == 0].astype(np.float32)]
+                    out.append((block, part, _packed(body), None))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
 
     return run
@@ -352,31 +385,33 @@ def _sums(ids_type: pa.DataType):
         for _, rows in _by_part(batches):
             part, data, ids = rows[0]
             assert part < 0, "a block's own row comes first"
-            sizes, known, base, train = _unpack(data).reshape(4, -1)
-            score = np.zeros(len(sizes))
+            own, doc, tokens = _columns(data)
+            sizes, known, base, train = own.reshape(4, -1)
+            score, often = np.zeros(len(sizes)), []
             for _, data, _ in rows[1:]:
-                head = int(data.split(b";", 1)[0].split(b",")[1])
-                some, sums = _halves(data, head)
+                some, sums, values = _columns(data)
                 score[some] += sums
+                often.append(values)
+            if len(doc):  # parts come in the order in which the block keeps its own
+                score += np.bincount(doc, np.repeat(np.concatenate(often).astype(float), tokens), len(sizes))
             values = (ids, sizes.astype(np.int64), known.astype(np.int64), base, score, train > 0)
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(values, kinds, strict=True)], names)
 
     return run
 
 
-def _halves(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
-    at = data.rindex(b"\n\n<f4,%d;" % n)
-    return _unpack(data[:at]), _unpack(data[at + 2 :])
-
-
 def _schema(**fields: str) -> str:
     return ", ".join(f"{k} {v}" for k, v in fields.items())
 
 
-def scores(documents: DataFrame, train, part_tokens: int = PART_TOKENS, part_words: int = PART_WORDS) -> DataFrame:
+def scores(
+    documents: DataFrame, train, part_tokens: int = PART_TOKENS, part_words: int = PART_WORDS,
+    weight: tuple[float, float] = WEIGHT,
+) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score, learned and train_tokens of every text.
 
-    documents: doc_id, text. train: a condition on doc_id; the model learns from the rows that meet it.
+    documents: doc_id, text. train: a condition on doc_id; the model learns from the rows that meet it. weight: of shorter
+    contexts in longer ones, as so many tokens. The sizes of parts set what a task holds and leave scores as they are.
     """
     kind = documents.schema["doc_id"].dataType.simpleString()
     arrow = pa.from_numpy_dtype(np.int64) if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
@@ -418,7 +453,7 @@ def scores(documents: DataFrame, train, part_tokens: int = PART_TOKENS, part_wor
         _schema(part="long", block="string", docs="long", data="binary", ids=f"array<{kind}>"),
     )
     judgements = sequences.repartition("part").sortWithinPartitions("part", "block").mapInArrow(
-        _judgements(whole, arrow), _schema(block="string", part="long", data="binary", ids=f"array<{kind}>")
+        _judgements(whole, arrow, weight), _schema(block="string", part="long", data="binary", ids=f"array<{kind}>")
     )
     summed = judgements.repartition("block").sortWithinPartitions("block", "part").mapInArrow(
         _sums(arrow),
