@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import mixed, word_bounds, word_prints, written
+from rollbook.llm.common import mixed, released, word_bounds, word_prints, written
 from rollbook.llm.elias_fano import Mapped, Sequence, Trie, _starts, encode
 
 BLOCK_TOKENS = 2_000_000
@@ -404,6 +404,14 @@ def _schema(**fields: str) -> str:
     return ", ".join(f"{k} {v}" for k, v in fields.items())
 
 
+def _tasks(n: float, each: int) -> int:
+    return max(1, math.ceil(n / each))
+
+
+def _mapped(frame: DataFrame, run, schema: str) -> DataFrame:
+    return frame.mapInArrow(lambda batches: released(run(batches)), schema)
+
+
 def scores(
     documents: DataFrame, train, part_tokens: int = PART_TOKENS, part_words: int = PART_WORDS,
     weight: tuple[float, float] = WEIGHT,
@@ -423,19 +431,19 @@ def scores(
         block="string", ids=f"array<{kind}>", n_words="long", n_tokens="long", n_texts="long", train="binary",
         sizes="binary", vocabulary="binary", counts="binary", tokens="binary",
     )
-    blocks = written(rows.mapInArrow(_blocks, block), "lm-blocks")
+    blocks = written(_mapped(rows, _blocks, block), "lm-blocks")
     size = blocks.agg(F.sum("n_words"), F.sum("n_tokens"), F.sum("n_texts")).first()
     n_words, n_tokens, n_texts = (x or 0 for x in size)
 
-    parts = max(1, math.ceil(n_words / part_words))
-    shares = blocks.select("block", "vocabulary", "counts").mapInArrow(
-        _shares(parts), _schema(part="long", block="string", vocabulary="binary", counts="binary")
-    )
-    answers = written(
-        shares.repartition("part").sortWithinPartitions("part", "block")
-        .mapInArrow(_answers, _schema(part="long", block="string", places="binary", counts="binary")),
-        "lm-words",
+    parts = _tasks(n_words, part_words)
+    shares = _mapped(
+        blocks.select("block", "vocabulary", "counts"), _shares(parts),
+        _schema(part="long", block="string", vocabulary="binary", counts="binary"),
     )
+    shares = shares.repartition(_tasks(n_words, PART_WORDS), "part").sortWithinPartitions("part", "block")
+    answers = written(
+        _mapped(shares, _answers, _schema(part="long", block="string", places="binary", counts="binary")), "lm-words"
+    )
     offsets, at, known = {}, 0, 0
     for row in answers.where("block is null").select("part", "counts").orderBy("part").toLocalIterator():
         own, seen = _unpack(bytes(row["counts"])).tolist()  # a row for each part of a million words
@@ -446,16 +454,19 @@ def scores(
     )
 
     whole = n_tokens + 0.5 * (known + 1)
-    parts = max(1, math.ceil(n_tokens * 1.25 / part_tokens))
+    parts = _tasks(n_tokens * 1.25, part_tokens)
     sequences = blocks.join(answered, "block").select("block", "ids", "train", "sizes", "tokens", "answers")
-    sequences = sequences.mapInArrow(
+    sequences = _mapped(
+        sequences,
         _sequences(parts, offsets, n_tokens, known, n_texts, max(1, part_tokens // 4), arrow),
         _schema(part="long", block="string", docs="long", data="binary", ids=f"array<{kind}>"),
     )
-    judgements = sequences.repartition("part").sortWithinPartitions("part", "block").mapInArrow(
-        _judgements(whole, arrow, weight), _schema(block="string", part="long", data="binary", ids=f"array<{kind}>")
+    sequences = sequences.repartition(_tasks(n_tokens * 1.25, PART_TOKENS), "part").sortWithinPartitions("part", "block")
+    judgements = _mapped(
+        sequences, _judgements(whole, arrow, weight), _schema(block="string", part="long", data="binary", ids=f"array<{kind}>")
     )
-    summed = judgements.repartition("block").sortWithinPartitions("block", "part").mapInArrow(
+    summed = _mapped(
+        judgements.repartition("block").sortWithinPartitions("block", "part"),
         _sums(arrow),
         _schema(doc_id=kind, n_tokens="long", n_known="long", base_score="double", score="double", learned="boolean"),
     )
