@@ -135,7 +135,8 @@ def _shares(parts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, words, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for row in range(batch.num_rows):
+                block, words, counts = (c[row].as_py() for c in batch.columns)
                 words, counts = np.cumsum(_unpack(words).astype(np.uint64)), _unpack(counts)
                 edges = np.searchsorted(words, np.array([i * step for i in range(parts)], np.uint64)).tolist() + [len(words)]
                 rows = [i for i in range(parts) if edges[i] < edges[i + 1]]
@@ -193,7 +194,8 @@ def _sequences(parts: int, offsets: dict[int, int], n: int, v: int, texts: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, ids, train, sizes, tokens, answers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for row in range(batch.num_rows):
+                block, ids, train, sizes, tokens, answers = (c[row].as_py() for c in batch.columns)
                 train, sizes, tokens = _unpack(train), _unpack(sizes).astype(np.int64), _unpack(tokens).astype(np.int32)
                 answers = sorted((a["part"], a["places"], a["counts"]) for a in answers)
                 number = np.concatenate([_unpack(p).astype(np.int64) + offsets[k] for k, p, _ in answers]) + _FIRST
@@ -209,13 +211,20 @@ def _sequences(parts: int, offsets: dict[int, int], n: int, v: int, texts: int,
                 u[first] = _BEGIN
                 before = np.concatenate(([texts], c[:-1]))
                 before[first] = texts
-                split = 1 + before // share
-                bucket = mixed(w.astype(np.uint64)) % split.astype(np.uint64)
-                part = (mixed(u.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + bucket) % np.uint64(parts)).astype(np.int64)
+                del c, answers
+                bucket = mixed(w.astype(np.uint64))
+                del w
+                bucket %= (1 + before // share).astype(np.uint64)
+                del before
+                bucket += u.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                del u
+                part = (mixed(bucket) % np.uint64(parts)).astype(np.int32)
+                del bucket
                 # From here on words are known by their places in the block, after the two that begin a text.
                 number = np.concatenate(([_NONE, _BEGIN], number))
                 count = np.concatenate(([0, texts], count))
-                w = (tokens + 2).astype(np.int32)
+                w = tokens + np.int32(2)
+                del tokens
                 u = np.concatenate(([1], w[:-1])).astype(np.int32)
                 u[first] = 1
                 x = np.concatenate(([0], u[:-1])).astype(np.int32)
@@ -223,20 +232,24 @@ def _sequences(parts: int, offsets: dict[int, int], n: int, v: int, texts: int,
                 bits = int(len(number)).bit_length()
                 key = (u.astype(np.int64) << bits) | w
                 if parts.bit_length() + 2 * bits <= 63:
-                    order = np.lexsort((x, (part << (2 * bits)) | key))
+                    key |= part.astype(np.int64) << (2 * bits)
+                    order = np.lexsort((x, key))
                 else:
                     order = np.lexsort((x, key, part))
-                del key, bucket, split, before, c
+                del key
+                order = order.astype(np.int32)
                 u, w, x, doc, part = u[order], w[order], x[order], doc[order], part[order]
+                del order
                 # Distinct sequences, sorted by part, u, w, x, and the texts of each.
                 at = _starts(part, u, w, x)
                 tokens_of_each = np.diff(np.append(at, len(u)))
-                seen = np.add.reduceat(train[doc].astype(np.int64), at)
+                seen = np.add.reduceat(train[doc], at, dtype=np.int32)
                 often = tokens_of_each > OFTEN
                 kept = np.repeat(often, tokens_of_each)
                 held = [doc[kept], tokens_of_each[often]]
                 doc, own_part = doc[~kept], part[~kept]
                 u, w, x, part = u[at], w[at], x[at], part[at]
+                del kept, at
                 edges = np.searchsorted(part, np.arange(parts + 1))
                 doc_edges = np.searchsorted(own_part, np.arange(parts + 1))
                 body = _packed([own.ravel(), *held])
