@@ -7,7 +7,7 @@ import time
 from collections.abc import Callable
 from dataclasses import asdict
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollbook.fixed import TOPIC, USER_COLUMNS
@@ -36,7 +36,7 @@ from rollbook.sinks.tables import UserTable, drop_table, ensure_table, merge_log
 from rollbook.sinks.user_log import batch_writer, compact_log, read_log
 from rollbook.sources.messages import file_caps, read_message_files, record_caps
 from rollbook.sources.responses import read_responses
-from rollbook.streaming.ingest import drain_messages
+from rollbook.streaming.ingest import drain_messages, drain_together
 from rollbook.streaming.progress import progress_told
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -174,15 +174,30 @@ def stream_rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Streams side by side where one would run batch after batch.
+_LANES = 8
+
+
 def stream_record_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batches of at most 3,000 messages, from files that are landed with as many: how many batches have which size."""
-    source, log = shared_folder(spark, "messages"), shared_folder(spark, "log")
-    checkpoint, cap = shared_folder(spark, "checkpoint"), 3000
-    messages = message_log(spark, sf_dir).filter(F.col("topic") == TOPIC).repartition("partition")
-    messages.write.options(**file_size(cap)).partitionBy("partition").parquet(source)
-    stream = read_message_files(spark, source, TOPIC, record_caps(spark, source, cap, cap))
-    drain_messages(stream, batch_writer(log, checkpoint), checkpoint)
-    sizes = read_log(spark, log).groupBy("batch_id").agg(F.count(F.lit(1)).alias("messages"))
+    """Batches of at most 3,000 messages, from files that are landed with as many: how many batches have which size.
+
+    The files of a topic partition are dealt to lanes, and each lane is a stream with a checkpoint of its own.
+    """
+    source, log, cap = shared_folder(spark, "messages"), shared_folder(spark, "log"), 3000
+    messages = message_log(spark, sf_dir).filter(F.col("topic") == TOPIC)
+    place = F.row_number().over(Window.partitionBy("partition").orderBy("offset")) - 1
+    lane = F.floor(place / cap) % _LANES  # whole files, so that only the last of a topic partition is smaller
+    laned = messages.withColumn("lane", lane)
+    laned.write.options(**file_size(cap)).partitionBy("lane", "partition").parquet(source)
+    caps = record_caps(spark, source, cap, cap)
+    lanes = sorted(row.lane for row in spark.read.parquet(source).select("lane").distinct().collect())
+    streams = []
+    for number in lanes:
+        checkpoint = shared_folder(spark, "checkpoint")
+        stream = read_message_files(spark, f"{source}/lane={number}", TOPIC, caps)
+        streams.append((stream, batch_writer(log, checkpoint), checkpoint))
+    drain_together(streams)
+    sizes = read_log(spark, log).groupBy("run", "batch_id").agg(F.count(F.lit(1)).alias("messages"))
     return sizes.groupBy("messages").agg(F.count(F.lit(1)).alias("batches"))
 
 

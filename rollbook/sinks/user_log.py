@@ -40,9 +40,12 @@ def batch_writer(
     shuffle that lets adaptive execution settle on fewer and evener ones, which pays
     when batches are small and topic partitions many.
     """
+    run: str | None = None
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        run = query_id(batch.sparkSession, checkpoint)
+        nonlocal run
+        if run is None or batch_id == 0:  # another checkpoint begins with 0
+            run = query_id(batch.sparkSession, checkpoint)
         if merge_files:
             batch = batch.hint("rebalance")
         batch.write.mode("overwrite").options(**LOOKUP_OPTIONS).parquet(f"{path}/run={run}/batch_id={batch_id}")

@@ -2,6 +2,7 @@
 
 import json
 import re
+import threading
 import time
 import uuid
 from dataclasses import replace
@@ -17,12 +18,13 @@ from rollbook.operators.latest import current_users, latest_versions, rejected_m
 from rollbook.operators.screening import storable
 from rollbook.plans.consume import consume
 from rollbook.schema import MESSAGE_SCHEMA
+from rollbook.sinks import user_log
 from rollbook.sinks.connector import store_options, store_writer
 from rollbook.sinks.tables import UserTable, drop_table, ensure_table, merge_log
 from rollbook.sinks.user_log import LOOKUP_OPTIONS, batch_writer, compact_log, read_log
 from rollbook.sinks.messages import publish_files
 from rollbook.sources.messages import file_caps, file_retirement, kafka_options, read_kafka, read_message_files, record_caps
-from rollbook.streaming.ingest import drain_messages, query_id, start_ingest
+from rollbook.streaming.ingest import drain_messages, drain_together, query_id, start_ingest
 from rollbook.streaming.progress import progress_told, to_log
 
 IDS = [str(uuid.UUID(int=n)) for n in range(40)]
@@ -361,6 +363,55 @@ def test_batches_hold_no_more_records_than_the_cap(spark, job):
     assert max(sizes) == 20 and sum(sizes) == 95 and job.read().count() == 95
 
 
+def test_streams_drain_side_by_side(spark, tmp_path):
+    """The first batch of each waits for that of the other."""
+    jobs, meet = [Job(spark, str(tmp_path / name)) for name in "ab"], threading.Barrier(2, timeout=60)
+
+    def met(job):
+        write = batch_writer(job.log, job.checkpoint("first"))
+
+        def both(batch, batch_id):
+            if batch_id == 0:
+                meet.wait()
+            write(batch, batch_id)
+
+        return both
+
+    for job in jobs:
+        write_messages(spark, job.source, range(20))
+        write_messages(spark, job.source, range(20, 30))
+    drain_together(
+        [(read_message_files(spark, job.source, TOPIC, file_caps(1)), met(job), job.checkpoint("first")) for job in jobs]
+    )
+    assert [job.batches() for job in jobs] == [[0, 1]] * 2 and [job.read().count() for job in jobs] == [30, 30]
+
+
+def test_a_stream_that_fails_ends_the_others(spark, tmp_path):
+    jobs = [Job(spark, str(tmp_path / name)) for name in "ab"]
+    for job in jobs:
+        write_messages(spark, job.source, range(10))
+
+    def fails(batch, batch_id):
+        raise ConnectionError("lost")
+
+    writers = [fails, batch_writer(jobs[1].log, jobs[1].checkpoint("first"))]
+    streams = [(read_message_files(spark, j.source), w, j.checkpoint("first")) for j, w in zip(jobs, writers, strict=True)]
+    with pytest.raises(Exception, match="lost"):
+        drain_together(streams)
+    assert not spark.streams.active
+    jobs[1].drain()
+    assert jobs[1].read().count() == 10
+
+
+def test_the_id_of_a_stream_is_read_once(spark, job, monkeypatch):
+    reads = []
+    monkeypatch.setattr(user_log, "query_id", lambda *a: reads.append(a) or query_id(*a))
+    for n in range(4):
+        write_messages(spark, job.source, range(10 * n, 10 * n + 10))
+    job.drain(max_files=1)
+    assert job.batches() == [0, 1, 2, 3] and len(reads) == 1
+
+
 def test_progress_is_told_while_the_stream_runs(spark, job):
     write_messages(spark, job.source, range(40))
     told, checkpoint = [], job.checkpoint("first")
