@@ -81,7 +81,9 @@ BODY = f"""
 
 
 def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    # A compact table may be a single split; what is made of it is large.
+    customers = customers.repartition(spark.sparkContext.defaultParallelism)
     attempts = customers.withColumn("attempt", F.explode(F.expr(f"sequence(1, {ATTEMPTS})")))
     return attempts.select(
         F.col("c_custkey").alias("request_id"),

@@ -134,9 +134,13 @@ def resolve_batch(
     batch_id: int,
     keyed: bool = False,
     max_attempts: int = MAX_ATTEMPTS,
+    spread: bool = False,
 ) -> None:
     """Add the outcomes of a batch of responses to what earlier batches left in `staging`.
 
+    `spread` deals the responses out to all cores before they are parsed: a batch of few files may be few splits,
+    however large, since a row group is never read by two tasks, and parsing takes far longer than moving the text.
+
     Requests that are decided stay as they are; open ones go on from the attempts they
     have had, and are written again only if the batch knows more of them. A batch that was
     committed before is left alone, so its ids are final. Of earlier requests only those in
@@ -144,7 +148,8 @@ def resolve_batch(
     """
     if staging.has(query, batch_id):
         return
-    attempts = _flat_attempts(responses, max_attempts).withColumn("waited", F.lit(False))
+    dealt = responses.repartition(responses.sparkSession.sparkContext.defaultParallelism) if spread else responses
+    attempts = _flat_attempts(dealt, max_attempts).withColumn("waited", F.lit(False))
     if staging.last_version() < 0:
         staging.commit(_outcomes(_decisive(attempts), max_attempts, keyed, "waited"), query, batch_id)
         return
@@ -231,7 +236,7 @@ def drain_responses(
     state = Staging(responses.sparkSession, staging)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        resolve_batch(batch, state, query_id(responses.sparkSession, checkpoint), batch_id, keyed)
+        resolve_batch(batch, state, query_id(responses.sparkSession, checkpoint), batch_id, keyed, spread=True)
 
     query = (
         responses.observe("landed", F.count(F.lit(1)).alias("responses"))

@@ -342,7 +342,8 @@ class _Producer:
         self.staging, self.checkpoint = shared_folder(spark, "staging"), shared_folder(spark, "checkpoint")
 
     def land(self, responses: DataFrame) -> None:
-        responses.write.mode("append").parquet(self.landing)
+        """In files of the size that adaptive execution aims at, however many tasks make the responses."""
+        responses.hint("rebalance").write.mode("append").parquet(self.landing)
 
     def run(self, publish=None) -> None:
         drain_responses(

@@ -5,10 +5,13 @@ from dataclasses import asdict
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from rollbook.__main__ import main
 from rollbook.fixed import DATABASE, STORE_PACING, TABLE, USER_COLUMNS
 from rollbook.operators.wire import decode_messages, encode_messages
+import rollbook.plans.produce as plans
+from rollbook.plans.fixtures import landed_responses
 from rollbook.plans.produce import drain_responses, nth_request, produce, resolve_requests
 from rollbook.schema import MESSAGE_SCHEMA, RESPONSE_SCHEMA, USER_SCHEMA
 from rollbook.session import SessionOptions, build_session, shared_folder
@@ -402,6 +405,31 @@ def test_unavailable_source_ends_the_command_with_an_error(spark, tmp_path):
     assert not Path(tmp_path / "log").exists()
 
 
+# --- how a batch is dealt out ---------------------------------------------------------------
+
+
+def test_a_batch_of_one_split_is_parsed_by_all_cores(spark, tmp_path, monkeypatch):
+    """A landed file with one row group, whatever its size, is one task's."""
+    seen, flat = [], plans._flat_attempts
+
+    def parsed(responses, max_attempts):
+        seen.append({r.p: r.n for r in responses.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()})
+        return flat(responses, max_attempts)
+
+    monkeypatch.setattr(plans, "_flat_attempts", parsed)
+    job = Scheduled(spark, str(tmp_path), quota=None)
+    job.land([row for n in range(400) for row in response(n)])
+    assert job.run().published == 400
+    assert len(seen) == 1 and len(seen[0]) == spark.sparkContext.defaultParallelism and max(seen[0].values()) < 200
+
+
+def test_responses_of_a_compact_table_are_made_by_all_cores(spark, tmp_path):
+    customers = spark.range(400).selectExpr("id as c_custkey", "'C#' || id as c_name", "1 as c_nationkey", "'M' as c_mktsegment")
+    customers.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    made = landed_responses(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count()
+    assert made.count() == spark.sparkContext.defaultParallelism
+
+
 # --- what a batch writes -------------------------------------------------------------------
 
 
