@@ -16,7 +16,8 @@ of about 0.9999 in nodes that need no further branching, and of at least 0.99 in
 
 Hot nodes and components are split before their rows meet: while a node has more than `node_limit` sets, its sets
 branch on; a component of more than `group_limit` sets is split by the trees' nodes in the same way. Sets that stay
-together through all levels agree in nearly every token, and are dealt to parts that share a common member. What is
+together through all levels agree in nearly every token, and are dealt to parts that share a common member; those that
+the parts have not joined with most of the node then meet all of the node, part by part, so that no pair is left out. What is
 broadcast is a bit map of fixed size, which only spares texts that cannot be members.
 
 Defined cases: a null or empty text, or one without words, has the empty set and is linked with nothing; with fewer
@@ -240,15 +241,17 @@ def _further(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _ENTRY = "node long, name binary, tokens binary"
+_LINK = "a binary, b binary"
 
 
-def _split(entries: DataFrame, limit: int) -> DataFrame:
+def _split(entries: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None]:
     """The entries, those of nodes with more than `limit` sets branched until no node has more.
 
     At most a `limit`-th of the entries' number can be such nodes. What stays together to the last level is dealt to
-    parts at random, each with the node's least member.
+    parts at random, each with the node's least member; it is returned, too, with its part, since sets of two parts
+    have not met (see `_rest`).
     """
-    done = None
+    done = dealt = None
     for level in range(MOST_LEVELS + 1):
         hot = written(entries.groupBy("node").count().where(F.col("count") > limit), "hot")
         if hot.limit(1).count() == 0:
@@ -262,22 +265,49 @@ def _split(entries: DataFrame, limit: int) -> DataFrame:
             parts = entries.join(hot, "node").withColumn(
                 "part", F.pmod(F.xxhash64("name"), F.ceil(2 * F.col("count") / limit).cast("long"))
             )
+            dealt = parts = written(parts.select("node", "part", "name", "tokens"), "dealt")
             least = parts.groupBy("node").agg(F.min(F.struct("name", "tokens")).alias("x"))
             shared = parts.select("node", "part").distinct().join(least, "node").select("node", "part", "x.name", "x.tokens")
             entries = (
-                parts.select("node", "part", "name", "tokens").unionByName(shared)
+                parts.unionByName(shared)
                 .select(F.xxhash64("node", "part").alias("node"), "name", "tokens").distinct()
             )
             break
-    return entries if done is None else done.unionByName(entries)
+    return (entries if done is None else done.unionByName(entries)), dealt
 
 
-def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _rest(dealt: DataFrame, links: DataFrame, limit: int) -> DataFrame | None:
+    """Entries in which every pair of a dealt node meets, but for pairs that `links` have joined; None if there are none.
+
+    Most sets of such a node are joined with each other. Each of the others meets the whole node, so many at a time that
+    about `limit` sets meet: where the node holds together that is once more what it holds, and else all pairs of parts.
+    """
+    joined = components(links).withColumnRenamed("node", "name")
+    members = dealt.join(joined, "name", "left").withColumn("root", F.coalesce("root", "name"))
+    sizes = members.groupBy("node", "root").agg(F.countDistinct("name").alias("n"))
+    main = sizes.groupBy("node").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("all"))
+    others = F.col("all") - F.col("most.n")
+    main = main.where(others > 0).select(
+        "node", F.col("most.root").alias("main"), F.ceil(2 * others / limit).cast("long").alias("chunks")
+    )
+    members = members.join(main, "node")
+    chunk = F.pmod(F.xxhash64("name", F.lit(1)), F.col("chunks"))
+    members = written(members.select("node", "part", "name", "tokens", "chunks", chunk.alias("chunk"), (F.col("root") != F.col("main")).alias("other")), "rest")
+    if members.limit(1).count() == 0:
+        return None
+    all_ = members.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    parts = members.select("node", "part").distinct()
+    others = members.where("other").drop("part").join(parts, "node")
+    columns = [F.xxhash64("node", "part", "chunk").alias("node"), "name", "tokens"]
+    return all_.select(*columns).unionByName(others.select(*columns)).distinct()
+
+
+def _likely(batches: Iterator[pa.RecordBatch], most: int = 2048) -> Iterator[pa.RecordBatch]:
     rows: list[tuple[bytes, bytes]] = []
     for names, tokens in _runs(batches):
         if len(names) < 2:
             continue
-        for group in clusters(np.frombuffer(b"".join(tokens), np.uint8).reshape(len(names), -1)):
+        for group in clusters(np.frombuffer(b"".join(tokens), np.uint8).reshape(len(names), -1), most=most):
             least = min(names[i] for i in group)
             rows += [(least, names[i]) for i in group if names[i] != least]
         if len(rows) > 20000:
@@ -329,11 +359,23 @@ def groups(
         "near-distinct",
     )
     entries = sets.select("name", "tokens").mapInArrow(lambda x: released(_entries(x)), _ENTRY)
-    met = _met(_split(entries, node_limit), "node")
-    likely = components(met.mapInArrow(lambda x: released(_likely(x)), "a binary, b binary"))
+    entries, dealt = _split(entries, node_limit)
+    links = _met(entries, "node").mapInArrow(lambda x: released(_likely(x)), _LINK)
+    if dealt is not None:
+        links = written(links, "near-met")
+        rest = _rest(dealt, links, node_limit)
+        if rest is not None:  # compared exhaustively: nothing branches on
+            rest = _met(rest, "node").mapInArrow(lambda x: released(_likely(x, 1 << 62)), _LINK)
+            links = links.unionByName(rest)
+    likely = components(links)
     likely = written(likely.join(sets.select(F.col("name").alias("node"), "doc_id"), "node"), "near-likely")
-    sets_of = _met(_sets_of(documents, likely, group_limit), "root")
-    links = sets_of.mapInArrow(lambda x: released(_confirm(x)), "a binary, b binary")
+    sets_of, dealt, found = _sets_of(documents, likely, group_limit)
+    links = _met(sets_of, "root").mapInArrow(lambda x: released(_confirm(x)), _LINK)
+    if dealt is not None:
+        links = written(links, "near-confirmed")
+        rest = _rest(dealt, links, group_limit)
+        if rest is not None:
+            links = links.unionByName(_met(_of_nodes(rest, found), "root").mapInArrow(lambda x: released(_confirm(x)), _LINK))
     root = components(links).select(F.col("node").alias("name"), "root")
     named = written(root.join(sets.select("name", "doc_id"), "name"), "near-roots")
     least = named.groupBy("root").agg(F.min("doc_id").alias("least"))
@@ -350,8 +392,17 @@ def groups(
     )
 
 
-def _sets_of(documents: DataFrame, likely: DataFrame, limit: int) -> DataFrame:
-    """(root, name, shingles) of the sets of the likely components, each set once, from one document that has it."""
+def _of_nodes(entries: DataFrame, found: DataFrame) -> DataFrame:
+    """(root, name, shingles) of the sets of nodes, which stand for components."""
+    nodes = entries.select(F.col("node").cast("string").cast("binary").alias("root"), "name").distinct()
+    return nodes.join(found.select("name", "shingles"), "name").select("root", "name", "shingles")
+
+
+def _sets_of(documents: DataFrame, likely: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """(root, name, shingles) of the sets of the likely components, each set once, from one document that has it.
+
+    Then what `_split` has dealt to parts, and the sets that it can be looked up in.
+    """
     place = F.crc32(F.concat("node", F.coalesce(F.col("doc_id").cast("string").cast("binary"), F.lit(b"")))) % (1 << _BITS)
     bits = np.zeros(1 << _BITS, bool)  # its size is fixed; a full map spares nothing and loses nothing
     wanted = likely.select(place.cast("int").alias("at")).distinct().toPandas()
@@ -379,7 +430,7 @@ def _sets_of(documents: DataFrame, likely: DataFrame, limit: int) -> DataFrame:
     found = found.join(roots, "name").dropDuplicates(["name"]).select("root", "name", "shingles")
     hot = written(roots.groupBy("root").count().where(F.col("count") > limit), "near-hot")
     if hot.limit(1).count() == 0:
-        return found
+        return found, None, found
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -388,7 +439,5 @@ def _sets_of(documents: DataFrame, likely: DataFrame, limit: int) -> DataFrame:
                 yield from _dealt(*paths(tokens), batch.column(0), tokens)
 
     found = written(found, "near-found")
-    dealt = _split(found.join(hot, "root", "left_semi").select("name", "shingles").mapInArrow(deal, _ENTRY), limit)
-    dealt = dealt.select(F.col("node").cast("string").cast("binary").alias("root"), "name").distinct()
-    split = dealt.join(found.select("name", "shingles"), "name").select("root", "name", "shingles")
-    return found.join(hot, "root", "left_anti").unionByName(split)
+    entries, dealt = _split(found.join(hot, "root", "left_semi").select("name", "shingles").mapInArrow(deal, _ENTRY), limit)
+    return found.join(hot, "root", "left_anti").unionByName(_of_nodes(entries, found)), dealt, found

@@ -51,6 +51,30 @@ def test_hot_nodes_and_components_are_split(varied):
     assert found(varied, node_limit=4, group_limit=4) == want
 
 
+def test_what_never_parts_is_compared_whole(varied, monkeypatch):
+    """Nodes that stay too large are dealt to parts; links between parts are found all the same."""
+    monkeypatch.setattr(nd, "MOST_LEVELS", 0)
+    want = plain([tuple(r) for r in varied.collect()])
+    assert found(varied, node_limit=4, group_limit=3) == want
+
+
+@pytest.mark.parametrize("alike", [0, 30, 37, 40])
+def test_every_pair_of_a_dealt_node_meets(spark, alike):
+    """Forty sets of one signature, so many of which are joined: the others meet all, in parts of bounded size."""
+    name = lambda i: b"%02d" % i
+    entries = spark.createDataFrame([(7, bytearray(name(i)), bytearray(96)) for i in range(40)], "node long, name binary, tokens binary")
+    split, dealt = nd._split(entries, 8)
+    links = spark.createDataFrame([(bytearray(name(0)), bytearray(name(i))) for i in range(1, alike)], "a binary, b binary")
+    rest = nd._rest(dealt, links, 8)
+    assert (rest is None) == (alike == 40)
+    met = {}
+    for r in split.collect() + ([] if rest is None else rest.collect()):
+        met.setdefault(r.node, set()).add(int(r.name))
+    together = {pair for group in met.values() for pair in combinations(sorted(group), 2)}
+    assert {p for p in combinations(range(40), 2) if p[1] >= alike} <= together
+    assert max(map(len, met.values())) < 25
+
+
 def test_odd_rows(odd, none):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     assert found(odd) == plain(rows)
