@@ -332,7 +332,7 @@ def train(documents: DataFrame, label=labelled, rows: int = 20000) -> Model:
                     own = drawn[mark]
                     if number < most[mark] and number not in own:
                         apart = shape(*planted(text[slice(*span)]), language)
-                        own[number] = shape(text, span, language) + apart
+                        own[number] = np.array(shape(text, span, language) + apart)  # a quarter of a list's memory
                         if len(own) >= 2 * rows:
                             for k in sorted(own)[rows:]:
                                 del own[k]

@@ -40,3 +40,15 @@ def test_rows_keep_columns_of_any_name(spark):
     assert sorted(map(tuple, rows)) == [(1, "x", 0), (2, "y", 2)]
     assert unused("Score", ["score", "SCORE_"]) == "Score__"
     assert written(frame, "odd").count() == 2
+
+
+def test_a_kept_text_is_sent_once(spark):
+    """Beside itself it would take twice the memory of a worker's batches."""
+    frame = spark.createDataFrame([(1, "a b"), (2, None), (3, "")], "doc_id long, text string")
+    out = per_row(frame, "n long", ["doc_id", "text"], "text", lambda x: (len(x),))
+    assert sorted(map(tuple, out.collect())) == [(1, "a b", 3), (2, None, 0), (3, "", 0)]
+    mapped = out._jdf.queryExecution().analyzed().toString()
+    assert mapped.count("AS text#") == 1  # the kept column's own name, at the end
+    numbers = frame.selectExpr("doc_id", "doc_id * 10 as text")
+    out = per_row(numbers, "n long", ["text"], "text", lambda x: (len(x),))
+    assert sorted(map(tuple, out.collect())) == [(10, 2), (20, 2), (30, 2)] and dict(out.dtypes)["text"] == "bigint"
