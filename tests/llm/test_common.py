@@ -16,6 +16,15 @@ def test_filter_never_loses_a_key(spark):
     assert not any(r[0] for r in spark.range(50).select(fingerprint_filter(keys.limit(0), F.col("key"))(F.lit(b"x"))).collect())
 
 
+def test_filter_is_not_spelt_out_in_plans(spark):
+    keys = spark.range(100).select(F.col("id").cast("string").cast("binary").alias("key"))
+    rows = spark.range(300).select(F.col("id").cast("string").cast("binary").alias("key"))
+    test = fingerprint_filter(keys, F.col("key"))
+    left = rows.where(~test(F.col("key"))).unionByName(rows.where(test(F.col("key"))).join(keys, "key", "left_anti"))
+    assert left.count() == 200
+    assert len(left._jdf.queryExecution().toString()) < 50_000  # a map of 262,144 bytes is twice that in hexadecimal digits
+
+
 def test_folds(spark):
     rows = spark.createDataFrame([(i,) for i in [None, *range(200)]], "doc_id long").select("doc_id", fold(F.col("doc_id")))
     assert all(f == (-1 if i is None else zlib.crc32(str(i).encode()) % 5) for i, f in rows.collect())
