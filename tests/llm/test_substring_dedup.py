@@ -2,6 +2,7 @@ import random
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rollbook.llm import substring_dedup as sd
@@ -53,6 +54,23 @@ def test_long_texts_in_segments(monkeypatch):
     assert starts == {x: g for g, a, b in want for x in range(a, b)}
 
 
+def test_a_large_gram_is_sorted_alone(monkeypatch):
+    rng = random.Random(4)
+    piece = lambda n: bytes(rng.choice(b"abcdefgh ") for _ in range(n))
+    rows = [(g, piece(420), 1) for g in (1, 2, 3)] + [(4, piece(450), 1) for _ in range(12)] + [(5, b"x" * 410, 2)]
+    rows.insert(5, rows[4])  # equal pieces of one gram are one, with the sum of their times
+    seen, whole = [], sd.repeated
+    monkeypatch.setattr(sd, "BATCH_BYTES", 1500)
+    monkeypatch.setattr(sd, "repeated", lambda texts, times: seen.append(sum(map(len, texts))) or whole(texts, times))
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*part), (pa.int64(), pa.binary(), pa.int64()))], ["gram", "piece", "times"])
+        for part in (rows[:4], rows[4:9], rows[9:])
+    ]
+    found = [r["part"] for b in sd._sorted_groups(iter(batches)) for r in b.to_pylist()]
+    assert seen == [3 * 420, 12 * 450, 410]
+    assert sorted(found) == sorted(sd._piece_name(g, x) for g, x, _ in (rows[4], rows[-1]))
+
+
 def rows_of(spark, texts, **limits):
     frame = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, name string")
     out = sd.digest(*sd.find(frame, ["doc_id"], **limits), ["doc_id"])
