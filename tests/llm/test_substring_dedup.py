@@ -90,6 +90,15 @@ def test_against_all_strings(spark):
     assert rows_of(spark, texts, group_bytes=2000) == want
 
 
+def test_words_do_not_count_but_bytes(spark):
+    rng = random.Random(5)
+    passage = " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(57)) + "xy"
+    assert len(passage.split()) > 50 and len(passage) == sd.WIDTH
+    for shared, lost in ((passage, (400, 1)), (passage[:-1], (0, 0))):
+        rows = rows_of(spark, [f"{i} {i * 7919}" * 20 + str(i) + shared + f"{i} {i * 104729}" * 20 for i in range(1, 5)])
+        assert [(removed, spans) for _, removed, spans, _ in rows] == [lost] * 4
+
+
 def test_odd_rows(odd, none):
     got = sd.digest(*sd.find(odd, ["doc_id"]), ["doc_id"]).collect()
     rows = [(r.doc_id, (r.text or "").encode()) for r in odd.collect()]
