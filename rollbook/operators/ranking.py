@@ -1,4 +1,4 @@
-"""Keeping one row per key."""
+"""Keeping one row per key, and numbering the rows of a key."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANK = "_rank"
+#: Into so many blocks, or fewer, the positions of a table are cut where rows are numbered.
+_BLOCKS = 4096
 
 
 def best_per_key(rows: DataFrame, key: str, *order: Column) -> DataFrame:
@@ -18,3 +20,25 @@ def best_per_key(rows: DataFrame, key: str, *order: Column) -> DataFrame:
     """
     ranked = rows.withColumn(_RANK, F.row_number().over(Window.partitionBy(key).orderBy(*order)))
     return ranked.filter(F.col(_RANK) == 1).drop(_RANK)
+
+
+def numbered(rows: DataFrame, name: str, key: str, position: str) -> DataFrame:
+    """`rows` with the column `name`: the place of a row, from 0, among those of its `key`, in the order of `position`.
+
+    A window over the key alone leaves all its rows to one task. Positions, which are integers, are cut into blocks of
+    equal width; a row is numbered in its block, after the rows that the blocks before it have. `rows` is read three
+    times, twice for `key` and `position` alone. Equal positions are numbered in any order, rows without one first; a
+    null key is a key.
+    """
+    least, most = rows.agg(F.min(position), F.max(position)).first()
+    width = 1 if least is None else (most - least) // _BLOCKS + 1
+    # Not `position - least`, which may be beyond a long.
+    blocked = rows.withColumn("_block", F.expr(f"`{position}` div {width}L"))
+    before = Window.partitionBy("_key").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    counts = blocked.groupBy(F.col(key).alias("_key"), F.col("_block").alias("_at")).count()
+    starts = counts.select("_key", "_at", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+    within = F.row_number().over(Window.partitionBy(key, "_block").orderBy(position))
+    ranked = blocked.withColumn(_RANK, within)
+    same = ranked[key].eqNullSafe(starts["_key"]) & ranked["_block"].eqNullSafe(starts["_at"])
+    placed = ranked.join(F.broadcast(starts), same).withColumn(name, F.col("_start") + F.col(_RANK) - 1)
+    return placed.drop(_RANK, "_block", "_key", "_at", "_start")

@@ -6,14 +6,16 @@ them. The remainders choose which shape a row takes; every row of the table is u
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.fixed import USER_COLUMNS
 from rollbook.functions.identifiers import keyed_id
+from rollbook.operators.ranking import numbered
 from rollbook.operators.wire import record_json
 from rollbook.schema import MESSAGE_SCHEMA
 from rollbook.session import shared_folder
+from rollbook.sinks.messages import file_size
 
 # --- landed responses, one request per customer -------------------------------
 
@@ -119,33 +121,63 @@ SENT_TEXT = """
 TOPIC_OF = "CASE WHEN event_id % 20 = 0 THEN 'other_topic' ELSE 'users_created' END"
 
 
-def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Eleven-column records, all with good ids, plus `event_id` and `ts`."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+def _records(events: DataFrame, *further: str) -> DataFrame:
     return events.select(
         "event_id",
         "ts",
+        *further,
         keyed_id(F.col("user_id")).alias("id"),
         *[F.expr(text).alias(name) for name, text in RECORD.items()],
     )
 
 
+def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eleven-column records, all with good ids, plus `event_id` and `ts`."""
+    return _records(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def _positioned(events: DataFrame) -> DataFrame:
+    """Events with topic, partition and offset of their messages."""
+    columns = {"topic": TOPIC_OF, "partition": "event_id % 3", "offset": "event_id div 3"}
+    return events.withColumns(
+        {name: F.expr(text).cast(MESSAGE_SCHEMA[name].dataType) for name, text in columns.items()}
+    )
+
+
+def _messages(events: DataFrame, *further: str) -> DataFrame:
+    """Positioned events in the Kafka envelope, with `further` columns of theirs."""
+    kept = ("topic", "partition", "offset", *further)
+    sent = _records(events, *kept).withColumn("id", F.expr(SENT_ID))
+    sent = sent.select("event_id", "ts", *kept, record_json(*USER_COLUMNS).alias("json"))
+    columns = {"key": F.lit(None), "value": F.expr(SENT_TEXT), "timestamp": F.col("ts"), "timestampType": F.lit(0)}
+    envelope = [
+        columns[f.name].cast(f.dataType).alias(f.name) if f.name in columns else F.col(f.name)
+        for f in MESSAGE_SCHEMA.fields
+    ]
+    return sent.select(*envelope, *further)
+
+
 def message_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records as messages in the Kafka envelope, bad ones included."""
-    sent = event_records(spark, sf_dir).withColumn("id", F.expr(SENT_ID))
-    sent = sent.select("event_id", "ts", record_json(*USER_COLUMNS).alias("json"))
-    columns = {
-        "key": F.lit(None),
-        "value": F.expr(SENT_TEXT),
-        "topic": F.expr(TOPIC_OF),
-        "partition": F.expr("event_id % 3"),
-        "offset": F.expr("event_id div 3"),
-        "timestamp": F.col("ts"),
-        "timestampType": F.lit(0),
-    }
-    return sent.select(
-        *[columns[f.name].cast(f.dataType).alias(f.name) for f in MESSAGE_SCHEMA.fields]
-    )
+    return _messages(_positioned(spark.read.parquet(f"{sf_dir}/events.parquet")))
+
+
+def laned_files(spark: SparkSession, sf_dir: str, topic: str, cap: int, lanes: int) -> tuple[str, int]:
+    """The messages of a topic written as files of `cap`, each topic partition's in the order of offsets and its last
+    file smaller, dealt to as many folders as there are lanes; returns the path and how many lanes have files.
+
+    The events are numbered and dealt out, and become messages, which are much larger, in the task that writes them.
+    """
+    path = shared_folder(spark, "messages")
+    events = _positioned(spark.read.parquet(f"{sf_dir}/events.parquet")).filter(F.col("topic") == topic)
+    dealt = numbered(events, "place", "partition", "offset").withColumn("file", F.expr(f"place div {cap}"))
+    dealt, seen = dealt.withColumn("lane", F.col("file") % lanes), Observation("lanes")
+    # Of one lane and partition a task writes file after file, all full but the last, as the order of places has them.
+    dealt = dealt.observe(seen, F.max("lane").alias("last")).repartition("partition", "file")
+    messages = _messages(dealt.sortWithinPartitions("lane", "partition", "place"), "lane")
+    messages.write.options(**file_size(cap)).partitionBy("lane", "partition").parquet(path)
+    last = seen.get["last"]
+    return path, 0 if last is None else last + 1
 
 
 def message_files(spark: SparkSession, sf_dir: str) -> str:

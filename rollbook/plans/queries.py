@@ -7,7 +7,7 @@ import time
 from collections.abc import Callable
 from dataclasses import asdict
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.fixed import TOPIC, USER_COLUMNS
@@ -24,13 +24,14 @@ from rollbook.operators.wire import decode_messages, encode_messages, message_te
 from rollbook.plans.fixtures import (
     event_records,
     landed_responses,
+    laned_files,
     message_files,
     message_log,
 )
 from rollbook.plans.produce import drain_responses, produce, resolve_requests, take_quota
 from rollbook.session import shared_folder
 from rollbook.sinks.connector import store_writer
-from rollbook.sinks.messages import file_size, publish_files
+from rollbook.sinks.messages import publish_files
 from rollbook.sinks.staging import ACCEPTED, Staging
 from rollbook.sinks.tables import UserTable, drop_table, ensure_table, merge_log
 from rollbook.sinks.user_log import batch_writer, compact_log, read_log
@@ -183,18 +184,12 @@ def stream_record_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The files of a topic partition are dealt to lanes, and each lane is a stream with a checkpoint of its own.
     """
-    source, log, cap = shared_folder(spark, "messages"), shared_folder(spark, "log"), 3000
-    messages = message_log(spark, sf_dir).filter(F.col("topic") == TOPIC)
-    place = F.row_number().over(Window.partitionBy("partition").orderBy("offset")) - 1
-    lane = F.floor(place / cap) % _LANES  # whole files, so that only the last of a topic partition is smaller
-    laned = messages.withColumn("lane", lane)
-    laned.write.options(**file_size(cap)).partitionBy("lane", "partition").parquet(source)
-    caps = record_caps(spark, source, cap, cap)
-    lanes = sorted(row.lane for row in spark.read.parquet(source).select("lane").distinct().collect())
-    streams = []
-    for number in lanes:
+    log, cap = shared_folder(spark, "log"), 3000
+    source, lanes = laned_files(spark, sf_dir, TOPIC, cap, _LANES)
+    caps, streams = record_caps(spark, source, cap, cap), []
+    for lane in range(lanes):
         checkpoint = shared_folder(spark, "checkpoint")
-        stream = read_message_files(spark, f"{source}/lane={number}", TOPIC, caps)
+        stream = read_message_files(spark, f"{source}/lane={lane}", TOPIC, caps)
         streams.append((stream, batch_writer(log, checkpoint), checkpoint))
     drain_together(streams)
     sizes = read_log(spark, log).groupBy("run", "batch_id").agg(F.count(F.lit(1)).alias("messages"))

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from rollbook.fixed import STORE_FORMAT, TOPIC, USER_COLUMNS
 from rollbook.operators.latest import current_users, latest_versions, rejected_messages
+from rollbook.operators.ranking import numbered
 from rollbook.operators.screening import storable
 from rollbook.plans.consume import consume
+from rollbook.plans.fixtures import laned_files, message_log
 from rollbook.schema import MESSAGE_SCHEMA
 from rollbook.sinks import user_log
 from rollbook.sinks.connector import store_options, store_writer
@@ -353,6 +355,52 @@ def test_record_caps(spark, tmp_path):
         record_caps(spark, path, 9)
 
 
+def test_rows_are_numbered_by_key(spark, plan):
+    """Equal, missing, negative and far positions, a null key; no task has all rows of a key."""
+    positions = [None, None, -(1 << 63), -5, -1, 0, 0, 0, 1, 5000, 5001, (1 << 63) - 1]
+    rows = [(key, p, n) for n, (key, p) in enumerate((key, p) for key in (None, 1, 2) for p in positions[:: key or 3])]
+    found = numbered(spark.createDataFrame(rows, "part int, at long, n int"), "place", "part", "at")
+    assert found.columns == ["part", "at", "n", "place"]
+    places = {}
+    for row in found.collect():
+        places.setdefault(row.part, []).append((row.place, row.at))
+    for key in (None, 1, 2):
+        assert [p for p, _ in sorted(places[key])] == list(range(len(positions[:: key or 3])))
+        assert [at for _, at in sorted(places[key])] == positions[:: key or 3]
+    windows = re.findall(r"Window \[row_number.*?\], \[(.*?)\]", plan(found))
+    assert windows and all("_block" in keys for keys in windows)
+    none = spark.createDataFrame([], "part int, at long")
+    assert numbered(none, "place", "part", "at").collect() == []
+
+
+def test_a_topic_is_landed_in_lanes_by_many_tasks(spark, tmp_path):
+    """3,000 events, of which some come twice and one in twenty is of another topic: files of 100 in order, but the last."""
+    events = spark.range(3000).unionByName(spark.range(150)).selectExpr(
+        "id AS event_id", "timestamp_seconds(id) AS ts", "id % 7 AS user_id", "'e' AS event_type",
+        "CAST(id AS double) AS value", "'{}' AS props",
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    source, lanes = laned_files(spark, str(tmp_path), TOPIC, 100, 4)
+    assert lanes == 4
+    files = {}
+    landed = spark.read.parquet(source).select("*", F.col("_metadata.file_path").alias("file"))
+    for row in landed.collect():
+        files.setdefault((row.partition, row.lane, row.file), []).append(row.offset)
+    log = message_log(spark, str(tmp_path)).filter(F.col("topic") == TOPIC)
+    for partition in range(3):
+        mine = sorted((sorted(offsets), lane, offsets) for (p, lane, _), offsets in files.items() if p == partition)
+        assert [offset for offsets, *_ in mine for offset in offsets] == sorted(
+            row.offset for row in log.filter(F.col("partition") == partition).collect()
+        )
+        assert {len(offsets) for offsets, *_ in mine[:-1]} == {100} and 0 < len(mine[-1][0]) <= 100
+        assert [lane for _, lane, _ in mine] == [n % 4 for n in range(len(mine))]
+        assert all(offsets == ordered for ordered, _, offsets in mine)
+    columns = [f.name for f in MESSAGE_SCHEMA.fields]
+    assert landed.select(*columns).exceptAll(log.select(*columns)).isEmpty() and landed.count() == log.count()
+    few, lanes = laned_files(spark, str(tmp_path), TOPIC, 2000, 4)
+    assert lanes == 1 and spark.read.parquet(few).count() == log.count()
+
+
 def test_batches_hold_no_more_records_than_the_cap(spark, job):
     text = lambda n: json.dumps(dict.fromkeys(USER_COLUMNS) | {"id": IDS[n % 40], "full_name": f"v{n}"}).encode()
     rows = spark.createDataFrame([(TOPIC, bytearray(text(n))) for n in range(95)], "topic string, value binary")
@@ -403,6 +451,44 @@ def test_a_stream_that_fails_ends_the_others(spark, tmp_path):
     assert jobs[1].read().count() == 10
 
 
+def test_a_drain_keeps_the_log_of_its_source_short(spark, job):
+    """Of 25 batches the last two are kept with what they need; every batch lists the log. A second drain goes on."""
+    retained = "spark.sql.streaming.minBatchesToRetain"
+    spark.conf.set(retained, 2)
+    try:
+        for n in range(25):
+            write_messages(spark, job.source, range(4 * n, 4 * n + 4))
+        job.drain(max_files=1)
+        assert job.batches() == list(range(25))
+        left = {p.name for p in Path(job.checkpoint("first"), "sources", "0").iterdir() if not p.name.startswith(".")}
+        assert "24" in left and "0" not in left and len(left) < 20
+        assert job.drain() == 0
+        write_messages(spark, job.source, range(100, 110))
+        assert job.drain(max_files=1) == 10 and job.read().count() == 110
+    finally:
+        spark.conf.unset(retained)
+
+
+def test_a_drain_leaves_the_settings_of_the_session(spark, job):
+    names = [f"spark.sql.streaming.{name}" for name in ("checkpointFileManagerClass", "fileSource.log.cleanupDelay")]
+    seen = []
+
+    def write(batch, batch_id):
+        seen.append([batch.sparkSession.conf.getAll.get(name) for name in names])
+
+    write_messages(spark, job.source, range(5))
+    before = spark.conf.getAll
+    drain_messages(read_message_files(spark, job.source), write, job.checkpoint("unset"))
+    assert seen[0][0].endswith(".FileSystemBasedCheckpointFileManager") and seen[0][1] == "1ms"
+    assert spark.conf.getAll == before
+    spark.conf.set(names[1], "7m")
+    try:
+        drain_messages(read_message_files(spark, job.source), write, job.checkpoint("set"))
+        assert seen[1][1] == "7m" and spark.conf.getAll[names[1]] == "7m"
+    finally:
+        spark.conf.unset(names[1])
+
+
 def test_the_id_of_a_stream_is_read_once(spark, job, monkeypatch):
     reads = []
     monkeypatch.setattr(user_log, "query_id", lambda *a: reads.append(a) or query_id(*a))
